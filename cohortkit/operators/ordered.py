@@ -53,25 +53,34 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
 
     Same values as ``lag(c)`` / ``lead(c)`` over
     ``PARTITION BY entity ORDER BY time, tiebreak``.
+
+    One window pass over ``(entity, slice)`` computes the in-slice
+    neighbours and flags each slice's first and last row. Those boundary
+    rows (at most two per non-empty slice) are the summary: a second window
+    over them per entity carries the last row of the previous slice forward
+    (and the first row of the next slice backward), and a join on
+    ``(entity, slice)`` fills the slice edges. The big side keeps its
+    ``(entity, slice)`` partitioning through the join.
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
-    carried = list(dict.fromkeys(order + list(cols)))
     d = df if SLICE in df.columns else add_slice(df, time, slice_hours)
 
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    local = []
-    if prev:
-        local.append(F.lag(F.lit(1)).over(w).isNull().alias("_first_in_slice"))
-        local += [F.lag(c).over(w).alias(f"_lp_{c}") for c in cols]
-    if next:
-        local.append(F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
-        local += [F.lead(c).over(w).alias(f"_ln_{c}") for c in cols]
-    rows = d.select("*", *local)
-
-    row = F.struct(*[F.col(c) for c in carried])
-    summ = d.groupBy(*keys, SLICE).agg(F.min(row).alias("_f"), F.max(row).alias("_l"))
+    rows = d.select(
+        "*",
+        F.lag(F.lit(1)).over(w).isNull().alias("_first_in_slice"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"),
+        *([F.lag(c).over(w).alias(f"_lp_{c}") for c in cols] if prev else []),
+        *([F.lead(c).over(w).alias(f"_ln_{c}") for c in cols] if next else []),
+    )
+
+    edge = F.struct(*[F.col(c) for c in cols])
     ws = Window.partitionBy(*keys).orderBy(SLICE)
+    summ = (rows.filter(F.col("_first_in_slice") | F.col("_last_in_slice"))
+                .groupBy(*keys, SLICE)
+                .agg(F.max_by(edge, F.col("_last_in_slice").cast("int")).alias("_l"),
+                     F.max_by(edge, F.col("_first_in_slice").cast("int")).alias("_f")))
     carry = []
     if prev:
         carry.append(F.lag("_l").over(ws).alias("_cp"))
@@ -91,7 +100,7 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
                                   .otherwise(F.col(f"_ln_{c}"))
     out = out.withColumns(fills)
     drop = [c for c in out.columns if c.startswith(("_lp_", "_ln_"))]
-    drop += [c for c in ("_first_in_slice", "_last_in_slice", "_cp", "_cn") if c in out.columns]
+    drop += ["_first_in_slice", "_last_in_slice"] + [c for c in ("_cp", "_cn") if c in out.columns]
     if not keep_slice:
         drop.append(SLICE)
     return out.drop(*drop)
@@ -102,21 +111,29 @@ def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
                 slice_hours: float = 24.0, keep_slice: bool = False) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY entity ORDER BY time, tiebreak
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)`` without an
-    entity-wide window."""
+    entity-wide window.
+
+    The in-slice running sum on a slice's last row is the slice total; those
+    rows (one per non-empty slice) give each slice its offset through a
+    running sum per entity over slices, joined back on ``(entity, slice)``.
+    """
     keys = _keys(entity)
     order = _order(time, tiebreak)
     d = df if SLICE in df.columns else add_slice(df, time, slice_hours)
 
-    w = (Window.partitionBy(*keys, SLICE).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = d.withColumn("_within", F.sum(value).over(w))
+    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    rows = d.select("*",
+                    F.sum(value).over(w.rowsBetween(Window.unboundedPreceding,
+                                                    Window.currentRow)).alias("_within"),
+                    F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
 
-    tot = d.groupBy(*keys, SLICE).agg(F.sum(value).alias("_tot"))
     ws = (Window.partitionBy(*keys).orderBy(SLICE)
           .rowsBetween(Window.unboundedPreceding, -1))
-    tot = tot.select(*keys, SLICE, F.coalesce(F.sum("_tot").over(ws), F.lit(0)).alias("_off"))
+    tot = (rows.filter(F.col("_last_in_slice"))
+               .select(*keys, SLICE,
+                       F.coalesce(F.sum("_within").over(ws), F.lit(0)).alias("_off")))
 
     res = (rows.join(tot, on=[*keys, SLICE], how="inner")
                .withColumn(out, F.col("_off") + F.col("_within"))
-               .drop("_off", "_within"))
+               .drop("_off", "_within", "_last_in_slice"))
     return res if keep_slice else res.drop(SLICE)

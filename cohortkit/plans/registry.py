@@ -33,3 +33,142 @@ def q_gap_episodes(spark, sf_dir):
     m = B.measurement(spark, sf_dir)
     return episodes.gap_episodes(m, EPISODE_CODES, gap_hours=24, min_hours=48,
                                  tiebreak="measurement_id")
+
+
+# ---------------------------------------------------------------------------
+# catalogue and exploration
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import explore  # noqa: E402
+from ..sources import tables  # noqa: E402
+
+# Parameters of the exploration queries (the analyst's inputs).
+SEARCH_TERM = "ring"
+CANDIDATE_IDS = [0, 1, 2, 10, 100, 1000]
+SPOT_CONCEPT = 1
+SYNONYM_TERM = "widget"
+CO_IDS = ["signup", "click", "purchase"]
+CO_MIN_VALUE = 100
+VARIABLE_TERMS = {"measurement": ["ring", "gear", "plate"],
+                  "drug_exposure": ["build", "furn"],
+                  "observation": ["view", "click"]}
+VARIABLE_MIN_ENTITIES = 20
+TEMPORAL_STATUS = "F"
+
+
+@register("dataset_profile")
+def q_dataset_profile(spark, sf_dir):
+    return tables.dataset_profile(spark, sf_dir)
+
+
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    return tables.column_profile(spark, tables.read_table(spark, sf_dir, "events"))
+
+
+@register("table_population")
+def q_table_population(spark, sf_dir):
+    return explore.table_population(B.measurement(spark, sf_dir))
+
+
+@register("concept_search")
+def q_concept_search(spark, sf_dir):
+    return explore.concept_search(B.concept(spark, sf_dir), SEARCH_TERM, limit=100)
+
+
+@register("concept_cross_reference")
+def q_concept_cross_reference(spark, sf_dir):
+    return explore.concept_cross_reference(B.line_fact(spark, sf_dir),
+                                           B.concept(spark, sf_dir), CANDIDATE_IDS)
+
+
+@register("top_measured")
+def q_top_measured(spark, sf_dir):
+    return explore.top_measured(B.line_fact(spark, sf_dir), B.concept(spark, sf_dir), k=50)
+
+
+@register("spot_check")
+def q_spot_check(spark, sf_dir):
+    return explore.spot_check(B.line_fact(spark, sf_dir), B.concept(spark, sf_dir),
+                              SPOT_CONCEPT, n_entities=10, limit=200)
+
+
+@register("describe_values")
+def q_describe_values(spark, sf_dir):
+    return explore.describe_values(q_spot_check(spark, sf_dir), "value_as_number")
+
+
+@register("spot_check_units")
+def q_spot_check_units(spark, sf_dir):
+    return explore.distinct_units(q_spot_check(spark, sf_dir))
+
+
+@register("synonym_hunt")
+def q_synonym_hunt(spark, sf_dir):
+    return explore.synonym_hunt(B.line_fact(spark, sf_dir), B.concept(spark, sf_dir),
+                                SYNONYM_TERM)
+
+
+def _co_fact(spark, sf_dir):
+    return B.measurement(spark, sf_dir).filter(F.col("value_as_number") > CO_MIN_VALUE)
+
+
+@register("co_occurrence_all")
+def q_co_occurrence_all(spark, sf_dir):
+    return explore.co_occurrence_all(_co_fact(spark, sf_dir), CO_IDS)
+
+
+@register("co_occurrence_compare")
+def q_co_occurrence_compare(spark, sf_dir):
+    return explore.co_occurrence_compare(_co_fact(spark, sf_dir), CO_IDS[0], CO_IDS)
+
+
+@register("variable_search")
+def q_variable_search(spark, sf_dir):
+    concept = B.concept(spark, sf_dir).select("concept_id", "concept_name")
+    meas = B.line_fact(spark, sf_dir).join(
+        concept.withColumnRenamed("concept_id", "measurement_concept_id"),
+        "measurement_concept_id")
+    drugs = B.order_fact(spark, sf_dir)
+    obs = B.measurement(spark, sf_dir)
+    sources = [
+        explore.SearchSource("measurement", meas, VARIABLE_TERMS["measurement"],
+                             concept_id="measurement_concept_id", with_rows=True),
+        explore.SearchSource("drug_exposure", drugs, VARIABLE_TERMS["drug_exposure"],
+                             concept_id="concept_name"),
+        explore.SearchSource("observation", obs, VARIABLE_TERMS["observation"],
+                             concept_id="measurement_concept_id",
+                             concept_name="measurement_concept_id"),
+    ]
+    return explore.variable_search(sources, min_entities=VARIABLE_MIN_ENTITIES, k=20)
+
+
+@register("population_rate")
+def q_population_rate(spark, sf_dir):
+    return explore.population_rate(B.measurement(spark, sf_dir), "visit_occurrence_id", 90)
+
+
+@register("visit_types")
+def q_visit_types(spark, sf_dir):
+    return explore.visit_types(B.visits_many(spark, sf_dir), B.visit_concept(spark))
+
+
+def _orders(spark, sf_dir):
+    o = tables.read_table(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").alias("person_id"),
+                    F.col("o_orderdate").alias("measurement_datetime"),
+                    F.col("o_orderstatus").alias("measurement_concept_id"))
+
+
+@register("temporal_distribution")
+def q_temporal_distribution(spark, sf_dir):
+    return explore.temporal_distribution(_orders(spark, sf_dir), TEMPORAL_STATUS)
+
+
+@register("yearly_duplicates")
+def q_yearly_duplicates(spark, sf_dir):
+    visits = _orders(spark, sf_dir).select(
+        "person_id", F.col("measurement_datetime").alias("visit_start_datetime"))
+    return explore.yearly_duplicates(visits)
