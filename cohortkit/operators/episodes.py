@@ -125,10 +125,14 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
                   gap_hours: float = 6, strict: bool = False, entity: str = E,
                   time: str = T, code: str = C, tiebreak: str | None = None,
                   end_out: str = "segment_end_ts", next_out: str = "next_segment_ts",
-                  slice_hours: float = 24.0) -> DataFrame:
+                  first_out: str | None = None, slice_hours: float = 24.0) -> DataFrame:
     """From ``start`` on, the first event followed by a gap of at least
     ``gap_hours`` whole hours (``>`` when ``strict``), or the last event;
     also the time of the event after the gap (the next segment's start).
+
+    With ``first_out`` the first event at or after ``start`` is returned too
+    (C25 on the same rows): the segment search from the admission start and
+    from the first event give the same segment, so one scan yields both.
     """
     order = [tiebreak] if tiebreak else []
     ev = _codes(fact, code, codes).select(entity, time, *order)
@@ -137,8 +141,12 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
     ev = with_neighbors(ev, entity, time, tiebreak, [time], prev=False, next=True,
                         slice_hours=slice_hours)
     nxt = F.col(f"next_{time}")
-    ends = ev.filter(nxt.isNull() | _gap_test(whole_hours(time, nxt), gap_hours, strict))
-    first = F.min(F.struct(*[F.col(c) for c in [time, *order]], nxt.alias("_next")))
-    return (ends.groupBy(entity).agg(first.alias("_s"))
-                .select(entity, F.col(f"_s.{time}").alias(end_out),
-                        F.col("_s._next").alias(next_out)))
+    is_end = nxt.isNull() | _gap_test(whole_hours(time, nxt), gap_hours, strict)
+    first_end = F.min(F.when(is_end, F.struct(*[F.col(c) for c in [time, *order]],
+                                              nxt.alias("_next"))))
+    aggs = [first_end.alias("_s")]
+    if first_out:
+        aggs.append(F.min(time).alias(first_out))
+    out = ev.groupBy(entity).agg(*aggs)
+    return out.select(entity, *([first_out] if first_out else []),
+                      F.col(f"_s.{time}").alias(end_out), F.col("_s._next").alias(next_out))

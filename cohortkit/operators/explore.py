@@ -37,6 +37,10 @@ def exact_mean(col: str, digits: int) -> F.Column:
     return fixed(F.avg(numeric(col)), digits)
 
 
+def exact_mean_col(col: F.Column, digits: int) -> F.Column:
+    return fixed(F.avg(numeric(col)), digits)
+
+
 def concept_search(concept: DataFrame, term: str, limit: int | None = 100) -> DataFrame:
     """Vocabulary rows whose name contains ``term`` (any case), by name."""
     hits = (concept.filter(contains_ci("concept_name", term))

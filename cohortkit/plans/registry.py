@@ -172,3 +172,321 @@ def q_yearly_duplicates(spark, sf_dir):
     visits = _orders(spark, sf_dir).select(
         "person_id", F.col("measurement_datetime").alias("visit_start_datetime"))
     return explore.yearly_duplicates(visits)
+
+
+# ---------------------------------------------------------------------------
+# episodes, landmarks, features, totals, outcomes: the weaning cohort
+# (C10-C11, C13, C19-C41) on the events binding
+# ---------------------------------------------------------------------------
+
+from ..functions.timecalc import shift  # noqa: E402
+from ..operators import features as feat  # noqa: E402
+from ..operators import landmarks as lmk  # noqa: E402
+from ..operators import outcomes as outc  # noqa: E402
+from ..operators import totals as tot  # noqa: E402
+from ..operators.features import FeatureSpec  # noqa: E402
+from ..operators.landmarks import EligibilityRule  # noqa: E402
+from . import weaning as W  # noqa: E402
+from .widetable import update_from  # noqa: E402
+
+# Parameters of the weaning cohort on the events binding (FIXTURES.md §4):
+# 'view'/'click' stand for FiO2/PEEP, 'purchase' is the exposure and the
+# intake, 'signup'/'error' are outputs.
+TEST_RULE = EligibilityRule(
+    first_code="view", first_ranges=((1, 50), (0, 0.5)), first_unit_not="%",
+    second_code="click", second_max=60, tolerance_minutes=720, start_offset_hours=6,
+    exposure_codes=("purchase",), lead_in_hours=6, washout_hours=3)
+TEST_FEATURES = (
+    FeatureSpec("fio2", ("view",), 24, 0, value_range=(0.1, 100), fraction_to_percent=True,
+                unit_not="%"),
+    FeatureSpec("peep", ("click",), 24, 0),
+    FeatureSpec("spo2", ("signup", "purchase"), 24, 24, fraction_to_percent=True),
+    FeatureSpec("haemoglobin", ("error",), 24, 24, unit_equals="u"),
+    FeatureSpec("haematocrit", ("view", "signup"), 24, 24, value_range=(0.1, 1)),
+    FeatureSpec("lactate", ("purchase",), 48, 48),
+)
+TEST_CODE_SET = (
+    ("purchase", "intake", "use", "incremental"),
+    ("signup", "output", "use", "incremental"),
+    ("error", "output", "use", "incremental"),
+    ("click", "output", "exclude", "moving window"),
+    ("view", "output", "exclude", "cumulative"),
+)
+TEST_PARAMS = W.WeaningParams(
+    segment_codes=("view", "click"), segment_gap_hours=36, rule=TEST_RULE,
+    death_guard_hours=12, min_duration_hours=24, horizon_hours=72,
+    features=TEST_FEATURES, intake_codes=tot.codes_of(TEST_CODE_SET, "intake"),
+    output_codes=tot.codes_of(TEST_CODE_SET, "output"), slope_min_hours=4,
+    tiebreak="measurement_id")
+CONDITION_PATTERNS = ("%: 7%", "%: 42}%", "%: 13}%")
+COHORT_STARTS = ("2024-01-05", "2024-01-17")
+
+_CHAINS: dict = {}
+
+
+def weaning_inputs(spark, sf_dir) -> W.WeaningInputs:
+    return W.WeaningInputs(
+        visit=B.visit_per_entity(spark, sf_dir), measurement=B.measurement(spark, sf_dir),
+        drug_exposure=B.drug_exposure(spark, sf_dir, null_ends=False),
+        condition=B.condition_occurrence(spark, sf_dir), death=B.death(spark, sf_dir))
+
+
+def _chain(spark, sf_dir, stage: int):
+    """The checkpointed base chain (stage 1: episode, 2: landmarks+outcomes),
+    computed once per application and dataset."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CHAINS:
+        inp = weaning_inputs(spark, sf_dir)
+        c1 = W.episode_chain(inp, TEST_PARAMS)
+        c2 = W.landmark_chain(c1, inp, TEST_PARAMS)
+        _CHAINS[key] = (inp, c1, c2)
+    inp, c1, c2 = _CHAINS[key]
+    return inp, (c1 if stage == 1 else c2)
+
+
+def weaning_wide(spark, sf_dir):
+    inp, chain = _chain(spark, sf_dir, 2)
+    feats = W.feature_pass(chain, inp, TEST_PARAMS)
+    fluids = W.fluid_pass(chain, inp, TEST_PARAMS)
+    return W.chain_fixed(chain).join(feats, "person_id", "left") \
+                               .join(fluids, "person_id", "left")
+
+
+@register("cumulative_to_incremental")
+def q_cumulative_to_incremental(spark, sf_dir):
+    li = tables.read_table(spark, sf_dir, "lineitem")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    return episodes.cumulative_to_incremental(
+        li.select("l_suppkey", *order, "l_quantity"), entity="l_suppkey", order=order,
+        value="l_quantity")
+
+
+@register("cumulative_total_check")
+def q_cumulative_total_check(spark, sf_dir):
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    return episodes.cumulative_total_check(q_cumulative_to_incremental(spark, sf_dir),
+                                           entity="l_suppkey", order=order,
+                                           value="l_quantity")
+
+
+@register("time_based_visit_link")
+def q_time_based_visit_link(spark, sf_dir):
+    m = B.measurement(spark, sf_dir).select("measurement_id", "person_id",
+                                            "measurement_datetime")
+    v = B.visits_many(spark, sf_dir).select("person_id", "visit_occurrence_id",
+                                            "visit_start_datetime", "visit_end_datetime")
+    return episodes.link_by_interval(m, v)
+
+
+@register("base_cohort")
+def q_base_cohort(spark, sf_dir):
+    return lmk.base_cohort(B.visits_many(spark, sf_dir), COHORT_STARTS)
+
+
+@register("condition_flag")
+def q_condition_flag(spark, sf_dir):
+    base = lmk.base_cohort(B.visit_per_entity(spark, sf_dir)) \
+              .withColumn("admission_has_neuro", F.lit(0).cast("long"))
+    flag = lmk.condition_flag(base, B.condition_occurrence(spark, sf_dir), CONDITION_PATTERNS)
+    return update_from(base, flag, "person_id")
+
+
+@register("first_event_after")
+def q_first_event_after(spark, sf_dir):
+    base = lmk.base_cohort(B.visit_per_entity(spark, sf_dir))
+    return episodes.first_event_after(base, B.measurement(spark, sf_dir),
+                                      TEST_PARAMS.segment_codes, "admission_start")
+
+
+@register("first_segment")
+def q_first_segment(spark, sf_dir):
+    starts = q_first_event_after(spark, sf_dir)
+    return episodes.first_segment(starts, B.measurement(spark, sf_dir),
+                                  TEST_PARAMS.segment_codes, "first_ts",
+                                  gap_hours=TEST_PARAMS.segment_gap_hours,
+                                  tiebreak="measurement_id")
+
+
+@register("sanity_summary")
+def q_sanity_summary(spark, sf_dir):
+    _, c1 = _chain(spark, sf_dir, 1)
+    hrs = F.timestamp_diff("HOUR", F.col("first_imv_start"), F.col("first_imv_end"))
+    return tot.summary(c1, {
+        "total_patients": F.count(F.lit(1)),
+        "has_imv": F.count_if(F.col("first_imv_start").isNotNull()),
+        "mean_imv_hours": explore.exact_mean_col(hrs, 1),
+        "min_imv_hours": F.min(hrs),
+        "max_imv_hours": F.max(hrs),
+    }, where=F.col("first_imv_end").isNotNull())
+
+
+def _pair_sides(spark, sf_dir):
+    inp, c1 = _chain(spark, sf_dir, 1)
+    r = TEST_RULE
+    bounds = c1.filter(F.col("first_imv_end").isNotNull()) \
+               .select("person_id", "first_imv_start", "first_imv_end")
+    m = inp.measurement
+    inside = F.col("measurement_datetime").between(F.col("first_imv_start"),
+                                                   F.col("first_imv_end"))
+    a = (m.filter((F.col("measurement_concept_id") == r.first_code)
+                  & (F.col("value_as_number").between(1, 50)
+                     | F.col("value_as_number").between(0, 0.5))
+                  & (F.col("unit_source_value") != "%"))
+          .join(bounds, "person_id").filter(inside)
+          .select("person_id", F.col("measurement_datetime").alias("a_time"),
+                  F.col("value_as_number").alias("a_value")))
+    b = (m.filter((F.col("measurement_concept_id") == r.second_code)
+                  & (F.col("value_as_number") <= r.second_max))
+          .join(bounds, "person_id").filter(inside)
+          .select("person_id", F.col("measurement_datetime").alias("b_time"),
+                  F.col("value_as_number").alias("b_value")))
+    return a, b
+
+
+@register("paired_within")
+def q_paired_within(spark, sf_dir):
+    a, b = _pair_sides(spark, sf_dir)
+    return lmk.paired_within(a, b, tolerance_minutes=TEST_RULE.tolerance_minutes)
+
+
+@register("not_exposed")
+def q_not_exposed(spark, sf_dir):
+    m = B.measurement(spark, sf_dir).filter(F.col("measurement_concept_id") == "view") \
+         .select("measurement_id", "person_id", "measurement_datetime", "value_as_number")
+    return lmk.not_exposed(m, B.drug_exposure(spark, sf_dir, null_ends=True), ["purchase"],
+                           lead_in_hours=6, washout_hours=3)
+
+
+@register("eligibility_landmark")
+def q_eligibility_landmark(spark, sf_dir):
+    inp, c1 = _chain(spark, sf_dir, 1)
+    return lmk.eligibility_landmark(c1, inp.measurement, inp.drug_exposure, TEST_RULE)
+
+
+@register("terminal_landmark")
+def q_terminal_landmark(spark, sf_dir):
+    _, c2 = _chain(spark, sf_dir, 2)
+    return c2.select("person_id", "eligible_start_time", "first_weaning",
+                     "duration_eligible_to_weaning")
+
+
+@register("landmark_gap_summary")
+def q_landmark_gap_summary(spark, sf_dir):
+    _, c2 = _chain(spark, sf_dir, 2)
+    return lmk.landmark_gap_summary(c2)
+
+
+@register("nearest_at_landmark")
+def q_nearest_at_landmark(spark, sf_dir):
+    inp, c2 = _chain(spark, sf_dir, 2)
+    return feat.nearest_at_landmark(c2, inp.measurement, TEST_FEATURES[0], "first_weaning",
+                                    suffix="weaning", tiebreak="measurement_id",
+                                    cohort_filter=F.col("cohort_criteria") == 1)
+
+
+@register("unit_normalise")
+def q_unit_normalise(spark, sf_dir):
+    m = B.measurement(spark, sf_dir)
+    return feat.unit_normalise(m, TEST_FEATURES[0]).select(
+        "measurement_id", "person_id", "measurement_datetime", "value_as_number",
+        "unit_source_value", "normalised_value")
+
+
+@register("feature_set_two_landmarks")
+def q_feature_set_two_landmarks(spark, sf_dir):
+    inp, c2 = _chain(spark, sf_dir, 2)
+    return feat.extract_features(c2, inp.measurement, TEST_FEATURES, W.LANDMARKS,
+                                 tiebreak="measurement_id",
+                                 cohort_filter=F.col("cohort_criteria") == 1)
+
+
+@register("landmark_slope")
+def q_landmark_slope(spark, sf_dir):
+    inp, c2 = _chain(spark, sf_dir, 2)
+    f = W.feature_pass(c2, inp, TEST_PARAMS)
+    return f.select("person_id", *[f"{s.name}_slope" for s in TEST_FEATURES])
+
+
+@register("window_sum")
+def q_window_sum(spark, sf_dir):
+    inp, c2 = _chain(spark, sf_dir, 2)
+    return tot.window_sum(c2, inp.measurement, TEST_PARAMS.intake_codes,
+                          F.col("first_imv_start"), F.col("eligible_start_time"),
+                          out="fluid_intake_imv_to_eligible",
+                          cohort_filter=F.col("first_imv_end").isNotNull())
+
+
+def _fluids(spark, sf_dir):
+    inp, c2 = _chain(spark, sf_dir, 2)
+    return W.fluid_pass(c2, inp, TEST_PARAMS)
+
+
+@register("window_sum_zero_filled")
+def q_window_sum_zero_filled(spark, sf_dir):
+    return _fluids(spark, sf_dir).select("person_id", "fluid_intake_24h_prior",
+                                         "fluid_output_24h_prior")
+
+
+@register("code_set_audit")
+def q_code_set_audit(spark, sf_dir):
+    return tot.code_set_audit(B.measurement(spark, sf_dir),
+                              tot.code_set_frame(spark, TEST_CODE_SET))
+
+
+@register("fluid_balance")
+def q_fluid_balance(spark, sf_dir):
+    return _fluids(spark, sf_dir).select(
+        "person_id", "duration_imv_to_eligible",
+        *[f"fluid_{k}_{p}" for p in W.PERIODS for k in ("intake", "output", "balance")])
+
+
+@register("fluid_balance_slopes")
+def q_fluid_balance_slopes(spark, sf_dir):
+    return _fluids(spark, sf_dir).select(
+        "person_id", *[f"fluid_{k}_{p}_slope" for p in W.PERIODS[:2]
+                       for k in ("intake", "output", "balance")])
+
+
+@register("fluid_summary")
+def q_fluid_summary(spark, sf_dir):
+    wide = weaning_wide(spark, sf_dir)
+    return tot.summary(wide, {
+        "mean_balance_p1_ml": explore.exact_mean_col(F.col("fluid_balance_imv_to_eligible"), 0),
+        "mean_balance_p2_ml": explore.exact_mean_col(
+            F.col("fluid_balance_eligible_to_weaning"), 0),
+        "mean_balance_24h_ml": explore.exact_mean_col(F.col("fluid_balance_24h_prior"), 0),
+        "mean_balance_slope_mlph": explore.exact_mean_col(
+            F.col("fluid_balance_eligible_to_weaning_slope"), 3),
+        "n": F.count(F.lit(1)),
+    }, where=F.col("cohort_criteria") == 1)
+
+
+@register("slope_histogram")
+def q_slope_histogram(spark, sf_dir):
+    wide = weaning_wide(spark, sf_dir).filter(F.col("cohort_criteria") == 1)
+    return tot.histogram(wide, "fluid_balance_eligible_to_weaning_slope", -500, 500, 60)
+
+
+@register("cohort_flag")
+def q_cohort_flag(spark, sf_dir):
+    _, c2 = _chain(spark, sf_dir, 2)
+    return c2.select("person_id", "first_imv_duration", "cohort_criteria")
+
+
+@register("outcome_classify")
+def q_outcome_classify(spark, sf_dir):
+    _, c2 = _chain(spark, sf_dir, 2)
+    return c2.select("person_id", "weaning_to_second_imv", "weaning_success",
+                     "weaning_failure", "weaning_outcome", "weaning_outcome_detail")
+
+
+@register("outcome_distribution")
+def q_outcome_distribution(spark, sf_dir):
+    _, c2 = _chain(spark, sf_dir, 2)
+    return outc.outcome_distribution(c2)
+
+
+@register("weaning_cohort")
+def q_weaning_cohort(spark, sf_dir):
+    """The flagship: the whole wide table, one row per entity."""
+    return weaning_wide(spark, sf_dir)
