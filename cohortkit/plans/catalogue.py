@@ -82,8 +82,36 @@ OUTCOME_HORIZON_HOURS = 48
 SLOPE_MIN_HOURS = 4
 POPULATED_OK_PERCENT = 80
 VISIT_ID_OK_PERCENT = 90
+# The declared wide table of the schema-first pattern: name, type, default.
+WIDE_TABLE_COLUMNS = (
+    ("person_id", "bigint", None),
+    ("admission_start", "timestamp_ntz", None),
+    ("admission_end", "timestamp_ntz", None),
+    ("age_at_admission", "decimal(38,9)", None),
+    ("sex", "string", None),
+    ("landmark_a_time", "timestamp_ntz", None),
+    ("landmark_b_time", "timestamp_ntz", None),
+    ("feature_1_at_a", "decimal(38,9)", None),
+    ("feature_1_at_a_time", "timestamp_ntz", None),
+    ("feature_1_at_b", "decimal(38,9)", None),
+    ("feature_1_at_b_time", "timestamp_ntz", None),
+    ("feature_1_slope", "decimal(38,9)", None),
+    ("cumulative_value_period_1", "decimal(38,9)", 0),
+    ("cumulative_value_period_2", "decimal(38,9)", 0),
+    ("outcome_flag", "bigint", 0),
+    ("outcome_label", "string", None),
+    ("cohort_criteria", "bigint", None),
+    ("died_timestamp", "timestamp_ntz", None),
+    ("last_known_measurement", "timestamp_ntz", None),
+)
 # --- end of fixed values ----------------------------------------------------
 
+def wide_schema():
+    """The declared wide table as a ``WideSchema``."""
+    from .widetable import WideColumn, WideSchema
+    return WideSchema([WideColumn(n, t, d) for n, t, d in WIDE_TABLE_COLUMNS])
+
+
 ELIGIBILITY = EligibilityRule(
     first_code=FIO2_ID, first_ranges=((1, 50), (0, 0.5)), first_unit_not="%",
     second_code=PEEP_ID, second_max=10, tolerance_minutes=30, start_offset_hours=6,

@@ -490,3 +490,168 @@ def q_outcome_distribution(spark, sf_dir):
 def q_weaning_cohort(spark, sf_dir):
     """The flagship: the whole wide table, one row per entity."""
     return weaning_wide(spark, sf_dir)
+
+
+# ---------------------------------------------------------------------------
+# wide-table lifecycle (T1-T12, C42-C43, C47-C49) and quality
+# ---------------------------------------------------------------------------
+
+from ..operators import quality  # noqa: E402
+from . import catalogue  # noqa: E402
+from .widetable import assemble, update_where  # noqa: E402
+
+# Expected ranges of the checked columns of the test cohort.
+TEST_RANGES = {
+    "fio2_at_eligible": (21, 100),
+    "fio2_at_weaning": (21, 100),
+    "peep_at_weaning": (0, 60),
+    "haemoglobin_at_weaning": (0, 400),
+    "lactate_at_weaning": (0, 400),
+    "fluid_balance_imv_to_eligible": (-5000, 10000),
+    "fluid_balance_24h_prior": (-5000, 10000),
+    "eligible_start_fio2": (0, 50),
+    "first_imv_duration": (24, 720),
+}
+
+
+def _wide_base(spark, sf_dir):
+    """T5: base rows of the declared table (core columns, rest default)."""
+    base = lmk.base_cohort(B.visit_per_entity(spark, sf_dir))
+    return catalogue.wide_schema().base_rows(base)
+
+
+@register("wide_base_rows")
+def q_wide_base_rows(spark, sf_dir):
+    return _wide_base(spark, sf_dir)
+
+
+def _passes(spark, sf_dir):
+    inp, c2 = _chain(spark, sf_dir, 2)
+    m = inp.measurement
+
+    def chain_pass(_):
+        return c2.select("person_id",
+                         F.col("eligible_start_time").alias("landmark_a_time"),
+                         F.col("first_weaning").alias("landmark_b_time"),
+                         F.col("weaning_failure").alias("outcome_flag"),
+                         F.col("weaning_outcome").alias("outcome_label"),
+                         "cohort_criteria", F.col("died_ts").alias("died_timestamp"))
+
+    def demographics_pass(base):
+        return B.person(spark, sf_dir).join(base.select("person_id"), "person_id", "left_semi")
+
+    def feature_pass(_):
+        spec = FeatureSpec("feature_1", *[getattr(TEST_FEATURES[0], k) for k in
+                                          ("codes", "before_hours", "after_hours",
+                                           "value_range", "fraction_to_percent",
+                                           "unit_equals", "unit_not")])
+        return feat.extract_features(c2, m, [spec],
+                                     {"a": "eligible_start_time", "b": "first_weaning"},
+                                     tiebreak="measurement_id",
+                                     cohort_filter=F.col("cohort_criteria") == 1)
+
+    def cumulative_pass(name, lo, hi):
+        def run(_):
+            s = tot.window_sum(c2, m, TEST_PARAMS.intake_codes, lo, hi, out=name,
+                               cohort_filter=F.col("first_imv_end").isNotNull())
+            return s.filter(F.col(name).isNotNull())
+        return run
+
+    def last_known_pass(base):
+        return m.groupBy("person_id").agg(
+            F.max("measurement_datetime").alias("last_known_measurement"))
+
+    passes = [chain_pass, demographics_pass, feature_pass,
+              cumulative_pass("cumulative_value_period_1", F.col("first_imv_start"),
+                              F.col("eligible_start_time")),
+              cumulative_pass("cumulative_value_period_2", F.col("eligible_start_time"),
+                              F.col("first_weaning")),
+              last_known_pass]
+    derived = [lambda t: feat.landmark_slope(t, "feature_1", "a", "b", min_hours=4)]
+    return passes, derived
+
+
+@register("wide_assemble")
+def q_wide_assemble(spark, sf_dir):
+    passes, derived = _passes(spark, sf_dir)
+    table = assemble(_wide_base(spark, sf_dir), "person_id", passes, derived)
+    return catalogue.wide_schema().conform(table)
+
+
+@register("update_where")
+def q_update_where(spark, sf_dir):
+    t = q_wide_assemble(spark, sf_dir)
+    # Both SETs read the row as it was (outcome_flag reads the old label)
+    return update_where(t, {
+        "outcome_label": F.coalesce(F.col("outcome_label"), F.lit("unclassified")),
+        "outcome_flag": F.when(F.col("outcome_label") == "failure", 1).otherwise(0)
+                         .cast("long"),
+    }, F.col("cohort_criteria") == 1)
+
+
+def _eligibility_update(spark, sf_dir, times: int):
+    inp, c1 = _chain(spark, sf_dir, 1)
+    t = c1.select("person_id", "first_imv_start", "first_imv_end").withColumns({
+        "eligible_start_time": F.lit(None).cast("timestamp_ntz"),
+        "eligible_start_fio2": F.lit(None).cast("decimal(38,9)"),
+        "eligible_start_peep": F.lit(None).cast("decimal(38,9)")})
+    src = lmk.eligibility_landmark(c1, inp.measurement, inp.drug_exposure, TEST_RULE)
+    for _ in range(times):
+        t = update_from(t, src, "person_id")
+    return t
+
+
+@register("update_from")
+def q_update_from(spark, sf_dir):
+    return _eligibility_update(spark, sf_dir, 1)
+
+
+@register("update_idempotent")
+def q_update_idempotent(spark, sf_dir):
+    return _eligibility_update(spark, sf_dir, 2)
+
+
+@register("check_column")
+def q_check_column(spark, sf_dir):
+    return quality.check_column(weaning_wide(spark, sf_dir), "fio2_at_weaning", 21, 100)
+
+
+@register("check_ranges")
+def q_check_ranges(spark, sf_dir):
+    return quality.check_ranges(weaning_wide(spark, sf_dir), TEST_RANGES)
+
+
+@register("table_status")
+def q_table_status(spark, sf_dir):
+    return quality.table_status(weaning_wide(spark, sf_dir))
+
+
+FEATURE_MATRIX_COLS = (
+    [f"{s.name}_at_{l}" for s in TEST_FEATURES for l in ("eligible", "weaning")]
+    + [f"{s.name}_slope" for s in TEST_FEATURES]
+    + [f"fluid_balance_{p}" for p in W.PERIODS]
+    + ["fluid_balance_eligible_to_weaning_slope", "eligible_start_fio2", "eligible_start_peep",
+       "duration_eligible_to_weaning"])
+
+
+@register("feature_matrix")
+def q_feature_matrix(spark, sf_dir):
+    """One feature vector per cohort entity with its label."""
+    wide = weaning_wide(spark, sf_dir).filter(F.col("cohort_criteria") == 1)
+    return wide.select("person_id", F.col("weaning_failure").alias("label"),
+                       *FEATURE_MATRIX_COLS)
+
+
+@register("demographics")
+def q_demographics(spark, sf_dir):
+    base = _wide_base(spark, sf_dir)
+    return update_from(base, B.person(spark, sf_dir), "person_id") \
+        .select("person_id", "age_at_admission", "sex")
+
+
+@register("last_known_measurement")
+def q_last_known_measurement(spark, sf_dir):
+    base = _wide_base(spark, sf_dir)
+    last = B.measurement(spark, sf_dir).groupBy("person_id").agg(
+        F.max("measurement_datetime").alias("last_known_measurement"))
+    return update_from(base, last, "person_id").select("person_id", "last_known_measurement")
