@@ -98,3 +98,35 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     return interval_join(left, right, on, left_time,
                          shift(right_time, -before_hours), shift(right_time, after_hours),
                          how=how, bucket_hours=width)
+
+
+def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,
+                       windows: Sequence[tuple[Column, Column | None]],
+                       bucket_hours: float = 24.0) -> DataFrame:
+    """Join fact rows to the cohort row of their entity, keyed by
+    ``(entity, time bucket)``, keeping facts whose bucket meets any window.
+
+    Each cohort row (one per entity) is exploded over the *distinct* buckets
+    covered by its windows ``[lo, hi]`` (expressions over cohort columns),
+    so a fact meets its cohort row at most once and a hot entity's facts are
+    spread over as many join keys as it has buckets. A window with
+    ``hi=None`` is open-ended; it is closed at the entity's last fact (one
+    partially aggregated ``max`` per entity). Rows in a window's edge
+    buckets may lie just outside it: callers apply the exact range test.
+    """
+    coh = cohort
+    if any(hi is None for _, hi in windows):
+        last = facts.groupBy(entity).agg(F.max(time).alias("_emax"))
+        coh = coh.join(last, entity, "left")
+    empty = F.array().cast("array<bigint>")
+    seqs = []
+    for lo, hi in windows:
+        hi = F.col("_emax") if hi is None else hi
+        b_lo, b_hi = time_bucket(lo, bucket_hours), time_bucket(hi, bucket_hours)
+        seqs.append(F.coalesce(F.when(b_hi >= b_lo, F.sequence(b_lo, b_hi)), empty))
+    buckets = F.array_distinct(F.flatten(F.array(*seqs)))
+    coh = coh.withColumn(BUCKET, F.explode(buckets))
+    if "_emax" in coh.columns:
+        coh = coh.drop("_emax")
+    f = facts.withColumn(BUCKET, time_bucket(time, bucket_hours))
+    return f.join(coh, [entity, BUCKET], "inner").drop(BUCKET)

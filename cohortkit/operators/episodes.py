@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecalc import whole_hours
-from .bands import interval_join
+from .bands import cohort_window_join, interval_join
 from .ordered import running_sum, with_neighbors
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
@@ -111,13 +111,14 @@ def first_event_after(cohort: DataFrame, fact: DataFrame, codes: Sequence, ancho
                       out: str = "first_ts") -> DataFrame:
     """Per entity the first event of ``codes`` at or after ``anchor``.
 
-    The cohort has one row per entity; the join is an equi join on the
-    entity (AQE splits a hot entity's partition), the minimum is a partial
-    aggregate.
+    The cohort has one row per entity; facts meet it on (entity, time
+    bucket) from the anchor's bucket to the entity's last event, and the
+    minimum is a partial aggregate.
     """
     ev = _codes(fact, code, codes).select(entity, time)
     anchors = cohort.select(entity, anchor).filter(F.col(anchor).isNotNull())
-    j = ev.join(anchors, entity).filter(F.col(time) >= F.col(anchor))
+    j = cohort_window_join(ev, anchors, entity, time, [(F.col(anchor), None)]) \
+        .filter(F.col(time) >= F.col(anchor))
     return j.groupBy(entity).agg(F.min(time).alias(out))
 
 
@@ -137,7 +138,8 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
     order = [tiebreak] if tiebreak else []
     ev = _codes(fact, code, codes).select(entity, time, *order)
     starts = cohort.select(entity, start).filter(F.col(start).isNotNull())
-    ev = ev.join(starts, entity).filter(F.col(time) >= F.col(start)).drop(start)
+    ev = cohort_window_join(ev, starts, entity, time, [(F.col(start), None)],
+                            slice_hours).filter(F.col(time) >= F.col(start)).drop(start)
     ev = with_neighbors(ev, entity, time, tiebreak, [time], prev=False, next=True,
                         slice_hours=slice_hours)
     nxt = F.col(f"next_{time}")

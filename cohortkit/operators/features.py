@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import NUMERIC, fixed, numeric
 from ..functions.timecalc import seconds_between, shift, whole_hours, whole_minutes
+from .bands import cohort_window_join
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 U = "unit_source_value"
@@ -97,7 +98,8 @@ def nearest_at_landmark(cohort: DataFrame, fact: DataFrame, spec: FeatureSpec,
                         landmark: str, *, suffix: str | None = None, entity: str = E,
                         time: str = T, code: str = C, value: str = V, unit: str = U,
                         tiebreak: str | None = None,
-                        cohort_filter: Column | None = None) -> DataFrame:
+                        cohort_filter: Column | None = None,
+                        bucket_hours: float = 24.0) -> DataFrame:
     """C20: per cohort entity the feature's row nearest to ``landmark``.
 
     Returns ``entity, <f>_at_<s>, <f>_at_<s>_time, <f>_at_<s>_minutes``
@@ -111,11 +113,12 @@ def nearest_at_landmark(cohort: DataFrame, fact: DataFrame, spec: FeatureSpec,
     coh = coh.select(*cols).filter(F.col(landmark).isNotNull())
     keep = [entity, time, value] + ([unit] if unit in fact.columns else []) \
         + ([tiebreak] if tiebreak else [])
-    rows = (fact.filter(F.col(code).isin(list(spec.codes)))
-                .select(*dict.fromkeys(keep))
-                .filter(rule_filter(spec, value, unit))
-                .join(coh, entity)
-                .filter(_window(spec, landmark, time)))
+    facts = (fact.filter(F.col(code).isin(list(spec.codes)))
+                 .select(*dict.fromkeys(keep))
+                 .filter(rule_filter(spec, value, unit)))
+    win = (shift(landmark, -spec.before_hours), shift(landmark, spec.after_hours))
+    rows = (cohort_window_join(facts, coh, entity, time, [win], bucket_hours)
+            .filter(_window(spec, landmark, time)))
     best = F.min(_nearest_struct(spec, landmark, time, value, tiebreak)).alias("_b")
     lm = F.max(landmark).alias("_lm")
     out = rows.groupBy(entity).agg(best, lm)
@@ -129,13 +132,19 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
                      landmarks: dict[str, str], *, entity: str = E, time: str = T,
                      code: str = C, value: str = V, unit: str = U,
                      tiebreak: str | None = None,
-                     cohort_filter: Column | None = None) -> DataFrame:
+                     cohort_filter: Column | None = None,
+                     bucket_hours: float = 24.0) -> DataFrame:
     """Every feature at every landmark in one scan and one aggregate.
 
     ``landmarks`` maps suffix -> landmark column. For each (feature,
     landmark) the aggregate is ``min(CASE WHEN rule AND window THEN
     struct(distance..., value) END)``. The result has one row per cohort
     entity with at least one qualifying row, and two columns per pair.
+
+    Facts meet the cohort through ``cohort_window_join`` (entity + time
+    bucket), so only facts near a landmark are joined and a hot entity is
+    spread over its buckets; the struct minimum is partially aggregated
+    before the shuffle by entity.
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
     lm_cols = list(dict.fromkeys(landmarks.values()))
@@ -143,7 +152,13 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
     codes = sorted({c for s in specs for c in s.codes}, key=str)
     keep = [entity, time, code, value] + ([unit] if unit in fact.columns else []) \
         + ([tiebreak] if tiebreak else [])
-    rows = fact.filter(F.col(code).isin(codes)).select(*dict.fromkeys(keep)).join(coh, entity)
+    facts = fact.filter(F.col(code).isin(codes)).select(*dict.fromkeys(keep))
+    wins = []
+    for lm in dict.fromkeys(landmarks.values()):
+        before = max(s.before_hours for s in specs)
+        after = max(s.after_hours for s in specs)
+        wins.append((shift(lm, -before), shift(lm, after)))
+    rows = cohort_window_join(facts, coh, entity, time, wins, bucket_hours)
 
     aggs, hit_any = [], []
     for spec in specs:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import fixed
 from ..functions.text import like_any
 from ..functions.timecalc import shift, whole_hours
-from .bands import band_join, interval_join, intervals_with_points
+from .bands import band_join, cohort_window_join, interval_join, intervals_with_points
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 U = "unit_source_value"
@@ -117,18 +117,21 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
     a = fact.filter((F.col(code) == F.lit(rule.first_code)) & rng)
     if rule.first_unit_not is not None:
         a = a.filter(F.col(unit) != F.lit(rule.first_unit_not))
-    a = (a.select(entity, F.col(time).alias("a_time"), F.col(value).alias("a_value"))
-          .join(bounds, entity)
+    episode = [(F.col(episode_start), F.col(episode_end))]
+    a = (cohort_window_join(a.select(entity, F.col(time).alias("a_time"),
+                                     F.col(value).alias("a_value")),
+                            bounds, entity, "a_time", episode)
           .filter(F.col("a_time").between(F.col(episode_start), F.col(episode_end))
                   & (F.col("a_time") >= shift(admission_start, rule.start_offset_hours)))
           .select(entity, "a_time", "a_value"))
     a = not_exposed(a, exposure, list(rule.exposure_codes), lead_in_hours=rule.lead_in_hours,
                     washout_hours=rule.washout_hours, entity=entity, time="a_time")
 
-    b = (fact.filter((F.col(code) == F.lit(rule.second_code))
-                     & (F.col(value) <= rule.second_max))
-             .select(entity, time, value).join(bounds.select(entity, episode_start, episode_end),
-                                               entity)
+    b = (cohort_window_join(fact.filter((F.col(code) == F.lit(rule.second_code))
+                                        & (F.col(value) <= rule.second_max))
+                                .select(entity, time, value),
+                            bounds.select(entity, episode_start, episode_end), entity, time,
+                            episode)
              .filter(inside)
              .select(entity, F.col(time).alias("b_time"), F.col(value).alias("b_value")))
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import NUMERIC, fixed, numeric, percent, safe_ratio
 from ..functions.timecalc import whole_hours
+from .bands import cohort_window_join
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 
@@ -36,19 +37,23 @@ class WindowSpec:
 
 def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec], *,
                 entity: str = E, time: str = T, code: str = C, value: str = V,
-                digits: int = 2, cohort_filter: Column | None = None) -> DataFrame:
+                digits: int = 2, cohort_filter: Column | None = None,
+                bucket_hours: float = 24.0) -> DataFrame:
     """C32 fused: one row per cohort entity with any qualifying event; one
     column per spec, NULL when no event of that spec qualified.
 
     ``lo``/``hi`` are expressions over cohort columns. The cohort has one row
-    per entity, so the join does not multiply events.
+    per entity; facts meet it through ``cohort_window_join`` (entity + time
+    bucket over the union of the periods), so each fact is joined at most
+    once and only when near a period.
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
     bounds = coh.select(entity, *[s.lo.alias(f"_lo_{i}") for i, s in enumerate(specs)],
                         *[s.hi.alias(f"_hi_{i}") for i, s in enumerate(specs)])
     codes = sorted({c for s in specs for c in s.codes}, key=str)
-    rows = (fact.filter(F.col(code).isin(codes)).select(entity, time, code, value)
-                .join(bounds, entity))
+    facts = fact.filter(F.col(code).isin(codes)).select(entity, time, code, value)
+    wins = [(F.col(f"_lo_{i}"), F.col(f"_hi_{i}")) for i in range(len(specs))]
+    rows = cohort_window_join(facts, bounds, entity, time, wins, bucket_hours)
     conds = [F.col(code).isin(list(s.codes))
              & F.col(time).between(F.col(f"_lo_{i}"), F.col(f"_hi_{i}"))
              for i, s in enumerate(specs)]
