@@ -252,13 +252,18 @@ def weaning_wide(spark, sf_dir):
                                .join(fluids, "person_id", "left")
 
 
+# lineitem dates are whole days a few per supplier per month: 30-day slices
+# keep the slice-edge summary small relative to the rows.
+LINEITEM_SLICE_HOURS = 24 * 30
+
+
 @register("cumulative_to_incremental")
 def q_cumulative_to_incremental(spark, sf_dir):
     li = tables.read_table(spark, sf_dir, "lineitem")
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     return episodes.cumulative_to_incremental(
         li.select("l_suppkey", *order, "l_quantity"), entity="l_suppkey", order=order,
-        value="l_quantity")
+        value="l_quantity", slice_hours=LINEITEM_SLICE_HOURS)
 
 
 @register("cumulative_total_check")

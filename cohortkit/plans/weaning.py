@@ -11,9 +11,10 @@ Dependency order (module 3's order, not module 2's cell order):
 Every step is a DataFrame pass folded in by key. The facts are scanned
 once for the episode, once for eligibility (plus the exposures), once for
 all features and once for all windowed totals: 4 scans where the reference
-runs 2 + 1 + 28 + 6 UPDATE queries. The base chain is cut with two
-reliable checkpoints (every later pass reads it twice: as the table and as
-the source of its landmarks), so plans do not grow with the chain.
+runs 2 + 1 + 28 + 6 UPDATE queries. The base chain is cut twice by writing
+it as a Parquet table in the checkpoint folder (every later pass reads it
+twice: as the table and as the source of its landmarks), so plans do not
+grow with the chain and nothing is computed twice.
 """
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ class WeaningInputs:
     extra: dict = field(default_factory=dict)
 
 
-def _cut(df: DataFrame, inputs: WeaningInputs) -> DataFrame:
-    return materialize(df) if inputs.cut else df
+def _cut(df: DataFrame, inputs: WeaningInputs, name: str) -> DataFrame:
+    return materialize(df, name) if inputs.cut else df
 
 
 def episode_chain(inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
@@ -90,7 +91,7 @@ def episode_chain(inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
     if inputs.death is not None:
         d = inputs.death.select(E, F.col("death_datetime").alias("died_ts"))
         table = update_from(table, d, E)
-    return _cut(table, inputs)
+    return _cut(table, inputs, "episode")
 
 
 def landmark_chain(chain1: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
@@ -104,7 +105,7 @@ def landmark_chain(chain1: DataFrame, inputs: WeaningInputs, p: WeaningParams) -
     table = landmarks.terminal_landmark(table, death_guard_hours=p.death_guard_hours)
     table = outcomes.cohort_flag(table, min_hours=p.min_duration_hours)
     table = outcomes.outcome_classify(table, horizon_hours=p.horizon_hours)
-    return _cut(table, inputs)
+    return _cut(table, inputs, "landmarks")
 
 
 def feature_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,12 +58,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage: write ``df`` once as a Parquet table in the shared
+    checkpoint folder and continue from that table.
+
+    Unlike ``DataFrame.checkpoint(eager=True)``, which computes the plan once
+    to count it and again to write the un-persisted RDD, this computes it
+    once. The table lives in ``spark.checkpoint.dir`` (shared storage on a
+    cluster), so a lost executor only loses work that Spark redoes from the
+    written files; it is never a machine-local folder.
+    """
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/cohortkit-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
