@@ -660,3 +660,73 @@ def q_last_known_measurement(spark, sf_dir):
     last = B.measurement(spark, sf_dir).groupBy("person_id").agg(
         F.max("measurement_datetime").alias("last_known_measurement"))
     return update_from(base, last, "person_id").select("person_id", "last_known_measurement")
+
+
+# ---------------------------------------------------------------------------
+# the reference's sanity checks after each step
+# ---------------------------------------------------------------------------
+
+def _pct(num, den, digits=1):
+    from ..functions.numeric import percent
+    return percent(num, den, digits)
+
+
+@register("condition_flag_summary")
+def q_condition_flag_summary(spark, sf_dir):
+    t = q_condition_flag(spark, sf_dir)
+    flagged = F.count_if(F.col("admission_has_neuro") == 1)
+    return tot.summary(t, {
+        "neuro_excluded": flagged,
+        "non_neuro": F.count_if(F.col("admission_has_neuro") == 0),
+        "pct_excluded": _pct(flagged, F.count(F.lit(1))),
+    })
+
+
+@register("base_cohort_check")
+def q_base_cohort_check(spark, sf_dir):
+    return tot.summary(q_base_cohort(spark, sf_dir), {
+        "n": F.count(F.lit(1)), "unique_pts": F.count_distinct("person_id")})
+
+
+@register("eligibility_summary")
+def q_eligibility_summary(spark, sf_dir):
+    _, c2 = _chain(spark, sf_dir, 2)
+    gap = F.timestamp_diff("HOUR", F.col("eligible_start_time"), F.col("first_imv_end"))
+    return tot.summary(c2, {
+        "has_eligibility": F.count_if(F.col("eligible_start_time").isNotNull()),
+        "imv_but_no_eligibility": F.count_if(F.col("eligible_start_time").isNull()
+                                             & F.col("first_imv_end").isNotNull()),
+        "mean_gap_hours": explore.exact_mean_col(gap, 1),
+    })
+
+
+@register("feature_summary")
+def q_feature_summary(spark, sf_dir):
+    wide = weaning_wide(spark, sf_dir)
+    return tot.summary(wide, {
+        "has_fio2": F.count("fio2_at_weaning"),
+        "mean_fio2": explore.exact_mean_col(F.col("fio2_at_weaning"), 1),
+        "min_fio2": F.min("fio2_at_weaning"), "max_fio2": F.max("fio2_at_weaning"),
+    }, where=F.col("cohort_criteria") == 1)
+
+
+@register("slope_summary")
+def q_slope_summary(spark, sf_dir):
+    wide = weaning_wide(spark, sf_dir)
+    return tot.summary(wide, {
+        "mean_fio2_slope": explore.exact_mean_col(F.col("fio2_slope"), 4),
+        "mean_peep_slope": explore.exact_mean_col(F.col("peep_slope"), 4),
+        "fio2_slope_missing": F.count_if(F.col("fio2_slope").isNull()),
+        "total": F.count(F.lit(1)),
+    }, where=F.col("cohort_criteria") == 1)
+
+
+@register("intake_summary")
+def q_intake_summary(spark, sf_dir):
+    wide = weaning_wide(spark, sf_dir)
+    x = F.col("fluid_intake_imv_to_eligible")
+    return tot.summary(wide, {
+        "mean_intake_ml": explore.exact_mean_col(x, 0),
+        "min_intake_ml": F.min(x), "max_intake_ml": F.max(x),
+        "impossible_negative_intake": F.count_if(x < 0),
+    }, where=F.col("cohort_criteria") == 1)
