@@ -730,3 +730,21 @@ def q_intake_summary(spark, sf_dir):
         "min_intake_ml": F.min(x), "max_intake_ml": F.max(x),
         "impossible_negative_intake": F.count_if(x < 0),
     }, where=F.col("cohort_criteria") == 1)
+
+
+@register("episode_summary")
+def q_episode_summary(spark, sf_dir):
+    """C15 follow-up: distribution of episode hours and distinct entities.
+    Quartiles come from ``percentile_approx`` (a bounded sketch per task, so
+    the input may be any size); at these sizes it returns the exact lower
+    quantile."""
+    ep = q_gap_episodes(spark, sf_dir)
+    h = F.col("episode_hours")
+    q = F.percentile_approx(h, [0.25, 0.5, 0.75], 10000)
+    return tot.summary(ep, {
+        "count": F.count(h), "mean": F.avg(h.cast("double")),
+        "std": F.stddev_samp(h.cast("double")), "min": F.min(h), "_q": q, "max": F.max(h),
+        "unique_patients": F.count_distinct("person_id"),
+    }).select("count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
+              F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max",
+              "unique_patients")
