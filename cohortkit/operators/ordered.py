@@ -41,8 +41,19 @@ def _order(time: str, tiebreak: str | Sequence[str] | None) -> list[str]:
     return [time] + ([tiebreak] if isinstance(tiebreak, str) else list(tiebreak))
 
 
-def add_slice(df: DataFrame, time: str, slice_hours: float) -> DataFrame:
-    return df.withColumn(SLICE, time_bucket(time, slice_hours))
+def add_slice(df: DataFrame, time: str, slice_hours: float,
+              keys: Sequence[str] = ()) -> DataFrame:
+    """Add the slice column. Rows without an entity or a time cannot be
+    placed in an entity's sequence and are excluded; filtering them here,
+    before the first shuffle, also lets the row side and the summary side
+    share one scan and one exchange (identical plans are reused)."""
+    cond = F.col(time).isNotNull()
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    # time is non-NULL here, so the bucket is too; the coalesce only tells
+    # Catalyst so, which keeps it from inferring a different filter per branch
+    return df.filter(cond).withColumn(SLICE, F.coalesce(time_bucket(time, slice_hours),
+                                                        F.lit(0).cast("long")))
 
 
 def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
@@ -64,7 +75,7 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
-    d = df if SLICE in df.columns else add_slice(df, time, slice_hours)
+    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys)
 
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
     rows = d.select(
@@ -119,7 +130,7 @@ def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
-    d = df if SLICE in df.columns else add_slice(df, time, slice_hours)
+    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys)
 
     w = Window.partitionBy(*keys, SLICE).orderBy(*order)
     rows = d.select("*",
