@@ -102,7 +102,8 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
 
 def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,
                        windows: Sequence[tuple[Column, Column | None]],
-                       bucket_hours: float = 24.0) -> DataFrame:
+                       bucket_hours: float = 24.0, keep_bucket_as: str | None = None
+                       ) -> DataFrame:
     """Join fact rows to the cohort row of their entity, keyed by
     ``(entity, time bucket)``, keeping facts whose bucket meets any window.
 
@@ -113,6 +114,10 @@ def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: s
     ``hi=None`` is open-ended; it is closed at the entity's last fact (one
     partially aggregated ``max`` per entity). Rows in a window's edge
     buckets may lie just outside it: callers apply the exact range test.
+
+    ``keep_bucket_as`` keeps the bucket column under that name, so that a
+    following window partitioned by (entity, bucket) reuses the join's
+    partitioning instead of shuffling the facts again.
     """
     coh = cohort
     if any(hi is None for _, hi in windows):
@@ -129,4 +134,7 @@ def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: s
     if "_emax" in coh.columns:
         coh = coh.drop("_emax")
     f = facts.withColumn(BUCKET, time_bucket(time, bucket_hours))
-    return f.join(coh, [entity, BUCKET], "inner").drop(BUCKET)
+    out = f.join(coh, [entity, BUCKET], "inner")
+    if keep_bucket_as:
+        return out.withColumnRenamed(BUCKET, keep_bucket_as)
+    return out.drop(BUCKET)

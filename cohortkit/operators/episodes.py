@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecalc import whole_hours
 from .bands import cohort_window_join, interval_join
-from .ordered import running_sum, with_neighbors
+from .ordered import SLICE, running_sum, with_neighbors
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 
@@ -138,8 +138,9 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
     order = [tiebreak] if tiebreak else []
     ev = _codes(fact, code, codes).select(entity, time, *order)
     starts = cohort.select(entity, start).filter(F.col(start).isNotNull())
-    ev = cohort_window_join(ev, starts, entity, time, [(F.col(start), None)],
-                            slice_hours).filter(F.col(time) >= F.col(start)).drop(start)
+    # the join's (entity, bucket) partitioning is the window's (entity, slice)
+    ev = cohort_window_join(ev, starts, entity, time, [(F.col(start), None)], slice_hours,
+                            keep_bucket_as=SLICE).filter(F.col(time) >= F.col(start)).drop(start)
     ev = with_neighbors(ev, entity, time, tiebreak, [time], prev=False, next=True,
                         slice_hours=slice_hours)
     nxt = F.col(f"next_{time}")
