@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import NUMERIC, fixed, numeric, percent, safe_ratio
-from ..functions.timecalc import whole_hours
 from .bands import cohort_window_join
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
@@ -147,10 +146,6 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
                   .orderBy("bin"))
 
 
-def whole_hours_between(a: str, b: str) -> Column:
-    return whole_hours(a, b)
-
-
 def share_of_total(df: DataFrame, count_col: str = "n", digits: int = 1) -> DataFrame:
     """``ROUND(n * 100.0 / SUM(n) OVER (), digits)`` on a small aggregate."""
     total = F.sum(count_col).over(Window.partitionBy())

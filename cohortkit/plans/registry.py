@@ -179,7 +179,6 @@ def q_yearly_duplicates(spark, sf_dir):
 # (C10-C11, C13, C19-C41) on the events binding
 # ---------------------------------------------------------------------------
 
-from ..functions.timecalc import shift  # noqa: E402
 from ..operators import features as feat  # noqa: E402
 from ..operators import landmarks as lmk  # noqa: E402
 from ..operators import outcomes as outc  # noqa: E402

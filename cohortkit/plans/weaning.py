@@ -19,12 +19,12 @@ grow with the chain and nothing is computed twice.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import NUMERIC, fixed
+from ..functions.numeric import NUMERIC
 from ..functions.timecalc import shift, whole_hours
 from ..operators import episodes, features, landmarks, outcomes, totals
 from ..operators.features import FeatureSpec
@@ -62,8 +62,7 @@ class WeaningInputs:
     drug_exposure: DataFrame      # person_id, drug_concept_id, start, end
     condition: DataFrame | None = None   # person_id, condition_start_datetime, text
     death: DataFrame | None = None       # person_id, death_datetime
-    cut: bool = True              # checkpoint the base chain
-    extra: dict = field(default_factory=dict)
+    cut: bool = True              # write the base chain as a table (lineage cut)
 
 
 def _cut(df: DataFrame, inputs: WeaningInputs, name: str) -> DataFrame:
@@ -173,6 +172,3 @@ def chain_fixed(chain: DataFrame) -> DataFrame:
         "weaning_to_second_imv", "weaning_success", "weaning_failure", "weaning_outcome",
         "weaning_outcome_detail")
 
-
-def rounded(col: str, digits: int) -> F.Column:
-    return fixed(F.col(col), digits)
