@@ -66,13 +66,19 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
                 time: str = T, code: str = "drug_concept_id",
                 start: str = "drug_exposure_start_datetime",
                 end: str = "drug_exposure_end_datetime",
-                bucket_hours: float = 12.0) -> DataFrame:
+                bucket_hours: float = 12.0, open_ended: bool = False) -> DataFrame:
     """Keep events with no exposure of ``codes`` active in
-    ``[start - lead_in, end + washout]``. An exposure with a NULL bound
-    never excludes (R22)."""
+    ``[start - lead_in, end + washout]``. An exposure with a NULL end never
+    excludes, as in the reference (R22); with ``open_ended`` it is active
+    from its start on (bounded by the entity's last event, which is exact
+    since no event lies beyond it)."""
     ex = exposure.filter(F.col(code).isin(list(codes))).select(entity, start, end)
-    return interval_join(events, ex, entity, time,
-                         shift(start, -lead_in_hours), shift(end, washout_hours),
+    hi = shift(end, washout_hours)
+    if open_ended:
+        last = events.groupBy(entity).agg(F.max(time).alias("_last_event"))
+        ex = ex.join(last, entity, "inner")
+        hi = F.coalesce(hi, F.col("_last_event"))
+    return interval_join(events, ex, entity, time, shift(start, -lead_in_hours), hi,
                          how="left_anti", bucket_hours=bucket_hours)
 
 
@@ -90,6 +96,11 @@ class EligibilityRule:
     lead_in_hours: float = 6
     washout_hours: float = 3
     median_digits: int = 2
+    # Map fractions in [0.1, 1] to percent before the range test
+    normalise_first: bool = False
+    # R11: 'median' over all qualifying pairs (reference) or 'start': the
+    # values of the earliest pair (nearest partner, then earliest)
+    value_at: str = "median"
 
 
 def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame,
@@ -110,11 +121,14 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
                     .select(entity, admission_start, episode_start, episode_end))
     inside = F.col(time).between(F.col(episode_start), F.col(episode_end))
 
+    v = F.col(value)
+    if rule.normalise_first:
+        v = F.when(v.between(0.1, 1), v * 100).otherwise(v)
     rng = None
     for lo, hi in rule.first_ranges:
-        r = F.col(value).between(lo, hi)
+        r = v.between(lo, hi)
         rng = r if rng is None else rng | r
-    a = fact.filter((F.col(code) == F.lit(rule.first_code)) & rng)
+    a = fact.filter((F.col(code) == F.lit(rule.first_code)) & rng).withColumn(value, v)
     if rule.first_unit_not is not None:
         a = a.filter(F.col(unit) != F.lit(rule.first_unit_not))
     episode = [(F.col(episode_start), F.col(episode_end))]
@@ -136,6 +150,13 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
              .select(entity, F.col(time).alias("b_time"), F.col(value).alias("b_value")))
 
     pairs = paired_within(a, b, entity=entity, tolerance_minutes=rule.tolerance_minutes)
+    if rule.value_at == "start":
+        gap = F.abs(F.timestamp_diff("SECOND", F.col("a_time"), F.col("b_time")))
+        first = F.min(F.struct("a_time", gap.alias("gap"), "b_time", "a_value", "b_value"))
+        return pairs.groupBy(entity).agg(first.alias("_p")).select(
+            entity, F.col("_p.a_time").alias("eligible_start_time"),
+            fixed(F.col("_p.a_value"), rule.median_digits).alias("eligible_start_fio2"),
+            fixed(F.col("_p.b_value"), rule.median_digits).alias("eligible_start_peep"))
     med = lambda c: fixed(F.percentile_approx(F.col(c), 0.5, 10000), rule.median_digits)  # noqa
     return pairs.groupBy(entity).agg(
         F.min("a_time").alias("eligible_start_time"),

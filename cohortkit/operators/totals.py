@@ -27,11 +27,22 @@ E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "val
 
 @dataclass(frozen=True)
 class WindowSpec:
-    """A named sum: values of ``codes`` with ``lo <= time <= hi``."""
+    """A named sum: values of ``codes`` with ``lo <= time <= hi``.
+
+    ``closed='left'`` makes it ``lo <= time < hi`` so that adjacent periods
+    sharing a boundary do not both count an event on it (R14); the default
+    keeps the reference's closed ``BETWEEN``.
+    """
     name: str
     codes: tuple
     lo: Column
     hi: Column
+    closed: str = "both"
+
+    def contains(self, time: Column, lo: Column, hi: Column) -> Column:
+        if self.closed == "left":
+            return (time >= lo) & (time < hi)
+        return time.between(lo, hi)
 
 
 def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec], *,
@@ -54,7 +65,7 @@ def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec],
     wins = [(F.col(f"_lo_{i}"), F.col(f"_hi_{i}")) for i in range(len(specs))]
     rows = cohort_window_join(facts, bounds, entity, time, wins, bucket_hours)
     conds = [F.col(code).isin(list(s.codes))
-             & F.col(time).between(F.col(f"_lo_{i}"), F.col(f"_hi_{i}"))
+             & s.contains(F.col(time), F.col(f"_lo_{i}"), F.col(f"_hi_{i}"))
              for i, s in enumerate(specs)]
     rows = rows.filter(reduce(lambda a, b: a | b, conds))
     aggs = [fixed(F.sum(F.when(c, numeric(value))), digits).alias(s.name)

@@ -74,7 +74,7 @@ FEATURES = (
     FeatureSpec("haematocrit", (3034976, 3009542), 12, 12, value_range=(0.1, 1)),
     FeatureSpec("lactate", (3047181, 3018405), 12, 12),
 )
-# Thresholds of the pipeline.
+# Thresholds of the cohort analysis.
 SEGMENT_GAP_HOURS = 6
 DEATH_GUARD_HOURS = 12
 MIN_DURATION_HOURS = 24

@@ -155,7 +155,7 @@ def snapshot(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame
     """Write the table as a new Parquet snapshot and read it back.
 
     A snapshot is never overwritten while it is read: each stage of a
-    pipeline writes its own path.
+    chain of passes writes its own path.
     """
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)

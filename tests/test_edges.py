@@ -143,3 +143,51 @@ def test_condition_patterns_are_case_sensitive_and_dot_literal(spark):
                                  "condition_source_value string")
     flagged = landmarks.condition_flag(coh, cond, ["%S.A.B.%"]).collect()
     assert [r.person_id for r in flagged] == [1]
+
+
+def test_left_closed_periods_do_not_double_count(spark):
+    ev = events(spark, [(1, T0 + h(2), "a", 5.0, "u", 1)])
+    coh = spark.createDataFrame([(1, T0, T0 + h(2), T0 + h(4))],
+                                "person_id long, s timestamp_ntz, m timestamp_ntz, "
+                                "e timestamp_ntz")
+    both = [totals.WindowSpec("p1", ("a",), F.col("s"), F.col("m")),
+            totals.WindowSpec("p2", ("a",), F.col("m"), F.col("e"))]
+    left = [totals.WindowSpec("p1", ("a",), F.col("s"), F.col("m"), closed="left"),
+            totals.WindowSpec("p2", ("a",), F.col("m"), F.col("e"), closed="left")]
+    r = totals.window_sums(coh, ev, both).collect()[0]
+    assert r.p1 == r.p2 == Decimal("5.000000000")          # reference: counted twice
+    r = totals.window_sums(coh, ev, left).collect()[0]
+    assert r.p1 is None and r.p2 == Decimal("5.000000000")
+
+
+def test_open_ended_exposure_option(spark):
+    ev = events(spark, [(1, T0 + h(30), "a", 1.0, "u", 1)])
+    ex = spark.createDataFrame(
+        [(1, "d", T0, None)],
+        "person_id long, drug_concept_id string, drug_exposure_start_datetime timestamp_ntz, "
+        "drug_exposure_end_datetime timestamp_ntz")
+    assert landmarks.not_exposed(ev, ex, ["d"]).count() == 1
+    assert landmarks.not_exposed(ev, ex, ["d"], open_ended=True).count() == 0
+
+
+def test_eligibility_value_options(spark):
+    rows = [(1, T0 + h(7), "f", 0.4, "u", 1), (1, T0 + h(7), "p", 5.0, "u", 2),
+            (1, T0 + h(9), "f", 30.0, "u", 3), (1, T0 + h(9), "p", 9.0, "u", 4)]
+    fact = events(spark, rows)
+    coh = spark.createDataFrame([(1, T0, T0, T0 + h(20))],
+                                "person_id long, admission_start timestamp_ntz, "
+                                "first_imv_start timestamp_ntz, first_imv_end timestamp_ntz")
+    ex = spark.createDataFrame([], "person_id long, drug_concept_id string, "
+                                   "drug_exposure_start_datetime timestamp_ntz, "
+                                   "drug_exposure_end_datetime timestamp_ntz")
+    base = dict(first_code="f", second_code="p", second_max=10, tolerance_minutes=30,
+                exposure_codes=("d",))
+    start = landmarks.eligibility_landmark(
+        coh, fact, ex, landmarks.EligibilityRule(**base, value_at="start")).collect()[0]
+    assert start.eligible_start_time == T0 + h(7)
+    assert (start.eligible_start_fio2, start.eligible_start_peep) == \
+           (Decimal("0.400000000"), Decimal("5.000000000"))
+    norm = landmarks.eligibility_landmark(
+        coh, fact, ex, landmarks.EligibilityRule(**base, first_ranges=((1, 50),),
+                                                 normalise_first=True, value_at="start"))
+    assert norm.collect()[0].eligible_start_fio2 == Decimal("40.000000000")
