@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecalc import time_bucket
+from ..functions.timecalc import epoch_micros, time_bucket
 
 SLICE = "_slice"
 
@@ -41,25 +41,52 @@ def _order(time: str, tiebreak: str | Sequence[str] | None) -> list[str]:
     return [time] + ([tiebreak] if isinstance(tiebreak, str) else list(tiebreak))
 
 
-def add_slice(df: DataFrame, time: str, slice_hours: float,
-              keys: Sequence[str] = ()) -> DataFrame:
+AUTO_TARGET_ROWS = 1_000_000
+
+
+def add_slice(df: DataFrame, time: str, slice_hours: float | str,
+              keys: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
     """Add the slice column. Rows without an entity or a time cannot be
     placed in an entity's sequence and are excluded; filtering them here,
     before the first shuffle, also lets the row side and the summary side
-    share one scan and one exchange (identical plans are reused)."""
+    share one scan and one exchange (identical plans are reused).
+
+    ``slice_hours="auto"`` sizes slices per entity: one partially
+    aggregated pass counts each entity's rows and time span, and an entity
+    with more than ``target_rows`` rows gets slices of width
+    ``span * target_rows / rows``, so a dense entity (many rows in a short
+    span) is still cut into pieces of about ``target_rows`` rows when its
+    rows are spread evenly in time. Other entities keep 24 h slices. The hot list
+    is broadcast: it has at most ``rows / target_rows`` entries.
+    """
     cond = F.col(time).isNotNull()
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    # time is non-NULL here, so the bucket is too; the coalesce only tells
-    # Catalyst so, which keeps it from inferring a different filter per branch
-    return df.filter(cond).withColumn(SLICE, F.coalesce(time_bucket(time, slice_hours),
-                                                        F.lit(0).cast("long")))
+    d = df.filter(cond)
+    if slice_hours != "auto":
+        # time is non-NULL here, so the bucket is too; the coalesce only tells
+        # Catalyst so, which keeps it from inferring a different filter per branch
+        return d.withColumn(SLICE, F.coalesce(time_bucket(time, slice_hours),
+                                              F.lit(0).cast("long")))
+    target_rows = target_rows or AUTO_TARGET_ROWS
+    t_us = epoch_micros(time)
+    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                 F.min(t_us).alias("_t0"), F.max(t_us).alias("_t1"))
+    hot = (stats.filter(F.col("_n") > target_rows)
+                .select(*keys, F.greatest(F.floor((F.col("_t1") - F.col("_t0") + 1)
+                                                  * F.lit(target_rows) / F.col("_n")),
+                                          F.lit(1)).cast("long").alias("_w")))
+    d = d.join(F.broadcast(hot), list(keys), "left")
+    day = time_bucket(time, 24.0)
+    width = F.coalesce(F.col("_w"), F.lit(24 * 3600 * 1_000_000).cast("long"))
+    sl = F.coalesce(F.floor(t_us / width).cast("long"), day, F.lit(0).cast("long"))
+    return d.withColumn(SLICE, sl).drop("_w")
 
 
 def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
                    tiebreak: str | Sequence[str] | None, cols: Sequence[str], *,
                    prev: bool = True, next: bool = False,
-                   slice_hours: float = 24.0, keep_slice: bool = False) -> DataFrame:
+                   slice_hours: float | str = 24.0, keep_slice: bool = False) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` for each ``c`` in ``cols``.
 
     Same values as ``lag(c)`` / ``lead(c)`` over
@@ -119,7 +146,7 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
 
 def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
                 tiebreak: str | Sequence[str] | None, value: str, out: str, *,
-                slice_hours: float = 24.0, keep_slice: bool = False) -> DataFrame:
+                slice_hours: float | str = 24.0, keep_slice: bool = False) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY entity ORDER BY time, tiebreak
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)`` without an
     entity-wide window.

@@ -119,3 +119,17 @@ def test_update_is_idempotent_and_passes_commute(spark):
     assert sorted(ab.collect()) == sorted(ba.select(*ab.columns).collect())
     with pytest.raises(ValueError):
         assemble(base, "person_id", [pa, pa])
+
+
+def test_auto_slices_split_a_dense_hot_entity(spark, monkeypatch):
+    from cohortkit.operators import ordered as O
+    monkeypatch.setattr(O, "AUTO_TARGET_ROWS", 50)
+    df = random_events(spark, 21, hot=600, span_h=6)     # 600 rows within 6 hours
+    sliced = O.add_slice(df, "t", "auto", ["e"], target_rows=50)
+    per_slice = sliced.filter("e = 0").groupBy("_slice").count().collect()
+    assert len(per_slice) >= 8 and max(r["count"] for r in per_slice) <= 150
+    got = O.with_neighbors(df, "e", "t", "id", ["t"], prev=True, next=True, slice_hours="auto")
+    w = Window.partitionBy("e").orderBy("t", "id")
+    want = df.select("*", F.lag("t").over(w).alias("prev_t"), F.lead("t").over(w).alias("next_t"))
+    cols = ["id", "prev_t", "next_t"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
