@@ -116,11 +116,14 @@ def describe_values(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
         q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     else:
         q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>")
+    d6 = "decimal(38,6)"   # engines differ in the last bits of these; 6 digits do not
     return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
                   F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
                   q.alias("_q"), F.max(x).alias("max")) \
-             .select("count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                     F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+             .select("count", F.col("mean").cast(d6).alias("mean"),
+                     F.col("std").cast(d6).alias("std"), "min",
+                     F.col("_q")[0].cast(d6).alias("p25"), F.col("_q")[1].cast(d6).alias("p50"),
+                     F.col("_q")[2].cast(d6).alias("p75"), "max")
 
 
 def distinct_units(df: DataFrame, unit: str = U) -> DataFrame:

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import NUMERIC, fixed, numeric
+from ..functions.numeric import DIVIDEND, exact_div, fixed
 from ..functions.timecalc import seconds_between, shift, whole_hours, whole_minutes
 from .bands import cohort_window_join
 
@@ -189,7 +189,5 @@ def landmark_slope(df: DataFrame, feature: str, a: str, b: str, *,
     """
     va, vb = f"{feature}_at_{a}", f"{feature}_at_{b}"
     hrs = whole_hours(f"{va}_time", f"{vb}_time")
-    # dividing by the BIGINT keeps scale 9 (a NUMERIC divisor would cut it to 6)
-    slope = (numeric(vb) - numeric(va)) / hrs
-    return df.withColumn(out or f"{feature}_slope",
-                         F.when(hrs > min_hours, slope.cast(NUMERIC)))
+    slope = exact_div(F.col(vb).cast(DIVIDEND) - F.col(va).cast(DIVIDEND), hrs, 9)
+    return df.withColumn(out or f"{feature}_slope", F.when(hrs > min_hours, slope))

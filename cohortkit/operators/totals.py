@@ -149,7 +149,7 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
     counts = d.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"),
                                                      F.sum(numeric(col)).alias("_s"))
     every = Window.partitionBy()
-    mean = (F.sum("_s").over(every) / F.sum("n").over(every)).cast("double")
+    mean = safe_ratio(F.sum("_s").over(every), F.sum("n").over(every), 6)
     return (counts.select("bin",
                           (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
                           (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),

@@ -744,6 +744,8 @@ def q_episode_summary(spark, sf_dir):
         "count": F.count(h), "mean": F.avg(h.cast("double")),
         "std": F.stddev_samp(h.cast("double")), "min": F.min(h), "_q": q, "max": F.max(h),
         "unique_patients": F.count_distinct("person_id"),
-    }).select("count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
+    }).select("count", F.col("mean").cast("decimal(38,6)").alias("mean"),
+              F.col("std").cast("decimal(38,6)").alias("std"), "min",
+              F.col("_q")[0].alias("p25"),
               F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max",
               "unique_patients")
