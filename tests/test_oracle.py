@@ -5,8 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import tools.oracle_check as oc
 from tools.oracle_check import duck, rows_of
 
+oc.STRICT = True   # exact values: no float tolerance
+
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = sorted(entry.queries())
 
