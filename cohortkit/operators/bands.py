@@ -43,26 +43,34 @@ def explode_buckets(intervals: DataFrame, lo: Column, hi: Column,
 
 def interval_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[str],
                   point_time: str, lo: Column, hi: Column, how: str = "inner",
-                  bucket_hours: float = 24.0) -> DataFrame:
+                  bucket_hours: float = 24.0, point_bucket: str | None = None) -> DataFrame:
     """Join ``points`` to ``intervals`` where ``lo <= point_time <= hi``.
 
     ``how`` is ``inner``, ``left`` (points kept), ``left_semi`` or
     ``left_anti`` (points with / without a containing interval). ``lo`` and
     ``hi`` are expressions over interval columns. The interval-side helper
     columns ``_lo``, ``_hi`` are dropped from the result.
+
+    ``point_bucket`` names a column of ``points`` that already holds
+    ``time_bucket(point_time, bucket_hours)`` (kept in the result). Points
+    partitioned by (entity, that column) by an earlier join are then joined
+    without being shuffled again.
     """
     keys = _keys(on)
     iv = explode_buckets(intervals, lo, hi, bucket_hours)
-    pts = points.withColumn(BUCKET, time_bucket(point_time, bucket_hours))
+    pb = point_bucket or BUCKET
+    pts = points if point_bucket else points.withColumn(BUCKET, time_bucket(point_time,
+                                                                            bucket_hours))
     p, i = pts.alias("p"), iv.alias("i")
     cond = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in keys]
-    cond.append(F.col(f"p.{BUCKET}") == F.col(f"i.{BUCKET}"))
+    cond.append(F.col(f"p.{pb}") == F.col(f"i.{BUCKET}"))
     cond.append(F.col(f"p.{point_time}").between(F.col("i._lo"), F.col("i._hi")))
     joined = p.join(i, on=cond, how=how)
     if how in ("left_semi", "left_anti"):
-        return joined.drop(BUCKET)
+        return joined if point_bucket else joined.drop(BUCKET)
     right_cols = [F.col(f"i.{c}") for c in intervals.columns if c not in keys]
-    return joined.select("p.*", *right_cols).drop(BUCKET)
+    out = joined.select("p.*", *right_cols)
+    return out if point_bucket else out.drop(BUCKET)
 
 
 def intervals_with_points(intervals: DataFrame, points: DataFrame, on: str | Sequence[str],
@@ -86,7 +94,8 @@ def intervals_with_points(intervals: DataFrame, points: DataFrame, on: str | Seq
 
 def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
               left_time: str, right_time: str, before_hours: float, after_hours: float,
-              how: str = "inner", bucket_hours: float | None = None) -> DataFrame:
+              how: str = "inner", bucket_hours: float | None = None,
+              left_bucket: str | None = None) -> DataFrame:
     """Pairs with ``right_time - before <= left_time <= right_time + after``.
 
     The band around each right row is an interval, so this is an interval
@@ -97,7 +106,7 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     width = bucket_hours or max(before_hours + after_hours, 1.0)
     return interval_join(left, right, on, left_time,
                          shift(right_time, -before_hours), shift(right_time, after_hours),
-                         how=how, bucket_hours=width)
+                         how=how, bucket_hours=width, point_bucket=left_bucket)
 
 
 def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,

@@ -53,12 +53,20 @@ def condition_flag(cohort: DataFrame, condition: DataFrame, patterns: Sequence[s
 
 
 def paired_within(a: DataFrame, b: DataFrame, *, entity: str = E, a_time: str = "a_time",
-                  b_time: str = "b_time", tolerance_minutes: float = 30) -> DataFrame:
+                  b_time: str = "b_time", tolerance_minutes: float = 30,
+                  a_bucket: str | None = None) -> DataFrame:
     """All pairs of an ``a`` and a ``b`` row of one entity with
     ``b_time - tol <= a_time <= b_time + tol``. Column names of ``a`` and
-    ``b`` other than the entity must differ."""
+    ``b`` other than the entity must differ. Buckets are ``band_hours(tol)``
+    wide; ``a_bucket`` names an ``a`` column already holding them."""
     tol = tolerance_minutes / 60.0
-    return band_join(a, b, entity, a_time, b_time, tol, tol)
+    return band_join(a, b, entity, a_time, b_time, tol, tol,
+                     bucket_hours=band_hours(tolerance_minutes), left_bucket=a_bucket)
+
+
+def band_hours(tolerance_minutes: float) -> float:
+    """Bucket width for a ±tolerance band: the band's width, at least 1 h."""
+    return max(2 * tolerance_minutes / 60.0, 1.0)
 
 
 def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
@@ -66,7 +74,8 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
                 time: str = T, code: str = "drug_concept_id",
                 start: str = "drug_exposure_start_datetime",
                 end: str = "drug_exposure_end_datetime",
-                bucket_hours: float = 12.0, open_ended: bool = False) -> DataFrame:
+                bucket_hours: float = 12.0, open_ended: bool = False,
+                point_bucket: str | None = None) -> DataFrame:
     """Keep events with no exposure of ``codes`` active in
     ``[start - lead_in, end + washout]``. An exposure with a NULL end never
     excludes, as in the reference (R22); with ``open_ended`` it is active
@@ -79,7 +88,7 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
         ex = ex.join(last, entity, "inner")
         hi = F.coalesce(hi, F.col("_last_event"))
     return interval_join(events, ex, entity, time, shift(start, -lead_in_hours), hi,
-                         how="left_anti", bucket_hours=bucket_hours)
+                         how="left_anti", bucket_hours=bucket_hours, point_bucket=point_bucket)
 
 
 @dataclass(frozen=True)
@@ -131,15 +140,20 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
     a = fact.filter((F.col(code) == F.lit(rule.first_code)) & rng).withColumn(value, v)
     if rule.first_unit_not is not None:
         a = a.filter(F.col(unit) != F.lit(rule.first_unit_not))
+    # One bucket width for every join of the first signal, and its bucket
+    # column kept: the episode join, the exposure anti join and the band join
+    # then all see it partitioned by (entity, bucket) and shuffle it once.
+    width = band_hours(rule.tolerance_minutes)
     episode = [(F.col(episode_start), F.col(episode_end))]
     a = (cohort_window_join(a.select(entity, F.col(time).alias("a_time"),
                                      F.col(value).alias("a_value")),
-                            bounds, entity, "a_time", episode)
+                            bounds, entity, "a_time", episode, width, keep_bucket_as="_ab")
           .filter(F.col("a_time").between(F.col(episode_start), F.col(episode_end))
                   & (F.col("a_time") >= shift(admission_start, rule.start_offset_hours)))
-          .select(entity, "a_time", "a_value"))
+          .select(entity, "a_time", "a_value", "_ab"))
     a = not_exposed(a, exposure, list(rule.exposure_codes), lead_in_hours=rule.lead_in_hours,
-                    washout_hours=rule.washout_hours, entity=entity, time="a_time")
+                    washout_hours=rule.washout_hours, entity=entity, time="a_time",
+                    bucket_hours=width, point_bucket="_ab")
 
     b = (cohort_window_join(fact.filter((F.col(code) == F.lit(rule.second_code))
                                         & (F.col(value) <= rule.second_max))
@@ -149,7 +163,8 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
              .filter(inside)
              .select(entity, F.col(time).alias("b_time"), F.col(value).alias("b_value")))
 
-    pairs = paired_within(a, b, entity=entity, tolerance_minutes=rule.tolerance_minutes)
+    pairs = paired_within(a, b, entity=entity, tolerance_minutes=rule.tolerance_minutes,
+                          a_bucket="_ab").drop("_ab")
     if rule.value_at == "start":
         gap = F.abs(F.timestamp_diff("SECOND", F.col("a_time"), F.col("b_time")))
         first = F.min(F.struct("a_time", gap.alias("gap"), "b_time", "a_value", "b_value"))
