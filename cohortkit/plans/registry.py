@@ -9,9 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ..operators import episodes
+from pyspark.sql import functions as F
+
+from ..operators import episodes, explore, quality
+from ..operators import features as feat
+from ..operators import landmarks as lmk
+from ..operators import outcomes as outc
+from ..operators import totals as tot
+from ..operators.features import FeatureSpec
+from ..operators.landmarks import EligibilityRule
 from ..sources import bindings as B
+from ..sources import tables
+from . import catalogue
+from . import weaning as W
+from .widetable import assemble, update_from, update_where
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,10 +50,6 @@ def q_gap_episodes(spark, sf_dir):
 # catalogue and exploration
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators import explore  # noqa: E402
-from ..sources import tables  # noqa: E402
 
 # Parameters of the exploration queries (the analyst's inputs).
 SEARCH_TERM = "ring"
@@ -179,14 +186,6 @@ def q_yearly_duplicates(spark, sf_dir):
 # (C10-C11, C13, C19-C41) on the events binding
 # ---------------------------------------------------------------------------
 
-from ..operators import features as feat  # noqa: E402
-from ..operators import landmarks as lmk  # noqa: E402
-from ..operators import outcomes as outc  # noqa: E402
-from ..operators import totals as tot  # noqa: E402
-from ..operators.features import FeatureSpec  # noqa: E402
-from ..operators.landmarks import EligibilityRule  # noqa: E402
-from . import weaning as W  # noqa: E402
-from .widetable import update_from  # noqa: E402
 
 # Parameters of the weaning cohort on the events binding (FIXTURES.md §4):
 # 'view'/'click' stand for FiO2/PEEP, 'purchase' is the exposure and the
@@ -500,9 +499,6 @@ def q_weaning_cohort(spark, sf_dir):
 # wide-table lifecycle (T1-T12, C42-C43, C47-C49) and quality
 # ---------------------------------------------------------------------------
 
-from ..operators import quality  # noqa: E402
-from . import catalogue  # noqa: E402
-from .widetable import assemble, update_where  # noqa: E402
 
 # Expected ranges of the checked columns of the test cohort.
 TEST_RANGES = {
