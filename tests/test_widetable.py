@@ -43,3 +43,18 @@ def test_schema_catalogue_numeric_only(spark):
     ev = spark.createDataFrame([(1, "a", 2.0)], "id long, name string, v double")
     rows = tables.schema_frame(spark, ev, numeric_only=True).collect()
     assert [(r.ordinal_position, r.column_name) for r in rows] == [(1, "id"), (3, "v")]
+
+
+def test_sorted_fact_layout_keeps_rows_and_sorts_files(spark):
+    from cohortkit.sources import bindings, layout
+    m = bindings.measurement(spark, "/root/testdata/sf0.001")
+    path = os.path.join(tempfile.mkdtemp(prefix="cohortkit-test-"), "facts")
+    out = layout.write_sorted_facts(m, path, files=4)
+    assert out.count() == m.count()
+    # each file holds a contiguous code range: per file, codes are sorted
+    per_file = (out.withColumn("f", F.input_file_name())
+                   .groupBy("f").agg(F.min("measurement_concept_id").alias("lo"),
+                                     F.max("measurement_concept_id").alias("hi"))
+                   .orderBy("lo").collect())
+    for a, b in zip(per_file, per_file[1:]):
+        assert a.hi <= b.lo
