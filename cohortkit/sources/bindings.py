@@ -264,3 +264,21 @@ def person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("c_custkey").alias("person_id"),
                     F.col("c_acctbal").cast("decimal(38,9)").alias("age_at_admission"),
                     F.col("c_mktsegment").alias("sex"))
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Expose the bound shapes as temp views under their OMOP names, so that
+    SQL written against the reference's tables runs through ``spark.sql``
+    (with ``args=`` for parameters, S6). Views are lazy: nothing is read."""
+    views = {
+        "measurement": measurement(spark, sf_dir),
+        "visit_occurrence": visits_many(spark, sf_dir),
+        "drug_exposure": drug_exposure(spark, sf_dir),
+        "condition_occurrence": condition_occurrence(spark, sf_dir),
+        "death": death(spark, sf_dir),
+        "concept": concept(spark, sf_dir),
+        "person": person(spark, sf_dir),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

@@ -58,3 +58,17 @@ def test_sorted_fact_layout_keeps_rows_and_sorts_files(spark):
                    .orderBy("lo").collect())
     for a, b in zip(per_file, per_file[1:]):
         assert a.hi <= b.lo
+
+
+def test_reference_style_sql_through_views(spark):
+    from cohortkit.sources import bindings
+    names = bindings.register_views(spark, "/root/testdata/sf0.001")
+    assert "measurement" in names
+    q = """
+    SELECT measurement_concept_id, COUNT(*) AS measurement_count,
+           COUNT(DISTINCT person_id) AS patient_count
+    FROM measurement WHERE measurement_concept_id IN (:a, :b)
+    GROUP BY measurement_concept_id ORDER BY measurement_count DESC
+    """
+    rows = spark.sql(q, args={"a": "view", "b": "click"}).collect()
+    assert {r.measurement_concept_id for r in rows} == {"view", "click"}
