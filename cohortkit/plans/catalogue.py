@@ -117,3 +117,15 @@ ELIGIBILITY = EligibilityRule(
     second_code=PEEP_ID, second_max=10, tolerance_minutes=30, start_offset_hours=6,
     exposure_codes=(NORADRENALINE_ID, PROPOFOL_ID, NMRA_ID), lead_in_hours=6,
     washout_hours=3)
+
+
+def reference_params(tiebreak: str | None = "measurement_id"):
+    """The weaning cohort with the reference's own parameters (OMOP ids)."""
+    from .weaning import WeaningParams
+    return WeaningParams(
+        segment_codes=SEGMENT_CONCEPT_IDS, segment_gap_hours=SEGMENT_GAP_HOURS,
+        rule=ELIGIBILITY, death_guard_hours=DEATH_GUARD_HOURS,
+        min_duration_hours=MIN_DURATION_HOURS, horizon_hours=OUTCOME_HORIZON_HOURS,
+        condition_patterns=NEURO_PATTERNS, admission_starts=ADMISSION_STARTS,
+        features=FEATURES, intake_codes=INTAKE_IDS, output_codes=OUTPUT_IDS,
+        slope_min_hours=SLOPE_MIN_HOURS, tiebreak=tiebreak)
