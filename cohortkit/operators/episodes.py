@@ -126,7 +126,8 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
                   gap_hours: float = 6, strict: bool = False, entity: str = E,
                   time: str = T, code: str = C, tiebreak: str | None = None,
                   end_out: str = "segment_end_ts", next_out: str = "next_segment_ts",
-                  first_out: str | None = None, slice_hours: float = 24.0) -> DataFrame:
+                  first_out: str | None = None, slice_hours: float | str = 24.0,
+                  until: str | None = None) -> DataFrame:
     """From ``start`` on, the first event followed by a gap of at least
     ``gap_hours`` whole hours (``>`` when ``strict``), or the last event;
     also the time of the event after the gap (the next segment's start).
@@ -134,13 +135,22 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
     With ``first_out`` the first event at or after ``start`` is returned too
     (C25 on the same rows): the segment search from the admission start and
     from the first event give the same segment, so one scan yields both.
+
+    The reference searches without an upper bound (R13); ``until`` names a
+    cohort column (e.g. the admission end) that bounds the search.
     """
     order = [tiebreak] if tiebreak else []
     ev = _codes(fact, code, codes).select(entity, time, *order)
-    starts = cohort.select(entity, start).filter(F.col(start).isNotNull())
+    cols = [entity, start] + ([until] if until else [])
+    starts = cohort.select(*cols).filter(F.col(start).isNotNull())
+    hi = F.col(until) if until else None
+    bucket = slice_hours if slice_hours != "auto" else 24.0
     # the join's (entity, bucket) partitioning is the window's (entity, slice)
-    ev = cohort_window_join(ev, starts, entity, time, [(F.col(start), None)], slice_hours,
-                            keep_bucket_as=SLICE).filter(F.col(time) >= F.col(start)).drop(start)
+    ev = cohort_window_join(ev, starts, entity, time, [(F.col(start), hi)], bucket,
+                            keep_bucket_as=SLICE).filter(F.col(time) >= F.col(start))
+    if until:
+        ev = ev.filter(F.col(time) <= F.col(until)).drop(until)
+    ev = ev.drop(start)
     ev = with_neighbors(ev, entity, time, tiebreak, [time], prev=False, next=True,
                         slice_hours=slice_hours)
     nxt = F.col(f"next_{time}")

@@ -191,3 +191,15 @@ def test_eligibility_value_options(spark):
         coh, fact, ex, landmarks.EligibilityRule(**base, first_ranges=((1, 50),),
                                                  normalise_first=True, value_at="start"))
     assert norm.collect()[0].eligible_start_fio2 == Decimal("40.000000000")
+
+
+def test_segment_search_upper_bound_option(spark):
+    df = events(spark, [(1, T0, "a", 1.0, "u", 1), (1, T0 + h(2), "a", 1.0, "u", 2),
+                        (1, T0 + h(30), "a", 1.0, "u", 3)])
+    coh = spark.createDataFrame([(1, T0, T0 + h(10))],
+                                "person_id long, start timestamp_ntz, stop timestamp_ntz")
+    open_ = episodes.first_segment(coh, df, ["a"], "start", gap_hours=6).collect()[0]
+    bound = episodes.first_segment(coh, df, ["a"], "start", gap_hours=6,
+                                   until="stop").collect()[0]
+    assert open_.next_segment_ts == T0 + h(30)      # reference: no upper bound
+    assert bound.segment_end_ts == T0 + h(2) and bound.next_segment_ts is None

@@ -133,3 +133,19 @@ def test_auto_slices_split_a_dense_hot_entity(spark, monkeypatch):
     want = df.select("*", F.lag("t").over(w).alias("prev_t"), F.lead("t").over(w).alias("next_t"))
     cols = ["id", "prev_t", "next_t"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+@pytest.mark.parametrize("bucket_hours", [2.0, 24.0])
+def test_intervals_with_points_equals_brute_force(spark, bucket_hours):
+    rnd = random.Random(13)
+    iv = spark.createDataFrame(
+        [(rnd.randint(0, 4), T0 + dt.timedelta(hours=rnd.randint(0, 100)), j) for j in range(60)],
+        "e long, s timestamp_ntz, iid long").withColumn("x", F.col("s") + F.expr("interval 5 hours"))
+    pts = spark.createDataFrame(
+        [(rnd.randint(0, 4), T0 + dt.timedelta(minutes=rnd.randint(0, 6000))) for _ in range(80)],
+        "e long, t timestamp_ntz")
+    got = bands.intervals_with_points(iv, pts, "e", ["iid"], "t", F.col("s"), F.col("x"),
+                                      bucket_hours=bucket_hours)
+    want = (iv.join(pts, (iv.e == pts.e) & pts.t.between(iv.s, iv.x), "left_semi")
+              .select("e", "iid").distinct())
+    assert sorted(got.collect()) == sorted(want.collect())
