@@ -179,15 +179,26 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
     return g.select(*out)
 
 
-def landmark_slope(df: DataFrame, feature: str, a: str, b: str, *,
-                   min_hours: float = 4, out: str | None = None) -> DataFrame:
-    """``(value_b - value_a) / whole hours between their measurement
-    times`` when those hours exceed ``min_hours`` (R6), else NULL.
+def slope_column(feature: str, a: str, b: str, min_hours: float = 4) -> Column:
+    """C23 as a column: ``(value_b - value_a) / whole hours between their
+    measurement times`` when those hours exceed ``min_hours`` (R6), else NULL.
 
-    Computed on NUMERIC (exact; 9 decimals, half-up like the reference's
-    NUMERIC division).
+    Exact NUMERIC division rounded half-up to 9 decimals, like the
+    reference's NUMERIC arithmetic.
     """
     va, vb = f"{feature}_at_{a}", f"{feature}_at_{b}"
     hrs = whole_hours(f"{va}_time", f"{vb}_time")
     slope = exact_div(F.col(vb).cast(DIVIDEND) - F.col(va).cast(DIVIDEND), hrs, 9)
-    return df.withColumn(out or f"{feature}_slope", F.when(hrs > min_hours, slope))
+    return F.when(hrs > min_hours, slope)
+
+
+def landmark_slope(df: DataFrame, feature: str, a: str, b: str, *,
+                   min_hours: float = 4, out: str | None = None) -> DataFrame:
+    """Add ``<feature>_slope`` (see ``slope_column``)."""
+    return df.withColumn(out or f"{feature}_slope", slope_column(feature, a, b, min_hours))
+
+
+def landmark_slopes(df: DataFrame, features: Sequence[str], a: str, b: str, *,
+                    min_hours: float = 4) -> DataFrame:
+    """C23 for several features in one projection."""
+    return df.withColumns({f"{f}_slope": slope_column(f, a, b, min_hours) for f in features})

@@ -112,10 +112,8 @@ def feature_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> D
     feats = features.extract_features(chain, inputs.measurement, p.features, LANDMARKS,
                                       tiebreak=p.tiebreak,
                                       cohort_filter=F.col("cohort_criteria") == 1)
-    for f in p.features:
-        feats = features.landmark_slope(feats, f.name, "eligible", "weaning",
-                                        min_hours=p.slope_min_hours)
-    return feats
+    return features.landmark_slopes(feats, [f.name for f in p.features], "eligible",
+                                    "weaning", min_hours=p.slope_min_hours)
 
 
 def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
