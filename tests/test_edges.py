@@ -203,3 +203,21 @@ def test_segment_search_upper_bound_option(spark):
                                    until="stop").collect()[0]
     assert open_.next_segment_ts == T0 + h(30)      # reference: no upper bound
     assert bound.segment_end_ts == T0 + h(2) and bound.next_segment_ts is None
+
+
+def test_nearest_tie_breaks_are_deterministic(spark):
+    L = T0 + h(10)
+    m = dt.timedelta(minutes=1)
+    rows = [(1, L - h(1) - 20 * m, "a", 1.0, "u", 1),   # 1 h 20 min before
+            (1, L + h(1) + 10 * m, "a", 2.0, "u", 2),   # 1 h 10 min after: same hour, nearer
+            (2, L - 30 * m, "a", 3.0, "u", 4),          # 30 min before
+            (2, L + 30 * m, "a", 4.0, "u", 3),          # 30 min after: tie on seconds
+            (3, L, "a", 5.0, "u", 7), (3, L, "a", 6.0, "u", 6)]   # same time: smaller id
+    fact = events(spark, rows)
+    coh = spark.createDataFrame([(p, L) for p in (1, 2, 3)], "person_id long, lm timestamp_ntz")
+    spec = features.FeatureSpec("f", ("a",), 2, 2)
+    got = {r.person_id: r.f_at_x for r in
+           features.nearest_at_landmark(coh, fact, spec, "lm", suffix="x",
+                                        tiebreak="measurement_id").collect()}
+    assert got == {1: Decimal("2.000000000"), 2: Decimal("3.000000000"),
+                   3: Decimal("6.000000000")}
