@@ -242,12 +242,21 @@ def _chain(spark, sf_dir, stage: int):
     return inp, (c1 if stage == 1 else c2)
 
 
+_WIDE: dict = {}
+
+
 def weaning_wide(spark, sf_dir):
-    inp, chain = _chain(spark, sf_dir, 2)
-    feats = W.feature_pass(chain, inp, TEST_PARAMS)
-    fluids = W.fluid_pass(chain, inp, TEST_PARAMS)
-    return W.chain_fixed(chain).join(feats, "person_id", "left") \
-                               .join(fluids, "person_id", "left")
+    """The assembled cohort table, stored once per application and dataset.
+
+    As in the schema-first pattern, the checks and reports (``check_*``,
+    ``table_status``, ``feature_matrix``, the summaries) query the stored
+    table instead of recomputing the feature and fluid passes each time.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WIDE:
+        inp, chain = _chain(spark, sf_dir, 2)
+        _WIDE[key] = W.store_table(W.assemble_table(chain, inp, TEST_PARAMS), inp, "cohort")
+    return _WIDE[key]
 
 
 # lineitem dates are whole days a few per supplier per month: 30-day slices

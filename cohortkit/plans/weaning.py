@@ -151,13 +151,22 @@ def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> Dat
     return t.drop(*cols)
 
 
+def assemble_table(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
+    """The base chain with the feature and fluid passes folded in by key."""
+    feats = feature_pass(chain, inputs, p)
+    fluids = fluid_pass(chain, inputs, p)
+    return chain_fixed(chain).join(feats, E, "left").join(fluids, E, "left")
+
+
+def store_table(df: DataFrame, inputs: WeaningInputs, name: str) -> DataFrame:
+    """Write the finished table to the checkpoint folder (when cutting)."""
+    return _cut(df, inputs, name)
+
+
 def weaning_table(inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
     """The whole wide table: one row per admission row of the base cohort."""
     chain = landmark_chain(episode_chain(inputs, p), inputs, p)
-    feats = feature_pass(chain, inputs, p)
-    fluids = fluid_pass(chain, inputs, p)
-    out = chain.join(feats, E, "left").join(fluids, E, "left")
-    return out
+    return assemble_table(chain, inputs, p)
 
 
 def chain_fixed(chain: DataFrame) -> DataFrame:
