@@ -4,9 +4,11 @@
 
 Generates ``rows`` synthetic events (one entity holds a third of them, the
 rest spread over 100,000 entities, 30 days), computes the previous event
-time per entity both ways through the ``noop`` sink, and reports wall time
-and the longest task from Spark's event log (written to a fresh scratch
-folder). This is a measurement tool, not a registered query.
+time per entity both ways through the ``noop`` sink; then anti-joins the
+points of one hot entity against its exposure intervals keyed by the entity
+alone and by (entity, time bucket). Reports wall time and the longest task
+from Spark's event log (written to a fresh scratch folder). This is a
+measurement tool, not a registered query.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--rows", type=int, default=20_000_000)
     ap.add_argument("--cores", default="8")
+    ap.add_argument("--hot-points", type=int, default=100_000)
+    ap.add_argument("--hot-intervals", type=int, default=5_000)
     a = ap.parse_args()
     from pyspark.sql import Window
     from pyspark.sql import functions as F
@@ -76,6 +80,25 @@ def main():
     w = Window.partitionBy("e").orderBy("t", "id")
     run("plain_window", df.select("*", F.lag("t").over(w).alias("prev_t")))
     run("sliced", ordered.with_neighbors(df, "e", "t", "id", ["t"], prev=True, slice_hours=24))
+
+    # range join: points of one hot entity (30 days) vs. its 2 h exposure
+    # intervals (+6 h/-3 h) in the first 2 days: most points match nothing and
+    # an entity-keyed join must test each of them against every interval
+    from cohortkit.operators import bands
+    from cohortkit.functions.timecalc import shift
+    pts = spark.range(a.hot_points).select(
+        F.lit(0).cast("long").alias("e"), F.col("id").alias("pid"),
+        (F.lit(1704067200) + F.abs(F.hash("id") % (30 * 86400)).cast("long"))
+        .cast("timestamp").cast("timestamp_ntz").alias("t"))
+    ivs = spark.range(a.hot_intervals).select(
+        F.lit(0).cast("long").alias("e"),
+        (F.lit(1704067200) + F.abs(F.hash("id", F.lit(7)) % (2 * 86400)).cast("long"))
+        .cast("timestamp").cast("timestamp_ntz").alias("s")).withColumn("x", shift("s", 2))
+    lo, hi = shift("s", -6), shift("x", 3)
+    plain = pts.join(ivs, (pts.e == ivs.e) & pts.t.between(lo, hi), "left_anti")
+    run("anti_join_entity_key", plain)
+    run("anti_join_entity_bucket_key",
+        bands.interval_join(pts, ivs, "e", "t", lo, hi, how="left_anti", bucket_hours=12))
     spark.stop()
     tasks = task_times(log_dir)
     print(json.dumps({k: {"wall_sec": wall[k], **tasks.get(k, {})} for k in wall}))
