@@ -191,22 +191,27 @@ def variable_search(sources: Sequence[SearchSource], min_entities: int = 100,
 
     Per source: codes whose name matches any term, distinct entities (and
     rows where ``with_rows``), kept when entities > ``min_entities``, top
-    ``k`` by entities. The per-source top-k is a ``row_number`` over the
-    small aggregate, partitioned by source.
+    ``k`` by entities. The matching rows of all sources are projected to
+    (source, code, name, entity) and unioned first, so one aggregation (one
+    two-phase distinct count) serves every source. The per-source top-k is a
+    ``row_number`` over the small aggregate, partitioned by source.
     """
     parts = []
     for s in sources:
         hits = s.fact.filter(contains_any_ci(s.concept_name, s.terms))
-        aggs = [F.count_distinct(s.entity).alias("patient_count"),
-                (F.count(F.lit(1)) if s.with_rows else F.lit(None).cast("long"))
-                .alias("measurement_count")]
-        g = (hits.groupBy(F.col(s.concept_id).cast("string").alias("concept_id"),
-                          F.col(s.concept_name).alias("concept_name"))
-                 .agg(*aggs)
-                 .filter(F.col("patient_count") > min_entities)
-                 .withColumn("source_table", F.lit(s.name)))
-        parts.append(g)
-    u = reduce(DataFrame.unionByName, parts)
+        parts.append(hits.select(F.lit(s.name).alias("source_table"),
+                                 F.col(s.concept_id).cast("string").alias("concept_id"),
+                                 F.col(s.concept_name).cast("string").alias("concept_name"),
+                                 F.col(s.entity).cast("string").alias("_entity")))
+    with_rows = [s.name for s in sources if s.with_rows]
+    u = (reduce(DataFrame.unionByName, parts)
+         .groupBy("source_table", "concept_id", "concept_name")
+         .agg(F.count_distinct("_entity").alias("patient_count"),
+              F.count(F.lit(1)).alias("_rows"))
+         .filter(F.col("patient_count") > min_entities)
+         .withColumn("measurement_count",
+                     F.when(F.col("source_table").isin(with_rows), F.col("_rows"))
+                      .cast("long")))
     w = Window.partitionBy("source_table").orderBy(F.desc("patient_count"), "concept_id")
     return (u.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k)
              .select("source_table", "concept_id", "concept_name", "patient_count",
