@@ -221,3 +221,18 @@ def test_nearest_tie_breaks_are_deterministic(spark):
                                         tiebreak="measurement_id").collect()}
     assert got == {1: Decimal("2.000000000"), 2: Decimal("3.000000000"),
                    3: Decimal("6.000000000")}
+
+
+def test_operators_accept_zoned_timestamps(spark):
+    rows = [(1, T0 + h(i * 30), "a", float(i), "u", i) for i in range(5)]
+    ntz = events(spark, rows)
+    ltz = ntz.withColumn("measurement_datetime", F.col("measurement_datetime").cast("timestamp"))
+    a = episodes.gap_episodes(ntz, ["a"], gap_hours=24, min_hours=0, tiebreak="measurement_id")
+    b = episodes.gap_episodes(ltz, ["a"], gap_hours=24, min_hours=0, tiebreak="measurement_id")
+    key = lambda r: (r.episode_number, r.measurement_count, r.episode_hours)
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    coh = spark.createDataFrame([(1, T0 + h(61))], "person_id long, lm timestamp")
+    spec = features.FeatureSpec("f", ("a",), 12, 12)
+    r = features.nearest_at_landmark(coh, ltz, spec, "lm", suffix="x",
+                                     tiebreak="measurement_id").collect()[0]
+    assert r.f_at_x == Decimal("2.000000000")
