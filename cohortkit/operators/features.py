@@ -127,6 +127,52 @@ def nearest_at_landmark(cohort: DataFrame, fact: DataFrame, spec: FeatureSpec,
                       whole_minutes(F.col("_b.t"), F.col("_lm")).alias(f"{col}_minutes"))
 
 
+def feature_windows(specs: Sequence[FeatureSpec], landmarks: dict[str, str],
+                    gate: Column | None = None) -> list[tuple[Column, Column]]:
+    """The time windows around each landmark that any feature can use (for
+    ``cohort_window_join``); NULL (no window) where ``gate`` fails."""
+    before = max(s.before_hours for s in specs)
+    after = max(s.after_hours for s in specs)
+    wins = []
+    for lm in dict.fromkeys(landmarks.values()):
+        lo, hi = shift(lm, -before), shift(lm, after)
+        if gate is not None:
+            lo, hi = F.when(gate, lo), F.when(gate, hi)
+        wins.append((lo, hi))
+    return wins
+
+
+def feature_aggregates(specs: Sequence[FeatureSpec], landmarks: dict[str, str], *,
+                       time: str = T, code: str = C, value: str = V, unit: str = U,
+                       tiebreak: str | None = None, gate: Column | None = None
+                       ) -> tuple[list[Column], list[Column]]:
+    """Per (feature, landmark): ``min(CASE WHEN cond THEN struct(distance...,
+    value) END)`` and its row condition ``cond``."""
+    aggs, conds = [], []
+    for spec in specs:
+        base = F.col(code).isin(list(spec.codes)) & rule_filter(spec, value, unit)
+        if gate is not None:
+            base = base & gate
+        for sfx, lm in landmarks.items():
+            cond = base & F.col(lm).isNotNull() & _window(spec, lm, time)
+            conds.append(cond)
+            st = _nearest_struct(spec, lm, time, value, tiebreak)
+            aggs.append(F.min(F.when(cond, st)).alias(f"_{spec.name}__{sfx}"))
+    return aggs, conds
+
+
+def feature_columns(specs: Sequence[FeatureSpec], landmarks: dict[str, str]) -> list[Column]:
+    """Value (rounded NUMERIC) and time columns from ``feature_aggregates``."""
+    out = []
+    for spec in specs:
+        for sfx in landmarks:
+            a = f"_{spec.name}__{sfx}"
+            col = f"{spec.name}_at_{sfx}"
+            out += [fixed(F.col(f"{a}.v"), spec.digits).alias(col),
+                    F.col(f"{a}.t").alias(f"{col}_time")]
+    return out
+
+
 def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[FeatureSpec],
                      landmarks: dict[str, str], *, entity: str = E, time: str = T,
                      code: str = C, value: str = V, unit: str = U,
@@ -152,31 +198,13 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
     keep = [entity, time, code, value] + ([unit] if unit in fact.columns else []) \
         + ([tiebreak] if tiebreak else [])
     facts = fact.filter(F.col(code).isin(codes)).select(*dict.fromkeys(keep))
-    wins = []
-    for lm in dict.fromkeys(landmarks.values()):
-        before = max(s.before_hours for s in specs)
-        after = max(s.after_hours for s in specs)
-        wins.append((shift(lm, -before), shift(lm, after)))
-    rows = cohort_window_join(facts, coh, entity, time, wins, bucket_hours)
-
-    aggs, hit_any = [], []
-    for spec in specs:
-        base = F.col(code).isin(list(spec.codes)) & rule_filter(spec, value, unit)
-        for sfx, lm in landmarks.items():
-            cond = base & F.col(lm).isNotNull() & _window(spec, lm, time)
-            hit_any.append(cond)
-            st = _nearest_struct(spec, lm, time, value, tiebreak)
-            aggs.append(F.min(F.when(cond, st)).alias(f"_{spec.name}__{sfx}"))
-    rows = rows.filter(reduce(lambda a, b: a | b, hit_any))
+    rows = cohort_window_join(facts, coh, entity, time, feature_windows(specs, landmarks),
+                              bucket_hours)
+    aggs, conds = feature_aggregates(specs, landmarks, time=time, code=code, value=value,
+                                     unit=unit, tiebreak=tiebreak)
+    rows = rows.filter(reduce(lambda a, b: a | b, conds))
     g = rows.groupBy(entity).agg(*aggs)
-    out = [F.col(entity)]
-    for spec in specs:
-        for sfx in landmarks:
-            a = f"_{spec.name}__{sfx}"
-            col = f"{spec.name}_at_{sfx}"
-            out += [fixed(F.col(f"{a}.v"), spec.digits).alias(col),
-                    F.col(f"{a}.t").alias(f"{col}_time")]
-    return g.select(*out)
+    return g.select(F.col(entity), *feature_columns(specs, landmarks))
 
 
 def slope_column(feature: str, a: str, b: str, min_hours: float = 4) -> Column:

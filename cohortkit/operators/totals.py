@@ -45,6 +45,24 @@ class WindowSpec:
         return time.between(lo, hi)
 
 
+def bound_columns(specs: Sequence[WindowSpec]) -> list[Column]:
+    """The periods' bounds as named cohort columns ``_lo_i`` / ``_hi_i``."""
+    return ([s.lo.alias(f"_lo_{i}") for i, s in enumerate(specs)]
+            + [s.hi.alias(f"_hi_{i}") for i, s in enumerate(specs)])
+
+
+def sum_aggregates(specs: Sequence[WindowSpec], *, time: str = T, code: str = C,
+                   value: str = V, digits: int = 2) -> tuple[list[Column], list[Column]]:
+    """Per period: exact ``sum`` of the values inside it (rounded) and its row
+    condition, over rows carrying ``bound_columns``."""
+    conds = [F.col(code).isin(list(s.codes))
+             & s.contains(F.col(time), F.col(f"_lo_{i}"), F.col(f"_hi_{i}"))
+             for i, s in enumerate(specs)]
+    aggs = [fixed(F.sum(F.when(c, numeric(value))), digits).alias(s.name)
+            for c, s in zip(conds, specs)]
+    return aggs, conds
+
+
 def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec], *,
                 entity: str = E, time: str = T, code: str = C, value: str = V,
                 digits: int = 2, cohort_filter: Column | None = None,
@@ -58,18 +76,13 @@ def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec],
     once and only when near a period.
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
-    bounds = coh.select(entity, *[s.lo.alias(f"_lo_{i}") for i, s in enumerate(specs)],
-                        *[s.hi.alias(f"_hi_{i}") for i, s in enumerate(specs)])
+    bounds = coh.select(entity, *bound_columns(specs))
     codes = sorted({c for s in specs for c in s.codes}, key=str)
     facts = fact.filter(F.col(code).isin(codes)).select(entity, time, code, value)
     wins = [(F.col(f"_lo_{i}"), F.col(f"_hi_{i}")) for i in range(len(specs))]
     rows = cohort_window_join(facts, bounds, entity, time, wins, bucket_hours)
-    conds = [F.col(code).isin(list(s.codes))
-             & s.contains(F.col(time), F.col(f"_lo_{i}"), F.col(f"_hi_{i}"))
-             for i, s in enumerate(specs)]
+    aggs, conds = sum_aggregates(specs, time=time, code=code, value=value, digits=digits)
     rows = rows.filter(reduce(lambda a, b: a | b, conds))
-    aggs = [fixed(F.sum(F.when(c, numeric(value))), digits).alias(s.name)
-            for c, s in zip(conds, specs)]
     return rows.groupBy(entity).agg(*aggs)
 
 

@@ -8,10 +8,10 @@ Dependency order (module 3's order, not module 2's cell order):
     then, on the cohort: features at both landmarks + slopes, and windowed
     intake/output totals + balances + rate slopes.
 
-Every step is a DataFrame pass folded in by key. The facts are scanned
-once for the episode, once for eligibility (plus the exposures), once for
-all features and once for all windowed totals: 4 scans where the reference
-runs 2 + 1 + 28 + 6 UPDATE queries. The base chain is cut twice by writing
+Every step is a DataFrame pass folded in by key. The measurements are read
+in three passes: the episode, the eligibility rule (plus the exposures),
+and one ``measurement_pass`` for all features at both landmarks and all
+windowed totals, where the reference runs 2 + 1 + 28 + 6 UPDATE queries. The base chain is cut twice by writing
 it as a Parquet table in the checkpoint folder (every later pass reads it
 twice: as the table and as the source of its landmarks), so plans do not
 grow with the chain and nothing is computed twice.
@@ -20,6 +20,7 @@ grow with the chain and nothing is computed twice.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from ..functions.numeric import NUMERIC
 from ..functions.timecalc import shift, whole_hours
 from ..operators import episodes, features, landmarks, outcomes, totals
 from ..operators.features import FeatureSpec
+from ..operators.bands import cohort_window_join
 from ..operators.landmarks import EligibilityRule
 from ..session import materialize
 from .widetable import update_from
@@ -116,10 +118,7 @@ def feature_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> D
                                     "weaning", min_hours=p.slope_min_hours)
 
 
-def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
-    """Intake/output over three periods in one scan, then balances and rate
-    slopes. Periods 1-2 stay NULL without events; the 24 h totals start at 0
-    for every entity with an episode (R16)."""
+def _fluid_specs(p: WeaningParams) -> list[totals.WindowSpec]:
     lo_hi = {
         "imv_to_eligible": (F.col("first_imv_start"), F.col("eligible_start_time")),
         "eligible_to_weaning": (F.col("eligible_start_time"), F.col("first_weaning")),
@@ -129,12 +128,18 @@ def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> Dat
     for per, (lo, hi) in lo_hi.items():
         specs.append(totals.WindowSpec(f"fluid_intake_{per}", tuple(p.intake_codes), lo, hi))
         specs.append(totals.WindowSpec(f"fluid_output_{per}", tuple(p.output_codes), lo, hi))
-    has_ep = F.col("first_imv_end").isNotNull()
-    sums = totals.window_sums(chain, inputs.measurement, specs, cohort_filter=has_ep)
+    return specs
+
+
+_EPISODE_COLS = ["first_imv_start", "first_imv_end", "eligible_start_time",
+                 "duration_eligible_to_weaning", "cohort_criteria"]
+def _has_episode():
+    return F.col("first_imv_end").isNotNull()
+
 
-    cols = ["first_imv_start", "first_imv_end", "eligible_start_time",
-            "duration_eligible_to_weaning", "cohort_criteria"]
-    t = chain.select(E, *cols).filter(has_ep).join(sums, E, "left")
+def _fluid_finish(t: DataFrame) -> DataFrame:
+    """Zero-filled 24 h totals, balances and rate slopes on episode rows that
+    carry the six sums (NULL where no event)."""
     # the 24 h totals are initialised to 0 and only overwritten by real sums
     zero = F.lit(0).cast(NUMERIC)
     t = t.withColumns({c: F.coalesce(F.col(c), zero)
@@ -147,15 +152,70 @@ def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> Dat
              for k in ("intake", "output", "balance")]
     items += [(f"fluid_{k}_eligible_to_weaning", "duration_eligible_to_weaning")
               for k in ("intake", "output", "balance")]
-    t = totals.rate_slopes(t, items, digits=4, where=gate)
-    return t.drop(*cols)
+    return totals.rate_slopes(t, items, digits=4, where=gate)
+
+
+def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
+    """Intake/output over three periods in one scan, then balances and rate
+    slopes. Periods 1-2 stay NULL without events; the 24 h totals start at 0
+    for every entity with an episode (R16)."""
+    sums = totals.window_sums(chain, inputs.measurement, _fluid_specs(p),
+                              cohort_filter=_has_episode())
+    t = chain.select(E, *_EPISODE_COLS).filter(_has_episode()).join(sums, E, "left")
+    return _fluid_finish(t).drop(*_EPISODE_COLS)
+
+
+def measurement_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams,
+                     bucket_hours: float = 24.0) -> DataFrame:
+    """Every feature at both landmarks and every windowed total in ONE scan
+    of the measurements and one aggregate (the reference: 28 + 6 UPDATEs).
+
+    The episode rows are exploded over the buckets of all feature windows
+    (cohort rows only) and all fluid periods; facts join on (entity, bucket)
+    and one ``groupBy(entity)`` computes the nearest-row minima and the sums.
+    Same values as ``feature_pass`` + ``fluid_pass``.
+    """
+    in_cohort = F.col("cohort_criteria") == 1
+    specs_t = _fluid_specs(p)
+    lm_cols = list(dict.fromkeys(LANDMARKS.values()))
+    coh = (chain.filter(_has_episode())
+                .select(E, "cohort_criteria", *lm_cols, *totals.bound_columns(specs_t)))
+    codes = sorted({c for f in p.features for c in f.codes}
+                   | set(p.intake_codes) | set(p.output_codes), key=str)
+    m = inputs.measurement
+    keep = [E, features.T, features.C, features.V] \
+        + ([features.U] if features.U in m.columns else []) \
+        + ([p.tiebreak] if p.tiebreak else [])
+    facts = m.filter(F.col(features.C).isin(codes)).select(*dict.fromkeys(keep))
+    wins = features.feature_windows(p.features, LANDMARKS, gate=in_cohort) \
+        + [(F.col(f"_lo_{i}"), F.col(f"_hi_{i}")) for i in range(len(specs_t))]
+    rows = cohort_window_join(facts, coh, E, features.T, wins, bucket_hours)
+    f_aggs, f_conds = features.feature_aggregates(p.features, LANDMARKS, tiebreak=p.tiebreak,
+                                                  gate=in_cohort)
+    t_aggs, t_conds = totals.sum_aggregates(specs_t)
+    rows = rows.filter(reduce(lambda a, b: a | b, f_conds + t_conds))
+    g = rows.groupBy(E).agg(*f_aggs, *t_aggs)
+
+    t = chain.select(E, *_EPISODE_COLS).filter(_has_episode()).join(g, E, "left")
+    structs = [c for c in g.columns if c.startswith("_")]
+    t = t.select("*", *features.feature_columns(p.features, LANDMARKS)).drop(*structs)
+    t = features.landmark_slopes(t, [f.name for f in p.features], "eligible", "weaning",
+                                 min_hours=p.slope_min_hours)
+    t = _fluid_finish(t)
+    # same column order as feature_pass + fluid_pass
+    order = [f"{f.name}_at_{sfx}{suffix}" for f in p.features for sfx in LANDMARKS
+             for suffix in ("", "_time")]
+    order += [f"{f.name}_slope" for f in p.features]
+    order += [s.name for s in specs_t] + ["duration_imv_to_eligible"]
+    order += [f"fluid_balance_{per}" for per in PERIODS]
+    order += [f"fluid_{k}_{per}_slope" for per in PERIODS[:2]
+              for k in ("intake", "output", "balance")]
+    return t.select(E, *order)
 
 
 def assemble_table(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
-    """The base chain with the feature and fluid passes folded in by key."""
-    feats = feature_pass(chain, inputs, p)
-    fluids = fluid_pass(chain, inputs, p)
-    return chain_fixed(chain).join(feats, E, "left").join(fluids, E, "left")
+    """The base chain with the fused feature + totals pass folded in by key."""
+    return chain_fixed(chain).join(measurement_pass(chain, inputs, p), E, "left")
 
 
 def store_table(df: DataFrame, inputs: WeaningInputs, name: str) -> DataFrame:

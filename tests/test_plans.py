@@ -40,3 +40,15 @@ def test_code_filter_pushed_to_scan(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), In(event_type, [view])]" in text \
         or "PushedFilters: [In(event_type, [view])" in text or "EqualTo(event_type,view)" in text
+
+
+def test_measurement_pass_is_one_scan_and_equals_separate_passes(spark):
+    inp, chain = R._chain(spark, SF_DIR, 2)
+    fused = R.W.measurement_pass(chain, inp, R.TEST_PARAMS)
+    assert len(re.findall(r"events\.parquet", plan(fused))) == 1
+    sep = (R.W.feature_pass(chain, inp, R.TEST_PARAMS)
+           .join(R.W.fluid_pass(chain, inp, R.TEST_PARAMS), "person_id", "full"))
+    cols = sorted(fused.columns)
+    assert cols == sorted(sep.columns)
+    assert sorted(map(tuple, fused.select(cols).collect()), key=str) == \
+           sorted(map(tuple, sep.select(cols).collect()), key=str)
