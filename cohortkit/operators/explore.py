@@ -104,12 +104,13 @@ def spot_check(fact: DataFrame, concept: DataFrame, concept_id, n_entities: int
     return out.limit(limit) if limit else out
 
 
-def describe_values(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+def describe_values(df: DataFrame, col: str, exact: bool = False) -> DataFrame:
     """``Series.describe()``: count, mean, std, min, quartiles, max.
 
-    ``exact`` interpolates quartiles like pandas (``percentile`` keeps the
-    distinct values of the column, so use it on bounded inputs such as a
-    spot check); otherwise ``percentile_approx`` keeps a fixed-size sketch.
+    By default the quartiles come from ``percentile_approx`` (a fixed-size
+    sketch per task, safe on any input). ``exact=True`` interpolates them
+    like pandas with ``percentile``, which keeps every distinct value of the
+    column in one buffer: use it only on bounded inputs such as a spot check.
     """
     x = F.col(col).cast("double")
     if exact:
