@@ -6,6 +6,7 @@ to one operator of the inventory and runs it over the whole tables.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -221,6 +222,7 @@ CONDITION_PATTERNS = ("%: 7%", "%: 42}%", "%: 13}%")
 COHORT_STARTS = ("2024-01-05", "2024-01-17")
 
 _CHAINS: dict = {}
+_LOCK = threading.RLock()   # one computation per (application, dataset)
 
 
 def weaning_inputs(spark, sf_dir) -> W.WeaningInputs:
@@ -234,12 +236,13 @@ def _chain(spark, sf_dir, stage: int):
     """The checkpointed base chain (stage 1: episode, 2: landmarks+outcomes),
     computed once per application and dataset."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CHAINS:
-        inp = weaning_inputs(spark, sf_dir)
-        c1 = W.episode_chain(inp, TEST_PARAMS)
-        c2 = W.landmark_chain(c1, inp, TEST_PARAMS)
-        _CHAINS[key] = (inp, c1, c2)
-    inp, c1, c2 = _CHAINS[key]
+    with _LOCK:
+        if key not in _CHAINS:
+            inp = weaning_inputs(spark, sf_dir)
+            c1 = W.episode_chain(inp, TEST_PARAMS)
+            c2 = W.landmark_chain(c1, inp, TEST_PARAMS)
+            _CHAINS[key] = (inp, c1, c2)
+        inp, c1, c2 = _CHAINS[key]
     return inp, (c1 if stage == 1 else c2)
 
 
@@ -254,10 +257,12 @@ def weaning_wide(spark, sf_dir):
     table instead of recomputing the feature and fluid passes each time.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _WIDE:
-        inp, chain = _chain(spark, sf_dir, 2)
-        _WIDE[key] = W.store_table(W.assemble_table(chain, inp, TEST_PARAMS), inp, "cohort")
-    return _WIDE[key]
+    with _LOCK:
+        if key not in _WIDE:
+            inp, chain = _chain(spark, sf_dir, 2)
+            _WIDE[key] = W.store_table(W.assemble_table(chain, inp, TEST_PARAMS), inp,
+                                       "cohort")
+        return _WIDE[key]
 
 
 # lineitem dates are whole days a few per supplier per month: 30-day slices
