@@ -21,6 +21,7 @@ from ..functions.numeric import fixed
 from ..functions.text import like_any
 from ..functions.timecalc import shift, whole_hours
 from .bands import band_join, cohort_window_join, interval_join, intervals_with_points
+from .ordered import SLICE, running_sum
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 U = "unit_source_value"
@@ -110,6 +111,10 @@ class EligibilityRule:
     # R11: 'median' over all qualifying pairs (reference) or 'start': the
     # values of the earliest pair (nearest partner, then earliest)
     value_at: str = "median"
+    # 'pairs': join the two signals within the band and take medians over the
+    # pairs; 'counts': count each row's partners with ordered scans and take
+    # weighted medians (same values, exact, no pairs materialised)
+    pairing: str = "pairs"
 
 
 def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame,
@@ -163,6 +168,8 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
              .filter(inside)
              .select(entity, F.col(time).alias("b_time"), F.col(value).alias("b_value")))
 
+    if rule.pairing == "counts" and rule.value_at == "median":
+        return _eligibility_by_counts(a.drop("_ab"), b, entity, rule)
     pairs = paired_within(a, b, entity=entity, tolerance_minutes=rule.tolerance_minutes,
                           a_bucket="_ab").drop("_ab")
     if rule.value_at == "start":
@@ -179,6 +186,83 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
         med("b_value").alias("eligible_start_peep"))
 
 
+def band_partner_weights(points: DataFrame, others: DataFrame, entity: str, p_time: str,
+                         keys: Sequence[str], o_time: str, o_weight: str,
+                         tolerance_hours: float, slice_hours: float = 24.0) -> DataFrame:
+    """For each distinct point row (``entity`` + ``keys``), the total
+    ``o_weight`` of ``others`` rows of its entity with ``o_time`` inside
+    ``[p_time - tol, p_time + tol]``, without forming pairs.
+
+    The points become two query rows, at ``p_time - tol`` (ordered before
+    others at the same instant) and ``p_time + tol`` (ordered after); the
+    others carry their weight. One skew-safe running sum over the merged,
+    time-ordered stream gives the weight up to each query; the partner
+    weight is the difference of a point's two queries.
+    """
+    types = {f.name: f.dataType for f in points.schema.fields}
+    q = points.select(entity, *keys)
+    kcols = [F.col(k) for k in keys]
+    lo = q.select(entity, shift(p_time, -tolerance_hours).alias("_t"), F.lit(0).alias("_tag"),
+                  F.lit(0).cast("long").alias("_w"), *kcols)
+    hi = q.select(entity, shift(p_time, tolerance_hours).alias("_t"), F.lit(2).alias("_tag"),
+                  F.lit(0).cast("long").alias("_w"), *kcols)
+    ob = others.select(entity, F.col(o_time).alias("_t"), F.lit(1).alias("_tag"),
+                       F.col(o_weight).cast("long").alias("_w"),
+                       *[F.lit(None).cast(types[k]).alias(k) for k in keys])
+    stream = lo.unionByName(hi).unionByName(ob)
+    cum = running_sum(stream, entity, "_t", "_tag", "_w", "_cum", slice_hours=slice_hours)
+    return (cum.filter(F.col("_tag") != 1).groupBy(entity, *keys)
+               .agg((F.sum(F.when(F.col("_tag") == 2, F.col("_cum")))
+                     - F.sum(F.when(F.col("_tag") == 0, F.col("_cum")))).alias("_partners")))
+
+
+def weighted_lower_median(df: DataFrame, entity: str, value: str, weight: str,
+                          value_slice: float = 1.0) -> DataFrame:
+    """Per entity the lower median of ``value`` repeated ``weight`` times:
+    the smallest value whose running weight exceeds ``floor((W - 1) / 2)``
+    (``quantile_disc(0.5)`` of the expanded multiset).
+
+    Weights are summed per (entity, value) first; the running weight over
+    values is the skew-safe running sum, sliced by value buckets of width
+    ``value_slice`` instead of by time.
+    """
+    w = (df.groupBy(entity, value).agg(F.sum(weight).alias("_w"))
+           .filter(F.col("_w") > 0)
+           .withColumn(SLICE, F.floor(F.col(value) / F.lit(value_slice)).cast("long")))
+    cum = running_sum(w, entity, value, None, "_w", "_cum")
+    total = w.groupBy(entity).agg(F.sum("_w").alias("_total"))
+    k = F.floor((F.col("_total") - 1) / 2)
+    return (cum.join(total, entity).filter(F.col("_cum") > k)
+               .groupBy(entity).agg(F.min(value).alias("_median")))
+
+
+def _eligibility_by_counts(a: DataFrame, b: DataFrame, entity: str,
+                           rule: EligibilityRule) -> DataFrame:
+    """C30 without materialising pairs: partner counts by ordered scans,
+    earliest paired first signal, weighted lower medians of both signals."""
+    tol = rule.tolerance_minutes / 60.0
+    ag = a.groupBy(entity, "a_time", "a_value").agg(F.count(F.lit(1)).alias("_n"))
+    bg = b.groupBy(entity, "b_time", "b_value").agg(F.count(F.lit(1)).alias("_n"))
+    wa = (band_partner_weights(ag, bg, entity, "a_time", ["a_time", "a_value"], "b_time", "_n",
+                               tol)
+          .join(ag, [entity, "a_time", "a_value"])
+          .withColumn("_pairs", F.col("_partners") * F.col("_n")))
+    wb = (band_partner_weights(bg, ag, entity, "b_time", ["b_time", "b_value"], "a_time", "_n",
+                               tol)
+          .join(bg, [entity, "b_time", "b_value"])
+          .withColumn("_pairs", F.col("_partners") * F.col("_n")))
+    start = (wa.filter(F.col("_pairs") > 0).groupBy(entity)
+               .agg(F.min("a_time").alias("eligible_start_time")))
+    fio2 = weighted_lower_median(wa, entity, "a_value", "_pairs")
+    peep = weighted_lower_median(wb, entity, "b_value", "_pairs")
+    return (start.join(fio2, entity)
+                 .select(entity, "eligible_start_time",
+                         fixed(F.col("_median"), rule.median_digits).alias("eligible_start_fio2"))
+                 .join(peep, entity)
+                 .select(entity, "eligible_start_time", "eligible_start_fio2",
+                         fixed(F.col("_median"), rule.median_digits).alias("eligible_start_peep")))
+
+
 def terminal_landmark(df: DataFrame, *, death_guard_hours: float = 12,
                       episode_end: str = "first_imv_end",
                       eligible: str = "eligible_start_time",

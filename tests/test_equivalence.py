@@ -149,3 +149,39 @@ def test_intervals_with_points_equals_brute_force(spark, bucket_hours):
     want = (iv.join(pts, (iv.e == pts.e) & pts.t.between(iv.s, iv.x), "left_semi")
               .select("e", "iid").distinct())
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_pair_free_eligibility_equals_pairs(spark, seed):
+    import dataclasses
+    from cohortkit.operators import landmarks
+    rnd = random.Random(seed)
+    rows, i = [], 0
+    for e in range(5):
+        n = 300 if e == 0 else 40
+        for _ in range(n):
+            t = T0 + dt.timedelta(minutes=10 * rnd.randint(0, 600))   # 10-min grid: exact ties
+            code = rnd.choice(["f", "p"])
+            v = float(rnd.choice([0.3, 0.4, 21, 30, 40, 45, 5, 8, 10] if code == "f"
+                                 else [4, 5, 6, 8, 10]))
+            rows.append((e, t, code, v, "u", i))
+            i += 1
+            if rnd.random() < 0.1:                                     # exact duplicate row
+                rows.append((e, t, code, v, "u", i))
+                i += 1
+    fact = spark.createDataFrame(rows, "person_id long, measurement_datetime timestamp_ntz, "
+                                       "measurement_concept_id string, value_as_number double, "
+                                       "unit_source_value string, measurement_id long")
+    coh = spark.createDataFrame([(e, T0, T0, T0 + dt.timedelta(hours=100)) for e in range(5)],
+                                "person_id long, admission_start timestamp_ntz, "
+                                "first_imv_start timestamp_ntz, first_imv_end timestamp_ntz")
+    ex = spark.createDataFrame([(0, "d", T0 + dt.timedelta(hours=20), T0 + dt.timedelta(hours=22))],
+                               "person_id long, drug_concept_id string, "
+                               "drug_exposure_start_datetime timestamp_ntz, "
+                               "drug_exposure_end_datetime timestamp_ntz")
+    rule = landmarks.EligibilityRule(first_code="f", second_code="p", second_max=9,
+                                     tolerance_minutes=30, exposure_codes=("d",))
+    pairs = landmarks.eligibility_landmark(coh, fact, ex, rule).collect()
+    counts = landmarks.eligibility_landmark(
+        coh, fact, ex, dataclasses.replace(rule, pairing="counts")).collect()
+    assert sorted(pairs) == sorted(counts) and len(pairs) >= 4
