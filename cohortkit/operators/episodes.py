@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecalc import whole_hours
 from .bands import cohort_window_join, interval_join
-from .ordered import SLICE, running_sum, with_neighbors
+from .ordered import SLICE, segment_numbers, with_neighbors
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 
@@ -41,13 +41,9 @@ def gap_episodes(fact: DataFrame, codes: Sequence | None = None, *, gap_hours: f
     """
     order = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak or [])
     ev = _codes(fact, code, codes).select(entity, time, *order)
-    ev = with_neighbors(ev, entity, time, tiebreak, [time], prev=True,
-                        slice_hours=slice_hours, keep_slice=True)
-    gap = whole_hours(f"prev_{time}", time)
-    ev = ev.withColumn("_new", F.when(F.col(f"prev_{time}").isNull()
-                                      | _gap_test(gap, gap_hours, strict), 1).otherwise(0))
-    ev = running_sum(ev, entity, time, tiebreak, "_new", "episode_number",
-                     slice_hours=slice_hours)
+    ev = segment_numbers(ev, entity, time, tiebreak,
+                         lambda prev, cur: _gap_test(whole_hours(prev, cur), gap_hours, strict),
+                         "episode_number", slice_hours=slice_hours)
     ep = ev.groupBy(entity, "episode_number").agg(
         F.min(time).alias("episode_start"),
         F.max(time).alias("episode_end"),

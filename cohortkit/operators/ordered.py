@@ -21,9 +21,9 @@ slices. ``slice_hours`` trades task size for summary size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecalc import epoch_micros, time_bucket
@@ -175,3 +175,50 @@ def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
                .withColumn(out, F.col("_off") + F.col("_within"))
                .drop("_off", "_within", "_last_in_slice"))
     return res if keep_slice else res.drop(SLICE)
+
+
+def segment_numbers(df: DataFrame, entity: str | Sequence[str], time: str,
+                    tiebreak: str | Sequence[str] | None,
+                    is_new: Callable[[Column, Column], Column], out: str, *,
+                    slice_hours: float | str = 24.0) -> DataFrame:
+    """Number the segments of each entity's ordered sequence in one scan.
+
+    ``is_new(prev_time, time)`` says whether a row starts a new segment
+    given the previous row's time (the first row of an entity always does).
+    Equivalent to ``lag`` + a running ``SUM`` of the start flags, but with a
+    single slice summary: per (entity, slice) the first and last time and the
+    number of starts after the slice's first row; one window over the
+    summaries per entity resolves each slice's first-row flag and its offset,
+    and one join on (entity, slice) numbers every row.
+    """
+    keys = _keys(entity)
+    order = _order(time, tiebreak)
+    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys)
+
+    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    prev_in = F.lag(time).over(w)
+    inner = F.when(prev_in.isNotNull() & is_new(prev_in, F.col(time)), 1).otherwise(0)
+    rows = d.select("*", inner.alias("_inner"),
+                    F.lag(F.lit(1)).over(w).isNull().alias("_first_in_slice"),
+                    F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
+    rows = rows.withColumn("_cum_inner", F.sum("_inner").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    edges = rows.filter(F.col("_first_in_slice") | F.col("_last_in_slice"))
+    summ = edges.groupBy(*keys, SLICE).agg(
+        F.max_by(F.col(time), F.col("_first_in_slice").cast("int")).alias("_t_first"),
+        F.max_by(F.col(time), F.col("_last_in_slice").cast("int")).alias("_t_last"),
+        F.max_by(F.col("_cum_inner"), F.col("_last_in_slice").cast("int")).alias("_starts"))
+    ws = Window.partitionBy(*keys).orderBy(SLICE)
+    prev_last = F.lag("_t_last").over(ws)
+    summ = summ.select(*keys, SLICE, "_starts",
+                       F.when(prev_last.isNull() | is_new(prev_last, F.col("_t_first")), 1)
+                        .otherwise(0).alias("_first_flag"))
+    summ = summ.select(*keys, SLICE, "_first_flag",
+                       F.coalesce(F.sum(F.col("_first_flag") + F.col("_starts")).over(
+                           ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                        .alias("_offset"))
+    res = rows.join(summ, on=[*keys, SLICE], how="inner")
+    res = res.withColumn(out, F.col("_offset") + F.col("_first_flag") + F.col("_cum_inner"))
+    return res.drop("_inner", "_cum_inner", "_first_in_slice", "_last_in_slice",
+                    "_first_flag", "_offset", SLICE)

@@ -185,3 +185,17 @@ def test_pair_free_eligibility_equals_pairs(spark, seed):
     counts = landmarks.eligibility_landmark(
         coh, fact, ex, dataclasses.replace(rule, pairing="counts")).collect()
     assert sorted(pairs) == sorted(counts) and len(pairs) >= 4
+
+
+@pytest.mark.parametrize("seed,slice_hours,gap", [(31, 24.0, 6), (32, 0.5, 1), (33, 240.0, 24)])
+def test_segment_numbers_equal_lag_and_running_sum(spark, seed, slice_hours, gap):
+    from cohortkit.functions.timecalc import whole_hours
+    df = random_events(spark, seed)
+    is_new = lambda prev, cur: whole_hours(prev, cur) > gap
+    got = ordered.segment_numbers(df, "e", "t", "id", is_new, "seg", slice_hours=slice_hours)
+    w = Window.partitionBy("e").orderBy("t", "id")
+    prev = F.lag("t").over(w)
+    flags = df.withColumn("_f", F.when(prev.isNull() | is_new(prev, F.col("t")), 1).otherwise(0))
+    want = flags.withColumn("seg", F.sum("_f").over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(got.select("id", "seg").collect()) == sorted(want.select("id", "seg").collect())
