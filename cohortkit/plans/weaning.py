@@ -142,10 +142,10 @@ def _fluid_finish(t: DataFrame) -> DataFrame:
     carry the six sums (NULL where no event)."""
     # the 24 h totals are initialised to 0 and only overwritten by real sums
     zero = F.lit(0).cast(NUMERIC)
-    t = t.withColumns({c: F.coalesce(F.col(c), zero)
-                       for c in ("fluid_intake_24h_prior", "fluid_output_24h_prior")})
-    t = t.withColumn("duration_imv_to_eligible",
-                     whole_hours("first_imv_start", "eligible_start_time"))
+    t = t.withColumns({
+        **{c: F.coalesce(F.col(c), zero)
+           for c in ("fluid_intake_24h_prior", "fluid_output_24h_prior")},
+        "duration_imv_to_eligible": whole_hours("first_imv_start", "eligible_start_time")})
     t = totals.balance(t, PERIODS)
     gate = (F.col("cohort_criteria") == 1) & (F.col("duration_imv_to_eligible") > 0)
     items = [(f"fluid_{k}_imv_to_eligible", "duration_imv_to_eligible")

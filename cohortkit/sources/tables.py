@@ -23,9 +23,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_READS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one named table of the dataset."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan one named table of the dataset.
+
+    The input tables are immutable during a session, so each is opened once
+    per application (opening a Parquet table lists its files and reads a
+    footer for the schema, which is a small job of its own); every binding
+    then starts from the same lazy scan.
+    """
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def list_tables(sf_dir: str, names: tuple[str, ...] = TEST_TABLES) -> list[str]:
