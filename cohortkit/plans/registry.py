@@ -20,6 +20,7 @@ from ..operators import totals as tot
 from ..operators.features import FeatureSpec
 from ..operators.landmarks import EligibilityRule
 from ..sources import bindings as B
+from ..session import app_key
 from ..sources import tables
 from . import catalogue
 from . import weaning as W
@@ -235,7 +236,7 @@ def weaning_inputs(spark, sf_dir) -> W.WeaningInputs:
 def _chain(spark, sf_dir, stage: int):
     """The checkpointed base chain (stage 1: episode, 2: landmarks+outcomes),
     computed once per application and dataset."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     with _LOCK:
         if key not in _CHAINS:
             inp = weaning_inputs(spark, sf_dir)
@@ -256,7 +257,7 @@ def weaning_wide(spark, sf_dir):
     ``table_status``, ``feature_matrix``, the summaries) query the stored
     table instead of recomputing the feature and fluid passes each time.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     with _LOCK:
         if key not in _WIDE:
             inp, chain = _chain(spark, sf_dir, 2)

@@ -45,6 +45,14 @@ def get_session(app: str = "cohortkit", cores: str | int = "*",
     return spark
 
 
+def app_key(spark: SparkSession) -> str:
+    """An id of the running application, for per-session caches."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:   # sessions without a local SparkContext (Spark Connect)
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only where none is set.
 
@@ -52,7 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. Only a session without it (a bare local test) gets a fresh
     scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the folder must be configured
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

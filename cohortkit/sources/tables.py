@@ -35,7 +35,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     then starts from the same lazy scan.
     """
     path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, path)
+    from ..session import app_key
+    key = (app_key(spark), path)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(path)
