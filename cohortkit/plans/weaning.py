@@ -32,7 +32,7 @@ from ..operators.features import FeatureSpec
 from ..operators.bands import cohort_window_join
 from ..operators.landmarks import EligibilityRule
 from ..session import materialize
-from .widetable import update_from
+from .widetable import assert_unique, update_from
 
 E = "person_id"
 LANDMARKS = {"eligible": "eligible_start_time", "weaning": "first_weaning"}
@@ -65,6 +65,9 @@ class WeaningInputs:
     condition: DataFrame | None = None   # person_id, condition_start_datetime, text
     death: DataFrame | None = None       # person_id, death_datetime
     cut: bool = True              # write the base chain as a table (lineage cut)
+    # The passes join back by person; with several admissions per person
+    # their per-person results would be shared. Check (one small job) if unsure.
+    check_one_row_per_entity: bool = False
 
 
 def _cut(df: DataFrame, inputs: WeaningInputs, name: str) -> DataFrame:
@@ -74,6 +77,8 @@ def _cut(df: DataFrame, inputs: WeaningInputs, name: str) -> DataFrame:
 def episode_chain(inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
     """Base rows, condition flag, first episode and death time (cut 1)."""
     base = landmarks.base_cohort(inputs.visit, p.admission_starts)
+    if inputs.check_one_row_per_entity:
+        assert_unique(base, E)
     base = base.withColumn("admission_has_neuro", F.lit(0).cast("long"))
     if p.condition_patterns and inputs.condition is not None:
         flag = landmarks.condition_flag(base, inputs.condition, p.condition_patterns)

@@ -58,3 +58,21 @@ def test_reference_parameters_run_end_to_end(spark):
     assert p1.fluid_intake_imv_to_eligible is not None and p1.fio2_at_weaning is not None
     assert p2.admission_has_neuro == 1 and p2.cohort_criteria is None
     assert p2.eligible_start_time >= h(33)               # 3 h wash-out after noradrenaline
+
+
+def test_one_row_per_entity_check(spark):
+    import pytest
+    visit = spark.createDataFrame([(1, A, h(10)), (1, h(20), h(30))],
+                                  "person_id long, visit_start_datetime timestamp_ntz, "
+                                  "visit_end_datetime timestamp_ntz")
+    empty = spark.createDataFrame([], "measurement_id long, person_id long, "
+                                      "measurement_datetime timestamp_ntz, "
+                                      "measurement_concept_id long, value_as_number double, "
+                                      "unit_source_value string")
+    drugs = spark.createDataFrame([], "person_id long, drug_concept_id long, "
+                                      "drug_exposure_start_datetime timestamp_ntz, "
+                                      "drug_exposure_end_datetime timestamp_ntz")
+    inputs = weaning.WeaningInputs(visit=visit, measurement=empty, drug_exposure=drugs,
+                                   cut=False, check_one_row_per_entity=True)
+    with pytest.raises(ValueError):
+        weaning.episode_chain(inputs, catalogue.reference_params())
