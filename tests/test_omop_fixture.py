@@ -62,7 +62,7 @@ def test_reference_parameters_run_end_to_end(spark):
 
 def test_one_row_per_entity_check(spark):
     import pytest
-    visit = spark.createDataFrame([(1, A, h(10)), (1, h(20), h(30))],
+    visit = spark.createDataFrame([(1, A, h(10)), (1, A, h(30))],
                                   "person_id long, visit_start_datetime timestamp_ntz, "
                                   "visit_end_datetime timestamp_ntz")
     empty = spark.createDataFrame([], "measurement_id long, person_id long, "
