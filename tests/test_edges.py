@@ -236,3 +236,27 @@ def test_operators_accept_zoned_timestamps(spark):
     r = features.nearest_at_landmark(coh, ltz, spec, "lm", suffix="x",
                                      tiebreak="measurement_id").collect()[0]
     assert r.f_at_x == Decimal("2.000000000")
+
+
+def test_entity_without_events_gets_null_periods_and_zero_24h(spark):
+    from cohortkit.plans import weaning
+    chain = spark.createDataFrame(
+        [(1, T0, T0 + h(30), T0 + h(10), T0 + h(30), 20, 1),
+         (2, T0, T0 + h(30), T0 + h(10), T0 + h(30), 20, 1)],
+        "person_id long, first_imv_start timestamp_ntz, first_imv_end timestamp_ntz, "
+        "eligible_start_time timestamp_ntz, first_weaning timestamp_ntz, "
+        "duration_eligible_to_weaning long, cohort_criteria long")
+    fact = events(spark, [(1, T0 + h(5), "in", 100.0, "u", 1),
+                          (1, T0 + h(20), "out", 40.0, "u", 2)])
+    params = weaning.WeaningParams(segment_codes=("x",), segment_gap_hours=6,
+                                   rule=landmarks.EligibilityRule(), intake_codes=("in",),
+                                   output_codes=("out",))
+    inputs = weaning.WeaningInputs(visit=None, measurement=fact, drug_exposure=None, cut=False)
+    out = {r.person_id: r for r in weaning.fluid_pass(chain, inputs, params).collect()}
+    assert out[1].fluid_intake_imv_to_eligible == Decimal("100.000000000")
+    assert out[1].fluid_output_24h_prior == Decimal("40.000000000")
+    assert out[1].fluid_balance_24h_prior == Decimal("-40.000000000")
+    p2 = out[2]                                  # no events at all
+    assert p2.fluid_intake_imv_to_eligible is None and p2.fluid_balance_imv_to_eligible is None
+    assert p2.fluid_intake_24h_prior == p2.fluid_output_24h_prior == Decimal("0E-9")
+    assert p2.fluid_balance_24h_prior == Decimal("0E-9")
