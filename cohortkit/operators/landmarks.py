@@ -81,7 +81,28 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
     ``[start - lead_in, end + washout]``. An exposure with a NULL end never
     excludes, as in the reference (R22); with ``open_ended`` it is active
     from its start on (bounded by the entity's last event, which is exact
-    since no event lies beyond it)."""
+    since no event lies beyond it).
+
+    ``codes`` may map each code to its own ``(lead_in, washout)`` hours
+    (R8); it is still one anti join, with per-code bounds.
+    """
+    if isinstance(codes, dict):
+        per_code = {c: tuple(v) for c, v in codes.items()}
+        ex = exposure.filter(F.col(code).isin(list(per_code))).select(entity, code, start, end)
+        lo = hi = None
+        for c, (lead, wash) in per_code.items():
+            is_c = F.col(code) == F.lit(c)
+            lo = (F.when(is_c, shift(start, -lead)) if lo is None
+                  else lo.when(is_c, shift(start, -lead)))
+            hi = (F.when(is_c, shift(end, wash)) if hi is None
+                  else hi.when(is_c, shift(end, wash)))
+        if open_ended:
+            last = events.groupBy(entity).agg(F.max(time).alias("_last_event"))
+            ex = ex.join(last, entity, "inner")
+            hi = F.coalesce(hi, F.col("_last_event"))
+        width = bucket_hours or 12.0
+        return interval_join(events, ex, entity, time, lo, hi, how="left_anti",
+                             bucket_hours=width, point_bucket=point_bucket)
     ex = exposure.filter(F.col(code).isin(list(codes))).select(entity, start, end)
     hi = shift(end, washout_hours)
     if open_ended:

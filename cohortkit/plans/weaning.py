@@ -55,6 +55,8 @@ class WeaningParams:
     slope_min_hours: float = 4
     tiebreak: str | None = None
     slice_hours: float = 24.0
+    # Also the 24 h rate slopes (total / 24), which the reference promises
+    slopes_24h: bool = False
 
 
 @dataclass
@@ -142,7 +144,7 @@ def _has_episode():
     return F.col("first_imv_end").isNotNull()
 
 
-def _fluid_finish(t: DataFrame) -> DataFrame:
+def _fluid_finish(t: DataFrame, slopes_24h: bool = False) -> DataFrame:
     """Zero-filled 24 h totals, balances and rate slopes on episode rows that
     carry the six sums (NULL where no event)."""
     # the 24 h totals are initialised to 0 and only overwritten by real sums
@@ -157,7 +159,13 @@ def _fluid_finish(t: DataFrame) -> DataFrame:
              for k in ("intake", "output", "balance")]
     items += [(f"fluid_{k}_eligible_to_weaning", "duration_eligible_to_weaning")
               for k in ("intake", "output", "balance")]
-    return totals.rate_slopes(t, items, digits=4, where=gate)
+    t = totals.rate_slopes(t, items, digits=4, where=gate)
+    if slopes_24h:
+        t = t.withColumn("_24h", F.lit(24).cast("long"))
+        t = totals.rate_slopes(t, [(f"fluid_{k}_24h_prior", "_24h")
+                                   for k in ("intake", "output", "balance")],
+                               digits=4, where=F.col("cohort_criteria") == 1).drop("_24h")
+    return t
 
 
 def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> DataFrame:
@@ -167,7 +175,7 @@ def fluid_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams) -> Dat
     sums = totals.window_sums(chain, inputs.measurement, _fluid_specs(p),
                               cohort_filter=_has_episode())
     t = chain.select(E, *_EPISODE_COLS).filter(_has_episode()).join(sums, E, "left")
-    return _fluid_finish(t).drop(*_EPISODE_COLS)
+    return _fluid_finish(t, p.slopes_24h).drop(*_EPISODE_COLS)
 
 
 def measurement_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams,
@@ -206,14 +214,14 @@ def measurement_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams,
     t = t.select("*", *features.feature_columns(p.features, LANDMARKS)).drop(*structs)
     t = features.landmark_slopes(t, [f.name for f in p.features], "eligible", "weaning",
                                  min_hours=p.slope_min_hours)
-    t = _fluid_finish(t)
+    t = _fluid_finish(t, p.slopes_24h)
     # same column order as feature_pass + fluid_pass
     order = [f"{f.name}_at_{sfx}{suffix}" for f in p.features for sfx in LANDMARKS
              for suffix in ("", "_time")]
     order += [f"{f.name}_slope" for f in p.features]
     order += [s.name for s in specs_t] + ["duration_imv_to_eligible"]
     order += [f"fluid_balance_{per}" for per in PERIODS]
-    order += [f"fluid_{k}_{per}_slope" for per in PERIODS[:2]
+    order += [f"fluid_{k}_{per}_slope" for per in (PERIODS if p.slopes_24h else PERIODS[:2])
               for k in ("intake", "output", "balance")]
     return t.select(E, *order)
 

@@ -260,3 +260,30 @@ def test_entity_without_events_gets_null_periods_and_zero_24h(spark):
     assert p2.fluid_intake_imv_to_eligible is None and p2.fluid_balance_imv_to_eligible is None
     assert p2.fluid_intake_24h_prior == p2.fluid_output_24h_prior == Decimal("0E-9")
     assert p2.fluid_balance_24h_prior == Decimal("0E-9")
+
+
+def test_per_code_exposure_windows(spark):
+    ev = events(spark, [(1, T0 + h(4), "a", 1.0, "u", 1), (2, T0 + h(4), "a", 1.0, "u", 2)])
+    ex = spark.createDataFrame(
+        [(1, "norad", T0, T0 + h(1)), (2, "propofol", T0, T0 + h(1))],
+        "person_id long, drug_concept_id string, drug_exposure_start_datetime timestamp_ntz, "
+        "drug_exposure_end_datetime timestamp_ntz")
+    # event 3 h after the end: excluded by a 3 h wash-out, kept with a 1 h one
+    kept = landmarks.not_exposed(ev, ex, {"norad": (6, 1), "propofol": (6, 3)}).collect()
+    assert [r.person_id for r in kept] == [1]
+
+
+def test_optional_24h_rate_slopes(spark):
+    from cohortkit.plans import weaning
+    chain = spark.createDataFrame([(1, T0, T0 + h(30), T0 + h(10), T0 + h(30), 20, 1)],
+                                  "person_id long, first_imv_start timestamp_ntz, "
+                                  "first_imv_end timestamp_ntz, eligible_start_time timestamp_ntz, "
+                                  "first_weaning timestamp_ntz, duration_eligible_to_weaning long, "
+                                  "cohort_criteria long")
+    fact = events(spark, [(1, T0 + h(20), "in", 48.0, "u", 1)])
+    params = weaning.WeaningParams(segment_codes=("x",), segment_gap_hours=6,
+                                   rule=landmarks.EligibilityRule(), intake_codes=("in",),
+                                   output_codes=("out",), slopes_24h=True)
+    inputs = weaning.WeaningInputs(visit=None, measurement=fact, drug_exposure=None, cut=False)
+    r = weaning.fluid_pass(chain, inputs, params).collect()[0]
+    assert r.fluid_intake_24h_prior_slope == Decimal("2.000000000")
