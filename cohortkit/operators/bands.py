@@ -109,6 +109,20 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
                          how=how, bucket_hours=width, point_bucket=left_bucket)
 
 
+# Session setting: the largest cohort (rows) that cohort_window_join
+# broadcasts after counting it; 0 always uses the (entity, bucket) join.
+BROADCAST_COHORT_ROWS_CONF = "cohortkit.broadcastCohortRows"
+BROADCAST_COHORT_ROWS_DEFAULT = 100_000
+
+
+def _cohort_fits_broadcast(cohort: DataFrame) -> bool:
+    spark = cohort.sparkSession
+    limit = int(spark.conf.get(BROADCAST_COHORT_ROWS_CONF, str(BROADCAST_COHORT_ROWS_DEFAULT)))
+    if limit <= 0:
+        return False
+    return cohort.limit(limit + 1).count() <= limit
+
+
 def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,
                        windows: Sequence[tuple[Column, Column | None]],
                        bucket_hours: float = 24.0, keep_bucket_as: str | None = None
@@ -127,7 +141,19 @@ def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: s
     ``keep_bucket_as`` keeps the bucket column under that name, so that a
     following window partitioned by (entity, bucket) reuses the join's
     partitioning instead of shuffling the facts again.
+
+    Size check first: a cohort of at most ``cohortkit.broadcastCohortRows``
+    rows (default 100,000, a few MB; counted with ``limit(n + 1)``, so the
+    bound is proven) is broadcast and joined on the entity. The facts are
+    then not shuffled at all and the callers' partial aggregates absorb a
+    hot entity. A larger cohort takes the (entity, bucket) join. Callers
+    apply the exact window test either way, so both give the same rows.
     """
+    if _cohort_fits_broadcast(cohort):
+        f = facts
+        if keep_bucket_as:
+            f = f.withColumn(keep_bucket_as, time_bucket(time, bucket_hours))
+        return f.join(F.broadcast(cohort), entity, "inner")
     coh = cohort
     if any(hi is None for _, hi in windows):
         last = facts.groupBy(entity).agg(F.max(time).alias("_emax"))

@@ -40,3 +40,32 @@ def test_entry_returns_all_entities(spark, con):
     n = df.count()
     users = con.execute("SELECT COUNT(DISTINCT user_id) FROM events").fetchall()[0][0]
     assert n == users > 0
+
+
+BUCKET_PATH_QUERIES = ["first_event_after", "first_segment", "eligibility_landmark",
+                       "nearest_at_landmark", "feature_set_two_landmarks", "window_sum",
+                       "fluid_balance", "weaning_cohort", "wide_assemble"]
+
+
+@pytest.mark.parametrize("name", BUCKET_PATH_QUERIES)
+def test_bucket_join_path_matches_oracle(spark, con, name):
+    """The cohort joins take the (entity, bucket) path when broadcasting is
+    switched off; the result must not change."""
+    from cohortkit.operators.bands import BROADCAST_COHORT_ROWS_CONF
+    from cohortkit.plans import registry as R
+    spark.conf.set(BROADCAST_COHORT_ROWS_CONF, "0")
+    saved = dict(R._CHAINS), dict(R._WIDE)
+    R._CHAINS.clear()
+    R._WIDE.clear()
+    try:
+        sdf = entry.queries()[name](spark, SF_DIR)
+        srows = [tuple(r) for r in sdf.collect()]
+    finally:
+        spark.conf.unset(BROADCAST_COHORT_ROWS_CONF)
+        R._CHAINS.clear()
+        R._WIDE.clear()
+        R._CHAINS.update(saved[0])
+        R._WIDE.update(saved[1])
+    cur = con.execute(entry.oracle_sql()[name])
+    dcols = [d[0] for d in cur.description]
+    assert rows_of(sdf.columns, srows) == rows_of(dcols, cur.fetchall())
