@@ -107,8 +107,9 @@ def first_event_after(cohort: DataFrame, fact: DataFrame, codes: Sequence, ancho
                       out: str = "first_ts") -> DataFrame:
     """Per entity the first event of ``codes`` at or after ``anchor``.
 
-    The cohort has one row per entity; facts meet it on (entity, time
-    bucket) from the anchor's bucket to the entity's last event, and the
+    The cohort has one row per entity; facts meet it through
+    ``cohort_window_join`` (a size-checked broadcast, else (entity, time
+    bucket) from the anchor's bucket to the entity's last event), and the
     minimum is a partial aggregate.
     """
     ev = _codes(fact, code, codes).select(entity, time)

@@ -186,10 +186,11 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
     struct(distance..., value) END)``. The result has one row per cohort
     entity with at least one qualifying row, and two columns per pair.
 
-    Facts meet the cohort through ``cohort_window_join`` (entity + time
-    bucket), so only facts near a landmark are joined and a hot entity is
-    spread over its buckets; the struct minimum is partially aggregated
-    before the shuffle by entity.
+    Facts meet the cohort through ``cohort_window_join``: a small cohort
+    (size-checked) is broadcast, so the facts are not shuffled; a large one
+    is joined on (entity, time bucket), so only facts near a landmark are
+    joined and a hot entity is spread over its buckets. Either way the
+    struct minimum is partially aggregated before the shuffle by entity.
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
     lm_cols = list(dict.fromkeys(landmarks.values()))

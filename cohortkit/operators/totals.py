@@ -71,9 +71,9 @@ def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec],
     column per spec, NULL when no event of that spec qualified.
 
     ``lo``/``hi`` are expressions over cohort columns. The cohort has one row
-    per entity; facts meet it through ``cohort_window_join`` (entity + time
-    bucket over the union of the periods), so each fact is joined at most
-    once and only when near a period.
+    per entity; facts meet it through ``cohort_window_join``: a broadcast on
+    the entity for a cohort that passes the size check, else (entity, time
+    bucket over the union of the periods). Each fact is joined at most once.
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
     bounds = coh.select(entity, *bound_columns(specs))
