@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -82,6 +83,33 @@ def _window(spec: FeatureSpec, landmark: str, time: str) -> Column:
                                shift(landmark, spec.after_hours))
 
 
+def nearest_key(landmark: str, time: str, tiebreak: str | None = None) -> Column:
+    """One ``decimal(38,0)`` that orders rows by (whole hours to the landmark,
+    whole seconds, time, tiebreak) exactly, so ``min_by(x, key)`` picks the
+    nearest row with fixed-width buffers (hash aggregation, no sort).
+
+    Whole hours are a monotone function of whole seconds, so the seconds
+    lead. Given the seconds, a row's time is fixed by its side of the
+    landmark and its sub-second part: earlier side first, then the
+    sub-second part encoded so that a larger key means a later time. The
+    (integral) tiebreak fills the last 20 digits.
+    """
+    d = F.timestamp_diff("MICROSECOND", F.col(landmark), F.col(time))   # time - landmark
+    ad = F.abs(d)
+    secs = F.floor(ad / F.lit(1_000_000)).cast("long")
+    frac = ad % F.lit(1_000_000)
+    before = d <= 0
+    enc = F.when(before, F.lit(999_999) - frac).otherwise(frac)
+    key = (secs * F.lit(2_000_000) + F.when(before, 0).otherwise(1_000_000) + enc)
+    key = key.cast("decimal(38,0)")
+    if tiebreak:
+        shifted = (F.col(tiebreak).cast("decimal(20,0)")
+                   + F.lit(Decimal(2 ** 63)).cast("decimal(20,0)"))
+        key = (key * F.lit(Decimal(10 ** 20)).cast("decimal(38,0)") + shifted)
+        key = key.cast("decimal(38,0)")
+    return key
+
+
 def _nearest_struct(spec: FeatureSpec, landmark: str, time: str, value: str,
                     tiebreak: str | None) -> Column:
     dist_h = F.abs(whole_hours(time, landmark))
@@ -118,13 +146,19 @@ def nearest_at_landmark(cohort: DataFrame, fact: DataFrame, spec: FeatureSpec,
     win = (shift(landmark, -spec.before_hours), shift(landmark, spec.after_hours))
     rows = (cohort_window_join(facts, coh, entity, time, [win], bucket_hours)
             .filter(_window(spec, landmark, time)))
-    best = F.min(_nearest_struct(spec, landmark, time, value, tiebreak)).alias("_b")
     lm = F.max(landmark).alias("_lm")
-    out = rows.groupBy(entity).agg(best, lm)
+    if tiebreak:
+        key = nearest_key(landmark, time, tiebreak)
+        out = rows.groupBy(entity).agg(F.min_by(rule_value(spec, value), key).alias("_v"),
+                                       F.min_by(F.col(time), key).alias("_t"), lm)
+        v, t = F.col("_v"), F.col("_t")
+    else:
+        best = F.min(_nearest_struct(spec, landmark, time, value, tiebreak)).alias("_b")
+        out = rows.groupBy(entity).agg(best, lm)
+        v, t = F.col("_b.v"), F.col("_b.t")
     col = f"{spec.name}_at_{s}"
-    return out.select(entity, fixed(F.col("_b.v"), spec.digits).alias(col),
-                      F.col("_b.t").alias(f"{col}_time"),
-                      whole_minutes(F.col("_b.t"), F.col("_lm")).alias(f"{col}_minutes"))
+    return out.select(entity, fixed(v, spec.digits).alias(col), t.alias(f"{col}_time"),
+                      whole_minutes(t, F.col("_lm")).alias(f"{col}_minutes"))
 
 
 def feature_windows(specs: Sequence[FeatureSpec], landmarks: dict[str, str],
@@ -156,20 +190,29 @@ def feature_aggregates(specs: Sequence[FeatureSpec], landmarks: dict[str, str],
         for sfx, lm in landmarks.items():
             cond = base & F.col(lm).isNotNull() & _window(spec, lm, time)
             conds.append(cond)
-            st = _nearest_struct(spec, lm, time, value, tiebreak)
-            aggs.append(F.min(F.when(cond, st)).alias(f"_{spec.name}__{sfx}"))
+            a = f"_{spec.name}__{sfx}"
+            if tiebreak:
+                # hash-aggregatable: min_by over one exact decimal ordering key
+                key = F.when(cond, nearest_key(lm, time, tiebreak))
+                aggs += [F.min_by(rule_value(spec, value), key).alias(f"{a}_v"),
+                         F.min_by(F.col(time), key).alias(f"{a}_t")]
+            else:
+                st = _nearest_struct(spec, lm, time, value, tiebreak)
+                aggs.append(F.min(F.when(cond, st)).alias(a))
     return aggs, conds
 
 
-def feature_columns(specs: Sequence[FeatureSpec], landmarks: dict[str, str]) -> list[Column]:
+def feature_columns(specs: Sequence[FeatureSpec], landmarks: dict[str, str],
+                    tiebreak: str | None = None) -> list[Column]:
     """Value (rounded NUMERIC) and time columns from ``feature_aggregates``."""
     out = []
     for spec in specs:
         for sfx in landmarks:
             a = f"_{spec.name}__{sfx}"
             col = f"{spec.name}_at_{sfx}"
-            out += [fixed(F.col(f"{a}.v"), spec.digits).alias(col),
-                    F.col(f"{a}.t").alias(f"{col}_time")]
+            v, t = ((F.col(f"{a}_v"), F.col(f"{a}_t")) if tiebreak
+                    else (F.col(f"{a}.v"), F.col(f"{a}.t")))
+            out += [fixed(v, spec.digits).alias(col), t.alias(f"{col}_time")]
     return out
 
 
@@ -205,7 +248,7 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
                                      unit=unit, tiebreak=tiebreak)
     rows = rows.filter(reduce(lambda a, b: a | b, conds))
     g = rows.groupBy(entity).agg(*aggs)
-    return g.select(F.col(entity), *feature_columns(specs, landmarks))
+    return g.select(F.col(entity), *feature_columns(specs, landmarks, tiebreak))
 
 
 def slope_column(feature: str, a: str, b: str, min_hours: float = 4) -> Column:

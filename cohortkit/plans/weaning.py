@@ -211,7 +211,7 @@ def measurement_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams,
 
     t = chain.select(E, *_EPISODE_COLS).filter(_has_episode()).join(g, E, "left")
     structs = [c for c in g.columns if c.startswith("_")]
-    t = t.select("*", *features.feature_columns(p.features, LANDMARKS)).drop(*structs)
+    t = t.select("*", *features.feature_columns(p.features, LANDMARKS, p.tiebreak)).drop(*structs)
     t = features.landmark_slopes(t, [f.name for f in p.features], "eligible", "weaning",
                                  min_hours=p.slope_min_hours)
     t = _fluid_finish(t, p.slopes_24h)
