@@ -43,8 +43,20 @@ def shift(ts: ColumnOrName, n_hours: float) -> Column:
 
 
 def epoch_micros(ts: ColumnOrName) -> Column:
-    """Microseconds since the epoch for timestamp or timestamp_ntz input."""
-    return F.unix_micros(_c(ts).cast("timestamp"))
+    """Microseconds since the epoch, monotone in ``ts`` in any session zone.
+
+    A ``timestamp`` keeps its instant. A ``timestamp_ntz`` is read as a UTC
+    wall clock (rebuilt from its fields with ``make_timestamp(..., 'UTC')``):
+    converting it through a DST-observing session zone would reorder times
+    inside the spring-forward gap. The branch depends only on the column's
+    type (``typeof`` is folded at planning).
+    """
+    c = _c(ts)
+    secs = F.date_part(F.lit("SECOND"), c)            # seconds with microseconds
+    as_utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
+                              F.minute(c), secs, F.lit("UTC"))
+    return F.when(F.typeof(c) == F.lit("timestamp_ntz"), F.unix_micros(as_utc)) \
+            .otherwise(F.unix_micros(c.cast("timestamp")))
 
 
 def time_bucket(ts: ColumnOrName, width_hours: float) -> Column:

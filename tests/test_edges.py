@@ -287,3 +287,17 @@ def test_optional_24h_rate_slopes(spark):
     inputs = weaning.WeaningInputs(visit=None, measurement=fact, drug_exposure=None, cut=False)
     r = weaning.fluid_pass(chain, inputs, params).collect()[0]
     assert r.fluid_intake_24h_prior_slope == Decimal("2.000000000")
+
+
+def test_time_buckets_ignore_session_time_zone(spark):
+    from cohortkit.functions.timecalc import time_bucket
+    # the spring-forward gap of 2024 in New York: 02:00-03:00 on 10 March
+    rows = [(dt.datetime(2024, 3, 10, 1, 59),), (dt.datetime(2024, 3, 10, 2, 30),),
+            (dt.datetime(2024, 3, 10, 3, 10),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r.b for r in df.select(time_bucket("t", 0.25).alias("b")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == sorted(got) and len(set(got)) == 3
