@@ -52,3 +52,14 @@ def test_measurement_pass_is_one_scan_and_equals_separate_passes(spark):
     assert cols == sorted(sep.columns)
     assert sorted(map(tuple, fused.select(cols).collect()), key=str) == \
            sorted(map(tuple, sep.select(cols).collect()), key=str)
+
+
+def test_nearest_rows_use_hash_aggregation(spark):
+    inp, chain = R._chain(spark, SF_DIR, 2)
+    fused = R.W.measurement_pass(chain, inp, R.TEST_PARAMS)
+    feats = features.extract_features(chain, inp.measurement, R.TEST_FEATURES, R.W.LANDMARKS,
+                                      tiebreak="measurement_id",
+                                      cohort_filter=F.col("cohort_criteria") == 1)
+    for df in (fused, feats):
+        text = plan(df)
+        assert "SortAggregate" not in text and "HashAggregate" in text
