@@ -9,11 +9,12 @@ C26 ``first_segment``. Per-entity ordered logic goes through
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecalc import whole_hours
+from ..functions.timecalc import epoch_micros, whole_hours
 from .bands import cohort_window_join, interval_join
 from .ordered import SLICE, segment_numbers, with_neighbors
 
@@ -152,11 +153,21 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
                         slice_hours=slice_hours)
     nxt = F.col(f"next_{time}")
     is_end = nxt.isNull() | _gap_test(whole_hours(time, nxt), gap_hours, strict)
-    first_end = F.min(F.when(is_end, F.struct(*[F.col(c) for c in [time, *order]],
-                                              nxt.alias("_next"))))
-    aggs = [first_end.alias("_s")]
-    if first_out:
-        aggs.append(F.min(time).alias(first_out))
-    out = ev.groupBy(entity).agg(*aggs)
+    extra = [F.min(time).alias(first_out)] if first_out else []
+    if tiebreak:
+        # (time, tiebreak) packed exactly into one decimal(38,0): min_by keeps
+        # fixed-width buffers, so the aggregate is a hash aggregate (no sort)
+        key = (epoch_micros(time).cast("decimal(38,0)")
+               * F.lit(Decimal(10 ** 20)).cast("decimal(38,0)")
+               + F.col(tiebreak).cast("decimal(20,0)")
+               + F.lit(Decimal(2 ** 63)).cast("decimal(20,0)")).cast("decimal(38,0)")
+        key = F.when(is_end, key)
+        out = ev.groupBy(entity).agg(F.min_by(F.col(time), key).alias("_end"),
+                                     F.min_by(nxt, key).alias("_next"), *extra)
+        end_c, next_c = F.col("_end"), F.col("_next")
+    else:
+        first_end = F.min(F.when(is_end, F.struct(F.col(time), nxt.alias("_next"))))
+        out = ev.groupBy(entity).agg(first_end.alias("_s"), *extra)
+        end_c, next_c = F.col(f"_s.{time}"), F.col("_s._next")
     return out.select(entity, *([first_out] if first_out else []),
-                      F.col(f"_s.{time}").alias(end_out), F.col("_s._next").alias(next_out))
+                      end_c.alias(end_out), next_c.alias(next_out))
