@@ -4,20 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortkit.llm import mixing
+from cohortkit.llm import bpe, mixing, quality, topk
 from cohortkit.llm.common import read
 
+MULTI_50K = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def multi_50k() -> bpe.Vocabulary:
+    return bpe.Vocabulary.from_file(public_tokenizers.path(MULTI_50K), public_tokenizers.PATTERN)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = multi_50k()
+    return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), vocabulary), vocabulary)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
+    "op2_quality": op2_quality,
+    "op3_top_k": op3_top_k,
+    "op8_bpe": op8_bpe,
 }
 
 SQL: dict[str, str] = {
     "op1_source_mix": mixing.SQL,
+    "op3_top_k": topk.SQL,
 }
