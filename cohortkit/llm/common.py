@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,63 @@ def column_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+# Hashes of words, straight from the bytes of an Arrow column. A word's hash is a
+# polynomial over its bytes modulo 2^64: a prefix sum over all bytes gives that of
+# any range.
+_BASE = np.uint64(0x9E3779B97F4A7C17)
+_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2 ** 64))
+_OF_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2 ** 64, 256, dtype=np.uint64)
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that are hashed at a time, roughly.
+_CHUNK = 4_000_000
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finalizer."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def span_hashes(words: np.ndarray, at: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Hashes of the n words that start at each place."""
+    total = np.zeros(len(at), dtype=np.uint64)
+    for i in range(n):
+        f = mixed(np.array([seed * 1000 + i + 1], dtype=np.uint64))[0] | np.uint64(1)
+        total += mixed(words[at + i] + f) * f
+    return mixed(total)
+
+
+def word_hashes(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of a text column, one text after the other, and
+    the number of words of each text (null: none)."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    if not len(texts):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    hashes, counts, i = [], np.zeros(len(texts), dtype=np.int64), 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + _CHUNK, side="right")) - 1)
+        own, cuts = data[ends[i]:ends[j]], ends[i:j + 1] - ends[i]
+        space = _IS_SPACE[own]
+        fresh = np.ones(len(own) + 1, dtype=bool)  # a white space or a text's end lies before
+        fresh[1:] = np.append(space, True)[:len(own)] if len(own) else True
+        fresh[cuts] = True
+        starts = np.flatnonzero(fresh[:-1] & ~space)
+        last = np.flatnonzero(fresh[1:] | np.append(space[1:], True)) if len(own) else np.empty(0, np.int64)
+        stops = last[~space[last]] + 1
+        power = np.multiply.accumulate(np.full(len(own), _BASE))
+        upto = np.concatenate([[np.uint64(0)], np.cumsum(_OF_BYTE[own] * power, dtype=np.uint64)])
+        back = np.multiply.accumulate(np.full(len(own), _BASE_INVERSE))
+        hashes.append(mixed((upto[stops] - upto[starts]) * back[starts] + (stops - starts).astype(np.uint64)))
+        counts[i:j] = np.diff(np.searchsorted(starts, cuts))
+        i = j
+    return np.concatenate(hashes), counts
