@@ -1,27 +1,64 @@
-"""The corpus pipeline: documents in, token ids out, in stages.
+"""The corpus pipeline: documents in, token ids out.
 
-Stages are added as their operators are.
+Each stage takes the documents that the one before has kept and is written as
+Parquet before the next one reads it. All but the last return the columns of
+``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortkit.llm import mixing
+from cohortkit.llm import bpe, jaccard, mixing, quality, substring
 from cohortkit.llm.common import cut, read
+from cohortkit.llm.queries import multi_50k
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are near copies of each other one stays."""
+    return jaccard.keep_first(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that an earlier document has go; other texts stay as they are."""
+    found = substring.dedup(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    changed = found.withColumn("_text", text)
+    columns = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return changed.select(*[columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("mix sources", mix_sources)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, their number, and digests of the ids and of what they decode to."""
+    vocabulary = multi_50k()
+    return bpe.digests(bpe.encode(docs, vocabulary), vocabulary)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("substring dedup", drop_repeats),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
+]
 
+#: Trained dictionaries, hashed signatures and BPE merges have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = cut(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
