@@ -135,7 +135,8 @@ def _tiled(rows: DataFrame, by: str, sizes: DataFrame, block: int, per_bin: int,
     """``rows`` joined with ``sizes`` (by, n), cut into tiles: a row of block b
     goes to the tiles (b, j) of all j. ``_bin`` packs whole tiles."""
     parts = F.ceil(F.col("n") / block).cast("int")
-    many = rows.join(sizes, by).withColumn("_parts", parts).withColumn("_b", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_parts")).cast("int"))
+    # merge joins: the same plan at every size, and skewed keys can be split
+    many = rows.join(sizes.hint("merge"), by).withColumn("_parts", parts).withColumn("_b", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_parts")).cast("int"))
     many = many.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     many = many.withColumn("_lo", F.least("_b", "_j")).withColumn("_hi", F.greatest("_b", "_j"))
     bins = max(shuffle_partitions(rows.sparkSession), bins_for(rows_in, per_bin))
@@ -281,7 +282,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
     met = nodes.select("node", F.explode("bands").alias("band"))
     sizes = cut(met.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "jaccard-meetings")
     n_met = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    tiles = _tiled(nodes.select("node", "sig", F.explode("bands").alias("band")), "band", sizes, MEET_BLOCK, BIN_ROWS, n_met)
+    tiles = _tiled(met, "band", sizes, MEET_BLOCK, BIN_ROWS, n_met).join(nodes.select("node", "sig").hint("merge"), "node")
     edges = tiles.groupBy("_bin").applyInArrow(_meet(max(0.0, threshold - SLACK)), "a long, b long").distinct()
     groups = components(edges, "jaccard-groups")
 
@@ -289,7 +290,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
     members = cut(groups.join(nodes.select("node", "copies", "rep"), "node"), "jaccard-members")
     sizes = cut(members.groupBy("grp").agg(F.count("*").alias("n")), "jaccard-sizes")
     texts = docs.select(id_or_none().alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    members = members.withColumn("_id", id_or_none("rep")).join(texts, "_id").select("node", "grp", "copies", "text")
+    members = members.withColumn("_id", id_or_none("rep")).join(texts.hint("merge"), "_id").select("node", "grp", "copies", "text")
     tiles = _tiled(members, "grp", sizes, VERIFY_BLOCK, BIN_TEXTS, sizes.agg(F.sum("n").alias("n")).first()["n"] or 0)
     checked = cut(tiles.groupBy("_bin").applyInArrow(_verify(shingle, threshold), "node long, links long, lead long"), "jaccard-checked")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
