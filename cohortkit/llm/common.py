@@ -65,7 +65,7 @@ _OF_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2 ** 64, 256, dty
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes that are hashed at a time, roughly.
-_CHUNK = 4_000_000
+_CHUNK = 1_000_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

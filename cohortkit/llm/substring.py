@@ -49,7 +49,7 @@ ROUNDS = 3
 #: Words on either side that a border of the third round depends on.
 CONTEXT = 4
 #: Characters of a home's documents and of the texts whose keys share a bucket, roughly.
-HOME_CHARS, BUCKET_CHARS = 12_000_000, 24_000_000
+HOME_CHARS, BUCKET_CHARS = 4_000_000, 8_000_000
 _U = np.uint64
 
 
