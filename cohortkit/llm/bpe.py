@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from cohortkit.llm.common import column_batches
 
 #: Pre-tokens whose ids a worker remembers at most.
-REMEMBER = 300_000
+REMEMBER = 100_000
 #: Keys per bucket of the perfect hash, on average.
 PER_BUCKET = 2
 #: Documents that are encoded at a time.
-ROWS = 1000
+ROWS = 200
 
 
 class PerfectHash:
@@ -179,9 +179,7 @@ class _Memory(dict):
         return ids
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, ids): the ids of every whole text."""
-
+def _encoding(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, memory = regex.compile(vocabulary.pattern).findall, _Memory(vocabulary)
         for batch in column_batches(batches, ROWS):
@@ -191,7 +189,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([_NONE, *lists])))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), ids], ["doc_id", "ids"])
 
-    return docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text").mapInArrow(run, "doc_id long, ids array<int>")
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, ids): the ids of every whole text."""
+    return docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text").mapInArrow(
+        _encoding(vocabulary), "doc_id long, ids array<int>")
 
 
 _NONE = np.empty(0, dtype=np.int32)
@@ -215,9 +219,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
 
 
-def digests(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, ids) -> n_tokens and the SHA-256 of the ids and of what they decode to."""
-
+def _digesting(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = np.array([str(i) for i in range(len(vocabulary.tokens))], dtype=object)
         for batch in column_batches(batches, ROWS):
@@ -228,5 +230,12 @@ def digests(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return run
+
+
+def digests(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_tokens and the SHA-256 of every text's ids and of what they
+    decode to. Ids go from encoder to decoder within a task."""
+    encoding, digesting = _encoding(vocabulary), _digesting(vocabulary)
+    return docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text").mapInArrow(
+        lambda batches: digesting(encoding(batches)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -51,8 +51,7 @@ def multi_50k() -> bpe.Vocabulary:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = multi_50k()
-    return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return bpe.digests(read(spark, sf_dir, "documents"), multi_50k())
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,8 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and digests of the ids and of what they decode to."""
-    vocabulary = multi_50k()
-    return bpe.digests(bpe.encode(docs, vocabulary), vocabulary)
+    return bpe.digests(docs, multi_50k())
 
 
 STAGES = [
