@@ -18,6 +18,7 @@ which is the three-valued ``BETWEEN`` semantics of the reference.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,67 +110,22 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
                          how=how, bucket_hours=width, point_bucket=left_bucket)
 
 
-# Session setting: the largest cohort (rows) that cohort_window_join
-# broadcasts after counting it; 0 always uses the (entity, bucket) join.
-BROADCAST_COHORT_ROWS_CONF = "cohortkit.broadcastCohortRows"
-BROADCAST_COHORT_ROWS_DEFAULT = 100_000
-
-
-def _cohort_fits_broadcast(cohort: DataFrame) -> bool:
-    spark = cohort.sparkSession
-    limit = int(spark.conf.get(BROADCAST_COHORT_ROWS_CONF, str(BROADCAST_COHORT_ROWS_DEFAULT)))
-    if limit <= 0:
-        return False
-    return cohort.limit(limit + 1).count() <= limit
-
-
 def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,
                        windows: Sequence[tuple[Column, Column | None]],
                        bucket_hours: float = 24.0, keep_bucket_as: str | None = None
                        ) -> DataFrame:
-    """Join fact rows to the cohort row of their entity, keyed by
-    ``(entity, time bucket)``, keeping facts whose bucket meets any window.
-
-    Each cohort row (one per entity) is exploded over the *distinct* buckets
-    covered by its windows ``[lo, hi]`` (expressions over cohort columns),
-    so a fact meets its cohort row at most once and a hot entity's facts are
-    spread over as many join keys as it has buckets. A window with
-    ``hi=None`` is open-ended; it is closed at the entity's last fact (one
-    partially aggregated ``max`` per entity). Rows in a window's edge
-    buckets may lie just outside it: callers apply the exact range test.
-
-    ``keep_bucket_as`` keeps the bucket column under that name, so that a
-    following window partitioned by (entity, bucket) reuses the join's
-    partitioning instead of shuffling the facts again.
-
-    Size check first: a cohort of at most ``cohortkit.broadcastCohortRows``
-    rows (default 100,000, a few MB; counted with ``limit(n + 1)``, so the
-    bound is proven) is broadcast and joined on the entity. The facts are
-    then not shuffled at all and the callers' partial aggregates absorb a
-    hot entity. A larger cohort takes the (entity, bucket) join. Callers
-    apply the exact window test either way, so both give the same rows.
+    """Join fact rows to the cohort row of their entity (one per entity).
+
+    One join on the entity for cohorts of every size, without a hint and
+    without a job of its own: adaptive execution measures the cohort and
+    broadcasts it where it is small, and splits the partitions of entities
+    with very many facts where it is not. Callers apply the exact test of
+    ``windows`` (expressions ``[lo, hi]`` over cohort columns, ``hi=None`` for
+    open ends); rows that no window's start lets through are dropped here, so
+    nothing is ever expanded by the length of a window.
+
+    ``keep_bucket_as`` adds the facts' time bucket under that name.
     """
-    if _cohort_fits_broadcast(cohort):
-        f = facts
-        if keep_bucket_as:
-            f = f.withColumn(keep_bucket_as, time_bucket(time, bucket_hours))
-        return f.join(F.broadcast(cohort), entity, "inner")
-    coh = cohort
-    if any(hi is None for _, hi in windows):
-        last = facts.groupBy(entity).agg(F.max(time).alias("_emax"))
-        coh = coh.join(last, entity, "left")
-    empty = F.array().cast("array<bigint>")
-    seqs = []
-    for lo, hi in windows:
-        hi = F.col("_emax") if hi is None else hi
-        b_lo, b_hi = time_bucket(lo, bucket_hours), time_bucket(hi, bucket_hours)
-        seqs.append(F.coalesce(F.when(b_hi >= b_lo, F.sequence(b_lo, b_hi)), empty))
-    buckets = F.array_distinct(F.flatten(F.array(*seqs)))
-    coh = coh.withColumn(BUCKET, F.explode(buckets))
-    if "_emax" in coh.columns:
-        coh = coh.drop("_emax")
-    f = facts.withColumn(BUCKET, time_bucket(time, bucket_hours))
-    out = f.join(coh, [entity, BUCKET], "inner")
-    if keep_bucket_as:
-        return out.withColumnRenamed(BUCKET, keep_bucket_as)
-    return out.drop(BUCKET)
+    f = facts.withColumn(keep_bucket_as, time_bucket(time, bucket_hours)) if keep_bucket_as else facts
+    started = reduce(lambda a, b: a | b, [F.col(time) >= lo for lo, _ in windows])
+    return f.join(cohort, entity, "inner").filter(started)

@@ -142,10 +142,10 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
     cols = [entity, start] + ([until] if until else [])
     starts = cohort.select(*cols).filter(F.col(start).isNotNull())
     hi = F.col(until) if until else None
-    bucket = slice_hours if slice_hours != "auto" else 24.0
-    # the join's (entity, bucket) partitioning is the window's (entity, slice)
+    bucket = 24.0 if slice_hours == "auto" else slice_hours
+    # a fixed slice is known here; "auto" is left to the window, which looks at the rows
     ev = cohort_window_join(ev, starts, entity, time, [(F.col(start), hi)], bucket,
-                            keep_bucket_as=SLICE).filter(F.col(time) >= F.col(start))
+                            keep_bucket_as=None if slice_hours == "auto" else SLICE).filter(F.col(time) >= F.col(start))
     if until:
         ev = ev.filter(F.col(time) <= F.col(until)).drop(until)
     ev = ev.drop(start)

@@ -75,11 +75,19 @@ def concept_cross_reference(fact: DataFrame, concept: DataFrame, ids: Sequence,
 
 def top_measured(fact: DataFrame, concept: DataFrame, k: int = 50, *,
                  entity: str = E, code: str = C) -> DataFrame:
-    """The ``k`` most measured codes with names (ties by code)."""
-    top = (_code_stats(fact, entity=entity, code=code, value=None)
-           .orderBy(F.desc("measurement_count"), code).limit(k))
-    names = concept.select("concept_id", "concept_name")
-    return (F.broadcast(top).join(names, top[code] == names["concept_id"], "inner")
+    """The ``k`` most measured codes with names (ties by code).
+
+    Codes without a name take no place: names are joined to the counts by
+    code before the limit. Distinct entities are counted for the ``k`` codes
+    that are left only.
+    """
+    names = concept.select(F.col("concept_id").alias(code), "concept_name")
+    top = (fact.groupBy(code).agg(F.count(F.lit(1)).alias("measurement_count"))
+           .join(names, code, "inner")
+           .orderBy(F.desc("measurement_count"), code, "concept_name").limit(k))
+    stats = fact.join(F.broadcast(top.select(code).distinct()), code, "left_semi") \
+                .groupBy(code).agg(F.count_distinct(entity).alias("patient_count"))
+    return (F.broadcast(top).join(stats, code, "inner")
             .select(code, "concept_name", "measurement_count", "patient_count")
             .orderBy(F.desc("measurement_count"), code))
 

@@ -58,8 +58,7 @@ SEARCH_TERM = "ring"
 CANDIDATE_IDS = [0, 1, 2, 10, 100, 1000]
 SPOT_CONCEPT = 1
 SYNONYM_TERM = "widget"
-CO_IDS = ["signup", "click", "purchase"]
-CO_MIN_VALUE = 100
+CO_IDS = [1, 2]
 VARIABLE_TERMS = {"measurement": ["ring", "gear", "plate"],
                   "drug_exposure": ["build", "furn"],
                   "observation": ["view", "click"]}
@@ -121,18 +120,14 @@ def q_synonym_hunt(spark, sf_dir):
                                 SYNONYM_TERM)
 
 
-def _co_fact(spark, sf_dir):
-    return B.measurement(spark, sf_dir).filter(F.col("value_as_number") > CO_MIN_VALUE)
-
-
 @register("co_occurrence_all")
 def q_co_occurrence_all(spark, sf_dir):
-    return explore.co_occurrence_all(_co_fact(spark, sf_dir), CO_IDS)
+    return explore.co_occurrence_all(B.line_fact(spark, sf_dir), CO_IDS)
 
 
 @register("co_occurrence_compare")
 def q_co_occurrence_compare(spark, sf_dir):
-    return explore.co_occurrence_compare(_co_fact(spark, sf_dir), CO_IDS[0], CO_IDS)
+    return explore.co_occurrence_compare(B.line_fact(spark, sf_dir), CO_IDS[0], CO_IDS)
 
 
 @register("variable_search")
@@ -213,8 +208,10 @@ TEST_CODE_SET = (
     ("click", "output", "exclude", "moving window"),
     ("view", "output", "exclude", "cumulative"),
 )
+EXCLUDED_CONDITIONS = ("%: 42}%",)   # flags about a tenth of the admissions
 TEST_PARAMS = W.WeaningParams(
     segment_codes=("view", "click"), segment_gap_hours=36, rule=TEST_RULE,
+    condition_patterns=EXCLUDED_CONDITIONS,
     death_guard_hours=12, min_duration_hours=24, horizon_hours=72,
     features=TEST_FEATURES, intake_codes=tot.codes_of(TEST_CODE_SET, "intake"),
     output_codes=tot.codes_of(TEST_CODE_SET, "output"), slope_min_hours=4,

@@ -14,11 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-               "events", "documents", "embeddings", "pages", "benchmark", "labels",
-               "conversations")
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
@@ -43,9 +38,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def list_tables(sf_dir: str, names: tuple[str, ...] = TEST_TABLES) -> list[str]:
-    """S2 names: the tables present in the dataset, sorted by name."""
-    return sorted(n for n in names if os.path.exists(table_path(sf_dir, n)))
+def list_tables(spark: SparkSession, sf_dir: str) -> list[str]:
+    """S2 names: the tables the dataset holds, sorted by name.
+
+    Listed through Spark's file system layer, so any URI it reads will do.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = [s.getPath().getName() for s in root.getFileSystem(conf).listStatus(root)]
+    return sorted(n[:-len(".parquet")] for n in found if n.endswith(".parquet"))
 
 
 def dataset_profile(spark: SparkSession, sf_dir: str,
@@ -55,7 +56,7 @@ def dataset_profile(spark: SparkSession, sf_dir: str,
     Row counts come from a global ``count`` per table; Spark answers them
     from Parquet footers' row-group metadata without reading column data.
     """
-    names = list_tables(sf_dir, names or TEST_TABLES)
+    names = sorted(names) if names else list_tables(spark, sf_dir)
     parts = [
         read_table(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(n).alias("table_name"), "row_count")

@@ -87,3 +87,18 @@ def test_variable_search_per_source_threshold_and_top_k(spark):
     rows = explore.variable_search(src, min_entities=0, k=1).collect()
     got = {(r.source_table, r.concept_id, r.patient_count, r.measurement_count) for r in rows}
     assert got == {("m", "1", 2, 3), ("n", "3", 1, None)}
+
+
+def test_top_measured_unnamed_code_takes_no_place(spark):
+    f = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (1, 7), (2, 7), (1, 8)],
+                              "person_id long, measurement_concept_id long")
+    c = spark.createDataFrame([(7, "seven"), (8, "eight")], "concept_id long, concept_name string")
+    got = [tuple(r) for r in explore.top_measured(f, c, k=2).collect()]
+    assert got == [(7, "seven", 2, 2), (8, "eight", 1, 1)]
+
+
+def test_tables_are_listed_by_uri(spark):
+    from cohortkit.sources import tables
+    names = tables.list_tables(spark, "file:///root/testdata/sf0.001")
+    assert "events" in names and names == tables.list_tables(spark, "/root/testdata/sf0.001")
+    assert tables.dataset_profile(spark, "file:///root/testdata/sf0.001").count() == len(names)
