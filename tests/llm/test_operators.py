@@ -265,7 +265,7 @@ def test_fingerprints(spark, table, rows, empty):
 
 
 def test_licenses(spark):
-    files = [("a/LICENSE", "Released under the MIT License.", "x"), ("a/b/c.py", "# nothing here", "x"), ("a/b/d.py", "x\n// Licensed under the Apache License, Version 2.0.\ny", "x"),
+    files = [("a/LICENSE", "Released under the MIT License.", "x"), ("a/b/c.py", "# nothing here", "x"), ("a/b/d.py", "import os, sys and more\n// Licensed under the Apache License, Version 2.0.\nclass Other words of a program", "x"),
              ("z/e.py", None, "x"), (None, "", "x"), ("a/b/c.py", "# nothing here", "x")]
     got = Counter((r.path, r.license, r.how, r.license_path) for r in licenses.inherit(licenses.scan(
         spark.createDataFrame(files, "path string, text string, license string"))).collect())
