@@ -8,10 +8,12 @@ text that does as a whole is a license file and licenses its directory.
 Documents without a license of their own inherit that of the nearest directory
 above them.
 
-Most lines share no telling word with any template: without one of its heaviest
-words, a template's other words cannot add up to ``LEAST``, so only lines with
-a heavy word are scored. The templates are a parameter and bound what tasks are
-sent. Inheritance is settled per directory, by joins of each directory's
+Most lines and texts share little with any template. Without one of its heaviest
+words, a template's other words cannot add up to ``LEAST``; and words of no
+template lengthen a vector, by the rarest word's weight at least, so the
+template words alone often tell that no cosine reaches ``LEAST``. Only what is
+left after both tests is scored in full. The templates are a parameter and bound
+what tasks are sent. Inheritance is settled per directory, by joins of each directory's
 ancestors with the licensed ones, and then joined to the documents by
 directory.
 
@@ -29,6 +31,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -86,8 +89,6 @@ class Matcher:
                 heavy.add(w)
                 rest -= (x / norm) ** 2
         self.heavy = frozenset(heavy)
-        inner = "|".join(sorted(map(re.escape, heavy), key=lambda w: (-len(w), w)))
-        self.cue = re.compile(rf"\b(?:{inner})\b", re.IGNORECASE) if heavy else None
 
     def best(self, words: list[str]) -> tuple[int, float]:
         """The template nearest to the words, and its cosine."""
@@ -102,18 +103,33 @@ class Matcher:
         score, i = max((round(d / norm, 12), -i) for i, d in dots.items())
         return -i, score
 
+    def near(self, words: list[str]) -> tuple[int, float]:
+        """What ``best`` says if it reaches ``least``; else maybe no template."""
+        hits = [w for w in words if w in self.idf]
+        other, share = len(words) - len(hits), self.least ** 2 * (1 - 1e-9)
+        # no word weighs more than the rarest
+        if not hits or len(hits) ** 2 < share * (len(hits) ** 2 + other):
+            return -1, 0.0
+        square, dots = other * self.rare ** 2, [0.0] * len(self.names)
+        for w, n in Counter(hits).items():
+            weight = n * self.idf[w]
+            square += weight * weight
+            for i, x in self.postings[w]:
+                dots[i] += weight * x
+        return self.best(words) if max(dots) ** 2 >= share * square else (-1, 0.0)
+
     def scan(self, text: str | None) -> tuple[str | None, float, bool]:
         """License of the text, its cosine, and if the text is a license file."""
-        if not text or self.cue is None or not self.cue.search(text):
+        if not text or not self.names:
             return None, 0.0, False
-        whole, score = self.best(terms(text))
+        lines = [terms(line) for line in text.splitlines()]  # no term spans two lines
+        whole, score = self.near(list(chain.from_iterable(lines)))
         if score >= self.least:
             return self.names[whole], score, True
         found, most = None, self.least
-        for line in text.splitlines():
-            words = terms(line)
+        for words in lines:
             if not self.heavy.isdisjoint(words):
-                i, score = self.best(words)
+                i, score = self.near(words)
                 if score > most or score == most and found is None:
                     found, most = self.names[i], score
         return found, most if found else 0.0, False
