@@ -22,8 +22,11 @@ Pages become blocks: text between block elements, character references
 decoded, white space as one space, joined by two line feeds.
 
 How rows are dealt: workers count for a batch of pages and send sums per host,
-node and word; a host is never gathered, only its nodes are. Pages meet the
-list of their host's removed nodes by a join on the host.
+node and word; a host is never gathered, only its nodes are. The sums name a
+host's node by one hash and a style or word by ``FEATURE_BITS`` bits of its own,
+since they are what is shuffled: of n different words of a node about n in
+2^41 share their name with another. Pages meet the list of their host's removed
+nodes by a join on the host.
 
 Defined cases: a null or empty page has an empty text; a null or odd url is a
 host of its own; pages without markup are one block; elements that are never
@@ -39,6 +42,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +58,8 @@ LEAST = 0.5
 LEAST_PAGES = 8
 #: How fast the styles of a node count more than its children as they grow in number.
 GAMMA = 0.9
+#: Bits that name a style or a word among those of one node.
+FEATURE_BITS = 40
 ROWS = 2000
 
 # HTML's elements by kind (fixed values).
@@ -90,11 +96,16 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def _long(text: str) -> int:
-    h = xxhash.xxh64_intdigest(text)
+def _long(text: str, seed: int = 0) -> int:
+    h = xxhash.xxh64_intdigest(text, seed)
     return h - (1 << 64) if h >> 63 else h
 
 
+def _host_id(host: str) -> int:
+    """What Spark's ``xxhash64`` makes of it."""
+    return _long(host, 42)
+
+
 _NODES: dict[tuple[int, str], int] = {}
 
 
@@ -233,51 +244,57 @@ class Page:
         return "\n\n".join(text for text, _, _ in high or stay)
 
 
-_SEEN = "host string, node long, parent long, kind int, feature long, pages long"
+_SEEN = "cell long, kind int, feature long, host long, node long, parent long, pages long"
 
 
 def counted(pages: DataFrame) -> DataFrame:
-    """host, node, parent, kind (0 the node, 1 a style, 2 a word), feature, pages:
-    in how many pages of a host each was seen, summed per batch of pages."""
+    """cell (a node of a host), kind (0 the node, 1 a style, 2 a word), feature,
+    pages: in how many pages of a host each was seen, summed per batch of pages.
+    Rows of kind 0 say which host, node and parent the cell is."""
+    some = (1 << FEATURE_BITS) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in column_batches(batches, ROWS):
-            seen: Counter[tuple[str, int, int, int, int]] = Counter()
-            cells: dict[tuple[str, int, int], int] = {}
+            seen: Counter[tuple[int, int, int]] = Counter()
+            places: dict[int, tuple[int, int, int]] = {}
             texts, of_cell, of_page = [], [], []
             for i, (url, source) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                host, page = host_of(url), Page(source)
+                host, page = _host_id(host_of(url)), Page(source)
+                cells = {node: _long(f"{host} {node}") for node in page.nodes}
                 for node, (parent, styles) in page.nodes.items():
-                    seen[host, node, parent, 0, 0] += 1
-                    seen[host, node, parent, 1, _long(styles[0])] += 1
+                    places.setdefault(cells[node], (host, node, parent))
+                    seen[cells[node], 0, 0] += 1
+                    seen[cells[node], 1, _long(styles[0]) & some] += 1
                 for text, node, _, _, _ in page.blocks:
                     texts.append(text)
-                    of_cell.append(cells.setdefault((host, node, page.nodes[node][0]), len(cells)))
+                    of_cell.append(cells[node])
                     of_page.append(i)
             # a word counts once per page and node, then pages are counted
             words, counts = word_hashes(pa.array(texts, pa.string()))
-            cell = np.repeat(np.array(of_cell, dtype=np.uint64), counts)
+            words = words & np.uint64(some)
+            cell = np.repeat(np.array(of_cell, dtype=np.int64).view(np.uint64), counts)
             page_of = np.repeat(np.array(of_page, dtype=np.uint64), counts)
             _, once = np.unique(mixed(words + mixed(mixed(cell) + page_of)), return_index=True)
             _, first, n = np.unique(mixed(words[once] + mixed(cell[once])), return_index=True, return_counts=True)
-            where, places = once[first], list(cells)
-            rows = [(*k, n) for k, n in seen.items()]
-            rows += [(*places[c], 2, w, k) for c, w, k in zip(cell[where].tolist(), words[where].view(np.int64).tolist(), n.tolist())]
-            columns = zip(*rows, strict=True) if rows else ((),) * 6
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            where = once[first]
+            rows = [(*k, *(places[k[0]] if k[1] == 0 else (None,) * 3), n) for k, n in seen.items()]
+            rows += zip(cell[where].view(np.int64).tolist(), repeat(2), words[where].view(np.int64).tolist(),
+                        repeat(None), repeat(None), repeat(None), n.tolist())
+            columns = zip(*rows, strict=True) if rows else ((),) * 7
+            kinds = (pa.int64(), pa.int32(), *(pa.int64(),) * 5)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["host", "node", "parent", "kind", "feature", "pages"])
+                                             ["cell", "kind", "feature", "host", "node", "parent", "pages"])
 
     return pages.select("url", "html").mapInArrow(run, _SEEN)
 
 
 def importance(seen: DataFrame) -> DataFrame:
-    """host, node, pages, importance, most (of the branch), from what ``counted`` saw."""
-    sums = seen.groupBy("host", "node", "parent", "kind", "feature").agg(F.sum("pages").alias("n"))
+    """host (its hash), node, pages, importance, most (of the branch), from what ``counted`` saw."""
+    sums = seen.groupBy("cell", "kind", "feature", "host", "node", "parent").agg(F.sum("pages").alias("n"))
     log = F.log(F.col("n").cast("double"))
     of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
-    nodes = cut(sums.groupBy("host", "node", "parent").agg(
-        of(0, F.col("n")).alias("pages"), of(1, F.col("n") * log).alias("style_log"), of(1, F.lit(1)).alias("styles"),
+    nodes = cut(sums.groupBy("cell").agg(
+        F.max("host").alias("host"), F.max("node").alias("node"), F.max("parent").alias("parent"), of(0, F.col("n")).alias("pages"), of(1, F.col("n") * log).alias("style_log"), of(1, F.lit(1)).alias("styles"),
         of(2, log).alias("word_log"), of(2, F.lit(1)).alias("words")), "html-nodes")
 
     def merge(table: pa.Table) -> pa.Table:
@@ -307,12 +324,12 @@ def importance(seen: DataFrame) -> DataFrame:
             share = GAMMA ** (r["styles"] or 1)
             value[node] = (1 - share) * styles + share * below
             most[node] = max([value[node], *(most[c] for c in children[node])])
-        return pa.table({"host": pa.array([rows[0]["host"]] * len(order), pa.string()), "node": pa.array(order, pa.int64()),
+        return pa.table({"host": pa.array([rows[0]["host"]] * len(order), pa.int64()), "node": pa.array(order, pa.int64()),
                          "pages": pa.array([own[n]["pages"] for n in order], pa.int64()),
                          "importance": pa.array([value[n] for n in order], pa.float64()),
                          "most": pa.array([most[n] for n in order], pa.float64())})
 
-    return nodes.groupBy("host").applyInArrow(merge, "host string, node long, pages long, importance double, most double")
+    return nodes.groupBy("host").applyInArrow(merge, "host long, node long, pages long, importance double, most double")
 
 
 def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -327,6 +344,6 @@ def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAG
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
+    rows = pages.select("page_id", "url", "html", F.xxhash64(host).alias("host"))
     kind = dict(rows.dtypes)["page_id"]
     return rows.join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(run, f"page_id {kind}, url string, text string")
