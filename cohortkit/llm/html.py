@@ -276,7 +276,10 @@ def counted(pages: DataFrame) -> DataFrame:
             page_of = np.repeat(np.array(of_page, dtype=np.uint64), counts)
             _, once = np.unique(mixed(words + mixed(mixed(cell) + page_of)), return_index=True)
             _, first, n = np.unique(mixed(words[once] + mixed(cell[once])), return_index=True, return_counts=True)
+            # rows of one node side by side: the shuffle compresses what neighbours share
             where = once[first]
+            order = np.lexsort((n, cell[where]))
+            where, n = where[order], n[order]
             rows = [(*k, *(places[k[0]] if k[1] == 0 else (None,) * 3), n) for k, n in seen.items()]
             rows += zip(cell[where].view(np.int64).tolist(), repeat(2), words[where].view(np.int64).tolist(),
                         repeat(None), repeat(None), repeat(None), n.tolist())
