@@ -5,7 +5,7 @@ whether the whole pre-token is a token; one probe and one comparison settle it.
 A pre-token that is none is merged from its bytes: the bytes form a linked
 list, a heap holds the adjacent pairs that some token spells, and the pair of
 the lowest rank, leftmost first, is merged until none is left. Workers remember
-the ids of at most ``REMEMBER`` pre-tokens.
+the ids of at most ``2 * REMEMBER`` pre-tokens; those not met for long go first.
 
 The vocabulary is a rank file (base64 bytes and rank per line); its size bounds
 what every task is sent. Texts are encoded row by row, so nothing is shuffled.
@@ -21,8 +21,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 
 from cohortkit.llm.common import column_batches
 
-#: Pre-tokens whose ids a worker remembers at most.
-REMEMBER = 100_000
+#: Pre-tokens of each of the two generations that a worker remembers at most.
+REMEMBER = 200_000
 #: Keys per bucket of the perfect hash, on average.
 PER_BUCKET = 2
 #: Documents that are encoded at a time.
@@ -166,16 +166,22 @@ class Vocabulary:
 
 
 class _Memory(dict):
-    """Ids by pre-token, forgotten when too many."""
+    """Ids by pre-token, as the bytes of 32-bit integers. When it is full, all become the older generation, from
+    which those that are met again come back; the generation before is forgotten."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBER:
+            self.older = dict(self)
             self.clear()
-        ids = self[piece] = self.vocabulary.encode_piece(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("i", self.vocabulary.encode_piece(piece)).tobytes()
+        self[piece] = ids
         return ids
 
 
@@ -183,7 +189,7 @@ def _encoding(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, memory = regex.compile(vocabulary.pattern).findall, _Memory(vocabulary)
         for batch in column_batches(batches, ROWS):
-            lists = [np.fromiter(chain.from_iterable(map(memory.__getitem__, split(t))), dtype=np.int32) if t else _NONE
+            lists = [np.frombuffer(b"".join(map(memory.__getitem__, split(t))), dtype=np.int32) if t else _NONE
                      for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([_NONE, *lists])))
