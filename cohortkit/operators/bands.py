@@ -6,7 +6,8 @@ equi join on the entity with a residual range, a sort-merge join compares
 each left row with *all* right rows of its entity: quadratic in the size of
 the largest entity, and one task for a hot entity.
 
-Here each interval is exploded into the fixed-width time buckets it covers,
+Here each interval, cut to the time in which its entity has points, is
+exploded into the fixed-width time buckets it covers,
 and the join key becomes ``(entity, bucket)``. A point only meets the
 intervals that overlap its bucket; the exact range test stays as the join
 condition. A point lies in exactly one bucket, so each (point, interval)
@@ -32,19 +33,36 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def explode_buckets(intervals: DataFrame, lo: Column, hi: Column,
-                    bucket_hours: float) -> DataFrame:
-    """One row per (interval, bucket it overlaps) with ``_lo``/``_hi`` bounds."""
+def point_span(points: DataFrame, on: str | Sequence[str], point_time: str) -> DataFrame:
+    """The first and last point (``_first``, ``_last``) of every entity."""
+    return points.groupBy(*_keys(on)).agg(F.min(point_time).alias("_first"),
+                                          F.max(point_time).alias("_last"))
+
+
+def explode_buckets(intervals: DataFrame, lo: Column, hi: Column, bucket_hours: float,
+                    on: str | Sequence[str] | None = None,
+                    span: DataFrame | None = None) -> DataFrame:
+    """One row per (interval, bucket it overlaps) with ``_lo``/``_hi`` bounds.
+
+    ``span`` (see :func:`point_span`) cuts the intervals to the time in which
+    their entity can have points; nothing beyond it could match.
+    """
+    iv = intervals.withColumns({"_lo": lo, "_hi": hi})
+    if span is not None:
+        iv = (iv.join(span, _keys(on), "inner")
+                .filter((F.col("_lo") <= F.col("_last")) & (F.col("_hi") >= F.col("_first")))
+                .withColumns({"_lo": F.greatest("_lo", "_first"),
+                              "_hi": F.least("_hi", "_last")})
+                .drop("_first", "_last"))
     b_lo = time_bucket(F.col("_lo"), bucket_hours)
     b_hi = time_bucket(F.col("_hi"), bucket_hours)
-    span = F.when(b_hi >= b_lo, F.sequence(b_lo, b_hi))
-    return (intervals.withColumns({"_lo": lo, "_hi": hi})
-                     .withColumn(BUCKET, F.explode(span)))
+    return iv.withColumn(BUCKET, F.explode(F.when(b_hi >= b_lo, F.sequence(b_lo, b_hi))))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[str],
                   point_time: str, lo: Column, hi: Column, how: str = "inner",
-                  bucket_hours: float = 24.0, point_bucket: str | None = None) -> DataFrame:
+                  bucket_hours: float = 24.0, point_bucket: str | None = None,
+                  span: DataFrame | None = None, short: bool = False) -> DataFrame:
     """Join ``points`` to ``intervals`` where ``lo <= point_time <= hi``.
 
     ``how`` is ``inner``, ``left`` (points kept), ``left_semi`` or
@@ -56,9 +74,16 @@ def interval_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[st
     ``time_bucket(point_time, bucket_hours)`` (kept in the result). Points
     partitioned by (entity, that column) by an earlier join are then joined
     without being shuffled again.
+
+    Intervals are cut to ``span``, by default the first and last point of
+    their entity, so that an interval open to a far date takes no more rows
+    than its entity's time does. ``short`` says that no interval is long, and
+    saves that pass over the points.
     """
     keys = _keys(on)
-    iv = explode_buckets(intervals, lo, hi, bucket_hours)
+    if span is None and not short:
+        span = point_span(points, keys, point_time)
+    iv = explode_buckets(intervals, lo, hi, bucket_hours, keys, span)
     pb = point_bucket or BUCKET
     pts = points if point_bucket else points.withColumn(BUCKET, time_bucket(point_time,
                                                                             bucket_hours))
@@ -83,7 +108,7 @@ def intervals_with_points(intervals: DataFrame, points: DataFrame, on: str | Seq
     iv = explode_buckets(intervals.select(*dict.fromkeys(keys + list(interval_id)),
                                           *[c for c in intervals.columns
                                             if c not in keys and c not in interval_id]),
-                         lo, hi, bucket_hours)
+                         lo, hi, bucket_hours, keys, point_span(points, keys, point_time))
     pts = points.select(*keys, point_time).withColumn(BUCKET, time_bucket(point_time, bucket_hours))
     i, p = iv.alias("i"), pts.alias("p")
     cond = [F.col(f"i.{k}") == F.col(f"p.{k}") for k in keys]
@@ -107,7 +132,7 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     width = bucket_hours or max(before_hours + after_hours, 1.0)
     return interval_join(left, right, on, left_time,
                          shift(right_time, -before_hours), shift(right_time, after_hours),
-                         how=how, bucket_hours=width, point_bucket=left_bucket)
+                         how=how, bucket_hours=width, point_bucket=left_bucket, short=True)
 
 
 def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,

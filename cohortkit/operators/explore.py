@@ -200,27 +200,23 @@ def variable_search(sources: Sequence[SearchSource], min_entities: int = 100,
 
     Per source: codes whose name matches any term, distinct entities (and
     rows where ``with_rows``), kept when entities > ``min_entities``, top
-    ``k`` by entities. The matching rows of all sources are projected to
-    (source, code, name, entity) and unioned first, so one aggregation (one
-    two-phase distinct count) serves every source. The per-source top-k is a
-    ``row_number`` over the small aggregate, partitioned by source.
+    ``k`` by entities. Each source is aggregated by its own columns, ids in
+    their native types; only the counts are unioned, with ids as text. The
+    per-source top-k is a ``row_number`` over the small aggregate, partitioned
+    by source.
     """
     parts = []
     for s in sources:
-        hits = s.fact.filter(contains_any_ci(s.concept_name, s.terms))
-        parts.append(hits.select(F.lit(s.name).alias("source_table"),
-                                 F.col(s.concept_id).cast("string").alias("concept_id"),
-                                 F.col(s.concept_name).cast("string").alias("concept_name"),
-                                 F.col(s.entity).cast("string").alias("_entity")))
-    with_rows = [s.name for s in sources if s.with_rows]
-    u = (reduce(DataFrame.unionByName, parts)
-         .groupBy("source_table", "concept_id", "concept_name")
-         .agg(F.count_distinct("_entity").alias("patient_count"),
-              F.count(F.lit(1)).alias("_rows"))
-         .filter(F.col("patient_count") > min_entities)
-         .withColumn("measurement_count",
-                     F.when(F.col("source_table").isin(with_rows), F.col("_rows"))
-                      .cast("long")))
+        counts = (s.fact.filter(contains_any_ci(s.concept_name, s.terms))
+                  .groupBy(F.col(s.concept_id).alias("_id"), F.col(s.concept_name).alias("_name"))
+                  .agg(F.count_distinct(s.entity).alias("patient_count"),
+                       F.count(F.lit(1)).alias("_rows")))
+        rows = F.col("_rows") if s.with_rows else F.lit(None)
+        parts.append(counts.select(F.lit(s.name).alias("source_table"),
+                                   F.col("_id").cast("string").alias("concept_id"),
+                                   F.col("_name").cast("string").alias("concept_name"),
+                                   "patient_count", rows.cast("long").alias("measurement_count")))
+    u = reduce(DataFrame.unionByName, parts).filter(F.col("patient_count") > min_entities)
     w = Window.partitionBy("source_table").orderBy(F.desc("patient_count"), "concept_id")
     return (u.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k)
              .select("source_table", "concept_id", "concept_name", "patient_count",
@@ -272,16 +268,20 @@ def yearly_duplicates(visit: DataFrame, *, entity: str = E,
 
     ``rows - entities`` is the reference's "duplicate rows" (it also counts
     repeat admissions, R2); ``exact_duplicate_rows`` counts rows that repeat
-    an identical ``identity`` tuple (default: all columns).
+    an identical ``identity`` tuple of their entity (default: all columns).
+    One scan: rows are counted per identity, identities per entity, entities
+    per year.
     """
-    identity = list(identity or visit.columns)
-    y = visit.withColumn("year", F.year(start))
-    per_year = y.groupBy("year").agg(F.count_distinct(entity).alias("unique_patients"),
-                                     F.count(F.lit(1)).alias("total_rows"))
-    distinct_rows = (y.select("year", *identity).distinct()
-                      .groupBy("year").agg(F.count(F.lit(1)).alias("_distinct_rows")))
-    return (per_year.join(distinct_rows, "year")
-                    .select("year", "unique_patients", "total_rows",
+    own = [c for c in (identity or visit.columns) if c != entity]
+    per_row = (visit.filter(F.col(start).isNotNull())
+               .groupBy(F.year(start).alias("_year"), F.col(entity).alias("_entity"), *own)
+               .agg(F.count(F.lit(1)).alias("_n")))
+    per_entity = per_row.groupBy("_year", "_entity").agg(F.sum("_n").alias("_n"),
+                                                         F.count(F.lit(1)).alias("_distinct"))
+    per_year = per_entity.groupBy(F.col("_year").alias("year")).agg(
+        F.count("_entity").alias("unique_patients"), F.sum("_n").alias("total_rows"),
+        F.sum("_distinct").alias("_distinct_rows"))
+    return (per_year.select("year", "unique_patients", "total_rows",
                             (F.col("total_rows") - F.col("unique_patients"))
                             .alias("duplicate_rows"),
                             (F.col("total_rows") - F.col("_distinct_rows"))

@@ -76,7 +76,7 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
                 start: str = "drug_exposure_start_datetime",
                 end: str = "drug_exposure_end_datetime",
                 bucket_hours: float = 12.0, open_ended: bool = False,
-                point_bucket: str | None = None) -> DataFrame:
+                point_bucket: str | None = None, span: DataFrame | None = None) -> DataFrame:
     """Keep events with no exposure of ``codes`` active in
     ``[start - lead_in, end + washout]``. An exposure with a NULL end never
     excludes, as in the reference (R22); with ``open_ended`` it is active
@@ -84,7 +84,9 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
     since no event lies beyond it).
 
     ``codes`` may map each code to its own ``(lead_in, washout)`` hours
-    (R8); it is still one anti join, with per-code bounds.
+    (R8); it is still one anti join, with per-code bounds. ``span`` holds the
+    time in which each entity can have events (``_first``, ``_last``), if it is
+    known without a pass over them.
     """
     if isinstance(codes, dict):
         per_code = {c: tuple(v) for c, v in codes.items()}
@@ -102,7 +104,7 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
             hi = F.coalesce(hi, F.col("_last_event"))
         width = bucket_hours or 12.0
         return interval_join(events, ex, entity, time, lo, hi, how="left_anti",
-                             bucket_hours=width, point_bucket=point_bucket)
+                             bucket_hours=width, point_bucket=point_bucket, span=span)
     ex = exposure.filter(F.col(code).isin(list(codes))).select(entity, start, end)
     hi = shift(end, washout_hours)
     if open_ended:
@@ -110,7 +112,8 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
         ex = ex.join(last, entity, "inner")
         hi = F.coalesce(hi, F.col("_last_event"))
     return interval_join(events, ex, entity, time, shift(start, -lead_in_hours), hi,
-                         how="left_anti", bucket_hours=bucket_hours, point_bucket=point_bucket)
+                         how="left_anti", bucket_hours=bucket_hours, point_bucket=point_bucket,
+                         span=span)
 
 
 @dataclass(frozen=True)
@@ -179,7 +182,9 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
           .select(entity, "a_time", "a_value", "_ab"))
     a = not_exposed(a, exposure, list(rule.exposure_codes), lead_in_hours=rule.lead_in_hours,
                     washout_hours=rule.washout_hours, entity=entity, time="a_time",
-                    bucket_hours=width, point_bucket="_ab")
+                    bucket_hours=width, point_bucket="_ab",
+                    span=bounds.groupBy(entity).agg(F.min(episode_start).alias("_first"),
+                                                    F.max(episode_end).alias("_last")))
 
     b = (cohort_window_join(fact.filter((F.col(code) == F.lit(rule.second_code))
                                         & (F.col(value) <= rule.second_max))

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import NUMERIC, fixed, numeric, percent, safe_ratio
+from ..functions.numeric import NUMERIC, fixed, numeric, safe_ratio
 from .bands import cohort_window_join
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
@@ -103,14 +103,17 @@ def codes_of(code_set: Sequence[tuple], role: str, status: str = "use") -> tuple
 
 
 def code_set_audit(fact: DataFrame, code_set: DataFrame, *, entity: str = E, code: str = C,
-                   value: str = V) -> DataFrame:
+                   value: str = V, codes: Sequence | None = None) -> DataFrame:
     """Rows, entities and summed value each listed code contributes,
     with its role, status and reason.
 
     The code set is a list of codes (bounded by its length), broadcast into
-    the join; the fact is aggregated by code.
+    the join; the fact is aggregated by code. ``codes`` are the listed codes,
+    if the caller has them at hand: the filter then reaches the fact's scan.
     """
     cs = F.broadcast(code_set)
+    if codes is not None:
+        fact = fact.filter(F.col(code).isin(list(dict.fromkeys(codes))))
     j = fact.select(entity, code, value).join(cs, fact[code] == cs["code"], "inner")
     return (j.groupBy("code", "role", "status", "reason")
              .agg(F.count(F.lit(1)).alias("row_count"),
@@ -168,9 +171,3 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
                           (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
                           "n", mean.alias("mean_value"))
                   .orderBy("bin"))
-
-
-def share_of_total(df: DataFrame, count_col: str = "n", digits: int = 1) -> DataFrame:
-    """``ROUND(n * 100.0 / SUM(n) OVER (), digits)`` on a small aggregate."""
-    total = F.sum(count_col).over(Window.partitionBy())
-    return df.withColumn("pct", percent(F.col(count_col), total, digits))

@@ -446,7 +446,8 @@ def q_window_sum_zero_filled(spark, sf_dir):
 @register("code_set_audit")
 def q_code_set_audit(spark, sf_dir):
     return tot.code_set_audit(B.measurement(spark, sf_dir),
-                              tot.code_set_frame(spark, TEST_CODE_SET))
+                              tot.code_set_frame(spark, TEST_CODE_SET),
+                              codes=[row[0] for row in TEST_CODE_SET])
 
 
 @register("fluid_balance")

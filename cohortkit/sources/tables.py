@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,21 +84,32 @@ def schema_frame(spark: SparkSession, df: DataFrame, numeric_only: bool = False)
         rows, "ordinal_position int, column_name string, data_type string")
 
 
+def _comparable(field: T.StructField) -> Column:
+    """The column as text that is equal where its values are."""
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(name)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return (F.col(name) + F.lit(0.0)).cast("string")   # a negative zero is zero
+    return F.col(name).cast("string")
+
+
 def column_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """S3 re-aimed as a job: per column its type and non-null count.
+    """S3 re-aimed as a job: per column its type, non-null and distinct count.
 
-    One aggregate pass computes the counts of all columns together (plain
-    ``count``s merge map-side, so there is no data expansion), then ``stack``
-    turns the single wide row into one row per column in ordinal order.
+    One pass turns rows into (column, value) pairs, which are counted per
+    value and then per column; equal values of a task meet before the shuffle,
+    and a frequent value is one row per task. An empty table has zero counts.
     """
     fields = df.schema.fields
-    aggs = [F.count(F.col(f.name)).alias(f"nn_{i}") for i, f in enumerate(fields)]
-    wide = df.agg(F.count(F.lit(1)).alias("row_count"), *aggs)
-    stack_args = ", ".join(
-        f"{i + 1}, '{f.name}', '{f.dataType.simpleString()}', nn_{i}"
-        for i, f in enumerate(fields))
-    return wide.selectExpr(
-        f"stack({len(fields)}, {stack_args}) as "
-        "(ordinal_position, column_name, data_type, non_null_count)",
-        "row_count",
-    ).select("ordinal_position", "column_name", "data_type", "row_count", "non_null_count")
+    pairs = [x for i, f in enumerate(fields) for x in (F.lit(i + 1), _comparable(f))]
+    values = (df.select(F.stack(F.lit(len(fields)), *pairs).alias("ordinal_position", "_value"))
+                .groupBy("ordinal_position", "_value").agg(F.count(F.lit(1)).alias("_n")))
+    counts = values.groupBy("ordinal_position").agg(
+        F.sum("_n").alias("row_count"),
+        F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))).alias("non_null_count"),
+        F.count("_value").alias("distinct_count"))
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return (schema_frame(spark, df).join(counts, "ordinal_position", "left")
+            .select("ordinal_position", "column_name", "data_type", count("row_count"),
+                    count("non_null_count"), count("distinct_count")))

@@ -102,3 +102,14 @@ def test_tables_are_listed_by_uri(spark):
     names = tables.list_tables(spark, "file:///root/testdata/sf0.001")
     assert "events" in names and names == tables.list_tables(spark, "/root/testdata/sf0.001")
     assert tables.dataset_profile(spark, "file:///root/testdata/sf0.001").count() == len(names)
+
+
+def test_column_profile_counts_values(spark):
+    from cohortkit.sources import tables
+    schema = "`a.b` long, x double, s string, raw binary, m array<int>"
+    df = spark.createDataFrame([(1, 0.0, None, b"\xff", [1]), (1, -0.0, "", b"\xfe", [1]),
+                                (None, float("nan"), "", None, None)], schema)
+    got = [tuple(r)[3:] for r in tables.column_profile(spark, df).orderBy("ordinal_position").collect()]
+    assert got == [(3, 2, 1), (3, 3, 2), (3, 2, 1), (3, 2, 2), (3, 2, 1)]
+    empty = tables.column_profile(spark, df.limit(0)).collect()
+    assert len(empty) == 5 and all(tuple(r)[3:] == (0, 0, 0) for r in empty)
