@@ -62,8 +62,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: source/lang/hundred of the id/id."""
     docs = read(spark, sf_dir, "documents")
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
-    found = licenses.inherit(licenses.scan(docs.select(path.alias("path"), "text")))
-    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
+    return licenses.inherit(licenses.scan(docs.select(path.alias("path"), "text", F.col("doc_id").cast("long").alias("doc_id"))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

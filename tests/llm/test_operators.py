@@ -281,6 +281,45 @@ def test_licenses(spark):
     assert licenses.inherit(licenses.scan(spark.createDataFrame([], "path string, text string"))).count() == 0
 
 
+APACHE_HEADER = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+GPL_HEADER = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version. */
+"""
+
+
+def test_license_texts_and_headers(spark):
+    code = "".join(f"def f{i}(x{i}):\n    return g{i}(x{i})  # step {i}\n\n" for i in range(40))
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    mit = "Copyright (c) 2020 Someone\n\n" + licenses.TEMPLATES["MIT"][1].split("\n", 4)[4]
+    assert matcher.scan(mit)[::2] == ("MIT", True)
+    assert matcher.scan(mit.split("\n\nTHE SOFTWARE")[0])[::2] == ("MIT", True)  # without its last paragraph
+    assert matcher.scan(GPL_HEADER)[0] == "GPL-3.0"
+    assert matcher.scan("import a\n\n" + GPL_HEADER + code)[::2] == ("GPL-3.0", False)
+    assert matcher.scan(code + GPL_HEADER.replace("version 3", "version 2") + code)[::2] == ("GPL-2.0", False)
+    assert matcher.scan(code + APACHE_HEADER + code)[::2] == ("Apache-2.0", False)
+    # the words of a line cut anywhere: no single line says enough
+    assert matcher.scan(code + "\n".join(GPL_HEADER.split()) + "\n" + code)[::2] == ("GPL-3.0", False)
+    assert matcher.scan(code + "\n# SPDX-License-Identifier: MPL-2.0\n" + code)[::2] == ("MPL-2.0", False)
+    assert matcher.scan(code) == (None, 0.0, False) and matcher.scan("By.") == (None, 0.0, False)
+    for name, texts in licenses.TEMPLATES.items():
+        assert all(matcher.names[matcher.best(licenses.terms(t))[0]] == name for t in texts)
+    files = [(None, "p/LICENSE", mit), (3, "p/a.py", code), (None, "q/b.py", code + GPL_HEADER)]
+    found = licenses.inherit(licenses.scan(spark.createDataFrame(files, "doc_id long, path string, text string"))).collect()
+    assert sorted(((r.path, r.doc_id, r.license, r.how) for r in found)) == [
+        ("p/LICENSE", None, "MIT", "file"), ("p/a.py", 3, "MIT", "inherited"), ("q/b.py", None, "GPL-3.0", "header")]
+
+
 def test_word_hashes():
     import pyarrow as pa
     texts = [None, "", " a  b\n", "é è\tz\x0b", "a b a", "c\x1cd"]
