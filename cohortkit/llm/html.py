@@ -12,11 +12,19 @@ children. Branches whose nodes are all below ``LEAST`` are removed from each
 page of the host, unless nothing else of a page would stay.
 
 Markup that says what it is decides for itself, since one page or a set of
-copies shows no entropy: navigation, headers, footers, asides, forms, scripts
-and elements whose role, class or id says advert, notice, comments and the like
-go; where a page has an article (or else a main element), the text is what
-stands inside, and plain elements inside it stay. The tree decides on all other
-branches. It needs ``LEAST_PAGES`` pages with the node.
+copies shows no entropy: navigation, headers, footers, asides, scripts and
+elements whose role says so go. Forms, and elements of which a whole class or id
+says advert, notice, comments and the like (each of its parts, as in
+"cookie-notice" or "share-buttons", not "has-sidebar" or "related-work"), are
+marked, and go unless text would be lost: html, body, main and article are never
+marked, headings never by their ids; where no article or main element stands
+outside of marked elements, those around one are not marked; and while marked
+elements hold more than half of the text of these landmarks (of the page, where
+there are none), the one that holds the most is not marked. Where a page has an article (or else a main element), the text is
+what stands inside, and plain elements inside it stay; but articles beside a
+main element that holds more text, or beside more text that the tree keeps (a
+teaser), take nothing away. The tree decides on all other branches. It needs
+``LEAST_PAGES`` pages with the node.
 
 Pages become blocks: text between block elements, character references
 decoded, white space as one space, joined by two line feeds.
@@ -68,20 +76,27 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section
 summary table tbody td tfoot th thead tr ul""".split())
 RAW = frozenset("iframe noembed noframes script style template textarea title xmp".split())
-GONE_TAGS = frozenset("""aside audio button canvas dialog footer form head iframe input label menu nav noembed noframes
+GONE_TAGS = frozenset("""aside audio button canvas dialog footer head iframe input label menu nav noembed noframes
 noscript object option script select style svg template textarea title video xmp""".split())
 GONE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 GONE_NAMES = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments
 consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice
 notices notification overlay pager pagination popup promo promotion related replies respond share sharing sidebar
 signup social sponsor sponsored subscribe topbar widget""".split())
+#: What may stand beside these in one class or id.
+FILL_NAMES = frozenset("""area articles bar block body bottom box btn button buttons container content form global group
+icon icons inner item items left link links list main outer panel posts primary right secondary section site title top
+wrap wrapper""".split())
+#: These elements are never marked by their names; of headings, only the class counts.
+KEPT_TAGS = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the left closes an open element of the right.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "body": {"head"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
 #: All other elements are inline: their text is part of the block they are in.
-MARKS = BLOCK | RAW | GONE_TAGS | {"br"}
+SEEN_TAGS = BLOCK | RAW | GONE_TAGS | {"br"}
 #: These stop the search for an element to close.
 FENCE = frozenset("article aside body div footer form header html main nav ol section table ul".split())
 
@@ -119,22 +134,37 @@ def _node(parent: int, label: str) -> int:
     return node
 
 
+def _telling(marks: str, but: frozenset[str]) -> bool:
+    """If a whole class or id of these is a name of ``GONE_NAMES``."""
+    for token in marks.split():
+        parts = set(_NAME.findall(token))
+        if parts & GONE_NAMES - but and parts <= GONE_NAMES | FILL_NAMES:
+            return True
+    return False
+
+
 class Element:
-    """An open element: its node in the site's tree and what becomes of its text."""
+    """An open element: its node in the site's tree and what becomes of its text.
+
+    ``marks`` are the marked elements around it, ``outer`` how many of them are
+    around the landmark that it is in."""
 
-    __slots__ = ("tag", "node", "parent", "styles", "gone", "inside", "named")
+    __slots__ = ("tag", "node", "parent", "styles", "gone", "inside", "named", "marks", "outer")
 
-    def __init__(self, tag: str, node: int, parent: int, gone: bool, inside: str, named: bool):
+    def __init__(self, tag: str, node: int, parent: int, gone: bool, inside: str, named: bool, marks: tuple[int, ...] = (), outer: int = 0):
         self.tag, self.node, self.parent, self.gone, self.inside, self.named = tag, node, parent, gone, inside, named
+        self.marks, self.outer = marks, outer
         self.styles: list[str] = []
 
 
 class Page:
     """The blocks of a page: (text, node, landmark around it, removed by what its
-    markup says, nodes of the branch that the tree may remove)."""
+    markup says, nodes of the branch that the tree may remove, marked elements
+    around it, how many of them are around the landmark)."""
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, int, str, bool, tuple[int, ...]]] = []
+        self.blocks: list[tuple[str, int, str, bool, tuple[int, ...], tuple[int, ...], int]] = []
+        self._marked = 0
         #: node -> (parent, its sequences of children)
         self.nodes: dict[int, tuple[int, list[str]]] = {}
         self._parts: list[str] = []
@@ -158,7 +188,7 @@ class Page:
             if text:
                 top = self._stack[-1]
                 branch = tuple(e.node for e in self._stack[1:] if e.named or not e.inside)
-                self.blocks.append((text, top.node, top.inside, top.gone, branch))
+                self.blocks.append((text, top.node, top.inside, top.gone, branch, top.marks, top.outer))
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
@@ -175,7 +205,7 @@ class Page:
                     self._parts.append(html.escape(found[0][9:-3]))
                 continue
             tag = found[2].lower()
-            if tag not in MARKS:
+            if tag not in SEEN_TAGS:
                 continue
             if found[1]:
                 self._end(tag)
@@ -203,17 +233,20 @@ class Page:
         top = self._stack[-1]
         inside = top.inside
         gone = top.gone or tag in GONE_TAGS or marks.get("role") in GONE_ROLES or "hidden" in marks or marks.get("aria-hidden") == "true"
-        if inside:
-            # a header inside an article holds its title
-            gone = gone or bool(names & GONE_NAMES - {"header", "banner"})
-        else:
-            gone = gone or tag == "header" or bool(names & GONE_NAMES)
-        if not gone and (tag in ("article", "main") or marks.get("role") in ("main", "article")):
+        gone = gone or tag == "header" and not inside  # inside an article it holds the title
+        marked, outer = top.marks, top.outer
+        landmark = tag in ("article", "main") or marks.get("role") in ("main", "article")
+        if not landmark and tag not in KEPT_TAGS:
+            said = marks.get("class", "") + " " + ("" if tag in HEADINGS else marks.get("id", ""))
+            if tag == "form" or _telling(said, frozenset(("header", "banner")) if inside else frozenset()):
+                self._marked += 1
+                marked = (*marked, self._marked)
+        if not gone and landmark:
             kind = "article" if tag == "article" or marks.get("role") == "article" else "main"
-            inside = "article" if inside == "article" else kind
+            inside, outer = "article" if inside == "article" else kind, len(marked)
         label = tag + "".join(f".{n}" for n in sorted(names))
         top.styles += [label] if not top.styles or top.styles[-1] != label else []
-        self._stack.append(Element(tag, _node(top.node, label), top.node, gone, inside, bool(names)))
+        self._stack.append(Element(tag, _node(top.node, label), top.node, gone, inside, bool(names), marked, outer))
 
     def _close_open(self, tags: set[str], fence: frozenset[str]) -> None:
         for i in range(len(self._stack) - 1, 0, -1):
@@ -236,12 +269,29 @@ class Page:
 
     def text(self, low: frozenset[int] = frozenset()) -> str:
         """The main text, without the branches of the nodes in ``low``."""
-        stay = [(text, inside, branch) for text, _, inside, gone, branch in self.blocks if not gone]
-        landmark = next((k for k in ("article", "main") if any(inside == k for _, inside, _ in stay)), "")
-        if landmark:
-            stay = [b for b in stay if b[1] == landmark]
-        high = [b for b in stay if low.isdisjoint(b[2])] if low else stay
-        return "\n\n".join(text for text, _, _ in high or stay)
+        rows = [(text, inside, branch, marks, outer) for text, _, inside, gone, branch, marks, outer in self.blocks if not gone]
+        off: set[int] = set()
+        if any(r[1] for r in rows) and not any(r[1] and not r[3] for r in rows):
+            off.update(m for r in rows if r[1] for m in r[3][:r[4]])
+        # a landmark's text, or all text where there is none
+        most = [r for r in rows if r[1] and off.issuperset(r[3][:r[4]])] or rows
+        total = sum(len(r[0]) for r in most)
+        while 2 * sum(len(r[0]) for r in most if off.issuperset(r[3])) < total:
+            held: Counter[int] = Counter()
+            for r in most:
+                for m in r[3]:
+                    held[m] += 0 if m in off else len(r[0])
+            off.add(min(held, key=lambda m: (m in off, -held[m], m)))
+        stay = [r for r in rows if off.issuperset(r[3])]
+        size: Counter[str] = Counter()
+        for r in stay:  # text beside a landmark counts if the tree keeps it
+            size[r[1]] += len(r[0]) if r[1] or low.isdisjoint(r[2]) else 0
+        if size["article"] + size["main"] and size["article"] + size["main"] >= size[""]:
+            # articles beside more text of a main element are a part of it
+            kinds = ("article",) if size["article"] >= size["main"] else ("article", "main")
+            stay = [r for r in stay if r[1] in kinds]
+        high = [r for r in stay if low.isdisjoint(r[2])] if low else stay
+        return "\n\n".join(r[0] for r in high or stay)
 
 
 _SEEN = "cell long, kind int, feature long, host long, node long, parent long, pages long"
@@ -265,7 +315,7 @@ def counted(pages: DataFrame) -> DataFrame:
                     places.setdefault(cells[node], (host, node, parent))
                     seen[cells[node], 0, 0] += 1
                     seen[cells[node], 1, _long(styles[0]) & some] += 1
-                for text, node, _, _, _ in page.blocks:
+                for text, node, *_ in page.blocks:
                     texts.append(text)
                     of_cell.append(cells[node])
                     of_page.append(i)

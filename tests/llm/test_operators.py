@@ -143,6 +143,23 @@ def test_html(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("source, text", [
+    ('<body class="has-sidebar"><div class="no-sidebar"><article><p>all of it</article></div>', "all of it"),
+    ('<body class="has-sidebar"><p>all of it', "all of it"),
+    ('<body><div id="header-and-content"><article><p>all of it</article></div>', "all of it"),
+    ('<body class="menu"><div class="sidebar">menu</div><div class="overlay"><main><p>all of it</main></div>', "all of it"),
+    ('<article><h2 id="related-work">related</h2><p>a<h2 id="comments">on</h2><p>b<section id="comments-on-the-method"><p>c</section></article>',
+     "related\n\na\n\non\n\nb\n\nc"),
+    ('<article><h2>t</h2><h3 id="social-impact">social</h3><p>text of it<div class="share-buttons">s</div></article>', "t\n\nsocial\n\ntext of it"),
+    ('<main><p>all of the long text stands here</p><article class="card">teaser</article></main>', "all of the long text stands here\n\nteaser"),
+    ('<div><p>all of the long text stands here</p></div><article>teaser</article>', "all of the long text stands here\n\nteaser"),
+    ('<main><p>a text</p></main><div class="related"><article>one</article></div>', "a text"),
+    ('<body><form action="x"><div class="notice"><p>a page that is a form</p></div><div class="cookies">c</div></form>', "a page that is a form"),
+])
+def test_html_names_only_mark(source, text):
+    assert html.Page(source).text() == text
+
+
 def shingles(text):
     w = words(text)
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
