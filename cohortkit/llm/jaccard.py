@@ -25,7 +25,7 @@ without links; a text of fewer words than a shingle is one shingle of all its
 words; equal texts are linked; rows of one id are separate documents; a class
 has the smallest id of its documents (null where all are null); an empty table
 gives an empty result; extra columns are left behind by ``classes`` and kept by
-``keep_first``.
+``keep_one_each`` and ``keep_first``.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import bins_for, column_batches, cut, id_or_none, mixed, shuffle_partitions, span_hashes, word_hashes
+from cohortkit.llm.common import WORD, bins_for, column_batches, cut, id_or_none, mixed, shuffle_partitions, span_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -105,12 +105,13 @@ class Texts:
 
 
 def signed(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, prefix: int | None = None) -> DataFrame:
-    """doc_id, key, n_words, bands (one hash per tree) and sig (a byte per value)."""
+    """doc_id, row_key (of the text as it is), key (of its words), n_words, bands
+    (one hash per tree) and sig (a byte per value)."""
     prefix = prefix or prefix_length(trees=trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in column_batches(batches, ROWS):
-            texts = Texts(batch.column(1), shingle)
+            texts = Texts(batch.column(2), shingle)
             full = texts.counts > 0
             bands = np.zeros((len(full), trees), dtype=np.int64)
             low = np.zeros((len(full), trees * prefix), dtype=np.uint8)
@@ -124,11 +125,20 @@ def signed(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, prefix:
                 bands[full] = h.view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, trees, dtype=np.int32)), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts.keys), pa.array(texts.sizes), lists, pa.array([r.tobytes() for r in low], pa.binary())],
-                ["doc_id", "key", "n_words", "bands", "sig"])
+                [batch.column(0), batch.column(1), pa.array(texts.keys), pa.array(texts.sizes), lists, pa.array([r.tobytes() for r in low], pa.binary())],
+                ["doc_id", "row_key", "key", "n_words", "bands", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, key long, n_words long, bands array<long>, sig binary")
+    return docs.select(F.col("doc_id").cast("long"), _row_key(), "text").mapInArrow(
+        run, "doc_id long, row_key long, key long, n_words long, bands array<long>, sig binary")
+
+
+def _row_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_key")
+
+
+def _first_row() -> Column:
+    """Orders rows by id, nulls last, then by text."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
 
 
 def _tiled(rows: DataFrame, by: str, sizes: DataFrame, block: int, per_bin: int, rows_in: int) -> DataFrame:
@@ -273,10 +283,17 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
             recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_links, n_copies (documents of the same words, itself
     included) for every document; n_links counts the copies too."""
+    return _classes(docs, threshold, shingle, trees, recall).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, trees: int = TREES,
+             recall: float = RECALL) -> DataFrame:
+    """What ``classes`` says, with row_key, n_words and first: the id and row key
+    of the first row of the class (null: the row stands alone)."""
     prefix = prefix_length(threshold, trees, recall)
     rows = cut(signed(docs, shingle, trees, prefix), "jaccard-signed")
     nodes = cut(rows.filter(F.col("n_words") > 0).groupBy(F.col("key").alias("node")).agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "jaccard-nodes")
+        F.count("*").alias("copies"), F.min(_first_row()).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "jaccard-nodes")
 
     # who meets in a tree
     met = nodes.select("node", F.explode("bands").alias("band"))
@@ -289,8 +306,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
     # all pairs of a group, exactly
     members = cut(groups.join(nodes.select("node", "copies", "rep"), "node"), "jaccard-members")
     sizes = cut(members.groupBy("grp").agg(F.count("*").alias("n")), "jaccard-sizes")
-    texts = docs.select(id_or_none().alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    members = members.withColumn("_id", id_or_none("rep")).join(texts.hint("merge"), "_id").select("node", "grp", "copies", "text")
+    # one text per node, found by its row's id and text: rows that share an id never meet
+    texts = docs.select(id_or_none().alias("_id"), _row_key(), F.coalesce("text", F.lit("")).alias("text"))
+    found = members.select("node", "grp", "copies", id_or_none("rep.doc_id").alias("_id"), F.col("rep.row_key").alias("row_key")).join(
+        texts.hint("merge"), ["_id", "row_key"])
+    members = found.groupBy("node", "grp", "copies").agg(F.first("text").alias("text"))
     tiles = _tiled(members, "grp", sizes, VERIFY_BLOCK, BIN_TEXTS, sizes.agg(F.sum("n").alias("n")).first()["n"] or 0)
     checked = cut(tiles.groupBy("_bin").applyInArrow(_verify(shingle, threshold), "node long, links long, lead long"), "jaccard-checked")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
@@ -300,20 +320,41 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
     known = nodes.select("node", "copies", "rep").join(links, "node", "left").join(final, "node", "left").filter(
         (F.col("copies") > 1) | (F.col("links") > 0))
     known = cut(known.withColumn("grp", F.coalesce("grp", "node")), "jaccard-known")
-    first = known.groupBy("grp").agg(F.min("rep").alias("class_id"))
+    first = known.groupBy("grp").agg(F.min("rep").alias("first"))
     known = cut(known.join(cut(first, "jaccard-first"), "grp").select(
-        F.col("node").alias("key"), "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links")), "jaccard-classes")
-    out = rows.select("doc_id", "key", "n_words").withColumn(
+        F.col("node").alias("key"), "first", "copies", F.coalesce("links", F.lit(0)).alias("links")), "jaccard-classes")
+    out = rows.select("doc_id", "row_key", "key", "n_words").withColumn(
         "key", F.when(F.col("n_words") > 0, F.col("key"))).join(known, "key", "left")
-    return out.select("doc_id", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    return out.select("doc_id", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
                       (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
-                      F.coalesce("copies", F.lit(1)).alias("n_copies"))
+                      F.coalesce("copies", F.lit(1)).alias("n_copies"), "row_key", "n_words", "first")
+
+
+def keep_one_each(docs: DataFrame, **options) -> DataFrame:
+    """Of each class the first row by id (nulls last) and text, with all its columns.
+
+    Rows are told apart by id and text, so nothing is lost where different texts
+    share an id, and copies without ids are reduced to one. Rows equal in both
+    are one document, but for those without an id and without words: each is a
+    class of its own.
+    """
+    found = _classes(docs, **options)
+    own = F.col("first").isNull() | (F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.row_key") == F.col("row_key")))
+    firsts = found.filter(own & ~(F.col("doc_id").isNull() & (F.col("n_words") == 0))).select(
+        id_or_none().alias("_id"), "row_key").distinct()
+    rows = docs.withColumn("_key", _row_key()).withColumn("_id", id_or_none())
+    kept = rows.join(cut(firsts, "jaccard-kept").withColumnRenamed("row_key", "_key"), ["_id", "_key"], "left_semi")
+    kept = kept.dropDuplicates(["_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull() & wordless))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """Of each class the document with the smallest id, with all its columns.
 
-    Repeated rows of that id are one document; rows without an id stay.
+    For tables in which an id stands for one text: repeated rows of an id are one
+    document, even of different texts; rows without an id stay. ``keep_one_each``
+    goes by id and text.
     """
     firsts = classes(docs, **options).filter(F.col("class_id") == F.col("doc_id")).select(F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(cut(firsts, "jaccard-kept"), F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])

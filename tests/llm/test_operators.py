@@ -200,6 +200,23 @@ def test_jaccard(spark, table, rows, empty):
     assert jaccard.classes(empty).count() == 0
 
 
+def test_jaccard_keeps_every_text(spark, rows):
+    long = ["alpha beta gamma delta epsilon zeta eta theta " + " ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    more = [(5, long[0], "s"), (5, long[1], "s"), (3, long[1], "s"), (6, long[2], "s"), (6, long[3], "s"), (6, long[3], "s"), (None, long[4], "s"),
+            (None, long[4] + " z", "s"), (None, " " + long[4], "s"), (None, long[5], "s"), (8, long[5], "s"), (None, "", "s"), (None, None, "s"), (9, "", "s"), (9, "", "s")]
+    got = Counter((x.doc_id, x.text) for x in jaccard.keep_one_each(docs(spark, more)).collect())
+    assert sum(got.pop((None, t), 0) for _, t, _ in more[6:9]) == 1  # of copies without ids one stays
+    assert got == Counter([(5, long[0]), (3, long[1]), (6, long[2]), (6, long[3]), (8, long[5]), (None, ""), (None, None), (9, "")])
+    # nothing but copies goes: each text kept or near one that is
+    kept = jaccard.keep_one_each(docs(spark, rows)).collect()
+    sets = [shingles(x.text) for x in kept]
+    for _, text, _ in rows:
+        own = shingles(text)
+        assert not own or any(len(own & s) / len(own | s) >= 0.8 for s in sets)
+    import corpus_pipeline
+    assert corpus_pipeline.drop_near_copies(spark, docs(spark, more), SF).count() == 9
+
+
 def deduped(rows, n=13):
     first, out = {}, []
     for i, t, _ in rows:
