@@ -17,9 +17,11 @@ task is sent two dictionaries of ``DICTIONARY`` bytes.
 
 Defined cases: null and empty texts get the score of a text of no length;
 labels that are null, of unlabelled documents or contradicting each other are
-left out; where a class has fewer than ``LEAST`` documents nothing can be
-learned and every score is the share of good labels (0.5 without any); repeated
-rows are scored alike; an empty table gives an empty result; only ``text`` and
+left out; of rows that repeat a labelled id the fit sees one, the first in order
+of its blocks; a class of ``LEAST`` documents, one for its dictionary and one to
+calibrate, is enough; where a class has fewer nothing can be learned, every score
+is the share of good labels (0.5 without any), and ``keep_good`` rejects nothing;
+repeated rows are scored alike; an empty table gives an empty result; only ``text`` and
 the id are read, so other columns may have any name.
 """
 
@@ -44,7 +46,7 @@ DICTIONARY = 112_640
 #: zstandard's level.
 LEVEL = 3
 #: Documents a class must have.
-LEAST = 20
+LEAST = 2
 #: One document in so many calibrates; the others build the dictionaries.
 CALIBRATE = 3
 
@@ -109,7 +111,7 @@ def held_out(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """(doc_id, good, parts): the bounded sample of labelled documents.
 
-    At most ``2 * per_class`` ids are sent to every task.
+    At most ``2 * per_class`` ids are sent to every task, and as many rows come back.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("good"), F.max("quality").alias("_most"))
@@ -122,8 +124,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
         F.transform(F.sequence(F.lit(0), F.lit(BLOCKS - 1)),
                     lambda i: F.floor(i * (n - BLOCK_CHARS) / (BLOCKS - 1)).cast("int")))
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select(
+    rows = texts.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select(
         "doc_id", "good", F.transform(starts, lambda i: F.substr(F.col("text"), i + 1, F.lit(BLOCK_CHARS))).alias("parts"))
+    return rows.groupBy("doc_id", "good").agg(F.min("parts").alias("parts"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
@@ -142,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
         try:
             raw = zstandard.train_dictionary(DICTIONARY, build, k=200, d=8).as_bytes()
         except zstandard.ZstdError:  # too little text for a trained one: the text itself
-            raw = b"\n".join(build)[-DICTIONARY:]
+            raw = b"\n".join(build)[-DICTIONARY:] or b"\n"
         dictionaries.append(raw)
         rest += [(q, parts) for i, parts in enumerate(docs_of) if i % CALIBRATE == 0]
     model = Model((dictionaries[0], dictionaries[1]), [], prior)
@@ -168,7 +171,10 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The documents that the model does not reject, with all their columns."""
+    """The documents that the model does not reject, with all their columns; all
+    of them if nothing could be learned."""
+    if not model.dictionaries:
+        return docs
 
     @F.pandas_udf("double")
     def quality(texts):

@@ -86,6 +86,30 @@ def test_quality(spark, empty):
     assert quality.score(empty, few).count() == 0 and few.dictionaries is None
 
 
+@pytest.mark.parametrize("n_good, n_bad", [(19, 2000), (2000, 19), (2, 2), (1, 30), (0, 30)])
+def test_quality_few_labels(spark, n_good, n_bad):
+    r = random.Random(n_good)
+    text = lambda good: " ".join(r.choice(["alpha", "beta", "gamma", "delta"]) + ("" if good else "###") for _ in range(60))
+    ids = [i for i in range(6 * (n_good + n_bad) + 20) if zlib.crc32(str(i).encode()) % 3 != 1][:n_good + n_bad]
+    labels = spark.createDataFrame([(i, int(k < n_good)) for k, i in enumerate(ids)], "doc_id long, quality int")
+    known = docs(spark, [(i, text(k < n_good), "s") for k, i in enumerate(ids)])
+    model = quality.fit(known, labels)
+    new = docs(spark, [(10 ** 6 + i, text(i % 2), "s") for i in range(40)] + [(10 ** 7, None, "s"), (10 ** 7, "", "s")])
+    kept = sorted(x.doc_id - 10 ** 6 for x in quality.keep_good(new, model).collect() if x.doc_id < 10 ** 7)
+    if min(n_good, n_bad) > 1:
+        assert kept == [i for i in range(40) if i % 2]
+    else:
+        assert model.dictionaries is None and kept == list(range(40))
+
+
+def test_quality_repeated_label(spark):
+    rows = [(i, f"text {i} of it", "s") for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    once, often = (quality.labelled_sample(docs(spark, own), labels).collect() for own in (rows, rows + rows[:3] * 50))
+    assert len(often) == len(once) and sorted(often) == sorted(once)
+    assert quality.labelled_sample(docs(spark, [(0, "b", "s"), (0, "a", "s"), (0, None, "s")]), labels).first().parts == [""]
+
+
 def test_top_k(spark):
     r = random.Random(2)
     rows = [(i, [r.choice([-0.5, 0.0, 0.25, 1e-3]) for _ in range(4)], "x") for i in range(120)]
