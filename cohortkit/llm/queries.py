@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bpe, html, jaccard, lengths, licenses, mixing, quality, substring, syncmer, topk
+from cohortkit.llm import bpe, html, jaccard, lengths, lexical, licenses, mixing, quality, secrets, substring, syncmer, topk, whitening
 from cohortkit.llm.common import read
 
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
@@ -65,6 +65,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.inherit(licenses.scan(docs.select(path.alias("path"), "text", F.col("doc_id").cast("long").alias("doc_id"))))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality": op2_quality,
@@ -76,9 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
+    "op13_secrets": op13_secrets,
 }
 
 SQL: dict[str, str] = {
     "op1_source_mix": mixing.SQL,
     "op3_top_k": topk.SQL,
+    "op11_lexical_search": lexical.SQL,
 }
