@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,15 +57,14 @@ def column_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-# Hashes of words, straight from the bytes of an Arrow column. A word's hash is a
-# polynomial over its bytes modulo 2^64: a prefix sum over all bytes gives that of
-# any range.
-_BASE = np.uint64(0x9E3779B97F4A7C17)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2 ** 64))
-_OF_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2 ** 64, 256, dtype=np.uint64)
+# Identities of words, straight from the bytes of an Arrow column: 128 bits in two
+# numbers. A word of up to 15 bytes is its own identity (its bytes and its length);
+# a longer one has 120 bits of a cryptographic digest, under a length no short word has.
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-#: Bytes that are hashed at a time, roughly.
+_SHORT = 15
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2 ** 64 - 1], dtype=np.uint64)
+#: Bytes that are taken at a time, roughly.
 _CHUNK = 1_000_000
 
 
@@ -86,17 +86,34 @@ def span_hashes(words: np.ndarray, at: np.ndarray, n: int, seed: int) -> np.ndar
     return mixed(total)
 
 
-def word_hashes(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of a text column, one text after the other, and
-    the number of words of each text (null: none)."""
+def _identities(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The identities of the words from ``starts`` to ``stops``. ``data`` has 16
+    more bytes behind the last word."""
+    size = stops - starts
+    at = np.ndarray((max(0, len(data) - 8),), dtype="<u8", buffer=data, strides=(1,))  # eight bytes from every place
+    low = at[starts] & _MASKS[np.minimum(size, 8)]
+    high = at[starts + 8] & _MASKS[np.clip(size - 8, 0, 7)] | np.minimum(size, 255).astype(np.uint64) << np.uint64(56)
+    long = np.flatnonzero(size > _SHORT)
+    if len(long):
+        raw = data.tobytes()
+        digests = b"".join(b"\xff" + hashlib.blake2b(raw[i:j], digest_size=15).digest() for i, j in zip(starts[long].tolist(), stops[long].tolist()))
+        both = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2)
+        high[long], low[long] = both.T
+    return high, low
+
+
+def word_ids(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The identities (two numbers each) of all words of a text column, one text
+    after the other, and the number of words of each text (null: none)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
     texts = texts.cast(pa.large_binary()).fill_null(b"")
+    none = np.empty(0, np.uint64)
     if not len(texts):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return none, none, np.empty(0, np.int64)
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-    hashes, counts, i = [], np.zeros(len(texts), dtype=np.int64), 0
+    high, low, counts, i = [none], [none], np.zeros(len(texts), dtype=np.int64), 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(ends, ends[i] + _CHUNK, side="right")) - 1)
         own, cuts = data[ends[i]:ends[j]], ends[i:j + 1] - ends[i]
@@ -107,10 +124,26 @@ def word_hashes(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarr
         starts = np.flatnonzero(fresh[:-1] & ~space)
         last = np.flatnonzero(fresh[1:] | np.append(space[1:], True)) if len(own) else np.empty(0, np.int64)
         stops = last[~space[last]] + 1
-        power = np.multiply.accumulate(np.full(len(own), _BASE))
-        upto = np.concatenate([[np.uint64(0)], np.cumsum(_OF_BYTE[own] * power, dtype=np.uint64)])
-        back = np.multiply.accumulate(np.full(len(own), _BASE_INVERSE))
-        hashes.append(mixed((upto[stops] - upto[starts]) * back[starts] + (stops - starts).astype(np.uint64)))
+        one, two = _identities(np.concatenate([own, np.zeros(16, np.uint8)]), starts, stops)
+        high.append(one), low.append(two)
         counts[i:j] = np.diff(np.searchsorted(starts, cuts))
         i = j
-    return np.concatenate(hashes), counts
+    return np.concatenate(high), np.concatenate(low), counts
+
+
+def hashed(high: np.ndarray, low: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64 bits of a word's identity, mixed; hashes of other seeds are independent."""
+    f = mixed(np.array([seed * 2 + 1], dtype=np.uint64))[0]
+    return mixed(low ^ mixed(high + f))
+
+
+def words_key(text: str | None) -> bytes:
+    """16 bytes that stand for the sequence of a text's words (a cryptographic digest)."""
+    return hashlib.blake2b(b" ".join(word_bytes(text)), digest_size=16).digest()
+
+
+def word_hashes(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a text column and the number of words of
+    each text, for where equal hashes need not mean equal words."""
+    high, low, counts = word_ids(texts)
+    return hashed(high, low), counts

@@ -4,7 +4,8 @@ Two texts are linked if the sets of their ``SHINGLE``-word shingles have a
 Jaccard similarity of at least ``THRESHOLD``. Linked texts, and what is linked
 with them in turn, are one class.
 
-* Texts of the same words are one node, whatever their number.
+* Texts of the same words (of equal 128-bit digests) are one node, whatever
+  their number.
 * Every node has a signature in each of ``TREES`` prefix trees. Two nodes meet
   in a tree if their signatures begin alike. Prefixes are shortened from
   ``LONGEST`` values until the trees find a pair at the threshold with a
@@ -13,7 +14,9 @@ with them in turn, are one class.
 * Nodes that meet are compared by their whole signatures. Those that may be
   similar (an estimate ``SLACK`` below the threshold, four standard errors)
   are joined to groups.
-* Within a group, all pairs are verified exactly, by sets of shingles.
+* Within a group, all pairs are verified exactly, by sets of shingles: of the texts
+  compared, equal shingles and only those have equal numbers, so that no hash
+  decides.
 
 Nodes that meet in large numbers, and large groups, are cut into blocks; each
 pair of blocks is a tile of bounded size, compared as one matrix. What leaves a
@@ -37,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import WORD, bins_for, column_batches, cut, id_or_none, mixed, shuffle_partitions, span_hashes, word_hashes
+from cohortkit.llm.common import WORD, bins_for, column_batches, cut, hashed, id_or_none, mixed, shuffle_partitions, span_hashes, word_ids, words_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -63,28 +66,44 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, recall: floa
     return 1
 
 
+def _numbered(*columns: np.ndarray) -> np.ndarray:
+    """Numbers of rows; equal rows, and only those, have equal numbers."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), dtype=np.int64)
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 class Texts:
-    """Shingles of a column of texts, all texts one after the other."""
+    """Shingles of a column of texts, all texts one after the other: as hashes,
+    or ``exact`` as numbers, equal for equal shingles only (of these texts)."""
 
-    def __init__(self, column, shingle: int):
-        words, self.sizes = word_hashes(column)
+    def __init__(self, column, shingle: int, exact: bool = False):
+        high, low, self.sizes = word_ids(column)
         begin = np.cumsum(self.sizes) - self.sizes
         # a text shorter than a shingle is one shingle
         self.counts = np.where(self.sizes >= shingle, self.sizes - shingle + 1, np.minimum(self.sizes, 1))
         self.begin = np.cumsum(self.counts) - self.counts
         long = np.repeat(self.sizes >= shingle, self.counts)
         at = np.repeat(begin - self.begin, self.counts) + np.arange(int(self.counts.sum()))
+        if exact:
+            number = _numbered(high, low) + 1
+            width = np.minimum(np.repeat(self.sizes, self.counts), shingle)
+            spans = np.zeros(len(at), dtype=np.int64)
+            for i in range(shingle):  # words beyond a short text's end count as none
+                word = np.where(i < width, number[np.minimum(at + i, max(0, len(number) - 1))], 0) if len(number) else spans
+                spans = _numbered(spans, word)
+            self.shingles = spans.astype(np.uint64)
+            return
+        words = hashed(high, low)
         self.shingles = np.zeros(len(at), dtype=np.uint64)
         self.shingles[long] = span_hashes(words, at[long], shingle, 5)
         for n in range(1, shingle):
             own = np.flatnonzero(self.sizes == n)
             self.shingles[self.begin[own]] = span_hashes(words, begin[own], n, 50 + n)
-        # one key for the sequence of words
-        place = np.arange(len(words)) - np.repeat(begin, self.sizes)
-        mix = mixed(mixed(words) + mixed(place.astype(np.uint64) + _U(11)))
-        sums = np.concatenate([[_U(0)], np.cumsum(mix, dtype=np.uint64)])
-        ends = begin + self.sizes
-        self.keys = mixed(sums[ends] - sums[begin] + self.sizes.astype(np.uint64)).view(np.int64)
 
     def set_of(self, i: int) -> np.ndarray:
         return np.unique(self.shingles[self.begin[i]:self.begin[i] + self.counts[i]])
@@ -106,7 +125,7 @@ class Texts:
 
 def signed(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, prefix: int | None = None) -> DataFrame:
     """doc_id, row_key (of the text as it is), key (of its words), n_words, bands
-    (one hash per tree) and sig (a byte per value)."""
+    (one hash per tree) and sig (a byte per value). Keys are cryptographic digests."""
     prefix = prefix or prefix_length(trees=trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,15 +144,16 @@ def signed(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, prefix:
                 bands[full] = h.view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, trees, dtype=np.int32)), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts.keys), pa.array(texts.sizes), lists, pa.array([r.tobytes() for r in low], pa.binary())],
+                [batch.column(0), batch.column(1), pa.array([words_key(t) for t in batch.column(2).to_pylist()], pa.binary()), pa.array(texts.sizes), lists, pa.array([r.tobytes() for r in low], pa.binary())],
                 ["doc_id", "row_key", "key", "n_words", "bands", "sig"])
 
     return docs.select(F.col("doc_id").cast("long"), _row_key(), "text").mapInArrow(
-        run, "doc_id long, row_key long, key long, n_words long, bands array<long>, sig binary")
+        run, "doc_id long, row_key binary, key binary, n_words long, bands array<long>, sig binary")
 
 
 def _row_key() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_key")
+    """16 bytes of the text's SHA-256 (null: as of an empty text)."""
+    return F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16).alias("row_key")
 
 
 def _first_row() -> Column:
@@ -240,12 +260,13 @@ def _verify(shingle: int, threshold: float):
     it is connected with here)."""
 
     def run(table: pa.Table) -> pa.Table:
-        texts = Texts(table.column("text"), shingle)
+        texts = Texts(table.column("text"), shingle, exact=True)
+        keys, wanted = [words_key(t) for t in table.column("text").to_pylist()], table.column("key").to_pylist()
         order, cuts = _runs(table, "grp")
         node, b, lo, hi, copies = (table.column(c).to_numpy() for c in ("node", "_b", "_lo", "_hi", "copies"))
         out_node, out_links, out_lead = [], [], []
         for x, y in zip(cuts, cuts[1:]):
-            own = [i for i in order[x:y] if texts.keys[i] == node[i]]
+            own = [i for i in order[x:y] if keys[i] == wanted[i]]
             own = np.array(list({node[i]: i for i in own}.values()), dtype=np.int64)
             if len(own) < 2:
                 continue
@@ -292,8 +313,9 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHING
     of the first row of the class (null: the row stands alone)."""
     prefix = prefix_length(threshold, trees, recall)
     rows = cut(signed(docs, shingle, trees, prefix), "jaccard-signed")
-    nodes = cut(rows.filter(F.col("n_words") > 0).groupBy(F.col("key").alias("node")).agg(
-        F.count("*").alias("copies"), F.min(_first_row()).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "jaccard-nodes")
+    nodes = rows.filter(F.col("n_words") > 0).groupBy("key").agg(
+        F.count("*").alias("copies"), F.min(_first_row()).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
 
     # who meets in a tree
     met = nodes.select("node", F.explode("bands").alias("band"))
@@ -304,25 +326,25 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHING
     groups = components(edges, "jaccard-groups")
 
     # all pairs of a group, exactly
-    members = cut(groups.join(nodes.select("node", "copies", "rep"), "node"), "jaccard-members")
+    members = cut(groups.join(nodes.select("node", "key", "copies", "rep"), "node"), "jaccard-members")
     sizes = cut(members.groupBy("grp").agg(F.count("*").alias("n")), "jaccard-sizes")
     # one text per node, found by its row's id and text: rows that share an id never meet
     texts = docs.select(id_or_none().alias("_id"), _row_key(), F.coalesce("text", F.lit("")).alias("text"))
-    found = members.select("node", "grp", "copies", id_or_none("rep.doc_id").alias("_id"), F.col("rep.row_key").alias("row_key")).join(
+    found = members.select("node", "key", "grp", "copies", id_or_none("rep.doc_id").alias("_id"), F.col("rep.row_key").alias("row_key")).join(
         texts.hint("merge"), ["_id", "row_key"])
-    members = found.groupBy("node", "grp", "copies").agg(F.first("text").alias("text"))
+    members = found.groupBy("node", "key", "grp", "copies").agg(F.first("text").alias("text"))
     tiles = _tiled(members, "grp", sizes, VERIFY_BLOCK, BIN_TEXTS, sizes.agg(F.sum("n").alias("n")).first()["n"] or 0)
     checked = cut(tiles.groupBy("_bin").applyInArrow(_verify(shingle, threshold), "node long, links long, lead long"), "jaccard-checked")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     final = components(checked.filter(F.col("lead") != F.col("node")).select(F.col("node").alias("a"), F.col("lead").alias("b")), "jaccard-classes")
 
     # one row per document; what stands alone needs no join
-    known = nodes.select("node", "copies", "rep").join(links, "node", "left").join(final, "node", "left").filter(
+    known = nodes.select("node", "key", "copies", "rep").join(links, "node", "left").join(final, "node", "left").filter(
         (F.col("copies") > 1) | (F.col("links") > 0))
     known = cut(known.withColumn("grp", F.coalesce("grp", "node")), "jaccard-known")
     first = known.groupBy("grp").agg(F.min("rep").alias("first"))
     known = cut(known.join(cut(first, "jaccard-first"), "grp").select(
-        F.col("node").alias("key"), "first", "copies", F.coalesce("links", F.lit(0)).alias("links")), "jaccard-classes")
+        "key", "first", "copies", F.coalesce("links", F.lit(0)).alias("links")), "jaccard-classes")
     out = rows.select("doc_id", "row_key", "key", "n_words").withColumn(
         "key", F.when(F.col("n_words") > 0, F.col("key"))).join(known, "key", "left")
     return out.select("doc_id", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),

@@ -17,8 +17,9 @@ border near a run, where four words don't suffice, is not used.)
   that only one document holds rules out all windows that contain it. Most of
   a corpus is ruled out here, at less than half an anchor per word.
 * Verify: the windows that are left, those without an anchor among them, are
-  compared by all their words (96 bits of hashes) and the smallest id of each
-  is found.
+  compared by all their words and the smallest id of each is found. A window is
+  told by 128 bits, two independent hashes over the identities of its words; a
+  word's identity is its bytes, of a word of over 15 bytes a 120-bit digest.
 
 How rows are dealt: a document belongs to a home by the hash of its id, so that
 its text is shuffled once. For anchors and then for windows, a home sends each
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import bins_for, mixed, shuffle_partitions, span_hashes, word_bytes, word_hashes
+from cohortkit.llm.common import bins_for, hashed, mixed, shuffle_partitions, span_hashes, word_bytes, word_ids
 
 WINDOW = 13
 ROUNDS = 3
@@ -51,6 +52,7 @@ CONTEXT = 4
 #: Characters of a home's documents and of the texts whose keys share a bucket, roughly.
 HOME_CHARS, BUCKET_CHARS = 4_000_000, 8_000_000
 _U = np.uint64
+_PAIR = [("key", np.uint64), ("check", np.uint64)]
 
 
 def borders(w: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -83,10 +85,13 @@ class _Home:
         ids = table.column("_id")
         self.ids = ids.fill_null(0).to_numpy().astype(np.int64)
         self.window = window
-        every, self.sizes = word_hashes(table.column("text"))
+        high, low, self.sizes = word_ids(table.column("text"))
         part = (self.sizes >= window) & ids.is_valid().to_numpy()
         self.used = np.flatnonzero(part)
-        self.w = every[np.repeat(part, self.sizes)]
+        taken = np.repeat(part, self.sizes)
+        high, low = high[taken], low[taken]
+        # two independent hashes of each word: one names symbols and keys, both verify
+        self.w, self.w2 = hashed(high, low), hashed(high, low, 1)
         sizes = self.sizes[part]
         self.begin = np.cumsum(sizes) - sizes
         self.end = self.begin + sizes
@@ -129,9 +134,9 @@ class _Home:
     def windows(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct windows (key and check), the smallest id of each here,
         and the number of each place's window."""
-        both = np.empty(len(places), dtype=[("key", np.uint64), ("check", np.uint32)])
+        both = np.empty(len(places), dtype=_PAIR)
         both["key"] = span_hashes(self.w, places, self.window, 2)
-        both["check"] = (span_hashes(self.w, places, self.window, 3) >> _U(32)).astype(np.uint32)
+        both["check"] = span_hashes(self.w2, places, self.window, 3)
         keys, number = _unique_pairs(both)
         least = np.full(len(keys), np.iinfo(np.int64).max)
         np.minimum.at(least, number, self.doc[places])
@@ -193,9 +198,9 @@ def _answers(kind: int):
             _, number, count = np.unique(every, return_inverse=True, return_counts=True)
             yes = count[number] > 1
         else:
-            both = np.empty(len(every), dtype=[("key", np.uint64), ("check", np.uint32)])
+            both = np.empty(len(every), dtype=_PAIR)
             both["key"] = every
-            both["check"] = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("checks").to_pylist()])
+            both["check"] = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("checks").to_pylist()])
             ids = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("ids").to_pylist()])
             distinct, number = _unique_pairs(both)
             least = np.full(len(distinct), np.iinfo(np.int64).max)

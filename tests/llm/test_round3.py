@@ -8,10 +8,11 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortkit.llm import lexical, secrets, whitening
+from cohortkit.llm import common, jaccard, lexical, secrets, substring, whitening
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -245,3 +246,34 @@ def test_secrets_cases(spark):
     assert {(g.doc_id, g.n_assign, g.base_sha256, g.spans) for g in only} == {(1, 0, nothing, ""), (2, 0, nothing, "")}
     few = secrets.scan(frame(spark, [(1, "token=abcdef and unquestionablywords")])).collect()
     assert few[0].n_assign == 1 and few[0].n_format == 0
+
+
+def thue_morse(letters):
+    """A word over "ab" and its complement: alike under every polynomial modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(letters)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("letters", [16, 512, 1024, 4096])
+def test_words_are_told_apart(spark, letters):
+    one, two = thue_morse(letters)
+    around = [f"w{i}" for i in range(20)]
+    texts = [" ".join(around[:10] + [w] + around[10:]) for w in (one, two)]
+    high, low, counts = common.word_ids(pa.array([*texts, f"{one} {two}", None, "x" * 15, "x" * 16, "x" * 15 + "\x00"]))
+    assert list(counts) == [21, 21, 2, 0, 1, 1, 1]
+    ids = list(zip(high.tolist(), low.tolist()))
+    assert len({ids[10], ids[31], *ids[-3:]}) == 5 and ids[42:44] == [ids[10], ids[31]]
+    rows = frame(spark, [(1, texts[0]), (2, texts[1]), (3, texts[0])])
+    assert sorted((x.doc_id, x.n_removed) for x in substring.dedup(rows).collect()) == [(1, 0), (2, 0), (3, 21)]
+    assert sorted((x.doc_id, x.class_id) for x in jaccard.classes(rows).collect()) == [(1, 1), (2, 2), (3, 1)]
+    assert sorted(x.doc_id for x in jaccard.keep_one_each(rows).collect()) == [1, 2]
+
+
+def test_weak_hashes_do_not_join_texts(spark, monkeypatch):
+    """However badly shingles are hashed, no text is linked with one that isn't similar."""
+    batch = pa.array(["a b c d e f g", "a b c d e f h", "q r s t u v w", "a b", "a b c d e f g", None, ""])
+    monkeypatch.setattr(jaccard, "hashed", lambda high, low, seed=0: high * np.uint64(0))
+    exact = jaccard.Texts(batch, 5, exact=True)
+    sets = [set(exact.set_of(i).tolist()) for i in range(7)]
+    assert sets[0] == sets[4] and len(sets[0] & sets[1]) == 2 and not sets[0] & sets[2] and not sets[3] & sets[0]
+    assert [len(s) for s in sets] == [3, 3, 3, 1, 3, 0, 0]
