@@ -28,7 +28,7 @@ without links; a text of fewer words than a shingle is one shingle of all its
 words; equal texts are linked; rows of one id are separate documents; a class
 has the smallest id of its documents (null where all are null); an empty table
 gives an empty result; extra columns are left behind by ``classes`` and kept by
-``keep_one_each`` and ``keep_first``.
+``keep_one_each`` and ``keep_first``, whatever their names.
 """
 
 from __future__ import annotations
@@ -360,13 +360,13 @@ def keep_one_each(docs: DataFrame, **options) -> DataFrame:
     are one document, but for those without an id and without words: each is a
     class of its own.
     """
-    found = _classes(docs, **options)
+    found = _classes(docs.select("doc_id", "text"), **options)
     own = F.col("first").isNull() | (F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.row_key") == F.col("row_key")))
     firsts = found.filter(own & ~(F.col("doc_id").isNull() & (F.col("n_words") == 0))).select(
         id_or_none().alias("_id"), "row_key").distinct()
-    rows = docs.withColumn("_key", _row_key()).withColumn("_id", id_or_none())
-    kept = rows.join(cut(firsts, "jaccard-kept").withColumnRenamed("row_key", "_key"), ["_id", "_key"], "left_semi")
-    kept = kept.dropDuplicates(["_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_or_none().alias("_id"), _row_key())
+    kept = rows.join(cut(firsts, "jaccard-kept"), ["_id", "row_key"], "left_semi")
+    kept = kept.dropDuplicates(["_id", "row_key"]).select("row.*")
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
     return kept.unionByName(docs.filter(F.col("doc_id").isNull() & wordless))
 

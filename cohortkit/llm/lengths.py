@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import column_batches
+from cohortkit.llm.common import column_batches, cut
 
 RANGE = 1024
 ROWS = 500
@@ -50,7 +50,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
     """(n_tokens) -> one row per distinct length, taken as a context limit:
     n_docs of that length, n_longer documents, tokens_longer in them, kept
     tokens after truncation to it, total tokens, quantile of the limit."""
-    counts = lengths.groupBy(F.col("n_tokens").alias("context_limit")).agg(F.count("*").alias("n_docs"))
+    # written once: two branches read it, and the texts are encoded once
+    counts = cut(lengths.groupBy(F.col("n_tokens").alias("context_limit")).agg(F.count("*").alias("n_docs")), "lengths-counts")
     counts = counts.withColumn("_t", F.col("context_limit") * F.col("n_docs")).withColumn("_r", F.floor(F.col("context_limit") / RANGE))
     ranges = counts.groupBy("_r").agg(F.sum("n_docs").alias("_docs"), F.sum("_t").alias("_tokens"))
     later = Window.orderBy("_r").rowsBetween(1, Window.unboundedFollowing)

@@ -20,7 +20,7 @@ last in order; a source without words has target 0; a null, negative or
 non-finite weight counts as ``LEAST_WEIGHT``; a null id draws the key of the
 empty id; repeated rows are separate documents with the same key, taken one
 after the other; an empty table gives an empty result; extra columns of the
-input are ignored by ``mix`` and kept by ``mixed_documents``.
+input are ignored by ``mix`` and kept by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -112,8 +112,9 @@ def _last_cell(rows: DataFrame, cell: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, weight: Column | None = None, weights=WEIGHTS, share: float = SHARE,
-        most: int = MOST_EPOCHS) -> DataFrame:
-    """doc_id, size, source_size, target, taken, and copies, epochs, source.
+        most: int = MOST_EPOCHS, row: Column | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken, and copies, epochs, source, and
+    ``row`` as ``number`` if that is given: a number of each row.
 
     ``taken`` is the words the mix takes of a document, ``copies`` how often
     it is in a mix of whole documents. ``weight`` is the document's quality weight.
@@ -123,7 +124,8 @@ def mix(docs: DataFrame, weight: Column | None = None, weights=WEIGHTS, share: f
     key = -F.log(uniform(F.col("doc_id"))) / w
     # the share of a source of weight 1 that has a smaller key
     part = (1.0 - F.exp(-F.col("_key"))) * float(BINS * BINS)
-    sized = docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("_key"))
+    more = [] if row is None else [row.alias("number")]
+    sized = docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("_key"), *more)
     sized = sized.withColumn("_at", F.least(F.floor(part), F.lit(BINS * BINS - 1)).cast("int"))
     sized = cut(sized.withColumn("_hi", F.shiftright("_at", 10)).withColumn("_lo", F.col("_at").bitwiseAND(BINS - 1)).drop("_at"),
                 "mix-sizes")
@@ -149,11 +151,12 @@ def mix(docs: DataFrame, weight: Column | None = None, weights=WEIGHTS, share: f
         .when(F.col("_lo") != F.col("_end__lo"), F.when(F.col("_lo") < F.col("_end__lo"), 1).otherwise(0)) \
         .otherwise(2)
     rows = rows.withColumn("_place", place)
-    out = ["doc_id", "source", "size", "source_size", "target", "epochs"]
+    more = [] if row is None else ["number"]
+    out = ["doc_id", "source", "size", "source_size", "target", "epochs", *more]
     whole = F.col("_place").cast("long")
     clear = rows.filter(F.col("_place") != 2).select(*out, (whole * F.col("size")).alias("_part"), whole.alias("_more"))
     # the one cell of each source in which its budget ends
-    order = Window.partitionBy("source").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source").orderBy("_key", "doc_id", "size", *more).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("_before__hi") + F.col("_before_lo") + F.sum("size").over(order)
     last = rows.filter(F.col("_place") == 2).withColumn("_upto", upto)
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_upto") + F.col("size")))
@@ -162,18 +165,23 @@ def mix(docs: DataFrame, weight: Column | None = None, weights=WEIGHTS, share: f
                        .cast("long").alias("_more"))
     rows = clear.unionByName(last).withColumn("copies", F.col("epochs") + F.col("_more"))
     return rows.select("doc_id", "size", "source_size", "target",
-                       (F.col("epochs") * F.col("size") + F.col("_part")).alias("taken"), "copies", "epochs", "source")
+                       (F.col("epochs") * F.col("size") + F.col("_part")).alias("taken"), "copies", "epochs", "source", *more)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as the mix takes it, with all
-    columns of ``docs``. Rows of one id are repeated alike; a document without
-    words is repeated like any other of its place in the order."""
-    copies = mix(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max("copies").alias("_copies")).filter(F.col("_copies") > 0)
-    many = docs.join(cut(copies, "mix-copies"), F.col("doc_id").eqNullSafe(F.col("_id")), "inner")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return many.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    columns of ``docs``. Every row is taken by itself, also where rows share an
+    id; a document without words is repeated like any other of its place in the
+    order. ``weight`` may be a column of ``docs``."""
+    weight = options.pop("weight", None)
+    # once written, a row keeps its number
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("number"),
+                      "doc_id", "source", (quality_weight(F.col("text")) if weight is None else weight).alias("weight"))
+    own = cut(own, "mix-rows")
+    slim = own.select("doc_id", "source", F.col("row.text").alias("text"), "weight", "number")
+    copies = cut(mix(slim, F.col("weight"), row=F.col("number"), **options).filter(F.col("copies") > 0).select("number", "copies"), "mix-copies")
+    many = own.select("row", "number").join(copies, "number")
+    return many.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
 
 
 #: The same mix in DuckDB, with plain sorts.

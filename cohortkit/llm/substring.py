@@ -21,8 +21,7 @@ border near a run, where four words don't suffice, is not used.)
   told by 128 bits, two independent hashes over the identities of its words; a
   word's identity is its bytes, of a word of over 15 bytes a 120-bit digest.
 
-How rows are dealt: a document belongs to a home by the hash of its id, so that
-its text is shuffled once. For anchors and then for windows, a home sends each
+How rows are dealt: a document belongs to a home by the hash of its id and text. For anchors and then for windows, a home sends each
 bucket of the key space its distinct keys, packed; the bucket answers with one
 bit per key (held by another home; held under a smaller id). A key is sent once
 by a home however many of its documents hold it, so a passage in a third of all
@@ -154,10 +153,12 @@ def _unique_pairs(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[new], number
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's keys begin, in sorted keys; the last end follows."""
-    starts = [_U(min((b * 2 ** 64 + buckets - 1) // buckets, 2 ** 64 - 1)) for b in range(buckets)]
-    return np.append(np.searchsorted(keys, np.array(starts, dtype=np.uint64)), len(keys))
+def _cuts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that sorted keys fall into, and where each one's begin; the last
+    end follows. The work depends on the keys alone."""
+    of_key = ((keys >> _U(32)) * _U(buckets)) >> _U(32)
+    starts = np.flatnonzero(np.concatenate([[True], of_key[1:] != of_key[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return of_key[starts].astype(np.int64), np.append(starts, len(keys))
 
 
 _PARTS = "home long, bucket long, keys binary, checks binary, ids binary"
@@ -165,21 +166,20 @@ _BITS = "home long, bucket long, kind int, bits binary"
 
 
 def _parts(home: int, buckets: int, keys: np.ndarray, checks: np.ndarray | None = None, ids: np.ndarray | None = None) -> pa.Table:
-    cuts = _cuts(keys, buckets)
-    full = np.flatnonzero(np.diff(cuts))
+    full, cuts = _cuts(keys, buckets)
     # within a bucket the low half of a key is enough to reveal; to verify, all of it is sent
     sent = keys.astype(np.uint32) if checks is None else keys
-    pack = lambda x: pa.array([b"" if x is None else x[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary())
-    return pa.table({"home": pa.array(np.full(len(full), home, np.int64)), "bucket": pa.array(full.astype(np.int64)),
+    pack = lambda x: pa.array([b"" if x is None else x[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary())
+    return pa.table({"home": pa.array(np.full(len(full), home, np.int64)), "bucket": pa.array(full),
                      "keys": pack(sent), "checks": pack(checks), "ids": pack(ids)})
 
 
 def _unpack(home_bits: list[tuple[int, bytes]], keys: np.ndarray, buckets: int) -> np.ndarray:
     """The bits that the buckets sent, in order of the keys."""
-    cuts, out = _cuts(keys, buckets), np.zeros(len(keys), dtype=bool)
+    (full, cuts), out = _cuts(keys, buckets), np.zeros(len(keys), dtype=bool)
     for b, raw in home_bits:
-        n = cuts[b + 1] - cuts[b]
-        out[cuts[b]:cuts[b + 1]] = np.unpackbits(np.frombuffer(raw, np.uint8), count=n)
+        i = np.searchsorted(full, b)
+        out[cuts[i]:cuts[i + 1]] = np.unpackbits(np.frombuffer(raw, np.uint8), count=cuts[i + 1] - cuts[i])
     return out
 
 
@@ -218,6 +218,18 @@ def _bits(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
     return [(b, raw) for b, k, raw in rows if k == kind]
 
 
+def deduped_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with all their columns, whatever their names, and with the texts
+    that lost words replaced by the words they keep (and ``n_chars``, if there is
+    one, by their length)."""
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])
+    found = dedup(docs.select("doc_id", "text", rest.alias("rest")), window)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    new = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("rest.n_chars")).cast("long")
+           if "n_chars" in docs.columns else None}
+    return found.select(*[(new[c] if c in new else F.col("rest").getField(c)).alias(c) for c in docs.columns])
+
+
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All columns of ``docs`` and n_words, n_removed, removed (the word ranges
     that go, ends excluded) and kept (the words that stay, joined by a space)."""
@@ -226,8 +238,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     homes = max(shuffle_partitions(spark), bins_for(chars, HOME_CHARS))
     buckets = max(1, shuffle_partitions(spark) // 2, bins_for(chars, BUCKET_CHARS))
     own = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "removed", "kept", "_id", "_home")]
-    # the second hash deals rows without an id, which take no part
-    home = F.pmod(F.coalesce(F.xxhash64(F.col("doc_id").cast("long")), F.xxhash64("text")), F.lit(homes))
+    # by id and text: rows that share an id, or have none, are dealt like others
+    home = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "text"), F.lit(homes))
     dealt = docs.select(*own, F.col("doc_id").cast("long").alias("_id"), home.cast("long").alias("_home"))
     by_home = lambda: dealt.groupBy("_home")
 

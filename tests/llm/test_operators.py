@@ -117,14 +117,18 @@ def test_top_k(spark):
              (304, [1.0], "x"), (400, [1.0], "x"), (20, rows[20][1], "x"), (None, [1.0] * 4, "x"), (500, [1e300, -1e300, 0.0, 0.0], "x")]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string"), F.col("vec_id") % 20 == 0,
                      query_block=3, shard=16).collect()
-    ints = {i: [max(-2 ** 63, min(2 ** 63 - 1, math.floor(1024 * x))) for x in e] for i, e, _ in rows
-            if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)}
+    ints = [(i, [max(-2 ** 63, min(2 ** 63 - 1, math.floor(1024 * x))) for x in e]) for i, e, _ in rows
+            if e is not None and all(x is not None and math.isfinite(x) for x in e)]
     want = []
-    for q in sorted(i for i in ints if i % 20 == 0):
-        s = sorted((-max(-2 ** 63, min(2 ** 63 - 1, sum(int(float(a)) * int(float(b)) for a, b in zip(ints[q], e)))), i)
-                   for i, e in ints.items() if i != q and len(e) == len(ints[q]))
-        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s[:10])]
-    assert sorted((x.query_id, x.rank, x.vec_id, x.score) for x in got) == want
+    for n, (q, v) in enumerate(ints):  # every row but the query's own is a candidate
+        if q is not None and q % 20 == 0:
+            s = sorted((-max(-2 ** 63, min(2 ** 63 - 1, sum(int(float(a)) * int(float(b)) for a, b in zip(v, e)))), i is None, i or 0)
+                       for m, (i, e) in enumerate(ints) if m != n and len(e) == len(v))
+            want += [(q, k + 1, None if z else i, -x) for k, (x, z, i) in enumerate(s[:10])]
+    assert sorted(((x.query_id, x.rank, x.vec_id, x.score) for x in got), key=str) == sorted(want, key=str)
+    few = topk.top_k(spark.createDataFrame([(100, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [2.0, 0.0]), (None, [3.0, 0.0])], "vec_id long, embedding array<double>"),
+                     F.col("vec_id") % 100 == 0)
+    assert [(x.vec_id, x.score) for x in few.orderBy("rank").collect()] == [(None, 3 * 2 ** 20), (1, 2 ** 21), (1, 2 ** 19)]
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).count() == 0
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortkit.llm import common, jaccard, lexical, secrets, substring, whitening
+from cohortkit.llm import common, jaccard, lengths, lexical, mixing, secrets, substring, whitening
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -277,3 +277,43 @@ def test_weak_hashes_do_not_join_texts(spark, monkeypatch):
     sets = [set(exact.set_of(i).tolist()) for i in range(7)]
     assert sets[0] == sets[4] and len(sets[0] & sets[1]) == 2 and not sets[0] & sets[2] and not sets[3] & sets[0]
     assert [len(s) for s in sets] == [3, 3, 3, 1, 3, 0, 0]
+
+
+def test_stages_keep_all_columns(spark):
+    """Columns that are named like helpers, repeated and null ids, through the stages that return documents."""
+    import corpus_pipeline
+    r = random.Random(6)
+    names = ["_id", "kept", "n_words", "copies", "_n", "row", "number", "rest", "size", "_key", "row_key", "removed", "weight"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    pool = [f"w{i}" for i in range(3000)]
+    rows = []
+    for k in range(200):
+        text = " ".join(r.choices(pool, k=r.randint(1, 80)))
+        rows.append((r.choice([5, None, k, k, k]), text, "en", f"s{k % 4}", len(text), *[f"{n}-{k}" for n in names]))
+    rows += [(k, None, "en", None, None, *[f"{n}-{k}" for n in names]) for k in (300, None)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    known = {x[5]: x for x in rows}
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.drop_repeats, corpus_pipeline.mix_sources):
+        got = stage(spark, docs, "").collect()
+        assert stage(spark, docs, "").columns == docs.columns and got
+        assert all(tuple(x) == known[x["_id"]] for x in got)
+        assert stage(spark, docs.filter("false"), "").count() == 0
+
+
+def test_mix_meets_its_target_with_repeated_ids(spark):
+    rows = [(1, " ".join(["w"] * (300 + 10 * k)), f"s{k % 2}", k) for k in range(40)] + [(None, "a b c", "s0", 90), (None, "a b c d", "s1", 91)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row long")
+    plan = mixing.mix(docs).collect()
+    aims = {x.source: x.target for x in plan}
+    largest = 300 + 390
+    got = Counter()
+    for x in mixing.mixed_documents(docs).collect():
+        got[x.source] += len(x.text.split())
+    assert all(abs(got[s] - t) <= largest for s, t in aims.items())
+
+
+def test_lengths_encode_once(spark):
+    import public_tokenizers
+    ranks = lengths.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    found = lengths.histogram(lengths.token_counts(frame(spark, [(1, "a b"), (2, None)]), ranks, public_tokenizers.PATTERN))
+    assert "MapInArrow" not in found._jdf.queryExecution().toString() and found.count() == 2
