@@ -8,7 +8,6 @@ Parquet before the next one reads it. All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortkit.llm import bpe, jaccard, mixing, quality, substring
 from cohortkit.llm.common import cut, read
@@ -27,11 +26,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that an earlier document has go; other texts stay as they are."""
-    found = substring.dedup(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    changed = found.withColumn("_text", text)
-    columns = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return changed.select(*[columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns])
+    return substring.deduped_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
