@@ -6,26 +6,36 @@ syncmer, and its hash an anchor, if the smallest pair hash stands at one of its
 edges. That depends on nothing but the k-mer, so an edit only changes the
 anchors it touches, and the anchors of unchanged text match wherever it stands.
 
-The fingerprint is the ``SKETCH`` smallest anchors, in hexadecimal. Likeness
-is the share of common anchors among the smallest of both fingerprints, an
-estimate of the Jaccard similarity of the texts' anchors.
+The fingerprint has all anchors of a text in text order, 40 bits of each, as
+base64 of their bytes; it grows with the text, and nothing is left out. Likeness
+matches anchors by what they are and by their order: of the anchors that both
+texts have (the first place of each counts), those are matched that follow the
+same common anchor in both, and the first. Likeness is their number over that
+of all anchors of either text. A passage that two texts share, however long they
+are, shows, and a passage that moves costs no more than its two ends.
 
 Only DataFrame functions are used. The successor of a document comes from one
-shuffle: ids are cut into ranges at approximate quantiles, the rows that start
-a range are also sent to the range before, and a window per range looks one row
-ahead. No range holds much more than ``RANGE_CHARS`` characters, however many
-documents there are.
+shuffle of the texts: rows are cut into ranges of (id, text hash) at approximate
+quantiles, the rows that start a range are also sent to the range before, and a
+window per range looks one row ahead. An id that spans several ranges is cut at
+quantiles of its texts' hashes, so that an id, or a missing one, of a third of all
+rows is dealt like any other (rows equal in id and text stay together). A range
+has about ``RANGE_CHARS`` characters; from ``MOST_RANGES`` ranges on, ranges grow
+instead (their starts are part of the plan); a range is sorted and read as a
+stream, which spills and never needs to fit into memory.
 
 Defined cases: a null text is empty and has an empty fingerprint; a text whose
 k-mers give no anchor has one anchor, all its words; two empty fingerprints are
 alike (1.0), an empty and another are not (0.0); a null id comes before all
-others; rows of one id follow each other in order of their texts; the only
+others; rows of one id follow each other in order of a hash of their texts; the only
 document is followed by itself; an empty table gives an empty result; extra
 columns are left behind.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +43,8 @@ from cohortkit.llm.common import bins_for, id_or_none, shuffle_partitions, text_
 
 #: Words of a k-mer. Its inner substrings are pairs of words.
 K = 5
-#: Anchors kept in a fingerprint.
-SKETCH = 64
+#: Bits of an anchor.
+BITS = 40
 #: Characters of a range of ids, roughly, and the most ranges there can be.
 RANGE_CHARS, MOST_RANGES = 16_000_000, 100_000
 
@@ -70,68 +80,103 @@ def _bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def sketch(text: Column, k: int = K, size: int = SKETCH) -> Column:
-    """The smallest anchors, 40 bits of each."""
-    short = F.transform(anchors(text, k), lambda a: F.shiftrightunsigned(a, 24))
-    return F.slice(F.array_sort(F.array_distinct(short)), 1, size)
+def sketch(text: Column, k: int = K) -> Column:
+    """All anchors in text order, ``BITS`` bits of each."""
+    return F.transform(anchors(text, k), lambda a: F.shiftrightunsigned(a, 64 - BITS))
 
 
 def fingerprint(of_sketch: Column) -> Column:
-    return F.array_join(F.transform(of_sketch, lambda a: F.hex(a)), " ")
+    digits = F.transform(of_sketch, lambda a: F.lpad(F.hex(a), BITS // 4, "0"))
+    return F.base64(F.unhex(F.array_join(digits, "")))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """The share of anchors matched in order; ``a`` and ``b`` are sketches."""
+    steps = lambda c: F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda x, y: F.xxhash64(x, y))
+
+    def of(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+
+        def of_common(c: Column) -> Column:
+            # the anchors that both have, in the order of a and in that of b
+            n = F.size(c["a"])
+            matched = F.when(n > 0, F.size(F.array_intersect(steps(c["a"]), steps(c["b"]))) + 1).otherwise(0)
+            every = F.size(a) + F.size(b) - n
+            return F.when(every == 0, F.lit(1.0)).otherwise(matched.cast("double") / every.cast("double"))
 
+        return _bind(F.struct(F.array_intersect(a, b).alias("a"), F.array_intersect(b, a).alias("b")), of_common)
 
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
-    common = F.size(F.array_intersect(F.array_intersect(both, a), b))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common.cast("double") / F.size(both).cast("double"))
+    return _bind(F.struct(F.array_distinct(a).alias("a"), F.array_distinct(b).alias("b")), of)
 
 
-def _starts(rows: DataFrame, ranges: int) -> list[int]:
-    """Ids that start a range, the smallest id first; every one is the id of some row."""
+def _starts(rows: DataFrame, ranges: int) -> list[tuple[int, int]]:
+    """(id, hash) that start a range, the smallest first: hash -1 is the beginning of
+    an id. Every one is that of some row."""
     share = [i / ranges for i in range(1, ranges)]
     got = rows.agg(F.min("_id").alias("least"), F.percentile_approx("_id", share or [0.0], 20 * ranges).alias("at")).first()
-    return sorted({got["least"], *(got["at"] if share else [])}) if got["least"] is not None else []
+    if got["least"] is None:
+        return []
+    times = Counter(got["at"] if share else [])
+    starts = {(got["least"], -1), *((i, -1) for i in times)}
+    # an id that starts several ranges is cut inside
+    often = {i: n for i, n in times.items() if n > 1}
+    for n in sorted(set(often.values())):
+        same = [i for i, m in often.items() if m == n]
+        cuts = rows.filter(F.col("_id").isin(same)).groupBy("_id").agg(
+            F.min("_hash").alias("least"), F.percentile_approx("_hash", [j / n for j in range(1, n)], 20 * n).alias("at")).collect()
+        starts |= {(r["_id"], h) for r in cuts for h in r["at"] if h > r["least"]}
+    return sorted(starts)
+
+
+def _range_of(doc_id: Column, hash_: Column, starts: list[tuple[int, int]]) -> Column:
+    """The last range that starts at or before the row, by bisection."""
+    ids, hashes = F.lit([i for i, _ in starts]), F.lit([h for _, h in starts])
+    steps = [2 ** b for b in reversed(range(len(starts).bit_length()))]
 
+    def reached(at: Column) -> Column:
+        i = F.get(ids, at)
+        return F.coalesce((i < doc_id) | ((i == doc_id) & (F.get(hashes, at) <= hash_)), F.lit(False))
 
-def _range_of(doc_id: Column, starts: list[int]) -> Column:
-    """The last range that starts at or before the id, by bisection."""
-    at = F.lit(starts)
-    steps = [2 ** b for b in reversed(range(len(starts).bit_length()))]
-    return F.aggregate(F.lit(steps), F.lit(0), lambda acc, step: F.when(
-        F.coalesce(F.get(at, acc + step) <= doc_id, F.lit(False)), acc + step).otherwise(acc))
+    return F.aggregate(F.lit(steps), F.lit(0), lambda acc, step: F.when(reached(acc + step), acc + step).otherwise(acc))
 
 
 def with_next(rows: DataFrame, values: list[str], chars: int) -> DataFrame:
     """``rows`` (with ``_id``, ``text`` and ``values``) and, as ``next_<value>``,
-    the values of the row that follows in order of id and text; the first row
+    the values of the row that follows in order of id and text hash; the first row
     follows the last. ``chars`` is the number of characters of all texts."""
     spark = rows.sparkSession
     ranges = min(MOST_RANGES, max(shuffle_partitions(spark), bins_for(chars, RANGE_CHARS)))
-    starts = _starts(rows.select("_id"), ranges)
+    # 52 bits, so that a quantile of them is one of them
+    rows = rows.withColumn("_hash", F.shiftrightunsigned(F.xxhash64("text"), 12))
+    starts = _starts(rows.select("_id", "_hash"), ranges)
     if not starts:
         return rows.select("*", *[F.col(v).alias(f"next_{v}") for v in values])
     last = len(starts) - 1
-    rows = rows.withColumn("_range", _range_of(F.col("_id"), starts))
+    rows = rows.withColumn("_range", _range_of(F.col("_id"), F.col("_hash"), starts))
     before = F.when(F.col("_range") == 0, F.lit(last)).otherwise(F.col("_range") - 1)
-    copies = F.when(F.get(F.lit(starts), F.col("_range")) == F.col("_id"), F.array(
-        F.struct(F.col("_range").alias("r"), F.lit(False).alias("ahead")), F.struct(before.alias("r"), F.lit(True).alias("ahead")))
-        ).otherwise(F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("ahead"))))
+    start_id, start_hash = (F.get(F.lit([s[x] for s in starts]), F.col("_range")) for x in (0, 1))
+    own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("ahead"))
+    first = (start_id == F.col("_id")) & ((start_hash == -1) | (start_hash == F.col("_hash")))
+    copies = F.when(first, F.array(own, F.struct(before.alias("r"), F.lit(True).alias("ahead")))).otherwise(F.array(own))
     dealt = rows.withColumn("_c", F.explode(copies)).withColumn("_range", F.col("_c.r")).withColumn("_ahead", F.col("_c.ahead")).drop("_c")
-    order = Window.partitionBy("_range").orderBy("_ahead", "_id", "text")
+    order = Window.partitionBy("_range").orderBy("_ahead", "_id", "_hash", "text")
     return dealt.select("*", *[F.lead(v).over(order).alias(f"next_{v}") for v in values]).filter(~F.col("_ahead"))
 
 
-def fingerprints(docs: DataFrame, k: int = K, size: int = SKETCH) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_chars, fingerprint, and the same of the edited text: its last
     quarter replaced by the beginning of the next document."""
     texts = docs.select("doc_id", id_or_none().alias("_id"), text_or_empty().alias("text"))
     chars = texts.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    rows = with_next(texts.withColumn("sketch", sketch(F.col("text"), k, size)), ["text", "sketch"], chars)
+    rows = with_next(texts, ["text"], chars)
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("_cut", F.floor(F.length("text") / 4).cast("int"))
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - F.col("_cut")), F.substr("next_text", F.lit(1), F.col("_cut")))
-    rows = rows.withColumn("edited", edited).withColumn("edited_sketch", sketch(F.col("edited"), k, size))
-    return rows.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-        fingerprint(F.col("sketch")).alias("fingerprint"), fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch"), size).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch"), size).alias("near_next"))
+
+    def results(s: Column) -> Column:
+        return F.struct(fingerprint(s["own"]).alias("fingerprint"), fingerprint(s["edited"]).alias("edited_fingerprint"),
+                        likeness(s["own"], s["edited"]).alias("near_edited"), likeness(s["own"], s["next"]).alias("near_next"))
+
+    sketches = F.struct(sketch(F.col("text"), k).alias("own"), sketch(F.col("edited"), k).alias("edited"), sketch(F.col("next_text"), k).alias("next"))
+    rows = rows.withColumn("edited", edited).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), _bind(sketches, results).alias("r"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", "r.fingerprint", "r.edited_fingerprint", "r.near_edited", "r.near_next")

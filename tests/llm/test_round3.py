@@ -1,18 +1,21 @@
 """Lexical search, whitening and secret scans against brute force, and their defined cases."""
 
+import base64
 import hashlib
 import math
 import random
 import re
+import struct
 from collections import Counter
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from cohortkit.llm import common, jaccard, lengths, lexical, mixing, secrets, substring, whitening
+from cohortkit.llm import common, jaccard, lengths, lexical, mixing, secrets, substring, syncmer, whitening
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -317,3 +320,74 @@ def test_lengths_encode_once(spark):
     ranks = lengths.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     found = lengths.histogram(lengths.token_counts(frame(spark, [(1, "a b"), (2, None)]), ranks, public_tokenizers.PATTERN))
     assert "MapInArrow" not in found._jdf.queryExecution().toString() and found.count() == 2
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of strings and longs."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), h)
+    return h - 2 ** 64 if h >= 2 ** 63 else h
+
+
+def plain_anchors(text):
+    w = text.encode().split()
+    w = [x.decode() for x in w]
+    if not w:
+        return []
+    pairs = [spark_hash(a, b) for a, b in zip(w, w[1:])]
+    found = [spark_hash(*pairs[i:i + 4]) for i in range(len(w) - 4) if min(pairs[i], pairs[i + 3]) <= min(pairs[i + 1:i + 3])]
+    if not found:
+        h = 42
+        for x in w:
+            h = xxhash.xxh64_intdigest(x.encode(), h)
+        found = [h - 2 ** 64 if h >= 2 ** 63 else h]
+    return [(a % 2 ** 64) >> 24 for a in found]
+
+
+def plain_likeness(a, b):
+    a, b = list(dict.fromkeys(a)), list(dict.fromkeys(b))
+    one, two = [x for x in a if x in set(b)], [x for x in b if x in set(a)]
+    every = len(a) + len(b) - len(one)
+    matched = len(set(zip(one, one[1:])) & set(zip(two, two[1:]))) + 1 if one else 0
+    return matched / every if every else 1.0
+
+
+def check_fingerprints(spark, rows):
+    order = sorted((-2 ** 63 if i is None else i, xxhash.xxh64_intdigest((t or "").encode(), 42) >> 12, t or "") for i, t in rows)
+    want = []
+    for (i, _, t), (_, _, after) in zip(order, order[1:] + order[:1]):
+        edited = t[:len(t) - len(t) // 4] + after[:len(t) // 4]
+        a, b, c = plain_anchors(t), plain_anchors(edited), plain_anchors(after)
+        told = [base64.b64encode(b"".join(x.to_bytes(5, "big") for x in s)).decode() for s in (a, b)]
+        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), *told, plain_likeness(a, b), plain_likeness(a, c)))
+    got = [(-2 ** 63 if x.doc_id is None else x.doc_id, x.n_chars, x.edited_sha256, x.fingerprint.replace("\r\n", ""), x.edited_fingerprint.replace("\r\n", ""),
+            x.near_edited, x.near_next) for x in syncmer.fingerprints(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted(want)
+    return {g[0]: g for g in got}
+
+
+def test_fingerprints_equal_plain_anchors(spark):
+    r = random.Random(21)
+    pool = [f"w{i}" for i in range(300)] + ["é", "\U0001f600"]
+    rows = [(i, " ".join(r.choices(pool, k=r.randint(0, 150)))) for i in range(60)]
+    rows += [(60 + i, rows[i][1] + " and " + rows[i + 1][1]) for i in range(10)] + [(5, rows[6][1]), (5, rows[6][1]), (70, "a b"), (71, None), (72, ""), (73, "\n a \x0b")]
+    rows += [(i, " ".join(r.choices(pool, k=30))) for i in [9] * 300 + [None] * 200]  # an id, and no id, of many rows
+    check_fingerprints(spark, rows)
+    check_fingerprints(spark, [(1, "the only document of them all is this")])
+
+
+def test_long_texts_show_what_they_share(spark):
+    r = random.Random(22)
+    own = [[f"{c}{r.randrange(10 ** 9)}" for _ in range(40_000)] for c in "ab"]
+    common = [f"c{i}" for i in range(300)]
+    got = check_fingerprints(spark, [(i, " ".join(w[:20_000] + common + w[20_000:])) for i, w in enumerate(own)])
+    assert 0.002 < got[0][-1] < 0.01
+    assert len(base64.b64decode(got[0][3])) // 5 > 15_000
+
+
+def test_hot_ids_are_dealt_to_many_ranges(spark):
+    rows = [(7, f"text {i} of one id") for i in range(3000)] + [(i, f"other {i}") for i in range(1000)]
+    texts = frame(spark, rows).select("doc_id", F.col("doc_id").alias("_id"), "text")
+    sizes = syncmer.with_next(texts, ["text"], 1).groupBy("_range").count().collect()
+    assert max(x["count"] for x in sizes) < 1500 and sum(x["count"] for x in sizes) == 4000
