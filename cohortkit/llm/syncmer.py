@@ -87,7 +87,7 @@ def sketch(text: Column, k: int = K) -> Column:
 
 def fingerprint(of_sketch: Column) -> Column:
     digits = F.transform(of_sketch, lambda a: F.lpad(F.hex(a), BITS // 4, "0"))
-    return F.base64(F.unhex(F.array_join(digits, "")))
+    return F.translate(F.base64(F.unhex(F.array_join(digits, ""))), "\r\n", "")  # lines are cut at 76 characters
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -347,7 +347,8 @@ def plain_anchors(text):
 
 def plain_likeness(a, b):
     a, b = list(dict.fromkeys(a)), list(dict.fromkeys(b))
-    one, two = [x for x in a if x in set(b)], [x for x in b if x in set(a)]
+    in_a, in_b = set(a), set(b)
+    one, two = [x for x in a if x in in_b], [x for x in b if x in in_a]
     every = len(a) + len(b) - len(one)
     matched = len(set(zip(one, one[1:])) & set(zip(two, two[1:]))) + 1 if one else 0
     return matched / every if every else 1.0
@@ -361,7 +362,7 @@ def check_fingerprints(spark, rows):
         a, b, c = plain_anchors(t), plain_anchors(edited), plain_anchors(after)
         told = [base64.b64encode(b"".join(x.to_bytes(5, "big") for x in s)).decode() for s in (a, b)]
         want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), *told, plain_likeness(a, b), plain_likeness(a, c)))
-    got = [(-2 ** 63 if x.doc_id is None else x.doc_id, x.n_chars, x.edited_sha256, x.fingerprint.replace("\r\n", ""), x.edited_fingerprint.replace("\r\n", ""),
+    got = [(-2 ** 63 if x.doc_id is None else x.doc_id, x.n_chars, x.edited_sha256, x.fingerprint, x.edited_fingerprint,
             x.near_edited, x.near_next) for x in syncmer.fingerprints(frame(spark, rows)).collect()]
     assert sorted(got) == sorted(want)
     return {g[0]: g for g in got}
