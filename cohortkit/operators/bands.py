@@ -143,8 +143,10 @@ def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: s
 
     One join on the entity for cohorts of every size, without a hint and
     without a job of its own: adaptive execution measures the cohort and
-    broadcasts it where it is small, and splits the partitions of entities
-    with very many facts where it is not. Callers apply the exact test of
+    broadcasts it where it is small. Where it is not, it splits the partitions of
+    entities with very many facts, but only if nothing above needs the rows of
+    an entity together: aggregate the result with :func:`aggregate_split`, or
+    window it through :mod:`.ordered`. Callers apply the exact test of
     ``windows`` (expressions ``[lo, hi]`` over cohort columns, ``hi=None`` for
     open ends); rows that no window's start lets through are dropped here, so
     nothing is ever expanded by the length of a window.
@@ -154,3 +156,19 @@ def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: s
     f = facts.withColumn(keep_bucket_as, time_bucket(time, bucket_hours)) if keep_bucket_as else facts
     started = reduce(lambda a, b: a | b, [F.col(time) >= lo for lo, _ in windows])
     return f.join(cohort, entity, "inner").filter(started)
+
+
+def aggregate_split(rows: DataFrame, entity: str | Sequence[str], *aggs: Column) -> DataFrame:
+    """``rows.groupBy(entity).agg(*aggs)`` on top of a join by the entity.
+
+    The plain form reuses the join's partitioning, and then adaptive execution
+    may not split the partition of a hot entity: one task would read all its
+    facts. Grouped by a struct of the entity, the aggregate has an exchange of its
+    own. Each split of a skewed partition is joined and partially aggregated by
+    itself, and only the partial rows, one per entity and task, are shuffled.
+    """
+    keys = _keys(entity)
+    g = rows.groupBy(F.struct(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+                      .alias("_entity")).agg(*aggs)
+    return g.select(*[F.col(f"_entity._{i}").alias(k) for i, k in enumerate(keys)],
+                    *[c for c in g.columns if c != "_entity"])

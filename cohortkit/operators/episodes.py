@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecalc import epoch_micros, whole_hours
-from .bands import cohort_window_join, interval_join
+from .bands import aggregate_split, cohort_window_join, interval_join
 from .ordered import SLICE, segment_numbers, with_neighbors
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
@@ -32,7 +32,7 @@ def _gap_test(gap: Column, gap_hours: float, strict: bool) -> Column:
 def gap_episodes(fact: DataFrame, codes: Sequence | None = None, *, gap_hours: float = 24,
                  min_hours: float = 48, strict: bool = True, entity: str = E,
                  time: str = T, code: str = C, tiebreak: str | Sequence[str] | None = None,
-                 slice_hours: float = 24.0) -> DataFrame:
+                 slice_hours: float | str = "auto") -> DataFrame:
     """A new episode starts at an entity's first event or after a gap of
     more than ``gap_hours`` whole hours (``>=`` when ``strict=False``).
 
@@ -58,7 +58,7 @@ def gap_episodes(fact: DataFrame, codes: Sequence | None = None, *, gap_hours: f
 
 def cumulative_to_incremental(df: DataFrame, *, entity: str, order: Sequence[str],
                               value: str, out: str = "incremental",
-                              slice_hours: float = 24.0) -> DataFrame:
+                              slice_hours: float | str = "auto") -> DataFrame:
     """Running totals to increments, per entity in ``order``.
 
     increment = value - previous value; where that is negative (a reset) or
@@ -109,15 +109,14 @@ def first_event_after(cohort: DataFrame, fact: DataFrame, codes: Sequence, ancho
     """Per entity the first event of ``codes`` at or after ``anchor``.
 
     The cohort has one row per entity; facts meet it through
-    ``cohort_window_join`` (a size-checked broadcast, else (entity, time
-    bucket) from the anchor's bucket to the entity's last event), and the
-    minimum is a partial aggregate.
+    ``cohort_window_join``, and the minimum is a partial aggregate before its
+    shuffle (``aggregate_split``).
     """
     ev = _codes(fact, code, codes).select(entity, time)
     anchors = cohort.select(entity, anchor).filter(F.col(anchor).isNotNull())
     j = cohort_window_join(ev, anchors, entity, time, [(F.col(anchor), None)]) \
         .filter(F.col(time) >= F.col(anchor))
-    return j.groupBy(entity).agg(F.min(time).alias(out))
+    return aggregate_split(j, entity, F.min(time).alias(out))
 
 
 def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: str, *,
@@ -162,12 +161,12 @@ def first_segment(cohort: DataFrame, fact: DataFrame, codes: Sequence, start: st
                + F.col(tiebreak).cast("decimal(20,0)")
                + F.lit(Decimal(2 ** 63)).cast("decimal(20,0)")).cast("decimal(38,0)")
         key = F.when(is_end, key)
-        out = ev.groupBy(entity).agg(F.min_by(F.col(time), key).alias("_end"),
-                                     F.min_by(nxt, key).alias("_next"), *extra)
+        out = aggregate_split(ev, entity, F.min_by(F.col(time), key).alias("_end"),
+                              F.min_by(nxt, key).alias("_next"), *extra)
         end_c, next_c = F.col("_end"), F.col("_next")
     else:
         first_end = F.min(F.when(is_end, F.struct(F.col(time), nxt.alias("_next"))))
-        out = ev.groupBy(entity).agg(first_end.alias("_s"), *extra)
+        out = aggregate_split(ev, entity, first_end.alias("_s"), *extra)
         end_c, next_c = F.col(f"_s.{time}"), F.col("_s._next")
     return out.select(entity, *([first_out] if first_out else []),
                       end_c.alias(end_out), next_c.alias(next_out))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import DIVIDEND, exact_div, fixed
 from ..functions.timecalc import seconds_between, shift, whole_hours, whole_minutes
-from .bands import cohort_window_join
+from .bands import aggregate_split, cohort_window_join
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 U = "unit_source_value"
@@ -149,12 +149,12 @@ def nearest_at_landmark(cohort: DataFrame, fact: DataFrame, spec: FeatureSpec,
     lm = F.max(landmark).alias("_lm")
     if tiebreak:
         key = nearest_key(landmark, time, tiebreak)
-        out = rows.groupBy(entity).agg(F.min_by(rule_value(spec, value), key).alias("_v"),
-                                       F.min_by(F.col(time), key).alias("_t"), lm)
+        out = aggregate_split(rows, entity, F.min_by(rule_value(spec, value), key).alias("_v"),
+                              F.min_by(F.col(time), key).alias("_t"), lm)
         v, t = F.col("_v"), F.col("_t")
     else:
         best = F.min(_nearest_struct(spec, landmark, time, value, tiebreak)).alias("_b")
-        out = rows.groupBy(entity).agg(best, lm)
+        out = aggregate_split(rows, entity, best, lm)
         v, t = F.col("_b.v"), F.col("_b.t")
     col = f"{spec.name}_at_{s}"
     return out.select(entity, fixed(v, spec.digits).alias(col), t.alias(f"{col}_time"),
@@ -229,11 +229,10 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
     struct(distance..., value) END)``. The result has one row per cohort
     entity with at least one qualifying row, and two columns per pair.
 
-    Facts meet the cohort through ``cohort_window_join``: a small cohort
-    (size-checked) is broadcast, so the facts are not shuffled; a large one
-    is joined on (entity, time bucket), so only facts near a landmark are
-    joined and a hot entity is spread over its buckets. Either way the
-    struct minimum is partially aggregated before the shuffle by entity.
+    Facts meet the cohort through ``cohort_window_join``, one join on the
+    entity. The minima are partially aggregated before they are shuffled
+    (``aggregate_split``), also where adaptive execution splits the facts of a hot
+    entity over several tasks.
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
     lm_cols = list(dict.fromkeys(landmarks.values()))
@@ -247,7 +246,7 @@ def extract_features(cohort: DataFrame, fact: DataFrame, specs: Sequence[Feature
     aggs, conds = feature_aggregates(specs, landmarks, time=time, code=code, value=value,
                                      unit=unit, tiebreak=tiebreak)
     rows = rows.filter(reduce(lambda a, b: a | b, conds))
-    g = rows.groupBy(entity).agg(*aggs)
+    g = aggregate_split(rows, entity, *aggs)
     return g.select(F.col(entity), *feature_columns(specs, landmarks, tiebreak))
 
 

@@ -14,9 +14,12 @@ ordered sequence of an entity is cut into time slices:
    row of each slice and to offset running sums.
 
 The result equals the plain window over the entity, ordered by
-``(time, tiebreak)``. Slices are fixed-width time buckets, so they are a
-deterministic function of the row: a retried task recomputes the same
-slices. ``slice_hours`` trades task size for summary size.
+``(time, tiebreak)``. Slices are a deterministic function of the row, so a
+retried task recomputes the same slices: time buckets of a fixed width, or
+(``"auto"``) pieces of about equally many rows between splitters sampled from the
+entity's own rows. Windows, aggregates and joins are keyed by one struct of
+(entity, slice): an input partitioned by the entity alone, as a join leaves
+it, doesn't satisfy that, so the slices do divide a hot entity.
 """
 
 from __future__ import annotations
@@ -42,22 +45,37 @@ def _order(time: str, tiebreak: str | Sequence[str] | None) -> list[str]:
 
 
 AUTO_TARGET_ROWS = 1_000_000
+#: Rows that are sampled per slice; every so-manyth of them is a splitter.
+SAMPLES = 8
+
+
+def _splitters(d: DataFrame, keys: Sequence[str], order: Sequence[Column], target_rows: int
+               ) -> DataFrame:
+    """``keys`` and ``_cuts``: the entity's splitters, in order. A row is sampled
+    by a hash of its entity and place, whatever task reads it."""
+    place = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+    one_in = max(1, target_rows // SAMPLES)
+    sampled = d.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(one_in)) == 0)
+    places = F.sort_array(F.collect_set(place))
+    return (sampled.groupBy(*keys)
+                   .agg(F.filter(places, lambda p, i: (i + 1) % SAMPLES == 0).alias("_cuts"))
+                   .filter(F.size("_cuts") > 0))
 
 
 def add_slice(df: DataFrame, time: str, slice_hours: float | str,
-              keys: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
+              keys: Sequence[str] = (), target_rows: int | None = None,
+              tiebreak: str | Sequence[str] | None = None) -> DataFrame:
     """Add the slice column. Rows without an entity or a time cannot be
     placed in an entity's sequence and are excluded; filtering them here,
     before the first shuffle, also lets the row side and the summary side
     share one scan and one exchange (identical plans are reused).
 
-    ``slice_hours="auto"`` sizes slices per entity: one partially
-    aggregated pass counts each entity's rows and time span, and an entity
-    with more than ``target_rows`` rows gets slices of width
-    ``span * target_rows / rows``, so a dense entity (many rows in a short
-    span) is still cut into pieces of about ``target_rows`` rows when its
-    rows are spread evenly in time. Other entities keep 24 h slices. The hot list
-    is broadcast: it has at most ``rows / target_rows`` entries.
+    ``slice_hours="auto"`` cuts each entity at splitters: one pass samples
+    about ``SAMPLES`` rows in ``target_rows`` by a hash, and every ``SAMPLES``-th of
+    an entity's sampled (time, tiebreak) is a splitter. A slice then has about
+    ``target_rows`` rows however they lie in time: also the rows of one instant
+    are cut, by their tiebreak. An entity with fewer rows is one slice. The list of
+    splitters has rows / ``target_rows`` entries and is joined without a hint.
     """
     cond = F.col(time).isNotNull()
     for k in keys:
@@ -68,19 +86,29 @@ def add_slice(df: DataFrame, time: str, slice_hours: float | str,
         # Catalyst so, which keeps it from inferring a different filter per branch
         return d.withColumn(SLICE, F.coalesce(time_bucket(time, slice_hours),
                                               F.lit(0).cast("long")))
-    target_rows = target_rows or AUTO_TARGET_ROWS
-    t_us = epoch_micros(time)
-    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                 F.min(t_us).alias("_t0"), F.max(t_us).alias("_t1"))
-    hot = (stats.filter(F.col("_n") > target_rows)
-                .select(*keys, F.greatest(F.floor((F.col("_t1") - F.col("_t0") + 1)
-                                                  * F.lit(target_rows) / F.col("_n")),
-                                          F.lit(1)).cast("long").alias("_w")))
-    d = d.join(F.broadcast(hot), list(keys), "left")
-    day = time_bucket(time, 24.0)
-    width = F.coalesce(F.col("_w"), F.lit(24 * 3600 * 1_000_000).cast("long"))
-    sl = F.coalesce(F.floor(t_us / width).cast("long"), day, F.lit(0).cast("long"))
-    return d.withColumn(SLICE, sl).drop("_w")
+    order = [epoch_micros(time), *[F.col(c) for c in _order(time, tiebreak)[1:]]]
+    d = d.join(_splitters(d, keys, order, target_rows or AUTO_TARGET_ROWS), list(keys), "left")
+    own = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+    # bisection: how many splitters come before the row or are its equal
+    steps = F.lit([2 ** b for b in reversed(range(31))])
+    reached = lambda n: (n <= F.size("_cuts")) & (F.get(F.col("_cuts"), n - 1) <= own)
+    n = F.aggregate(steps, F.lit(0), lambda acc, step: F.when(
+        F.coalesce(reached(acc + step), F.lit(False)), acc + step).otherwise(acc))
+    sl = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(n).cast("long")
+    return d.withColumn(SLICE, F.coalesce(sl, F.lit(0).cast("long"))).drop("_cuts")
+
+
+def _placed(df: DataFrame, keys: Sequence[str], time: str, slice_hours: float | str,
+            tiebreak: str | Sequence[str] | None) -> DataFrame:
+    """``df`` with the slice column as one struct of (entity, slice)."""
+    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys, tiebreak=tiebreak)
+    return d.withColumn(SLICE, F.struct(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)],
+                                        F.col(SLICE).alias("n")))
+
+
+def _entity_window(keys: Sequence[str]):
+    """Orders the slices of an entity in a summary."""
+    return Window.partitionBy(*[f"{SLICE}._{i}" for i in range(len(keys))]).orderBy(f"{SLICE}.n")
 
 
 def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
@@ -102,9 +130,9 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
-    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys)
+    d = _placed(df, keys, time, slice_hours, tiebreak)
 
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    w = Window.partitionBy(SLICE).orderBy(*order)
     rows = d.select(
         "*",
         F.lag(F.lit(1)).over(w).isNull().alias("_first_in_slice"),
@@ -114,9 +142,9 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
     )
 
     edge = F.struct(*[F.col(c) for c in cols])
-    ws = Window.partitionBy(*keys).orderBy(SLICE)
+    ws = _entity_window(keys)
     summ = (rows.filter(F.col("_first_in_slice") | F.col("_last_in_slice"))
-                .groupBy(*keys, SLICE)
+                .groupBy(SLICE)
                 .agg(F.max_by(edge, F.col("_last_in_slice").cast("int")).alias("_l"),
                      F.max_by(edge, F.col("_first_in_slice").cast("int")).alias("_f")))
     carry = []
@@ -124,9 +152,9 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
         carry.append(F.lag("_l").over(ws).alias("_cp"))
     if next:
         carry.append(F.lead("_f").over(ws).alias("_cn"))
-    summ = summ.select(*keys, SLICE, *carry)
+    summ = summ.select(SLICE, *carry)
 
-    out = rows.join(summ, on=[*keys, SLICE], how="inner")
+    out = rows.join(summ, on=SLICE, how="inner")
     fills = {}
     if prev:
         for c in cols:
@@ -139,9 +167,8 @@ def with_neighbors(df: DataFrame, entity: str | Sequence[str], time: str,
     out = out.withColumns(fills)
     drop = [c for c in out.columns if c.startswith(("_lp_", "_ln_"))]
     drop += ["_first_in_slice", "_last_in_slice"] + [c for c in ("_cp", "_cn") if c in out.columns]
-    if not keep_slice:
-        drop.append(SLICE)
-    return out.drop(*drop)
+    out = out.drop(*drop)
+    return out.withColumn(SLICE, F.col(f"{SLICE}.n")) if keep_slice else out.drop(SLICE)
 
 
 def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
@@ -157,24 +184,23 @@ def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
-    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys)
+    d = _placed(df, keys, time, slice_hours, tiebreak)
 
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    w = Window.partitionBy(SLICE).orderBy(*order)
     rows = d.select("*",
                     F.sum(value).over(w.rowsBetween(Window.unboundedPreceding,
                                                     Window.currentRow)).alias("_within"),
                     F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
 
-    ws = (Window.partitionBy(*keys).orderBy(SLICE)
-          .rowsBetween(Window.unboundedPreceding, -1))
+    ws = _entity_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     tot = (rows.filter(F.col("_last_in_slice"))
-               .select(*keys, SLICE,
+               .select(SLICE,
                        F.coalesce(F.sum("_within").over(ws), F.lit(0)).alias("_off")))
 
-    res = (rows.join(tot, on=[*keys, SLICE], how="inner")
+    res = (rows.join(tot, on=SLICE, how="inner")
                .withColumn(out, F.col("_off") + F.col("_within"))
                .drop("_off", "_within", "_last_in_slice"))
-    return res if keep_slice else res.drop(SLICE)
+    return res.withColumn(SLICE, F.col(f"{SLICE}.n")) if keep_slice else res.drop(SLICE)
 
 
 def segment_numbers(df: DataFrame, entity: str | Sequence[str], time: str,
@@ -193,9 +219,9 @@ def segment_numbers(df: DataFrame, entity: str | Sequence[str], time: str,
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
-    d = df if SLICE in df.columns else add_slice(df, time, slice_hours, keys)
+    d = _placed(df, keys, time, slice_hours, tiebreak)
 
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    w = Window.partitionBy(SLICE).orderBy(*order)
     prev_in = F.lag(time).over(w)
     inner = F.when(prev_in.isNotNull() & is_new(prev_in, F.col(time)), 1).otherwise(0)
     rows = d.select("*", inner.alias("_inner"),
@@ -205,20 +231,20 @@ def segment_numbers(df: DataFrame, entity: str | Sequence[str], time: str,
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
     edges = rows.filter(F.col("_first_in_slice") | F.col("_last_in_slice"))
-    summ = edges.groupBy(*keys, SLICE).agg(
+    summ = edges.groupBy(SLICE).agg(
         F.max_by(F.col(time), F.col("_first_in_slice").cast("int")).alias("_t_first"),
         F.max_by(F.col(time), F.col("_last_in_slice").cast("int")).alias("_t_last"),
         F.max_by(F.col("_cum_inner"), F.col("_last_in_slice").cast("int")).alias("_starts"))
-    ws = Window.partitionBy(*keys).orderBy(SLICE)
+    ws = _entity_window(keys)
     prev_last = F.lag("_t_last").over(ws)
-    summ = summ.select(*keys, SLICE, "_starts",
+    summ = summ.select(SLICE, "_starts",
                        F.when(prev_last.isNull() | is_new(prev_last, F.col("_t_first")), 1)
                         .otherwise(0).alias("_first_flag"))
-    summ = summ.select(*keys, SLICE, "_first_flag",
+    summ = summ.select(SLICE, "_first_flag",
                        F.coalesce(F.sum(F.col("_first_flag") + F.col("_starts")).over(
                            ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                         .alias("_offset"))
-    res = rows.join(summ, on=[*keys, SLICE], how="inner")
+    res = rows.join(summ, on=SLICE, how="inner")
     res = res.withColumn(out, F.col("_offset") + F.col("_first_flag") + F.col("_cum_inner"))
     return res.drop("_inner", "_cum_inner", "_first_in_slice", "_last_in_slice",
                     "_first_flag", "_offset", SLICE)

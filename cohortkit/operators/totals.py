@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import NUMERIC, fixed, numeric, safe_ratio
-from .bands import cohort_window_join
+from .bands import aggregate_split, cohort_window_join
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 
@@ -71,9 +71,8 @@ def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec],
     column per spec, NULL when no event of that spec qualified.
 
     ``lo``/``hi`` are expressions over cohort columns. The cohort has one row
-    per entity; facts meet it through ``cohort_window_join``: a broadcast on
-    the entity for a cohort that passes the size check, else (entity, time
-    bucket over the union of the periods). Each fact is joined at most once.
+    per entity; facts meet it through ``cohort_window_join``, each at most once,
+    and are partially summed before they are shuffled (``aggregate_split``).
     """
     coh = cohort if cohort_filter is None else cohort.filter(cohort_filter)
     bounds = coh.select(entity, *bound_columns(specs))
@@ -83,7 +82,7 @@ def window_sums(cohort: DataFrame, fact: DataFrame, specs: Sequence[WindowSpec],
     rows = cohort_window_join(facts, bounds, entity, time, wins, bucket_hours)
     aggs, conds = sum_aggregates(specs, time=time, code=code, value=value, digits=digits)
     rows = rows.filter(reduce(lambda a, b: a | b, conds))
-    return rows.groupBy(entity).agg(*aggs)
+    return aggregate_split(rows, entity, *aggs)
 
 
 def window_sum(cohort: DataFrame, fact: DataFrame, codes: Sequence, lo: Column, hi: Column,

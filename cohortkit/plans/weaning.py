@@ -29,7 +29,7 @@ from ..functions.numeric import NUMERIC
 from ..functions.timecalc import shift, whole_hours
 from ..operators import episodes, features, landmarks, outcomes, totals
 from ..operators.features import FeatureSpec
-from ..operators.bands import cohort_window_join
+from ..operators.bands import aggregate_split, cohort_window_join
 from ..operators.landmarks import EligibilityRule
 from ..session import materialize
 from .widetable import assert_unique, update_from
@@ -183,9 +183,9 @@ def measurement_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams,
     """Every feature at both landmarks and every windowed total in ONE scan
     of the measurements and one aggregate (the reference: 28 + 6 UPDATEs).
 
-    The episode rows are exploded over the buckets of all feature windows
-    (cohort rows only) and all fluid periods; facts join on (entity, bucket)
-    and one ``groupBy(entity)`` computes the nearest-row minima and the sums.
+    Facts meet the episode rows in one join on the entity, and one aggregate
+    computes the nearest-row minima (cohort rows only) and the sums, partially
+    before its shuffle, also where the facts of a hot entity are split.
     Same values as ``feature_pass`` + ``fluid_pass``.
     """
     in_cohort = F.col("cohort_criteria") == 1
@@ -207,7 +207,7 @@ def measurement_pass(chain: DataFrame, inputs: WeaningInputs, p: WeaningParams,
                                                   gate=in_cohort)
     t_aggs, t_conds = totals.sum_aggregates(specs_t)
     rows = rows.filter(reduce(lambda a, b: a | b, f_conds + t_conds))
-    g = rows.groupBy(E).agg(*f_aggs, *t_aggs)
+    g = aggregate_split(rows, E, *f_aggs, *t_aggs)
 
     t = chain.select(E, *_EPISODE_COLS).filter(_has_episode()).join(g, E, "left")
     structs = [c for c in g.columns if c.startswith("_")]
