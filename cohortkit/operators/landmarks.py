@@ -13,15 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed
 from ..functions.text import like_any
-from ..functions.timecalc import shift, whole_hours
-from .bands import band_join, cohort_window_join, interval_join, intervals_with_points
-from .ordered import SLICE, running_sum
+from ..functions.timecalc import shift, time_bucket, whole_hours
+from .bands import (aggregate_split, band_join, cohort_window_join, interval_join,
+                    intervals_with_points)
+from .ordered import running_sums
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 U = "unit_source_value"
@@ -135,10 +137,10 @@ class EligibilityRule:
     # R11: 'median' over all qualifying pairs (reference) or 'start': the
     # values of the earliest pair (nearest partner, then earliest)
     value_at: str = "median"
-    # 'pairs': join the two signals within the band and take medians over the
-    # pairs; 'counts': count each row's partners with ordered scans and take
-    # weighted medians (same values, exact, no pairs materialised)
-    pairing: str = "pairs"
+    # 'counts': count each row's partners in one ordered sweep over both signals
+    # and take weighted medians; 'pairs': join the signals within the band and take
+    # approximate medians over the pairs
+    pairing: str = "counts"
 
 
 def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame,
@@ -152,141 +154,118 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
     ``start_offset_hours`` after admission, with no exposure active.
 
     Returns ``entity, eligible_start_time, eligible_start_fio2,
-    eligible_start_peep``; the two values are approximate medians over all
-    qualifying pairs (the reference's join fan-out, R11).
+    eligible_start_peep``; the two values are lower medians over all qualifying
+    pairs (the reference's join fan-out, R11), without forming the pairs.
+
+    Both signals come from one scan of the facts as tagged rows, meet the episodes
+    in one join and the exposures in one anti join, and are swept together.
     """
     bounds = (cohort.filter(F.col(episode_end).isNotNull())
                     .select(entity, admission_start, episode_start, episode_end))
-    inside = F.col(time).between(F.col(episode_start), F.col(episode_end))
-
     v = F.col(value)
     if rule.normalise_first:
         v = F.when(v.between(0.1, 1), v * 100).otherwise(v)
-    rng = None
-    for lo, hi in rule.first_ranges:
-        r = v.between(lo, hi)
-        rng = r if rng is None else rng | r
-    a = fact.filter((F.col(code) == F.lit(rule.first_code)) & rng).withColumn(value, v)
+    is_first = F.col(code) == F.lit(rule.first_code)
+    first = is_first & reduce(lambda x, y: x | y, [v.between(lo, hi) for lo, hi in rule.first_ranges])
     if rule.first_unit_not is not None:
-        a = a.filter(F.col(unit) != F.lit(rule.first_unit_not))
-    # One bucket width for every join of the first signal, and its bucket
-    # column kept: the episode join, the exposure anti join and the band join
-    # then all see it partitioned by (entity, bucket) and shuffle it once.
+        first = first & (F.col(unit) != F.lit(rule.first_unit_not))
+    is_second = F.col(code) == F.lit(rule.second_code)
+    second = is_second & (F.col(value) <= rule.second_max)
+    # a row is tagged with every signal it counts for (codes may be the same)
+    tags = F.array_compact(F.array(F.when(first, F.struct(F.lit("a").alias("s"), v.alias("v"))),
+                                   F.when(second, F.struct(F.lit("b").alias("s"), F.col(value).alias("v")))))
+    rows = (fact.filter(is_first | is_second).filter(first | second)
+                .select(entity, F.col(time).alias("_time"), F.explode(tags).alias("_tag"))
+                .select(entity, "_time", F.col("_tag.s").alias("_signal"), F.col("_tag.v").alias("_value")))
     width = band_hours(rule.tolerance_minutes)
-    episode = [(F.col(episode_start), F.col(episode_end))]
-    a = (cohort_window_join(a.select(entity, F.col(time).alias("a_time"),
-                                     F.col(value).alias("a_value")),
-                            bounds, entity, "a_time", episode, width, keep_bucket_as="_ab")
-          .filter(F.col("a_time").between(F.col(episode_start), F.col(episode_end))
-                  & (F.col("a_time") >= shift(admission_start, rule.start_offset_hours)))
-          .select(entity, "a_time", "a_value", "_ab"))
-    a = not_exposed(a, exposure, list(rule.exposure_codes), lead_in_hours=rule.lead_in_hours,
-                    washout_hours=rule.washout_hours, entity=entity, time="a_time",
-                    bucket_hours=width, point_bucket="_ab",
-                    span=bounds.groupBy(entity).agg(F.min(episode_start).alias("_first"),
-                                                    F.max(episode_end).alias("_last")))
-
-    b = (cohort_window_join(fact.filter((F.col(code) == F.lit(rule.second_code))
-                                        & (F.col(value) <= rule.second_max))
-                                .select(entity, time, value),
-                            bounds.select(entity, episode_start, episode_end), entity, time,
-                            episode)
-             .filter(inside)
-             .select(entity, F.col(time).alias("b_time"), F.col(value).alias("b_value")))
-
+    rows = cohort_window_join(rows, bounds, entity, "_time", [(F.col(episode_start), F.col(episode_end))])
+    rows = rows.filter(F.col("_time").between(F.col(episode_start), F.col(episode_end))
+                       & ((F.col("_signal") == "b")
+                          | (F.col("_time") >= shift(admission_start, rule.start_offset_hours))))
+    # exposures exclude rows of the first signal; the others have no bucket and never match
+    bucket = F.when(F.col("_signal") == "a", time_bucket("_time", width))
+    rows = rows.select(entity, "_time", "_signal", "_value", bucket.alias("_ab"))
+    rows = not_exposed(rows, exposure, list(rule.exposure_codes), lead_in_hours=rule.lead_in_hours,
+                       washout_hours=rule.washout_hours, entity=entity, time="_time",
+                       bucket_hours=width, point_bucket="_ab",
+                       span=bounds.groupBy(entity).agg(F.min(episode_start).alias("_first"),
+                                                       F.max(episode_end).alias("_last"))).drop("_ab")
     if rule.pairing == "counts" and rule.value_at == "median":
-        return _eligibility_by_counts(a.drop("_ab"), b, entity, rule)
-    pairs = paired_within(a, b, entity=entity, tolerance_minutes=rule.tolerance_minutes,
-                          a_bucket="_ab").drop("_ab")
+        return _eligibility_by_counts(rows, entity, rule)
+
+    def signal(name: str) -> DataFrame:
+        return rows.filter(F.col("_signal") == name).select(
+            entity, F.col("_time").alias(f"{name}_time"), F.col("_value").alias(f"{name}_value"))
+
+    pairs = paired_within(signal("a"), signal("b"), entity=entity, tolerance_minutes=rule.tolerance_minutes)
     if rule.value_at == "start":
         gap = F.abs(F.timestamp_diff("SECOND", F.col("a_time"), F.col("b_time")))
-        first = F.min(F.struct("a_time", gap.alias("gap"), "b_time", "a_value", "b_value"))
-        return pairs.groupBy(entity).agg(first.alias("_p")).select(
+        earliest = F.min(F.struct("a_time", gap.alias("gap"), "b_time", "a_value", "b_value"))
+        return aggregate_split(pairs, entity, earliest.alias("_p")).select(
             entity, F.col("_p.a_time").alias("eligible_start_time"),
             fixed(F.col("_p.a_value"), rule.median_digits).alias("eligible_start_fio2"),
             fixed(F.col("_p.b_value"), rule.median_digits).alias("eligible_start_peep"))
     med = lambda c: fixed(F.percentile_approx(F.col(c), 0.5, 10000), rule.median_digits)  # noqa
-    return pairs.groupBy(entity).agg(
-        F.min("a_time").alias("eligible_start_time"),
-        med("a_value").alias("eligible_start_fio2"),
-        med("b_value").alias("eligible_start_peep"))
-
-
-def band_partner_weights(points: DataFrame, others: DataFrame, entity: str, p_time: str,
-                         keys: Sequence[str], o_time: str, o_weight: str,
-                         tolerance_hours: float, slice_hours: float = 24.0) -> DataFrame:
-    """For each distinct point row (``entity`` + ``keys``), the total
-    ``o_weight`` of ``others`` rows of its entity with ``o_time`` inside
-    ``[p_time - tol, p_time + tol]``, without forming pairs.
-
-    The points become two query rows, at ``p_time - tol`` (ordered before
-    others at the same instant) and ``p_time + tol`` (ordered after); the
-    others carry their weight. One skew-safe running sum over the merged,
-    time-ordered stream gives the weight up to each query; the partner
-    weight is the difference of a point's two queries.
+    return aggregate_split(pairs, entity,
+                           F.min("a_time").alias("eligible_start_time"),
+                           med("a_value").alias("eligible_start_fio2"),
+                           med("b_value").alias("eligible_start_peep"))
+
+
+def partner_pairs(rows: DataFrame, entity: str, tolerance_hours: float,
+                  slice_hours: float | str = 24.0) -> DataFrame:
+    """``rows`` (entity, ``_signal`` a or b, ``_time``, ``_value``) as distinct rows
+    with ``_pairs``: how many pairs they form with rows of the other signal within
+    the tolerance of them. No pair is formed.
+
+    Every distinct row enters one time-ordered stream three times: as itself, and as two
+    queries, at its time less the tolerance (before others of that instant) and
+    plus the tolerance (after them). Running counts of both signals' rows over the
+    stream, sliced as in :mod:`.ordered`, answer all queries; a row's partners are
+    the difference of its two.
     """
-    types = {f.name: f.dataType for f in points.schema.fields}
-    q = points.select(entity, *keys)
-    kcols = [F.col(k) for k in keys]
-    lo = q.select(entity, shift(p_time, -tolerance_hours).alias("_t"), F.lit(0).alias("_tag"),
-                  F.lit(0).cast("long").alias("_w"), *kcols)
-    hi = q.select(entity, shift(p_time, tolerance_hours).alias("_t"), F.lit(2).alias("_tag"),
-                  F.lit(0).cast("long").alias("_w"), *kcols)
-    ob = others.select(entity, F.col(o_time).alias("_t"), F.lit(1).alias("_tag"),
-                       F.col(o_weight).cast("long").alias("_w"),
-                       *[F.lit(None).cast(types[k]).alias(k) for k in keys])
-    stream = lo.unionByName(hi).unionByName(ob)
-    cum = running_sum(stream, entity, "_t", "_tag", "_w", "_cum", slice_hours=slice_hours)
-    return (cum.filter(F.col("_tag") != 1).groupBy(entity, *keys)
-               .agg((F.sum(F.when(F.col("_tag") == 2, F.col("_cum")))
-                     - F.sum(F.when(F.col("_tag") == 0, F.col("_cum")))).alias("_partners")))
-
-
-def weighted_lower_median(df: DataFrame, entity: str, value: str, weight: str,
-                          value_slice: float = 1.0) -> DataFrame:
-    """Per entity the lower median of ``value`` repeated ``weight`` times:
-    the smallest value whose running weight exceeds ``floor((W - 1) / 2)``
-    (``quantile_disc(0.5)`` of the expanded multiset).
-
-    Weights are summed per (entity, value) first; the running weight over
-    values is the skew-safe running sum, sliced by value buckets of width
-    ``value_slice`` instead of by time.
+    own = [entity, "_signal", "_time", "_value"]
+    # also what the two sides of the running counts share: one scan, one exchange
+    rows = aggregate_split(rows, own, F.count(F.lit(1)).alias("_n"))
+    counts = lambda s: F.when(F.col("_signal") == s, F.col("_n")).otherwise(0).cast("long")
+    none = F.lit(0).cast("long")
+    entry = lambda at, place, a, b: F.struct(
+        at.alias("t"), F.lit(place).alias("place"), a.alias("a"), b.alias("b"))
+    entries = F.array(entry(shift("_time", -tolerance_hours), 0, none, none),
+                      entry(F.col("_time"), 1, counts("a"), counts("b")),
+                      entry(shift("_time", tolerance_hours), 2, none, none))
+    stream = rows.select(*own, "_n", F.explode(entries).alias("_e")).select(
+        *own, "_n", F.col("_e.t").alias("_t"), F.col("_e.place").alias("_place"),
+        F.col("_e.a").alias("_a"), F.col("_e.b").alias("_b"))
+    cum = running_sums(stream, entity, "_t", "_place", {"_ca": "_a", "_cb": "_b"}, slice_hours=slice_hours)
+    others = F.when(F.col("_signal") == "a", F.col("_cb")).otherwise(F.col("_ca"))
+    sign = F.col("_place") - 1
+    return aggregate_split(cum.filter(sign != 0), own, (F.sum(sign * others) * F.max("_n")).alias("_pairs"))
+
+
+def _eligibility_by_counts(rows: DataFrame, entity: str, rule: EligibilityRule) -> DataFrame:
+    """C30 without pairs: the earliest first-signal row with a partner, and the
+    lower medians (``quantile_disc(0.5)``, exact) of both signals' values, each as
+    often as it is in a pair.
+
+    Weights are summed per (entity, signal, value) before anything is ordered, so
+    the window over a signal's values has one row per distinct value.
     """
-    w = (df.groupBy(entity, value).agg(F.sum(weight).alias("_w"))
-           .filter(F.col("_w") > 0)
-           .withColumn(SLICE, F.floor(F.col(value) / F.lit(value_slice)).cast("long")))
-    cum = running_sum(w, entity, value, None, "_w", "_cum")
-    total = w.groupBy(entity).agg(F.sum("_w").alias("_total"))
-    k = F.floor((F.col("_total") - 1) / 2)
-    return (cum.join(total, entity).filter(F.col("_cum") > k)
-               .groupBy(entity).agg(F.min(value).alias("_median")))
-
-
-def _eligibility_by_counts(a: DataFrame, b: DataFrame, entity: str,
-                           rule: EligibilityRule) -> DataFrame:
-    """C30 without materialising pairs: partner counts by ordered scans,
-    earliest paired first signal, weighted lower medians of both signals."""
-    tol = rule.tolerance_minutes / 60.0
-    ag = a.groupBy(entity, "a_time", "a_value").agg(F.count(F.lit(1)).alias("_n"))
-    bg = b.groupBy(entity, "b_time", "b_value").agg(F.count(F.lit(1)).alias("_n"))
-    wa = (band_partner_weights(ag, bg, entity, "a_time", ["a_time", "a_value"], "b_time", "_n",
-                               tol)
-          .join(ag, [entity, "a_time", "a_value"])
-          .withColumn("_pairs", F.col("_partners") * F.col("_n")))
-    wb = (band_partner_weights(bg, ag, entity, "b_time", ["b_time", "b_value"], "a_time", "_n",
-                               tol)
-          .join(bg, [entity, "b_time", "b_value"])
-          .withColumn("_pairs", F.col("_partners") * F.col("_n")))
-    start = (wa.filter(F.col("_pairs") > 0).groupBy(entity)
-               .agg(F.min("a_time").alias("eligible_start_time")))
-    fio2 = weighted_lower_median(wa, entity, "a_value", "_pairs")
-    peep = weighted_lower_median(wb, entity, "b_value", "_pairs")
-    return (start.join(fio2, entity)
-                 .select(entity, "eligible_start_time",
-                         fixed(F.col("_median"), rule.median_digits).alias("eligible_start_fio2"))
-                 .join(peep, entity)
-                 .select(entity, "eligible_start_time", "eligible_start_fio2",
-                         fixed(F.col("_median"), rule.median_digits).alias("eligible_start_peep")))
+    paired = partner_pairs(rows, entity, rule.tolerance_minutes / 60.0).filter(F.col("_pairs") > 0)
+    values = paired.groupBy(entity, "_signal", "_value").agg(
+        F.sum("_pairs").alias("_w"), F.min("_time").alias("_first"))
+    signal = Window.partitionBy(entity, "_signal")
+    upto = F.sum("_w").over(signal.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    values = values.select(entity, "_signal", "_value", "_w", upto.alias("_upto"), F.sum("_w").over(signal).alias("_all"),
+                           F.min("_first").over(signal).alias("_first"))
+    # the smallest value whose running weight exceeds k
+    k = F.floor((F.col("_all") - 1) / 2)
+    medians = values.filter((F.col("_upto") > k) & (F.col("_upto") - F.col("_w") <= k))
+    of = lambda s, c: F.max(F.when(F.col("_signal") == s, F.col(c)))
+    return medians.groupBy(entity).agg(
+        of("a", "_first").alias("eligible_start_time"),
+        fixed(of("a", "_value"), rule.median_digits).alias("eligible_start_fio2"),
+        fixed(of("b", "_value"), rule.median_digits).alias("eligible_start_peep"))
 
 
 def terminal_landmark(df: DataFrame, *, death_guard_hours: float = 12,

@@ -176,7 +176,16 @@ def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
                 slice_hours: float | str = 24.0, keep_slice: bool = False) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY entity ORDER BY time, tiebreak
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)`` without an
-    entity-wide window.
+    entity-wide window."""
+    return running_sums(df, entity, time, tiebreak, {out: value}, slice_hours=slice_hours,
+                        keep_slice=keep_slice)
+
+
+def running_sums(df: DataFrame, entity: str | Sequence[str], time: str,
+                 tiebreak: str | Sequence[str] | None, values: dict[str, str], *,
+                 slice_hours: float | str = 24.0, keep_slice: bool = False) -> DataFrame:
+    """``running_sum`` of several columns in one scan: ``values`` maps each new
+    column to the one it sums up.
 
     The in-slice running sum on a slice's last row is the slice total; those
     rows (one per non-empty slice) give each slice its offset through a
@@ -187,19 +196,18 @@ def running_sum(df: DataFrame, entity: str | Sequence[str], time: str,
     d = _placed(df, keys, time, slice_hours, tiebreak)
 
     w = Window.partitionBy(SLICE).orderBy(*order)
-    rows = d.select("*",
-                    F.sum(value).over(w.rowsBetween(Window.unboundedPreceding,
-                                                    Window.currentRow)).alias("_within"),
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = d.select("*", *[F.sum(v).over(upto).alias(f"_within_{i}") for i, v in enumerate(values.values())],
                     F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
 
     ws = _entity_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     tot = (rows.filter(F.col("_last_in_slice"))
-               .select(SLICE,
-                       F.coalesce(F.sum("_within").over(ws), F.lit(0)).alias("_off")))
+               .select(SLICE, *[F.coalesce(F.sum(f"_within_{i}").over(ws), F.lit(0)).alias(f"_off_{i}")
+                                for i in range(len(values))]))
 
-    res = (rows.join(tot, on=SLICE, how="inner")
-               .withColumn(out, F.col("_off") + F.col("_within"))
-               .drop("_off", "_within", "_last_in_slice"))
+    res = rows.join(tot, on=SLICE, how="inner")
+    res = res.withColumns({out: F.col(f"_off_{i}") + F.col(f"_within_{i}") for i, out in enumerate(values)})
+    res = res.drop("_last_in_slice", *[f"{c}_{i}" for i in range(len(values)) for c in ("_off", "_within")])
     return res.withColumn(SLICE, F.col(f"{SLICE}.n")) if keep_slice else res.drop(SLICE)
 
 

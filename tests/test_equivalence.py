@@ -202,9 +202,10 @@ def test_pair_free_eligibility_equals_pairs(spark, seed):
                                "drug_exposure_end_datetime timestamp_ntz")
     rule = landmarks.EligibilityRule(first_code="f", second_code="p", second_max=9,
                                      tolerance_minutes=30, exposure_codes=("d",))
-    pairs = landmarks.eligibility_landmark(coh, fact, ex, rule).collect()
-    counts = landmarks.eligibility_landmark(
-        coh, fact, ex, dataclasses.replace(rule, pairing="counts")).collect()
+    pairs = landmarks.eligibility_landmark(
+        coh, fact, ex, dataclasses.replace(rule, pairing="pairs")).collect()
+    counts = landmarks.eligibility_landmark(coh, fact, ex, rule).collect()
+    assert rule.pairing == "counts"
     assert sorted(pairs) == sorted(counts) and len(pairs) >= 4
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cohortkit.operators import features
+from cohortkit.operators import features, landmarks
 from cohortkit.plans import registry as R
 from cohortkit.sources import bindings as B
 
@@ -63,3 +63,15 @@ def test_nearest_rows_use_hash_aggregation(spark):
     for df in (fused, feats):
         text = plan(df)
         assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_eligibility_is_one_scan_without_pairs(spark):
+    """As it ran: both signals from one scan, no join of one with the other."""
+    inp, c1 = R._chain(spark, SF_DIR, 1)
+    df = landmarks.eligibility_landmark(c1, inp.measurement, inp.drug_exposure, R.TEST_RULE)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    scans = re.findall(r"FileScan parquet[^\n]*measurement|FileScan parquet[^\n]*", final)
+    facts = [x for x in scans if "value" in x]
+    assert len(facts) == 1, facts
+    assert R.TEST_RULE.pairing == "counts"
