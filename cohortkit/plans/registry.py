@@ -7,7 +7,9 @@ to one operator of the inventory and runs it over the whole tables.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from ..session import app_key
 from ..sources import tables
 from . import catalogue
 from . import weaning as W
-from .widetable import assemble, update_from, update_where
+from .widetable import CatalogTable, assemble, update_from, update_where
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,7 +193,7 @@ def q_yearly_duplicates(spark, sf_dir):
 TEST_RULE = EligibilityRule(
     first_code="view", first_ranges=((1, 50), (0, 0.5)), first_unit_not="%",
     second_code="click", second_max=60, tolerance_minutes=720, start_offset_hours=6,
-    exposure_codes=("purchase",), lead_in_hours=6, washout_hours=3)
+    exposure_codes=B.EXPOSURE_KINDS, lead_in_hours=6, washout_hours=3)
 TEST_FEATURES = (
     FeatureSpec("fio2", ("view",), 24, 0, value_range=(0.1, 100), fraction_to_percent=True,
                 unit_not="%"),
@@ -226,7 +228,7 @@ _LOCK = threading.RLock()   # one computation per (application, dataset)
 def weaning_inputs(spark, sf_dir) -> W.WeaningInputs:
     return W.WeaningInputs(
         visit=B.visit_per_entity(spark, sf_dir), measurement=B.measurement(spark, sf_dir),
-        drug_exposure=B.drug_exposure(spark, sf_dir, null_ends=False),
+        drug_exposure=B.drug_exposure(spark, sf_dir, null_ends=True, kinds=B.EXPOSURE_KINDS),
         condition=B.condition_occurrence(spark, sf_dir), death=B.death(spark, sf_dir))
 
 
@@ -373,6 +375,18 @@ def q_not_exposed(spark, sf_dir):
                            lead_in_hours=6, washout_hours=3)
 
 
+#: Three exposure codes, each with its own lead-in and wash-out.
+EXPOSURE_HOURS = {"purchase": (6, 3), "signup": (2, 0), "error": (0, 12)}
+
+
+@register("not_exposed_per_code")
+def q_not_exposed_per_code(spark, sf_dir):
+    m = B.measurement(spark, sf_dir).filter(F.col("measurement_concept_id") == "view") \
+         .select("measurement_id", "person_id", "measurement_datetime", "value_as_number")
+    return lmk.not_exposed(m, B.drug_exposure(spark, sf_dir, null_ends=True, kinds=B.EXPOSURE_KINDS),
+                           EXPOSURE_HOURS)
+
+
 @register("eligibility_landmark")
 def q_eligibility_landmark(spark, sf_dir):
     inp, c1 = _chain(spark, sf_dir, 1)
@@ -416,6 +430,27 @@ def q_feature_set_two_landmarks(spark, sf_dir):
                                  cohort_filter=F.col("cohort_criteria") == 1)
 
 
+#: The shape of the reference's catalogue: fourteen variables, one or two codes each.
+TEST_FEATURES_14 = TEST_FEATURES[:2] + (
+    FeatureSpec("sbp", ("signup",), 48, 48), FeatureSpec("dbp", ("error",), 96, 96),
+    FeatureSpec("spo2", ("signup", "purchase"), 24, 24, fraction_to_percent=True),
+    FeatureSpec("haemoglobin", ("error", "click"), 24, 24, unit_equals="u"),
+    FeatureSpec("wbc", ("view",), 12, 12), FeatureSpec("platelets", ("click",), 12, 12),
+    FeatureSpec("base_excess", ("purchase",), 12, 12), FeatureSpec("crp", ("signup",), 12, 12),
+    FeatureSpec("creatinine", ("error",), 12, 12), FeatureSpec("albumin", ("view",), 96, 96),
+    FeatureSpec("haematocrit", ("view", "signup"), 24, 24, value_range=(0.1, 1)),
+    FeatureSpec("lactate", ("purchase", "click"), 48, 48))
+
+
+@register("feature_set_fourteen")
+def q_feature_set_fourteen(spark, sf_dir):
+    """C22 at its full width: 28 nearest values and their times in one scan."""
+    inp, c2 = _chain(spark, sf_dir, 2)
+    return feat.extract_features(c2, inp.measurement, TEST_FEATURES_14, W.LANDMARKS,
+                                 tiebreak="measurement_id",
+                                 cohort_filter=F.col("cohort_criteria") == 1)
+
+
 @register("landmark_slope")
 def q_landmark_slope(spark, sf_dir):
     inp, c2 = _chain(spark, sf_dir, 2)
@@ -592,6 +627,34 @@ def q_wide_assemble(spark, sf_dir):
     return catalogue.wide_schema().conform(table)
 
 
+def _wide_steps(spark, sf_dir, empty: str):
+    """Rows and columns of a catalogued wide table after each step of its life."""
+    table = CatalogTable(spark, f"wide_{uuid.uuid4().hex}", catalogue.wide_schema())
+    base = _wide_base(spark, sf_dir)
+    steps = [("created", table.create()), ("loaded", table.insert(base))]
+    before = table.read()
+    steps += [(empty, getattr(table, empty)()), ("reader of the old version", before)]
+    steps += [("loaded again", table.insert(base)), ("loaded twice", table.insert(base))]
+    parts = [df.agg(F.lit(i).alias("step"), F.lit(name).alias("state"), F.count(F.lit(1)).alias("row_count"),
+                    F.count_distinct("person_id").alias("patient_count"),
+                    F.count_if(F.col("outcome_flag") == 0).alias("defaults"),
+                    F.lit(len(df.columns)).cast("long").alias("column_count"))
+             for i, (name, df) in enumerate(steps)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("wide_reset")
+def q_wide_reset(spark, sf_dir):
+    """The declared table, dropped and declared anew, empty."""
+    return _wide_steps(spark, sf_dir, "reset")
+
+
+@register("wide_truncate")
+def q_wide_truncate(spark, sf_dir):
+    """T4: the table keeps its declaration and loses its rows."""
+    return _wide_steps(spark, sf_dir, "truncate")
+
+
 @register("update_where")
 def q_update_where(spark, sf_dir):
     t = q_wide_assemble(spark, sf_dir)

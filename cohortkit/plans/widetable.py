@@ -3,7 +3,7 @@
 T1 ``WideSchema`` (columns, types, defaults), T2/T4 reset and empty frame,
 T3/T5 base rows, T6/T8/T9 ``update_where``, T7 ``update_from``,
 T10 idempotent passes, T11 ``assemble`` with disjoint column ownership,
-T12 ``snapshot``.
+T12 ``snapshot``; ``CatalogTable`` keeps the snapshots of a table in the catalogue.
 
 Spark's built-in Parquet tables have no row-level UPDATE, so every pass is
 a DataFrame function and the table is a fresh snapshot: a pass returns
@@ -14,6 +14,7 @@ shuffles each new pass once and the table not at all after the first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 
 @dataclass(frozen=True)
 class WideColumn:
@@ -159,3 +162,57 @@ def snapshot(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame
     """
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class CatalogTable:
+    """A declared wide table in Spark's catalogue, as a chain of versions.
+
+    ``name`` is a view of the current version; every version is a table of its own,
+    ``name__<version>``, in the shared checkpoint folder. A change writes a new version
+    and then points the view at it, so a reader stays on the version it began
+    with (Spark resolves the view when a query is planned), a failed write changes
+    nothing, and a change may read the table it replaces. ``expire`` drops
+    versions that no one reads any more.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: WideSchema):
+        self.spark, self.name, self.schema = spark, name, schema
+        self.versions: list[str] = []
+
+    def _commit(self, df: DataFrame) -> DataFrame:
+        version = f"{self.name}__{uuid.uuid4().hex}"
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{version}"
+        self.schema.conform(df).write.option("path", path).saveAsTable(version)
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{self.name}` AS SELECT * FROM `{version}`")
+        self.versions.append(version)
+        return self.read()
+
+    def read(self) -> DataFrame:
+        """The current version; later changes do not show."""
+        return self.spark.table(f"`{self.versions[-1]}`")
+
+    def create(self) -> DataFrame:
+        """The declaration, without rows."""
+        return self._commit(self.schema.empty(self.spark))
+
+    def reset(self) -> DataFrame:
+        """The table declared anew: the view goes and comes back empty."""
+        self.spark.sql(f"DROP VIEW IF EXISTS `{self.name}`")
+        return self.create()
+
+    def truncate(self) -> DataFrame:
+        """T4: the declared columns of the current version and none of its rows."""
+        return self._commit(self.read().limit(0))
+
+    def insert(self, df: DataFrame) -> DataFrame:
+        """Adds rows; columns that ``df`` lacks take their defaults."""
+        return self._commit(self.read().unionByName(self.schema.conform(df)))
+
+    def apply(self, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Any pass over the whole table (``update_where``, ``update_from``...)."""
+        return self._commit(change(self.read()))
+
+    def expire(self, keep: int = 1) -> None:
+        """Drops all but the last ``keep`` versions from the catalogue."""
+        while len(self.versions) > keep:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{self.versions.pop(0)}`")

@@ -129,7 +129,11 @@ def visit_concept(spark: SparkSession) -> DataFrame:
 # events -> drug_exposure, condition_occurrence, death
 # ---------------------------------------------------------------------------
 
-def drug_exposure_sql(null_ends: bool) -> str:
+#: Event types that stand for exposure codes where three are asked for.
+EXPOSURE_KINDS = ("purchase", "signup", "error")
+
+
+def drug_exposure_sql(null_ends: bool, kinds: tuple = ("purchase",)) -> str:
     end = ("CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts + INTERVAL 2 HOUR END"
            if null_ends else "ts + INTERVAL 2 HOUR")
     return f"""
@@ -140,13 +144,14 @@ SELECT
   ts AS drug_exposure_start_datetime,
   {end} AS drug_exposure_end_datetime
 FROM events
-WHERE event_type = 'purchase'
+WHERE event_type IN ({', '.join(repr(k) for k in kinds)})
 """
 
 
-def drug_exposure(spark: SparkSession, sf_dir: str, null_ends: bool = False) -> DataFrame:
-    """Exposure intervals: each purchase is a 2 h exposure."""
-    e = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+def drug_exposure(spark: SparkSession, sf_dir: str, null_ends: bool = False,
+                  kinds: tuple = ("purchase",)) -> DataFrame:
+    """Exposure intervals: each event of ``kinds`` is a 2 h exposure."""
+    e = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(*kinds))
     end = shift("ts", 2)
     if null_ends:
         end = F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(end)

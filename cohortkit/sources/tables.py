@@ -94,15 +94,26 @@ def _comparable(field: T.StructField) -> Column:
     return F.col(name).cast("string")
 
 
+#: Bytes of a value that are compared as they are; of longer ones a digest is.
+WHOLE_BYTES = 64
+
+
+def _told_apart(text: Column) -> Column:
+    """What stands for a text where only equality counts: itself or, beyond
+    ``WHOLE_BYTES``, its SHA-256 (a mark tells it from a short text of the same look)."""
+    return F.when(F.octet_length(text) > WHOLE_BYTES, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
 def column_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
     """S3 re-aimed as a job: per column its type, non-null and distinct count.
 
     One pass turns rows into (column, value) pairs, which are counted per
     value and then per column; equal values of a task meet before the shuffle,
-    and a frequent value is one row per task. An empty table has zero counts.
+    a frequent value is one row per task, and of a long text only a digest is
+    shuffled. An empty table has zero counts.
     """
     fields = df.schema.fields
-    pairs = [x for i, f in enumerate(fields) for x in (F.lit(i + 1), _comparable(f))]
+    pairs = [x for i, f in enumerate(fields) for x in (F.lit(i + 1), _told_apart(_comparable(f)))]
     values = (df.select(F.stack(F.lit(len(fields)), *pairs).alias("ordinal_position", "_value"))
                 .groupBy("ordinal_position", "_value").agg(F.count(F.lit(1)).alias("_n")))
     counts = values.groupBy("ordinal_position").agg(

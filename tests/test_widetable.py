@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from cohortkit.plans import catalogue
-from cohortkit.plans.widetable import snapshot, update_where
+from cohortkit.plans.widetable import WideColumn, WideSchema, snapshot, update_where
 from cohortkit.sources import tables
 
 
@@ -72,3 +72,32 @@ def test_reference_style_sql_through_views(spark):
     """
     rows = spark.sql(q, args={"a": "view", "b": "click"}).collect()
     assert {r.measurement_concept_id for r in rows} == {"view", "click"}
+
+
+def test_catalogued_table_keeps_its_readers(spark):
+    import uuid
+
+    from cohortkit.plans.widetable import CatalogTable
+    schema = WideSchema([WideColumn("person_id", "bigint"), WideColumn("a", "bigint", 0), WideColumn("b", "string")])
+    table = CatalogTable(spark, f"wide_{uuid.uuid4().hex}", schema)
+    assert table.create().count() == 0
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "person_id long, b string")
+    loaded = table.insert(rows)
+    assert sorted(map(tuple, loaded.collect())) == [(1, 0, "x"), (2, 0, "y")]
+    table.apply(lambda t: update_where(t, {"a": F.lit(7).cast("long")}, F.col("person_id") == 2))
+    assert spark.table(table.name).agg(F.sum("a")).first()[0] == 7
+    for emptied in (table.truncate, table.reset):
+        table.insert(rows)
+        before = table.read()
+        assert emptied().count() == 0 and spark.table(table.name).columns == ["person_id", "a", "b"]
+        assert before.count() > 0 and loaded.count() == 2  # readers keep what they began with
+    table.expire()
+    assert len(table.versions) == 1 and spark.table(table.name).count() == 0
+
+
+def test_column_profile_shuffles_digests(spark):
+    from cohortkit.sources.tables import column_profile
+    long = ["x" * 10_000 + str(i % 3) for i in range(30)]
+    df = spark.createDataFrame([(i, t, None if i % 2 else "s") for i, t in enumerate(long)], "i int, t string, s string")
+    got = {r.column_name: (r.row_count, r.non_null_count, r.distinct_count) for r in column_profile(spark, df).collect()}
+    assert got == {"i": (30, 30, 30), "t": (30, 30, 3), "s": (30, 15, 1)}
