@@ -23,8 +23,8 @@ elements hold more than half of the text of these landmarks (of the page, where
 there are none), the one that holds the most is not marked. Where a page has an article (or else a main element), the text is
 what stands inside, and plain elements inside it stay; but articles beside a
 main element that holds more text, or beside more text that the tree keeps (a
-teaser), take nothing away. The tree decides on all other branches. It needs
-``LEAST_PAGES`` pages with the node.
+teaser), take nothing away. The tree decides on all other branches that at least
+``LEAST_PAGES`` pages have; the fewer have it, the less may it repeat and go.
 
 Pages become blocks: text between block elements, character references
 decoded, white space as one space, joined by two line feeds.
@@ -60,10 +60,10 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.common import column_batches, cut, mixed, word_hashes
 
-#: Branches of less importance go.
+#: Branches of less importance go; of a node that n pages have, less than (1 - 1/n) times this.
 LEAST = 0.5
-#: Pages that must have a node before it is judged.
-LEAST_PAGES = 8
+#: Pages that must have a node: the entropy of one page says nothing.
+LEAST_PAGES = 2
 #: How fast the styles of a node count more than its children as they grow in number.
 GAMMA = 0.9
 #: Bits that name a style or a word among those of one node.
@@ -100,7 +100,9 @@ SEEN_TAGS = BLOCK | RAW | GONE_TAGS | {"br"}
 #: These stop the search for an element to close.
 FENCE = frozenset("article aside body div footer form header html main nav ol section table ul".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_OPEN = re.compile(r"<(?:[!?]|(/?)([a-zA-Z][^\s/>]*))")
+#: What ends a tag, or begins a value in quotes: quotes count only after an equals sign.
+_STOP = re.compile(r""">|=\s*(["'])""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
@@ -144,76 +146,110 @@ def _telling(marks: str, but: frozenset[str]) -> bool:
 
 
 class Element:
-    """An open element: its node in the site's tree and what becomes of its text.
+    """An element: its node in the site's tree and what becomes of its text.
 
-    ``marks`` are the marked elements around it, ``outer`` how many of them are
-    around the landmark that it is in."""
+    ``mark`` is the innermost marked element around it (0: none), ``outer`` that
+    around the landmark that it is in. ``low`` says if the tree removes the
+    branch; it is set by ``Page.text``."""
 
-    __slots__ = ("tag", "node", "parent", "styles", "gone", "inside", "named", "marks", "outer")
+    __slots__ = ("tag", "node", "up", "styles", "gone", "inside", "named", "mark", "outer", "low")
 
-    def __init__(self, tag: str, node: int, parent: int, gone: bool, inside: str, named: bool, marks: tuple[int, ...] = (), outer: int = 0):
-        self.tag, self.node, self.parent, self.gone, self.inside, self.named = tag, node, parent, gone, inside, named
-        self.marks, self.outer = marks, outer
+    def __init__(self, tag: str, node: int, up: Element | None, gone: bool, inside: str, named: bool, mark: int = 0, outer: int = 0):
+        self.tag, self.node, self.up, self.gone, self.inside, self.named = tag, node, up, gone, inside, named
+        self.mark, self.outer, self.low = mark, outer, False
         self.styles: list[str] = []
 
 
 class Page:
-    """The blocks of a page: (text, node, landmark around it, removed by what its
-    markup says, nodes of the branch that the tree may remove, marked elements
-    around it, how many of them are around the landmark)."""
+    """The blocks of a page: (text, the element it stands in). Work and memory are
+    linear in the page, however deep, long or malformed it is."""
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, int, str, bool, tuple[int, ...], tuple[int, ...], int]] = []
-        self._marked = 0
-        #: node -> (parent, its sequences of children)
+        self.blocks: list[tuple[str, Element]] = []
+        #: of each marked element the one around it; 0 stands for none
+        self.marks: list[int] = [0]
+        #: node -> (parent, its sequences of children, one for each time it occurs)
         self.nodes: dict[int, tuple[int, list[str]]] = {}
         self._parts: list[str] = []
-        self._stack = [Element("", 0, 0, False, "", False)]
+        root = Element("", 0, None, False, "", False)
+        #: all elements, parents first
+        self.elements = [root]
+        self._stack = [root]
+        #: open elements by tag, outermost first: their places on the stack
+        self._places: dict[str, list[int]] = defaultdict(list)
         self._read(source or "")
         self._flush()
         while len(self._stack) > 1:
             self._close()
-        self._note(self._stack[0])
+        self._note(root)
 
     def _note(self, e: Element) -> None:
-        self.nodes.setdefault(e.node, (e.parent, []))[1].append(" ".join(e.styles))
+        self.nodes.setdefault(e.node, (e.up.node if e.up else 0, []))[1].append(" ".join(e.styles))
 
     def _close(self) -> None:
-        self._note(self._stack.pop())
+        e = self._stack.pop()
+        self._places[e.tag].pop()
+        self._note(e)
 
     def _flush(self) -> None:
         if self._parts:
             text = " ".join(html.unescape("".join(self._parts)).split())
             self._parts.clear()
             if text:
-                top = self._stack[-1]
-                branch = tuple(e.node for e in self._stack[1:] if e.named or not e.inside)
-                self.blocks.append((text, top.node, top.inside, top.gone, branch, top.marks, top.outer))
+                self.blocks.append((text, self._stack[-1]))
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
+        unclosed: set[str] = set()  # quotes that don't occur any more
+        torn = False  # a tag didn't end: from there on the next ">" ends a tag, in quotes or not
         while at < end:
-            found = _TAG.search(source, at)
+            found = _OPEN.search(source, at)
             if not found:
-                self._parts.append(source[at:])
-                return
+                break
             if found.start() > at:
                 self._parts.append(source[at:found.start()])
-            at = found.end()
+            at = found.start()
             if found[2] is None:
-                if found[0].startswith("<![CDATA["):
-                    self._parts.append(html.escape(found[0][9:-3]))
+                if source.startswith("<!--", at):
+                    stop = source.find("-->", at + 4)
+                    at = end if stop < 0 else stop + 3
+                    continue
+                if source.startswith("<![CDATA[", at) and (stop := source.find("]]>", at + 9)) >= 0:
+                    self._parts.append(html.escape(source[at + 9:stop]))
+                    at = stop + 3
+                    continue
+                stop = source.find(">", at)
+                if stop < 0:
+                    break
+                at = stop + 1
                 continue
-            tag = found[2].lower()
+            place = found.end()
+            while not torn:
+                stop = _STOP.search(source, place)
+                if not stop:
+                    torn = True
+                elif stop[1] is None:
+                    break
+                else:
+                    close = -1 if stop[1] in unclosed else source.find(stop[1], stop.end())
+                    if close < 0:
+                        unclosed.add(stop[1])
+                    place = stop.end() if close < 0 else close + 1
+            last = source.find(">", found.end()) if torn else stop.start()
+            if last < 0:
+                break
+            tag, rest = found[2].lower(), source[found.end():last]
+            at = last + 1
             if tag not in SEEN_TAGS:
                 continue
             if found[1]:
                 self._end(tag)
             else:
-                self._start(tag, found[3])
-                if tag in RAW and not found[3].endswith("/"):
+                self._start(tag, rest)
+                if tag in RAW and not rest.endswith("/"):
                     stop = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(source, at)
                     at = stop.start() if stop else end
+        self._parts.append(source[at:])
 
     def _start(self, tag: str, rest: str) -> None:
         if tag == "br":
@@ -234,64 +270,84 @@ class Page:
         inside = top.inside
         gone = top.gone or tag in GONE_TAGS or marks.get("role") in GONE_ROLES or "hidden" in marks or marks.get("aria-hidden") == "true"
         gone = gone or tag == "header" and not inside  # inside an article it holds the title
-        marked, outer = top.marks, top.outer
+        mark, outer = top.mark, top.outer
         landmark = tag in ("article", "main") or marks.get("role") in ("main", "article")
         if not landmark and tag not in KEPT_TAGS:
             said = marks.get("class", "") + " " + ("" if tag in HEADINGS else marks.get("id", ""))
             if tag == "form" or _telling(said, frozenset(("header", "banner")) if inside else frozenset()):
-                self._marked += 1
-                marked = (*marked, self._marked)
+                self.marks.append(mark)
+                mark = len(self.marks) - 1
         if not gone and landmark:
             kind = "article" if tag == "article" or marks.get("role") == "article" else "main"
-            inside, outer = "article" if inside == "article" else kind, len(marked)
+            inside, outer = "article" if inside == "article" else kind, mark
         label = tag + "".join(f".{n}" for n in sorted(names))
         top.styles += [label] if not top.styles or top.styles[-1] != label else []
-        self._stack.append(Element(tag, _node(top.node, label), top.node, gone, inside, bool(names), marked, outer))
+        e = Element(tag, _node(top.node, label), top, gone, inside, bool(names), mark, outer)
+        self._places[tag].append(len(self._stack))
+        self._stack.append(e)
+        self.elements.append(e)
+
+    def _innermost(self, tags) -> int:
+        """The place of the innermost open element of these tags, or 0."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
 
     def _close_open(self, tags: set[str], fence: frozenset[str]) -> None:
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self._stack[i].tag in tags:
-                while len(self._stack) > i:
-                    self._close()
-                return
-            if self._stack[i].tag in fence:
-                return
+        place = self._innermost(tags)
+        if place and place >= self._innermost(fence - tags):
+            while len(self._stack) > place:
+                self._close()
 
     def _end(self, tag: str) -> None:
         if tag in BLOCK:
             self._flush()
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self._stack[i].tag == tag:
-                self._flush()
-                while len(self._stack) > i:
-                    self._close()
-                return
+        place = self._innermost((tag,))
+        if place:
+            self._flush()
+            while len(self._stack) > place:
+                self._close()
+
+    def _unmarked(self, rows: list[tuple[str, Element]]) -> list[bool]:
+        """Which marks don't count, by the rules on lost text."""
+        off = [True] + [False] * (len(self.marks) - 1)
+        if any(e.inside for _, e in rows) and not any(e.inside and not e.mark for _, e in rows):
+            for _, e in rows:
+                m = e.outer if e.inside else 0
+                while not off[m]:
+                    off[m] = True
+                    m = self.marks[m]
+        # a landmark's text, or all text where there is none
+        most = [r for r in rows if r[1].inside and off[r[1].outer]] or rows
+        own = [0] * len(self.marks)
+        for text, e in most:
+            own[e.mark] += len(text)
+        held = list(own)
+        for m in range(len(self.marks) - 1, 0, -1):  # marks inside others come after them
+            held[self.marks[m]] += held[m]
+        seen = sum(n for n, yes in zip(own, off) if yes)
+        # the one that holds the most first; what is around a mark holds as much and comes before it
+        for m in sorted((m for m in range(1, len(off)) if not off[m]), key=lambda m: (-held[m], m)):
+            if 2 * seen >= held[0]:
+                break
+            off[m] = True
+            seen += own[m]
+        return off
 
     def text(self, low: frozenset[int] = frozenset()) -> str:
         """The main text, without the branches of the nodes in ``low``."""
-        rows = [(text, inside, branch, marks, outer) for text, _, inside, gone, branch, marks, outer in self.blocks if not gone]
-        off: set[int] = set()
-        if any(r[1] for r in rows) and not any(r[1] and not r[3] for r in rows):
-            off.update(m for r in rows if r[1] for m in r[3][:r[4]])
-        # a landmark's text, or all text where there is none
-        most = [r for r in rows if r[1] and off.issuperset(r[3][:r[4]])] or rows
-        total = sum(len(r[0]) for r in most)
-        while 2 * sum(len(r[0]) for r in most if off.issuperset(r[3])) < total:
-            held: Counter[int] = Counter()
-            for r in most:
-                for m in r[3]:
-                    held[m] += 0 if m in off else len(r[0])
-            off.add(min(held, key=lambda m: (m in off, -held[m], m)))
-        stay = [r for r in rows if off.issuperset(r[3])]
+        for e in self.elements[1:]:
+            e.low = e.up.low or e.node in low and (e.named or not e.inside)
+        rows = [r for r in self.blocks if not r[1].gone]
+        off = self._unmarked(rows)
+        stay = [r for r in rows if off[r[1].mark]]
         size: Counter[str] = Counter()
-        for r in stay:  # text beside a landmark counts if the tree keeps it
-            size[r[1]] += len(r[0]) if r[1] or low.isdisjoint(r[2]) else 0
+        for text, e in stay:  # text beside a landmark counts if the tree keeps it
+            size[e.inside] += len(text) if e.inside or not e.low else 0
         if size["article"] + size["main"] and size["article"] + size["main"] >= size[""]:
             # articles beside more text of a main element are a part of it
             kinds = ("article",) if size["article"] >= size["main"] else ("article", "main")
-            stay = [r for r in stay if r[1] in kinds]
-        high = [r for r in stay if low.isdisjoint(r[2])] if low else stay
-        return "\n\n".join(r[0] for r in high or stay)
+            stay = [r for r in stay if r[1].inside in kinds]
+        high = [r for r in stay if not r[1].low]
+        return "\n\n".join(text for text, _ in high or stay)
 
 
 _SEEN = "cell long, kind int, feature long, host long, node long, parent long, pages long"
@@ -314,10 +370,11 @@ def counted(pages: DataFrame) -> DataFrame:
                 for node, (parent, styles) in page.nodes.items():
                     places.setdefault(cells[node], (host, node, parent))
                     seen[cells[node], 0, 0] += 1
-                    seen[cells[node], 1, _long(styles[0]) & some] += 1
-                for text, node, *_ in page.blocks:
+                    for style in set(styles):
+                        seen[cells[node], 1, _long(style) & some] += 1
+                for text, e in page.blocks:
                     texts.append(text)
-                    of_cell.append(cells[node])
+                    of_cell.append(cells[e.node])
                     of_page.append(i)
             # a word counts once per page and node, then pages are counted
             words, counts = word_hashes(pa.array(texts, pa.string()))
@@ -347,7 +404,7 @@ def importance(seen: DataFrame) -> DataFrame:
     log = F.log(F.col("n").cast("double"))
     of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     nodes = cut(sums.groupBy("cell").agg(
-        F.max("host").alias("host"), F.max("node").alias("node"), F.max("parent").alias("parent"), of(0, F.col("n")).alias("pages"), of(1, F.col("n") * log).alias("style_log"), of(1, F.lit(1)).alias("styles"),
+        F.max("host").alias("host"), F.max("node").alias("node"), F.max("parent").alias("parent"), of(0, F.col("n")).alias("pages"), of(1, F.col("n") * log).alias("style_log"), of(1, F.lit(1)).alias("styles"), of(1, F.col("n")).alias("styled"),
         of(2, log).alias("word_log"), of(2, F.lit(1)).alias("words")), "html-nodes")
 
     def merge(table: pa.Table) -> pa.Table:
@@ -368,7 +425,8 @@ def importance(seen: DataFrame) -> DataFrame:
             r = own[node]
             m = r["pages"] or 1
             log_m = math.log(m) if m > 1 else 0.0
-            styles = 1.0 if m == 1 else max(0.0, 1 - (r["style_log"] or 0.0) / (m * log_m))
+            n = r["styled"] or 0  # a page counts once for each of its styles of the node
+            styles = 1.0 if m == 1 or n < 2 else max(0.0, 1 - (r["style_log"] or 0.0) / (n * math.log(n)))
             parts = [(value[c], own[c]["pages"]) for c in children[node]]
             if r["words"]:
                 parts.append((1.0 if m == 1 else 1 - r["word_log"] / (r["words"] * log_m), m))
@@ -388,7 +446,8 @@ def importance(seen: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAGES) -> DataFrame:
     """page_id, url, text."""
     judged = importance(counted(pages))
-    low = judged.filter((F.col("most") < least) & (F.col("pages") >= least_pages) & (F.col("node") != 0))
+    enough = F.lit(least) * (1 - 1 / F.col("pages"))
+    low = judged.filter((F.col("most") < enough) & (F.col("pages") >= least_pages) & (F.col("node") != 0))
     low = cut(low.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("low")), "html-low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

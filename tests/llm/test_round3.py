@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -15,7 +16,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cohortkit.llm import common, jaccard, lengths, lexical, mixing, secrets, substring, syncmer, whitening
+from cohortkit.llm import common, html, jaccard, lengths, lexical, mixing, secrets, substring, syncmer, whitening
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -392,3 +393,38 @@ def test_hot_ids_are_dealt_to_many_ranges(spark):
     texts = frame(spark, rows).select("doc_id", F.col("doc_id").alias("_id"), "text")
     sizes = syncmer.with_next(texts, ["text"], 1).groupBy("_range").count().collect()
     assert max(x["count"] for x in sizes) < 1500 and sum(x["count"] for x in sizes) == 4000
+
+
+def test_html_quotes_and_malformed_tags():
+    text = lambda source: html.Page(source).text()
+    assert text("<article><p title=it's>first words</p><p>second</p><p>it's last</p></article>") == "first words\n\nsecond\n\nit's last"
+    assert text('<article><p title="a > b">one</p><p title=\'c > "d\'>two</p>') == "one\n\ntwo"
+    assert text('<p class=">">one</p><p \'>two</p><p ">three</p>') == "one\n\ntwo\n\nthree"
+    assert text('<p title="never closed>one</p><p>two</p>') == "one\n\ntwo"
+    assert text("<p>a < b and c <d") == "a < b and c <d" and text("<p>one<!-- never closed <p>two") == "one"
+    assert text("<p>x<![CDATA[<b>]]>y</p><!doctype html><?php echo ?>z") == "x<b>y\n\nz"
+
+
+@pytest.mark.parametrize("source", [
+    '<a "' * 250_000, '<a x="' * 160_000, "<a x='\"" * 140_000, "<div>" * 200_000 + "x", "<div><p>word</p>" * 60_000, '<div class="comment"><p>words</p>' * 30_000,
+    "<form>" * 100_000 + "text", "<p>" * 250_000, "</p>" * 250_000, "<!--" * 250_000, "<![CDATA[" * 100_000, "<li>" * 200_000, "&" * 10 ** 6, "<" * 10 ** 6,
+    "".join(f'<div class="comment">{"w " * 3}</div>' for _ in range(20_000)), "<article>" * 50_000 + "deep" + "</article>" * 50_000])
+def test_html_is_linear(source):
+    began = time.process_time()
+    page = html.Page(source)
+    page.text(frozenset([1, 2]))
+    assert time.process_time() - began < 12, (source[:20], len(source))
+
+
+def test_html_tree_removes_an_untold_frame(spark):
+    """No tag, class or id says what the frame is: what repeats on the host's pages goes, from two pages on."""
+    r = random.Random(31)
+    frame = "all of this frame stands on every page of the site and says the same"
+    body = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(7)) for _ in range(40))
+    pages = []
+    for host, n in (("two.example", 2), ("five.example", 5), ("many.example", 40)):
+        for _ in range(n):
+            text = body()
+            pages.append((len(pages), f"http://{host}/{len(pages)}", f"<body><div><div>{frame}</div><p>{text}</p><div>{frame} <b>too</b></div></div>", text))
+    got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string, text string")).collect()
+    assert {x.page_id: x.text for x in got} == {i: t for i, _, _, t in pages}
