@@ -1,4 +1,4 @@
-"""Interval and band joins keyed by entity *and* time bucket.
+"""Interval and band joins that expand neither intervals nor pairs.
 
 Every range join in the reference also carries the entity equality
 (``m.person_id = de.person_id AND t BETWEEN start AND end``). Planned as an
@@ -6,14 +6,18 @@ equi join on the entity with a residual range, a sort-merge join compares
 each left row with *all* right rows of its entity: quadratic in the size of
 the largest entity, and one task for a hot entity.
 
-Here each interval, cut to the time in which its entity has points, is
-exploded into the fixed-width time buckets it covers,
-and the join key becomes ``(entity, bucket)``. A point only meets the
-intervals that overlap its bucket; the exact range test stays as the join
-condition. A point lies in exactly one bucket, so each (point, interval)
-match is produced once and no de-duplication is needed for point-side
-results. Intervals with a NULL bound cover no bucket and never match,
-which is the three-valued ``BETWEEN`` semantics of the reference.
+*Whether* a point lies in some interval (semi and anti joins, ``EXISTS``) needs
+no join: in the time order of an entity's points and interval starts, the
+greatest end of the intervals begun so far tells it. That is one ordered
+scan, sliced as in :mod:`.ordered`, with one row per point and per interval.
+
+*Which* intervals a point lies in is a join on (entity, level, cell). Each
+interval has the level whose cells are just as long as it is, or longer (cells of
+level k are ``LADDER``^k buckets long), and so at most two cells, however long it
+is. A point is looked up once in every level that the intervals have; it
+meets an interval in exactly one cell, and the exact range test stays as the
+join condition. Intervals with a NULL bound never match, which is the
+three-valued ``BETWEEN`` semantics of the reference.
 """
 
 from __future__ import annotations
@@ -23,80 +27,96 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.timecalc import time_bucket
+from ..functions.timecalc import epoch_micros, time_bucket
+from .ordered import SLICE, running_max
 
-BUCKET = "_bucket"
+#: Cells of a level are so many times as long as those of the level below.
+LADDER = 8
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def point_span(points: DataFrame, on: str | Sequence[str], point_time: str) -> DataFrame:
-    """The first and last point (``_first``, ``_last``) of every entity."""
-    return points.groupBy(*_keys(on)).agg(F.min(point_time).alias("_first"),
-                                          F.max(point_time).alias("_last"))
+def _widths(bucket_hours: float) -> list[int]:
+    """The length of each level's cells, in microseconds; the last is longer than
+    the years 1 to 9999."""
+    out = [min(2 ** 59, max(1, round(bucket_hours * 3_600_000_000)))]
+    while out[-1] < 2 ** 59:
+        out.append(out[-1] * LADDER)
+    return out
 
 
-def explode_buckets(intervals: DataFrame, lo: Column, hi: Column, bucket_hours: float,
-                    on: str | Sequence[str] | None = None,
-                    span: DataFrame | None = None) -> DataFrame:
-    """One row per (interval, bucket it overlaps) with ``_lo``/``_hi`` bounds.
+def interval_cells(intervals: DataFrame, lo: Column, hi: Column, bucket_hours: float) -> DataFrame:
+    """One or two rows per interval: ``_level`` and ``_cell``, with ``_lo``/``_hi`` bounds."""
+    iv = intervals.withColumns({"_lo": lo, "_hi": hi}).filter(F.col("_lo") <= F.col("_hi"))
+    a, b = epoch_micros("_lo"), epoch_micros("_hi")
+    widths = _widths(bucket_hours)
+    level = F.coalesce(*[F.when(b - a <= w, F.lit(k)) for k, w in enumerate(widths[:-1])],
+                       F.lit(len(widths) - 1))
+    cell = lambda t: F.floor(t / F.get(F.lit(widths), F.col("_level"))).cast("long")
+    return iv.withColumn("_level", level).withColumn(
+        "_cell", F.explode(F.array_distinct(F.array(cell(a), cell(b)))))
 
-    ``span`` (see :func:`point_span`) cuts the intervals to the time in which
-    their entity can have points; nothing beyond it could match.
-    """
-    iv = intervals.withColumns({"_lo": lo, "_hi": hi})
-    if span is not None:
-        iv = (iv.join(span, _keys(on), "inner")
-                .filter((F.col("_lo") <= F.col("_last")) & (F.col("_hi") >= F.col("_first")))
-                .withColumns({"_lo": F.greatest("_lo", "_first"),
-                              "_hi": F.least("_hi", "_last")})
-                .drop("_first", "_last"))
-    b_lo = time_bucket(F.col("_lo"), bucket_hours)
-    b_hi = time_bucket(F.col("_hi"), bucket_hours)
-    return iv.withColumn(BUCKET, F.explode(F.when(b_hi >= b_lo, F.sequence(b_lo, b_hi))))
+
+def _point_cells(points: DataFrame, point_time: str, levels: DataFrame, bucket_hours: float
+                 ) -> DataFrame:
+    """Every point once per level of ``levels`` (one row: an array), with its cell."""
+    width = F.get(F.lit(_widths(bucket_hours)), F.col("_level"))
+    return (points.withColumn("_level", F.explode(levels.scalar()))
+                  .withColumn("_cell", F.floor(epoch_micros(point_time) / width).cast("long")))
+
+
+def covered(points: DataFrame, intervals: DataFrame, on: str | Sequence[str], point_time: str,
+            lo: Column, hi: Column, slice_hours: float = 24.0) -> DataFrame:
+    """``points`` with ``_covered``: whether some interval of the entity holds the
+    point. One sweep over points and interval starts; nothing is expanded."""
+    keys = _keys(on)
+    end = T.StructField("_end", points.schema[point_time].dataType)
+    starts = intervals.select(*keys, lo.alias("_t"), hi.alias("_end")).filter(F.col("_t") <= F.col("_end"))
+    whole = T.StructType(points.schema.fields)
+    # at one instant the intervals that start there come first
+    stream = points.select(*keys, F.col(point_time).alias("_t"), F.lit(1).alias("_tag"),
+                           F.lit(None).cast(end.dataType).alias("_end"),
+                           F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_row"))
+    stream = stream.unionByName(starts.select(*keys, "_t", F.lit(0).alias("_tag"), "_end",
+                                              F.lit(None).cast(whole).alias("_row")))
+    stream = stream.withColumn(SLICE, F.coalesce(time_bucket("_t", slice_hours), F.lit(0).cast("long")))
+    stream = running_max(stream, keys, "_t", "_tag", "_end", "_until")
+    known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    held = F.coalesce(known & (F.col("_until") >= F.col("_t")), F.lit(False))
+    return stream.filter(F.col("_tag") == 1).select("_row.*", held.alias("_covered"))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, on: str | Sequence[str],
                   point_time: str, lo: Column, hi: Column, how: str = "inner",
-                  bucket_hours: float = 24.0, point_bucket: str | None = None,
-                  span: DataFrame | None = None, short: bool = False) -> DataFrame:
+                  bucket_hours: float = 24.0) -> DataFrame:
     """Join ``points`` to ``intervals`` where ``lo <= point_time <= hi``.
 
     ``how`` is ``inner``, ``left`` (points kept), ``left_semi`` or
     ``left_anti`` (points with / without a containing interval). ``lo`` and
-    ``hi`` are expressions over interval columns. The interval-side helper
-    columns ``_lo``, ``_hi`` are dropped from the result.
-
-    ``point_bucket`` names a column of ``points`` that already holds
-    ``time_bucket(point_time, bucket_hours)`` (kept in the result). Points
-    partitioned by (entity, that column) by an earlier join are then joined
-    without being shuffled again.
-
-    Intervals are cut to ``span``, by default the first and last point of
-    their entity, so that an interval open to a far date takes no more rows
-    than its entity's time does. ``short`` says that no interval is long, and
-    saves that pass over the points.
+    ``hi`` are expressions over interval columns. ``bucket_hours`` is the length of
+    the shortest cells and of the sweep's slices.
     """
     keys = _keys(on)
-    if span is None and not short:
-        span = point_span(points, keys, point_time)
-    iv = explode_buckets(intervals, lo, hi, bucket_hours, keys, span)
-    pb = point_bucket or BUCKET
-    pts = points if point_bucket else points.withColumn(BUCKET, time_bucket(point_time,
-                                                                            bucket_hours))
-    p, i = pts.alias("p"), iv.alias("i")
-    cond = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in keys]
-    cond.append(F.col(f"p.{pb}") == F.col(f"i.{BUCKET}"))
-    cond.append(F.col(f"p.{point_time}").between(F.col("i._lo"), F.col("i._hi")))
-    joined = p.join(i, on=cond, how=how)
     if how in ("left_semi", "left_anti"):
-        return joined if point_bucket else joined.drop(BUCKET)
-    right_cols = [F.col(f"i.{c}") for c in intervals.columns if c not in keys]
-    out = joined.select("p.*", *right_cols)
-    return out if point_bucket else out.drop(BUCKET)
+        told = covered(points, intervals, keys, point_time, lo, hi, bucket_hours)
+        return told.filter(F.col("_covered") == (how == "left_semi")).drop("_covered")
+    iv = interval_cells(intervals, lo, hi, bucket_hours)
+    levels = iv.agg(F.sort_array(F.collect_set("_level")))
+    p, i = _point_cells(points, point_time, levels, bucket_hours).alias("p"), iv.alias("i")
+    cond = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in [*keys, "_level", "_cell"]]
+    cond.append(F.col(f"p.{point_time}").between(F.col("i._lo"), F.col("i._hi")))
+    own = [F.col(f"p.{c}") for c in points.columns]
+    other = [c for c in intervals.columns if c not in keys]
+    out = p.join(i, on=cond, how="inner").select(*own, *[F.col(f"i.{c}") for c in other])
+    if how == "left":
+        alone = interval_join(points, intervals, on, point_time, lo, hi, "left_anti", bucket_hours)
+        types = {f.name: f.dataType for f in intervals.schema.fields}
+        out = out.unionByName(alone.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in other]))
+    return out
 
 
 def intervals_with_points(intervals: DataFrame, points: DataFrame, on: str | Sequence[str],
@@ -105,14 +125,10 @@ def intervals_with_points(intervals: DataFrame, points: DataFrame, on: str | Seq
     """Interval-side semi join: the distinct ``interval_id`` rows that
     contain at least one point (``EXISTS`` from the interval side)."""
     keys = _keys(on)
-    iv = explode_buckets(intervals.select(*dict.fromkeys(keys + list(interval_id)),
-                                          *[c for c in intervals.columns
-                                            if c not in keys and c not in interval_id]),
-                         lo, hi, bucket_hours, keys, point_span(points, keys, point_time))
-    pts = points.select(*keys, point_time).withColumn(BUCKET, time_bucket(point_time, bucket_hours))
-    i, p = iv.alias("i"), pts.alias("p")
-    cond = [F.col(f"i.{k}") == F.col(f"p.{k}") for k in keys]
-    cond.append(F.col(f"i.{BUCKET}") == F.col(f"p.{BUCKET}"))
+    iv = interval_cells(intervals, lo, hi, bucket_hours)
+    levels = iv.agg(F.sort_array(F.collect_set("_level")))
+    p, i = _point_cells(points.select(*keys, point_time), point_time, levels, bucket_hours).alias("p"), iv.alias("i")
+    cond = [F.col(f"i.{k}") == F.col(f"p.{k}") for k in [*keys, "_level", "_cell"]]
     cond.append(F.col(f"p.{point_time}").between(F.col("i._lo"), F.col("i._hi")))
     hit = i.join(p, on=cond, how="left_semi")
     return hit.select(*dict.fromkeys(keys + list(interval_id))).distinct()
@@ -120,8 +136,7 @@ def intervals_with_points(intervals: DataFrame, points: DataFrame, on: str | Seq
 
 def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
               left_time: str, right_time: str, before_hours: float, after_hours: float,
-              how: str = "inner", bucket_hours: float | None = None,
-              left_bucket: str | None = None) -> DataFrame:
+              how: str = "inner", bucket_hours: float | None = None) -> DataFrame:
     """Pairs with ``right_time - before <= left_time <= right_time + after``.
 
     The band around each right row is an interval, so this is an interval
@@ -132,7 +147,7 @@ def band_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     width = bucket_hours or max(before_hours + after_hours, 1.0)
     return interval_join(left, right, on, left_time,
                          shift(right_time, -before_hours), shift(right_time, after_hours),
-                         how=how, bucket_hours=width, point_bucket=left_bucket, short=True)
+                         how=how, bucket_hours=width)
 
 
 def cohort_window_join(facts: DataFrame, cohort: DataFrame, entity: str, time: str,

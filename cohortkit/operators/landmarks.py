@@ -4,9 +4,9 @@ C19 ``base_cohort``, C24 ``condition_flag``, C28 ``paired_within``,
 C29 ``not_exposed``, C30 ``eligibility_landmark``, C31 ``terminal_landmark``.
 
 All interval logic (event inside an admission, two signals within a
-tolerance, event inside an exposure's lead-in/wash-out) runs through the
-entity + time-bucket joins of :mod:`.bands`: the reference's correlated
-``NOT EXISTS`` becomes one ``left_anti`` join, its self-join one band join.
+tolerance, event inside an exposure's lead-in/wash-out) runs through
+:mod:`.bands`: the reference's correlated ``NOT EXISTS`` becomes one ordered
+sweep, its self-join an ordered sweep that counts, or one band join.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed
 from ..functions.text import like_any
-from ..functions.timecalc import shift, time_bucket, whole_hours
-from .bands import (aggregate_split, band_join, cohort_window_join, interval_join,
-                    intervals_with_points)
+from ..functions.timecalc import shift, whole_hours
+from .bands import aggregate_split, band_join, cohort_window_join, covered, interval_join
 from .ordered import running_sums
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
@@ -49,22 +48,19 @@ def condition_flag(cohort: DataFrame, condition: DataFrame, patterns: Sequence[s
     """``(entity, out=1)`` for entities with a condition inside the
     admission whose text matches any LIKE pattern (case-sensitive)."""
     hits = condition.filter(like_any(text, patterns)).select(entity, time)
-    flagged = intervals_with_points(cohort.select(entity, start, end), hits, entity,
-                                    [start, end], time, F.col(start), F.col(end),
-                                    bucket_hours=bucket_hours)
-    return flagged.select(entity).distinct().withColumn(out, F.lit(1).cast("long"))
+    inside = interval_join(hits, cohort.select(entity, start, end), entity, time,
+                           F.col(start), F.col(end), how="left_semi", bucket_hours=bucket_hours)
+    return inside.select(entity).distinct().withColumn(out, F.lit(1).cast("long"))
 
 
 def paired_within(a: DataFrame, b: DataFrame, *, entity: str = E, a_time: str = "a_time",
-                  b_time: str = "b_time", tolerance_minutes: float = 30,
-                  a_bucket: str | None = None) -> DataFrame:
+                  b_time: str = "b_time", tolerance_minutes: float = 30) -> DataFrame:
     """All pairs of an ``a`` and a ``b`` row of one entity with
     ``b_time - tol <= a_time <= b_time + tol``. Column names of ``a`` and
-    ``b`` other than the entity must differ. Buckets are ``band_hours(tol)``
-    wide; ``a_bucket`` names an ``a`` column already holding them."""
+    ``b`` other than the entity must differ. Cells are ``band_hours(tol)`` long."""
     tol = tolerance_minutes / 60.0
     return band_join(a, b, entity, a_time, b_time, tol, tol,
-                     bucket_hours=band_hours(tolerance_minutes), left_bucket=a_bucket)
+                     bucket_hours=band_hours(tolerance_minutes))
 
 
 def band_hours(tolerance_minutes: float) -> float:
@@ -77,45 +73,37 @@ def not_exposed(events: DataFrame, exposure: DataFrame, codes: Sequence, *,
                 time: str = T, code: str = "drug_concept_id",
                 start: str = "drug_exposure_start_datetime",
                 end: str = "drug_exposure_end_datetime",
-                bucket_hours: float = 12.0, open_ended: bool = False,
-                point_bucket: str | None = None, span: DataFrame | None = None) -> DataFrame:
+                slice_hours: float = 24.0, open_ended: bool = False) -> DataFrame:
     """Keep events with no exposure of ``codes`` active in
     ``[start - lead_in, end + washout]``. An exposure with a NULL end never
     excludes, as in the reference (R22); with ``open_ended`` it is active
-    from its start on (bounded by the entity's last event, which is exact
-    since no event lies beyond it).
+    from its start on.
 
     ``codes`` may map each code to its own ``(lead_in, washout)`` hours
-    (R8); it is still one anti join, with per-code bounds. ``span`` holds the
-    time in which each entity can have events (``_first``, ``_last``), if it is
-    known without a pass over them.
+    (R8). All codes are one sweep over events and exposures (see :mod:`.bands`).
     """
-    if isinstance(codes, dict):
-        per_code = {c: tuple(v) for c, v in codes.items()}
-        ex = exposure.filter(F.col(code).isin(list(per_code))).select(entity, code, start, end)
-        lo = hi = None
-        for c, (lead, wash) in per_code.items():
-            is_c = F.col(code) == F.lit(c)
-            lo = (F.when(is_c, shift(start, -lead)) if lo is None
-                  else lo.when(is_c, shift(start, -lead)))
-            hi = (F.when(is_c, shift(end, wash)) if hi is None
-                  else hi.when(is_c, shift(end, wash)))
-        if open_ended:
-            last = events.groupBy(entity).agg(F.max(time).alias("_last_event"))
-            ex = ex.join(last, entity, "inner")
-            hi = F.coalesce(hi, F.col("_last_event"))
-        width = bucket_hours or 12.0
-        return interval_join(events, ex, entity, time, lo, hi, how="left_anti",
-                             bucket_hours=width, point_bucket=point_bucket, span=span)
-    ex = exposure.filter(F.col(code).isin(list(codes))).select(entity, start, end)
-    hi = shift(end, washout_hours)
+    ex, lo, hi = _exposure_intervals(exposure, codes, lead_in_hours, washout_hours, entity, code,
+                                     start, end, open_ended)
+    return interval_join(events, ex, entity, time, lo, hi, how="left_anti", bucket_hours=slice_hours)
+
+
+def _exposure_intervals(exposure: DataFrame, codes: Sequence, lead_in_hours: float, washout_hours: float,
+                        entity: str = E, code: str = "drug_concept_id",
+                        start: str = "drug_exposure_start_datetime",
+                        end: str = "drug_exposure_end_datetime", open_ended: bool = False):
+    """The exposures of ``codes``, and the bounds within which each excludes."""
+    hours = {c: tuple(v) for c, v in codes.items()} if isinstance(codes, dict) else {
+        c: (lead_in_hours, washout_hours) for c in codes}
+    ex = exposure.filter(F.col(code).isin(list(hours))).select(entity, code, start, end)
+    if len(set(hours.values())) == 1:
+        (lead, wash), = set(hours.values())
+        lo, hi = shift(start, -lead), shift(end, wash)
+    else:
+        lo = F.coalesce(*[F.when(F.col(code) == F.lit(c), shift(start, -lead)) for c, (lead, _) in hours.items()])
+        hi = F.coalesce(*[F.when(F.col(code) == F.lit(c), shift(end, wash)) for c, (_, wash) in hours.items()])
     if open_ended:
-        last = events.groupBy(entity).agg(F.max(time).alias("_last_event"))
-        ex = ex.join(last, entity, "inner")
-        hi = F.coalesce(hi, F.col("_last_event"))
-    return interval_join(events, ex, entity, time, shift(start, -lead_in_hours), hi,
-                         how="left_anti", bucket_hours=bucket_hours, point_bucket=point_bucket,
-                         span=span)
+        hi = F.coalesce(hi, F.lit("9999-12-31 23:59:59").cast(exposure.schema[end].dataType))
+    return ex, lo, hi
 
 
 @dataclass(frozen=True)
@@ -177,19 +165,15 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
     rows = (fact.filter(is_first | is_second).filter(first | second)
                 .select(entity, F.col(time).alias("_time"), F.explode(tags).alias("_tag"))
                 .select(entity, "_time", F.col("_tag.s").alias("_signal"), F.col("_tag.v").alias("_value")))
-    width = band_hours(rule.tolerance_minutes)
     rows = cohort_window_join(rows, bounds, entity, "_time", [(F.col(episode_start), F.col(episode_end))])
     rows = rows.filter(F.col("_time").between(F.col(episode_start), F.col(episode_end))
                        & ((F.col("_signal") == "b")
                           | (F.col("_time") >= shift(admission_start, rule.start_offset_hours))))
-    # exposures exclude rows of the first signal; the others have no bucket and never match
-    bucket = F.when(F.col("_signal") == "a", time_bucket("_time", width))
-    rows = rows.select(entity, "_time", "_signal", "_value", bucket.alias("_ab"))
-    rows = not_exposed(rows, exposure, list(rule.exposure_codes), lead_in_hours=rule.lead_in_hours,
-                       washout_hours=rule.washout_hours, entity=entity, time="_time",
-                       bucket_hours=width, point_bucket="_ab",
-                       span=bounds.groupBy(entity).agg(F.min(episode_start).alias("_first"),
-                                                       F.max(episode_end).alias("_last"))).drop("_ab")
+    # exposures exclude rows of the first signal only
+    ex, lo, hi = _exposure_intervals(exposure, list(rule.exposure_codes), rule.lead_in_hours,
+                                     rule.washout_hours, entity)
+    rows = covered(rows.select(entity, "_time", "_signal", "_value"), ex, entity, "_time", lo, hi)
+    rows = rows.filter((F.col("_signal") == "b") | ~F.col("_covered")).drop("_covered")
     if rule.pairing == "counts" and rule.value_at == "median":
         return _eligibility_by_counts(rows, entity, rule)
 

@@ -185,11 +185,26 @@ def running_sums(df: DataFrame, entity: str | Sequence[str], time: str,
                  tiebreak: str | Sequence[str] | None, values: dict[str, str], *,
                  slice_hours: float | str = 24.0, keep_slice: bool = False) -> DataFrame:
     """``running_sum`` of several columns in one scan: ``values`` maps each new
-    column to the one it sums up.
+    column to the one it sums up."""
+    add = lambda before, within: F.coalesce(before, F.lit(0)) + within
+    return _running(df, entity, time, tiebreak, values, F.sum, add, slice_hours, keep_slice)
 
-    The in-slice running sum on a slice's last row is the slice total; those
-    rows (one per non-empty slice) give each slice its offset through a
-    running sum per entity over slices, joined back on ``(entity, slice)``.
+
+def running_max(df: DataFrame, entity: str | Sequence[str], time: str,
+                tiebreak: str | Sequence[str] | None, value: str, out: str, *,
+                slice_hours: float | str = 24.0, keep_slice: bool = False) -> DataFrame:
+    """``MAX(value)`` over the entity's rows up to and including each one."""
+    return _running(df, entity, time, tiebreak, {out: value}, F.max, F.greatest, slice_hours, keep_slice)
+
+
+def _running(df: DataFrame, entity: str | Sequence[str], time: str,
+             tiebreak: str | Sequence[str] | None, values: dict[str, str],
+             aggregate: Callable[..., Column], merge: Callable[[Column, Column], Column],
+             slice_hours: float | str, keep_slice: bool) -> DataFrame:
+    """Running aggregates. On a slice's last row the in-slice running value is the
+    slice's own; those rows (one per non-empty slice) give each slice what came
+    before it through a running aggregate per entity over slices, joined back on
+    ``(entity, slice)`` and merged.
     """
     keys = _keys(entity)
     order = _order(time, tiebreak)
@@ -197,17 +212,17 @@ def running_sums(df: DataFrame, entity: str | Sequence[str], time: str,
 
     w = Window.partitionBy(SLICE).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = d.select("*", *[F.sum(v).over(upto).alias(f"_within_{i}") for i, v in enumerate(values.values())],
+    rows = d.select("*", *[aggregate(v).over(upto).alias(f"_within_{i}") for i, v in enumerate(values.values())],
                     F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
 
     ws = _entity_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     tot = (rows.filter(F.col("_last_in_slice"))
-               .select(SLICE, *[F.coalesce(F.sum(f"_within_{i}").over(ws), F.lit(0)).alias(f"_off_{i}")
+               .select(SLICE, *[aggregate(f"_within_{i}").over(ws).alias(f"_before_{i}")
                                 for i in range(len(values))]))
 
     res = rows.join(tot, on=SLICE, how="inner")
-    res = res.withColumns({out: F.col(f"_off_{i}") + F.col(f"_within_{i}") for i, out in enumerate(values)})
-    res = res.drop("_last_in_slice", *[f"{c}_{i}" for i in range(len(values)) for c in ("_off", "_within")])
+    res = res.withColumns({out: merge(F.col(f"_before_{i}"), F.col(f"_within_{i}")) for i, out in enumerate(values)})
+    res = res.drop("_last_in_slice", *[f"{c}_{i}" for i in range(len(values)) for c in ("_before", "_within")])
     return res.withColumn(SLICE, F.col(f"{SLICE}.n")) if keep_slice else res.drop(SLICE)
 
 

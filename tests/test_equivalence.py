@@ -70,7 +70,7 @@ def test_interval_join_equals_brute_force(spark, how, bucket_hours):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
-def test_long_intervals_take_no_more_rows_than_their_points_time(spark):
+def test_long_intervals_take_two_rows_at_most(spark):
     pts = spark.createDataFrame([(1, T0 + dt.timedelta(hours=h), h) for h in (0, 3, 30)]
                                 + [(2, T0, 100)], "e long, t timestamp_ntz, pid long")
     iv = spark.createDataFrame(
@@ -79,9 +79,9 @@ def test_long_intervals_take_no_more_rows_than_their_points_time(spark):
          (1, T0 + dt.timedelta(days=9), dt.datetime(9999, 12, 31), 2),    # after all points
          (2, T0, None, 3), (3, T0, dt.datetime(9999, 12, 31), 4)],       # no end, no points
         "e long, s timestamp_ntz, x timestamp_ntz, iid long")
-    rows = bands.explode_buckets(iv, F.col("s"), F.col("x"), 1.0, "e",
-                                 bands.point_span(pts, "e", "t"))
-    assert {r.iid: r["count"] for r in rows.groupBy("iid").count().collect()} == {0: 29, 1: 5}
+    rows = bands.interval_cells(iv, F.col("s"), F.col("x"), 1.0)
+    counts = {r.iid: r["count"] for r in rows.groupBy("iid").count().collect()}
+    assert set(counts) == {0, 1, 2, 4} and max(counts.values()) <= 2   # however long
     got = bands.interval_join(pts, iv, "e", "t", F.col("s"), F.col("x"), bucket_hours=1.0)
     assert sorted((r.pid, r.iid) for r in got.collect()) == [(0, 1), (3, 0), (3, 1), (30, 0)]
     left = bands.interval_join(pts, iv, "e", "t", F.col("s"), F.col("x"), how="left_anti",
