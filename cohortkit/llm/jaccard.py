@@ -9,8 +9,11 @@ with them in turn, are one class.
 * Every node has a signature in each of ``TREES`` prefix trees. Two nodes meet
   in a tree if their signatures begin alike. Prefixes are shortened from
   ``LONGEST`` values until the trees find a pair at the threshold with a
-  probability of at least ``RECALL`` (``prefix_length``); longer ones find
-  fewer pairs, shorter ones only more that are not similar.
+  probability of at least ``RECALL``. That holds for the pairs that are hardest to
+  find, so where it stops depends on the threshold alone and is worked out
+  beforehand (``forest``); nodes are then grouped by prefixes of that length.
+  Longer prefixes find a part of the same pairs, shorter ones only more that
+  are not similar.
 * Nodes that meet are compared by their whole signatures. Those that may be
   similar (an estimate ``SLACK`` below the threshold, four standard errors)
   are joined to groups.
@@ -33,6 +36,7 @@ gives an empty result; extra columns are left behind by ``classes`` and kept by
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +70,15 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, recall: floa
     return 1
 
 
+def forest(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> tuple[int, int]:
+    """Prefix length and number of trees that reach the recall at the threshold: where
+    even prefixes of one value don't, more trees are grown."""
+    prefix = prefix_length(threshold, trees, recall)
+    if threshold >= 1:
+        return prefix, trees
+    return prefix, max(trees, math.ceil(math.log(1 - recall) / math.log(1 - threshold ** prefix)))
+
+
 def _numbered(*columns: np.ndarray) -> np.ndarray:
     """Numbers of rows; equal rows, and only those, have equal numbers."""
     order = np.lexsort(columns)
@@ -311,7 +324,7 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHING
              recall: float = RECALL) -> DataFrame:
     """What ``classes`` says, with row_key, n_words and first: the id and row key
     of the first row of the class (null: the row stands alone)."""
-    prefix = prefix_length(threshold, trees, recall)
+    prefix, trees = forest(threshold, trees, recall)
     rows = cut(signed(docs, shingle, trees, prefix), "jaccard-signed")
     nodes = rows.filter(F.col("n_words") > 0).groupBy("key").agg(
         F.count("*").alias("copies"), F.min(_first_row()).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))

@@ -428,3 +428,10 @@ def test_html_tree_removes_an_untold_frame(spark):
             pages.append((len(pages), f"http://{host}/{len(pages)}", f"<body><div><div>{frame}</div><p>{text}</p><div>{frame} <b>too</b></div></div>", text))
     got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string, text string")).collect()
     assert {x.page_id: x.text for x in got} == {i: t for i, _, _, t in pages}
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.2, 0.5, 0.8, 0.95, 1.0])
+def test_forest_reaches_its_recall(threshold):
+    prefix, trees = jaccard.forest(threshold)
+    assert 1 - (1 - threshold ** prefix) ** trees >= jaccard.RECALL - 1e-12
+    assert jaccard.forest(0.8) == (5, jaccard.TREES)
