@@ -169,16 +169,21 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
     rows = rows.filter(F.col("_time").between(F.col(episode_start), F.col(episode_end))
                        & ((F.col("_signal") == "b")
                           | (F.col("_time") >= shift(admission_start, rule.start_offset_hours))))
+    # distinct rows and how often each occurs: also the one scan and exchange that
+    # the sides of both sweeps below share
+    rows = aggregate_split(rows, [entity, "_signal", "_time", "_value"], F.count(F.lit(1)).alias("_n"))
     # exposures exclude rows of the first signal only
     ex, lo, hi = _exposure_intervals(exposure, list(rule.exposure_codes), rule.lead_in_hours,
                                      rule.washout_hours, entity)
-    rows = covered(rows.select(entity, "_time", "_signal", "_value"), ex, entity, "_time", lo, hi)
+    rows = covered(rows, ex, entity, "_time", lo, hi)
     rows = rows.filter((F.col("_signal") == "b") | ~F.col("_covered")).drop("_covered")
     if rule.pairing == "counts" and rule.value_at == "median":
         return _eligibility_by_counts(rows, entity, rule)
 
+    every = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+
     def signal(name: str) -> DataFrame:
-        return rows.filter(F.col("_signal") == name).select(
+        return every.filter(F.col("_signal") == name).select(
             entity, F.col("_time").alias(f"{name}_time"), F.col("_value").alias(f"{name}_value"))
 
     pairs = paired_within(signal("a"), signal("b"), entity=entity, tolerance_minutes=rule.tolerance_minutes)
@@ -198,19 +203,17 @@ def eligibility_landmark(cohort: DataFrame, fact: DataFrame, exposure: DataFrame
 
 def partner_pairs(rows: DataFrame, entity: str, tolerance_hours: float,
                   slice_hours: float | str = 24.0) -> DataFrame:
-    """``rows`` (entity, ``_signal`` a or b, ``_time``, ``_value``) as distinct rows
-    with ``_pairs``: how many pairs they form with rows of the other signal within
-    the tolerance of them. No pair is formed.
+    """``rows`` (entity, ``_signal`` a or b, ``_time``, ``_value``: distinct, and ``_n``,
+    how often each occurs) with ``_pairs``: how many pairs they form with rows of
+    the other signal within the tolerance of them. No pair is formed.
 
-    Every distinct row enters one time-ordered stream three times: as itself, and as two
+    Every row enters one time-ordered stream three times: as itself, and as two
     queries, at its time less the tolerance (before others of that instant) and
     plus the tolerance (after them). Running counts of both signals' rows over the
     stream, sliced as in :mod:`.ordered`, answer all queries; a row's partners are
     the difference of its two.
     """
     own = [entity, "_signal", "_time", "_value"]
-    # also what the two sides of the running counts share: one scan, one exchange
-    rows = aggregate_split(rows, own, F.count(F.lit(1)).alias("_n"))
     counts = lambda s: F.when(F.col("_signal") == s, F.col("_n")).otherwise(0).cast("long")
     none = F.lit(0).cast("long")
     entry = lambda at, place, a, b: F.struct(

@@ -210,10 +210,13 @@ def _running(df: DataFrame, entity: str | Sequence[str], time: str,
     order = _order(time, tiebreak)
     d = _placed(df, keys, time, slice_hours, tiebreak)
 
+    # the next row is asked for whole, so that the summary side prunes no column and
+    # both sides read one scan and one exchange
+    whole = F.struct(*[F.col(f"`{c}`") for c in d.columns])
     w = Window.partitionBy(SLICE).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = d.select("*", *[aggregate(v).over(upto).alias(f"_within_{i}") for i, v in enumerate(values.values())],
-                    F.lead(F.lit(1)).over(w).isNull().alias("_last_in_slice"))
+                    F.lead(whole).over(w).isNull().alias("_last_in_slice"))
 
     ws = _entity_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     tot = (rows.filter(F.col("_last_in_slice"))
