@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed, numeric, percent
 from ..functions.text import contains_any_ci, contains_ci
+from .quantiles import quantiles, side_by_side
 
 E, T, C, V = "person_id", "measurement_datetime", "measurement_concept_id", "value_as_number"
 U = "unit_source_value"
@@ -112,27 +113,38 @@ def spot_check(fact: DataFrame, concept: DataFrame, concept_id, n_entities: int
     return out.limit(limit) if limit else out
 
 
-def describe_values(df: DataFrame, col: str, exact: bool = False) -> DataFrame:
-    """``Series.describe()``: count, mean, std, min, quartiles, max.
+def describe_values(df: DataFrame, col: str, by: Sequence[str] = (), *, bounded: bool = False
+                    ) -> DataFrame:
+    """``Series.describe()``: count, mean, std, min, quartiles, max, per group of ``by``.
 
-    By default the quartiles come from ``percentile_approx`` (a fixed-size
-    sketch per task, safe on any input). ``exact=True`` interpolates them
-    like pandas with ``percentile``, which keeps every distinct value of the
-    column in one buffer: use it only on bounded inputs such as a spot check.
+    The quartiles are exact and interpolated like pandas, by the level-wise selection of
+    :mod:`.quantiles`, which scans ``df`` four times more. For an input that is
+    bounded by a parameter (a spot check) ``bounded=True`` takes them in the same
+    pass, with ``percentile``, which keeps every distinct value in one buffer.
+    Groups without values have count 0 and nulls.
     """
+    by = list(by)
     x = F.col(col).cast("double")
-    if exact:
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>")
+    quartiles, names = [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
     d6 = "decimal(38,6)"   # engines differ in the last bits of these; 6 digits do not
-    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                  q.alias("_q"), F.max(x).alias("max")) \
-             .select("count", F.col("mean").cast(d6).alias("mean"),
-                     F.col("std").cast(d6).alias("std"), "min",
-                     F.col("_q")[0].cast(d6).alias("p25"), F.col("_q")[1].cast(d6).alias("p50"),
-                     F.col("_q")[2].cast(d6).alias("p75"), "max")
+    aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max")]
+    if bounded:
+        q = F.percentile(x, F.array(*[F.lit(p) for p in quartiles]))
+        stats = df.groupBy(*by).agg(*aggs, q.alias("_q"))
+        stats = stats.withColumns({n: F.col("_q")[i] for i, n in enumerate(names)})
+    else:
+        stats = df.groupBy(*by).agg(*aggs)
+        q = quantiles(df.withColumn("_x", x), by, "_x", quartiles, names, interpolate=True)
+        if by:
+            q = q.withColumnsRenamed({b: f"_by_{b}" for b in by})
+            on = [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by]
+            stats = stats.join(q, reduce(lambda a, b: a & b, on), "left")
+        else:
+            stats = side_by_side(stats, q)
+    return stats.select(*by, "count", F.col("mean").cast(d6).alias("mean"),
+                        F.col("std").cast(d6).alias("std"), "min",
+                        *[F.col(n).cast(d6).alias(n) for n in names], "max")
 
 
 def distinct_units(df: DataFrame, unit: str = U) -> DataFrame:
@@ -184,7 +196,11 @@ def co_occurrence_compare(fact: DataFrame, single, ids: Sequence, *, entity: str
 
 @dataclass(frozen=True)
 class SearchSource:
-    """One fact table of a variable search: its name column and terms."""
+    """One fact table of a variable search: its name column and terms.
+
+    ``names`` is a vocabulary (``concept_id``, ``concept_name``) for a fact that has codes
+    only; without it the fact carries the names itself.
+    """
     name: str
     fact: DataFrame
     terms: Sequence[str]
@@ -192,6 +208,7 @@ class SearchSource:
     concept_name: str = "concept_name"
     entity: str = E
     with_rows: bool = False
+    names: DataFrame | None = None
 
 
 def variable_search(sources: Sequence[SearchSource], min_entities: int = 100,
@@ -201,16 +218,25 @@ def variable_search(sources: Sequence[SearchSource], min_entities: int = 100,
     Per source: codes whose name matches any term, distinct entities (and
     rows where ``with_rows``), kept when entities > ``min_entities``, top
     ``k`` by entities. Each source is aggregated by its own columns, ids in
-    their native types; only the counts are unioned, with ids as text. The
-    per-source top-k is a ``row_number`` over the small aggregate, partitioned
-    by source.
+    their native types; only the counts are unioned, with ids as text. With a
+    vocabulary the terms are matched once per name, the facts of other codes go in a
+    semi join, and names are joined to the counts. The per-source top-k is a
+    ``row_number`` over the small aggregate, partitioned by source.
     """
     parts = []
     for s in sources:
-        counts = (s.fact.filter(contains_any_ci(s.concept_name, s.terms))
-                  .groupBy(F.col(s.concept_id).alias("_id"), F.col(s.concept_name).alias("_name"))
-                  .agg(F.count_distinct(s.entity).alias("patient_count"),
-                       F.count(F.lit(1)).alias("_rows")))
+        size = [F.count_distinct(s.entity).alias("patient_count"),
+                F.count(F.lit(1)).alias("_rows")]
+        if s.names is None:
+            counts = (s.fact.filter(contains_any_ci(s.concept_name, s.terms))
+                      .groupBy(F.col(s.concept_id).alias("_id"),
+                               F.col(s.concept_name).alias("_name")).agg(*size))
+        else:
+            names = (s.names.filter(contains_any_ci("concept_name", s.terms))
+                     .select(F.col("concept_id").alias("_id"), F.col("concept_name").alias("_name")))
+            facts = s.fact.select(F.col(s.concept_id).alias("_id"), s.entity)
+            counts = (facts.join(names, "_id", "left_semi").groupBy("_id").agg(*size)
+                      .join(names, "_id", "inner"))
         rows = F.col("_rows") if s.with_rows else F.lit(None)
         parts.append(counts.select(F.lit(s.name).alias("source_table"),
                                    F.col("_id").cast("string").alias("concept_id"),

@@ -9,20 +9,22 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import episodes, explore, quality
+from ..operators import episodes, explore, onepass, quality
 from ..operators import features as feat
 from ..operators import landmarks as lmk
 from ..operators import outcomes as outc
 from ..operators import totals as tot
 from ..operators.features import FeatureSpec
 from ..operators.landmarks import EligibilityRule
+from ..operators.quantiles import quantiles, side_by_side
 from ..sources import bindings as B
-from ..session import app_key
+from ..session import app_key, materialize
 from ..sources import tables
 from . import catalogue
 from . import weaning as W
@@ -107,8 +109,15 @@ def q_spot_check(spark, sf_dir):
 
 @register("describe_values")
 def q_describe_values(spark, sf_dir):
-    # the spot check is at most 200 rows, so exact interpolated quartiles are safe
-    return explore.describe_values(q_spot_check(spark, sf_dir), "value_as_number", exact=True)
+    # the spot check is at most 200 rows
+    return explore.describe_values(q_spot_check(spark, sf_dir), "value_as_number", bounded=True)
+
+
+@register("describe_measurements")
+def q_describe_measurements(spark, sf_dir):
+    """C5 / A17 over the whole fact: per code the description of its values."""
+    return explore.describe_values(B.measurement(spark, sf_dir), "value_as_number",
+                                   by=["measurement_concept_id"])
 
 
 @register("spot_check_units")
@@ -134,15 +143,13 @@ def q_co_occurrence_compare(spark, sf_dir):
 
 @register("variable_search")
 def q_variable_search(spark, sf_dir):
-    concept = B.concept(spark, sf_dir).select("concept_id", "concept_name")
-    meas = B.line_fact(spark, sf_dir).join(
-        concept.withColumnRenamed("concept_id", "measurement_concept_id"),
-        "measurement_concept_id")
+    meas = B.line_fact(spark, sf_dir)
     drugs = B.order_fact(spark, sf_dir)
     obs = B.measurement(spark, sf_dir)
     sources = [
         explore.SearchSource("measurement", meas, VARIABLE_TERMS["measurement"],
-                             concept_id="measurement_concept_id", with_rows=True),
+                             concept_id="measurement_concept_id", with_rows=True,
+                             names=B.concept(spark, sf_dir)),
         explore.SearchSource("drug_exposure", drugs, VARIABLE_TERMS["drug_exposure"],
                              concept_id="concept_name"),
         explore.SearchSource("observation", obs, VARIABLE_TERMS["observation"],
@@ -586,36 +593,27 @@ def _passes(spark, sf_dir):
                          F.col("weaning_outcome").alias("outcome_label"),
                          "cohort_criteria", F.col("died_ts").alias("died_timestamp"))
 
-    def demographics_pass(base):
-        return B.person(spark, sf_dir).join(base.select("person_id"), "person_id", "left_semi")
-
-    def feature_pass(_):
-        spec = FeatureSpec("feature_1", *[getattr(TEST_FEATURES[0], k) for k in
-                                          ("codes", "before_hours", "after_hours",
-                                           "value_range", "fraction_to_percent",
-                                           "unit_equals", "unit_not")])
-        return feat.extract_features(c2, m, [spec],
-                                     {"a": "eligible_start_time", "b": "first_weaning"},
-                                     tiebreak="measurement_id",
-                                     cohort_filter=F.col("cohort_criteria") == 1)
-
-    def cumulative_pass(name, lo, hi):
-        def run(_):
-            s = tot.window_sum(c2, m, TEST_PARAMS.intake_codes, lo, hi, out=name,
-                               cohort_filter=F.col("first_imv_end").isNotNull())
-            return s.filter(F.col(name).isNotNull())
-        return run
-
-    def last_known_pass(base):
-        return m.groupBy("person_id").agg(
-            F.max("measurement_datetime").alias("last_known_measurement"))
-
-    passes = [chain_pass, demographics_pass, feature_pass,
-              cumulative_pass("cumulative_value_period_1", F.col("first_imv_start"),
-                              F.col("eligible_start_time")),
-              cumulative_pass("cumulative_value_period_2", F.col("eligible_start_time"),
-                              F.col("first_weaning")),
-              last_known_pass]
+    def demographics_pass(_):
+        return B.person(spark, sf_dir)
+
+    def fact_pass(base):
+        """Feature, both totals and the last measurement: the facts are read once."""
+        spec = replace(TEST_FEATURES[0], name="feature_1")
+        sums = [tot.WindowSpec("cumulative_value_period_1", TEST_PARAMS.intake_codes,
+                               F.col("first_imv_start"), F.col("eligible_start_time")),
+                tot.WindowSpec("cumulative_value_period_2", TEST_PARAMS.intake_codes,
+                               F.col("eligible_start_time"), F.col("first_weaning"))]
+        found = onepass.fact_pass(
+            c2, m, features=[spec], landmarks={"a": "eligible_start_time", "b": "first_weaning"},
+            sums=sums, latest="last_known_measurement", tiebreak="measurement_id",
+            feature_gate=F.col("cohort_criteria") == 1,
+            sum_gate=F.col("first_imv_end").isNotNull())
+        # a total without events keeps the declared default
+        schema = catalogue.wide_schema()
+        return found.withColumns({w.name: F.coalesce(F.col(w.name), schema.default_of(w.name))
+                                  for w in sums})
+
+    passes = [chain_pass, demographics_pass, fact_pass]
     derived = [lambda t: feat.landmark_slope(t, "feature_1", "a", "b", min_hours=4)]
     return passes, derived
 
@@ -806,19 +804,17 @@ def q_intake_summary(spark, sf_dir):
 
 @register("episode_summary")
 def q_episode_summary(spark, sf_dir):
-    """C15 follow-up: distribution of episode hours and distinct entities.
-    Quartiles come from ``percentile_approx`` (a bounded sketch per task, so
-    the input may be any size); at these sizes it returns the exact lower
-    quantile."""
-    ep = q_gap_episodes(spark, sf_dir)
+    """C15 follow-up: distribution of episode hours and distinct entities, with exact
+    quartiles (the lower of two middle values). The episodes, which two parts of the
+    plan read, are stored once."""
+    ep = materialize(q_gap_episodes(spark, sf_dir).select("person_id", "episode_hours"), "episodes")
     h = F.col("episode_hours")
-    q = F.percentile_approx(h, [0.25, 0.5, 0.75], 10000)
-    return tot.summary(ep, {
+    stats = tot.summary(ep, {
         "count": F.count(h), "mean": F.avg(h.cast("double")),
-        "std": F.stddev_samp(h.cast("double")), "min": F.min(h), "_q": q, "max": F.max(h),
-        "unique_patients": F.count_distinct("person_id"),
-    }).select("count", F.col("mean").cast("decimal(38,6)").alias("mean"),
-              F.col("std").cast("decimal(38,6)").alias("std"), "min",
-              F.col("_q")[0].alias("p25"),
-              F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max",
-              "unique_patients")
+        "std": F.stddev_samp(h.cast("double")), "min": F.min(h), "max": F.max(h),
+        "unique_patients": F.count_distinct("person_id")})
+    q = quantiles(ep, [], "episode_hours", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return side_by_side(stats, q).select(
+        "count", F.col("mean").cast("decimal(38,6)").alias("mean"),
+        F.col("std").cast("decimal(38,6)").alias("std"), "min", "p25", "p50", "p75", "max",
+        "unique_patients")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cohortkit.operators import features, landmarks
+from cohortkit.operators import features, landmarks, onepass
 from cohortkit.plans import registry as R
 from cohortkit.sources import bindings as B
 
@@ -54,6 +54,33 @@ def test_measurement_pass_is_one_scan_and_equals_separate_passes(spark):
            sorted(map(tuple, sep.select(cols).collect()), key=str)
 
 
+def test_wide_table_reads_its_facts_once(spark):
+    for name in ("wide_assemble", "update_where"):
+        text = plan(R.QUERIES[name](spark, SF_DIR))
+        # the admissions, which the test binding derives from events, and the facts
+        assert len(re.findall(r"events\.parquet", text)) == 2, name
+
+
+def test_fact_pass_equals_separate_passes(spark):
+    inp, chain = R._chain(spark, SF_DIR, 2)
+    m, gate = inp.measurement, F.col("cohort_criteria") == 1
+    marks = {"a": "eligible_start_time", "b": "first_weaning"}
+    specs = [R.tot.WindowSpec("s1", ("purchase",), F.col("first_imv_start"), F.col("first_weaning")),
+             R.tot.WindowSpec("s2", ("signup", "error"), F.col("admission_start"),
+                              F.col("first_imv_start"), closed="left")]
+    for tiebreak in ("measurement_id", None):
+        feats = R.TEST_FEATURES[:3] if tiebreak else R.TEST_FEATURES[1:2]
+        fused = onepass.fact_pass(chain, m, features=feats, landmarks=marks, sums=specs, latest="last",
+                                  feature_gate=gate, tiebreak=tiebreak)
+        a = features.extract_features(chain, m, feats, marks, tiebreak=tiebreak, cohort_filter=gate)
+        b = R.tot.window_sums(chain, m, specs)
+        last = m.groupBy("person_id").agg(F.max("measurement_datetime").alias("last"))
+        apart = chain.select("person_id").join(last, "person_id").join(a, "person_id", "left") \
+                     .join(b, "person_id", "left").select(*fused.columns)
+        assert fused.count() > 0
+        assert sorted(map(tuple, fused.collect()), key=str) == sorted(map(tuple, apart.collect()), key=str)
+
+
 def test_nearest_rows_use_hash_aggregation(spark):
     inp, chain = R._chain(spark, SF_DIR, 2)
     fused = R.W.measurement_pass(chain, inp, R.TEST_PARAMS)
