@@ -230,6 +230,7 @@ COHORT_STARTS = ("2024-01-05", "2024-01-17")
 
 _CHAINS: dict = {}
 _LOCK = threading.RLock()   # one computation per (application, dataset)
+COHORT_TABLES = ("events",)   # what the cohort's inputs are bound to
 
 
 def weaning_inputs(spark, sf_dir) -> W.WeaningInputs:
@@ -241,15 +242,15 @@ def weaning_inputs(spark, sf_dir) -> W.WeaningInputs:
 
 def _chain(spark, sf_dir, stage: int):
     """The checkpointed base chain (stage 1: episode, 2: landmarks+outcomes),
-    computed once per application and dataset."""
-    key = (app_key(spark), sf_dir)
+    computed once per application and dataset, and again when its tables change."""
+    key, version = (app_key(spark), sf_dir), tables.dataset_version(spark, sf_dir, COHORT_TABLES)
     with _LOCK:
-        if key not in _CHAINS:
+        if key not in _CHAINS or _CHAINS[key][0] != version:
             inp = weaning_inputs(spark, sf_dir)
             c1 = W.episode_chain(inp, TEST_PARAMS)
             c2 = W.landmark_chain(c1, inp, TEST_PARAMS)
-            _CHAINS[key] = (inp, c1, c2)
-        inp, c1, c2 = _CHAINS[key]
+            _CHAINS[key] = (version, inp, c1, c2)
+        _, inp, c1, c2 = _CHAINS[key]
     return inp, (c1 if stage == 1 else c2)
 
 
@@ -257,19 +258,19 @@ _WIDE: dict = {}
 
 
 def weaning_wide(spark, sf_dir):
-    """The assembled cohort table, stored once per application and dataset.
+    """The assembled cohort table, stored once per application and version of the dataset.
 
     As in the schema-first pattern, the checks and reports (``check_*``,
     ``table_status``, ``feature_matrix``, the summaries) query the stored
     table instead of recomputing the feature and fluid passes each time.
     """
-    key = (app_key(spark), sf_dir)
+    key, version = (app_key(spark), sf_dir), tables.dataset_version(spark, sf_dir, COHORT_TABLES)
     with _LOCK:
-        if key not in _WIDE:
+        if key not in _WIDE or _WIDE[key][0] != version:
             inp, chain = _chain(spark, sf_dir, 2)
-            _WIDE[key] = W.store_table(W.assemble_table(chain, inp, TEST_PARAMS), inp,
-                                       "cohort")
-        return _WIDE[key]
+            _WIDE[key] = (version, W.store_table(W.assemble_table(chain, inp, TEST_PARAMS), inp,
+                                                 "cohort"))
+        return _WIDE[key][1]
 
 
 # lineitem dates are whole days a few per supplier per month: 30-day slices

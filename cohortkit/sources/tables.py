@@ -18,24 +18,46 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def path_version(spark: SparkSession, path: str) -> tuple | None:
+    """What tells a rewritten file or folder from the one before: times and lengths
+    of the path and, in a folder, of its entries (one metadata call each).
+
+    ``None`` where the session has no JVM at hand (Spark Connect).
+    """
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:
+        return None
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    own = fs.getFileStatus(where)
+    entries = fs.listStatus(where) if own.isDirectory() else [own]
+    return tuple(sorted((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in entries))
+
+
 _READS: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one named table of the dataset.
 
-    The input tables are immutable during a session, so each is opened once
-    per application (opening a Parquet table lists its files and reads a
-    footer for the schema, which is a small job of its own); every binding
-    then starts from the same lazy scan.
+    Opening a Parquet table lists its files and reads a footer for the schema,
+    which is a small job of its own, so a table is opened once per application and
+    every binding starts from the same lazy scan. A table that was rewritten since
+    (``path_version``) is opened anew.
     """
     path = table_path(sf_dir, name)
     from ..session import app_key
-    key = (app_key(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    key, version = (app_key(spark), path), path_version(spark, path)
+    known = _READS.get(key)
+    if known is None or known[0] != version:
+        known = _READS[key] = (version, spark.read.parquet(path))
+    return known[1]
+
+
+def dataset_version(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple:
+    """The versions of a dataset's tables, for results kept per dataset."""
+    return tuple(path_version(spark, table_path(sf_dir, n)) for n in names)
 
 
 def list_tables(spark: SparkSession, sf_dir: str) -> list[str]:

@@ -113,3 +113,21 @@ def test_column_profile_counts_values(spark):
     assert got == [(3, 2, 1), (3, 3, 2), (3, 2, 1), (3, 2, 2), (3, 2, 1)]
     empty = tables.column_profile(spark, df.limit(0)).collect()
     assert len(empty) == 5 and all(tuple(r)[3:] == (0, 0, 0) for r in empty)
+
+
+def test_a_rewritten_data_set_is_read_anew(spark, tmp_path):
+    from cohortkit.plans import registry as R
+    from cohortkit.sources import tables
+    sf = str(tmp_path)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    path = tables.table_path(sf, "events")
+    events.write.parquet(path)
+    first = tables.read_table(spark, sf, "events")
+    assert tables.read_table(spark, sf, "events") is first
+    n, (_, chain) = first.count(), R._chain(spark, sf, 1)
+    people = chain.count()
+    assert R._chain(spark, sf, 1)[1] is chain
+    some = events.filter("user_id <= 3")
+    some.write.mode("overwrite").parquet(path)
+    assert tables.read_table(spark, sf, "events").count() == some.count() < n
+    assert R._chain(spark, sf, 1)[1].count() == some.select("user_id").distinct().count() < people
