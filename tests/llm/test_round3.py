@@ -236,6 +236,75 @@ def test_formats_are_learned(spark):
     assert all(got[i].spans.count("access:") == 1 for i in range(300))
 
 
+def test_formats_are_learned_from_all_strings(spark):
+    """Half of the credentials have one format, those of the greater hashes another; unlabelled ones of either are found."""
+    r = random.Random(10)
+    shape = {False: "0123456789abcdef", True: "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"}
+    word = lambda: "".join(r.choice(["con", "ter", "a", "ti", "on", "al", "re", "in", "ment"]) for _ in range(9))
+    made = lambda late: "".join(r.choices(shape[late], k=18))
+    labelled = {False: [], True: []}
+    for late, values in labelled.items():
+        while len(values) < 2400:
+            value = made(late)
+            if (xxhash.xxh64_intdigest(value.encode(), 42) < 2 ** 63) == late:  # as a signed number: not below zero
+                values.append(value)
+    known = [f"password={v}" for values in labelled.values() for v in values]
+    common = [" ".join(word() for _ in range(70)) for _ in range(700)]
+    hidden = [f"see {made(late)} here" for late in (False, True) for _ in range(20)]
+    got = {g.doc_id: g for g in secrets.scan(frame(spark, list(enumerate(known + common + hidden)))).collect()}
+    first = len(known) + len(common)
+    assert sum(got[i].n_format > 0 for i in range(first, first + 20)) >= 16
+    assert sum(got[i].n_format > 0 for i in range(first + 20, first + 40)) >= 16
+
+
+def test_fit_counts_every_string(spark):
+    r = random.Random(12)
+    texts_of = secret_texts(r, 300) + [f"secret={'x' * r.randint(6, 40)}{i}" for i in range(100)] + [None, ""]
+    found = secrets.spans(frame(spark, list(enumerate(texts_of)) * 2))
+    expected = {k: set() for k in range(4)}
+    for text in texts_of:
+        base = secrets.base_spans(text or "")
+        for _, kind, _, value in base:
+            expected[kind].add(value)
+        expected[3].update(v for _, _, v in secrets.runs(text or "", base))
+    halves = secrets.strings(found)
+    rows = halves.collect()
+    assert Counter((x.kind, x.value) for x in rows) == Counter((k, v) for k, values in expected.items() for v in values)
+    ordered = {k: sorted(v, key=lambda s: (np.uint64(xxhash.xxh64_intdigest(s.encode(), 42)).astype(np.int64), s)) for k, v in expected.items()}
+    learned = {k: v[::2] for k, v in ordered.items()}
+    assert {(x.kind, x.value) for x in rows if x.learned} == {(k, s) for k, v in learned.items() for s in v}
+
+    half = halves.filter("learned").select("kind", "value")
+    for least in (1, 3):
+        trees = secrets.trees(half, {k: least for k in learned})
+        for kind, values in learned.items():
+            words = ["".join(secrets.symbols(v)) for v in values]
+            passed = Counter(w[:i] for w in words for i in range(len(w) + 1))
+            moves, seen, ends = trees[kind]
+            names = {0: ""}
+            for state, to in enumerate(moves):
+                names.update({t: names[state] + s for s, t in to.items()})
+            assert set(names.values()) == {p for p, n in passed.items() if n >= least or not p}
+            for state, name in names.items():
+                assert ends[state] == words.count(name)
+                assert seen[state] == {p[-1]: n for p, n in passed.items() if p and p[:-1] == name}
+        automata = {k: secrets.Automaton([], tree=tree) for k, tree in trees.items()}
+        counted = secrets.frequencies(half, automata)
+        for kind, values in learned.items():
+            sizes = [round(math.exp(-never)) for _, _, never in counted[kind]]
+            assert sum(round(math.exp(end) * n) - 1 for n, (end, _, _) in zip(sizes, counted[kind])) == len(values)
+            assert sum(n - secrets.ALPHABET - 1 for n in sizes) == sum(len(v) + 1 for v in values)
+            if least == 1:  # the whole tree: its merged counts are those of the strings
+                own = automata[kind].compact()
+                assert len(counted[kind]) == len(own) + len(secrets.CLASSES) and counted[kind][:len(own)] == own
+
+    aside = halves.filter("not learned")
+    score = lambda k, v: len(v) + 1 / len(set(v))
+    plain = {k: sorted(score(k, s) for s in v[1::2]) for k, v in ordered.items()}
+    ranks = {k: [1, (len(v) + 1) // 2, len(v)] for k, v in plain.items()}
+    assert secrets._at_ranks(aside, score, ranks, {k: len(v) for k, v in plain.items()}) == {k: [plain[k][i - 1] for i in at] for k, at in ranks.items()}
+
+
 def test_automaton():
     machine = secrets.Automaton(["ab" * k for k in range(1, 8)] * 20)
     table = machine.compact()
